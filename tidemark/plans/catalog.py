@@ -58,3 +58,169 @@ from events where cast(ts as date) >= date '2024-01-05' group by 1
 """)
 def q_dau_since(spark, d):
     return activity.daily_active(_events(spark, d), start=DAU_START, cols=EV)
+
+
+def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
+    """Round every double column (both engines sum floats in other orders)."""
+    return df.select([F.round(F.col(f.name), digits).alias(f.name)
+                      if f.dataType.typeName() in ("double", "float") else F.col(f.name)
+                      for f in df.schema.fields])
+
+
+def rsql(sql: str, *double_cols: str) -> str:
+    """Wrap an oracle query so the listed double columns are rounded."""
+    if not double_cols:
+        return sql
+    rep = ", ".join(f"round({c}, 6) as {c}" for c in double_cols)
+    return f"select * replace ({rep}) from ({sql.strip()}) as q"
+
+
+@register("rolling_dau_sum_31", """
+with d as (select cast(ts as date) as date, count(distinct user_id) as daily_active_users
+           from events group by 1)
+select date, daily_active_users,
+       cast(sum(daily_active_users) over (order by date rows between 30 preceding and current row)
+            as bigint) as monthly_active_users
+from d
+""")
+def q_rolling_dau_sum(spark, d):
+    return activity.rolling_dau_sum(activity.daily_active(_events(spark, d), cols=EV), rows=31)
+
+
+def _rolling_sql(days: int) -> str:
+    return f"""
+with ud as (select distinct user_id, cast(ts as date) as date from events where user_id is not null),
+dates as (select distinct date from ud)
+select d.date, count(distinct ud.user_id) as active_users_{days}d
+from dates d join ud on ud.date <= d.date and ud.date > d.date - {days}
+group by d.date
+"""
+
+
+@register("mau_rolling_exact", _rolling_sql(30))
+def q_mau_rolling_exact(spark, d):
+    return activity.rolling_active_users(_events(spark, d), 30, cols=EV)
+
+
+@register("wau_rolling_exact", _rolling_sql(7))
+def q_wau_rolling_exact(spark, d):
+    return activity.rolling_active_users(_events(spark, d), 7, cols=EV)
+
+
+@register("dau_approx")
+def q_dau_approx(spark, d):
+    return activity.daily_active(_events(spark, d), cols=EV, approx=True)
+
+
+@register("mau_rolling_hll")
+def q_mau_rolling_hll(spark, d):
+    return activity.rolling_active_users_approx(_events(spark, d), 30, cols=EV)
+
+
+@register("mau_calendar", """
+select cast(date_trunc('month', ts) as date) as month, count(distinct user_id) as monthly_active_users
+from events group by 1
+""")
+def q_mau_calendar(spark, d):
+    return activity.monthly_active(_events(spark, d), cols=EV)
+
+
+@register("user_day", rsql("""
+select cast(ts as date) as date, user_id, count(*) as actions, min(ts) as first_ts,
+       max(ts) as last_ts, sum(value) as total_measure
+from events where user_id is not null group by 1, 2
+""", "total_measure"))
+def q_user_day(spark, d):
+    return rounded(activity.user_day_summary(_events(spark, d), cols=EV))
+
+
+@register("dau_from_user_day", """
+select date, count(*) as daily_active_users
+from (select distinct cast(ts as date) as date, user_id from events where user_id is not null) as t
+group by 1
+""")
+def q_dau_from_user_day(spark, d):
+    return activity.dau_from_user_days(activity.user_day_summary(_events(spark, d), cols=EV))
+
+
+@register("action_mix", """
+select cast(ts as date) as date, event_type as action_type, count(*) as events,
+       count(distinct user_id) as users
+from events group by 1, 2
+""")
+def q_action_mix(spark, d):
+    return activity.action_mix(_events(spark, d), cols=EV)
+
+
+@register("dau_purchasers", """
+select cast(ts as date) as date, count(distinct user_id) as daily_active_users
+from events where event_type in ('purchase', 'click') group by 1
+""")
+def q_dau_purchasers(spark, d):
+    return activity.daily_active(_events(spark, d), cols=EV, actions=("purchase", "click"))
+
+
+# ---------------------------------------------------------------- sessions
+
+from tidemark.operators import sessions as sess  # noqa: E402
+
+
+def _session_cte(midnight: bool, timeout: int = 30) -> str:
+    day_rule = "or cast(ts as date) <> cast(prev_timestamp as date)" if midnight else ""
+    return f"""
+a as (select *, lag(ts) over (partition by user_id order by ts, event_id) as prev_timestamp
+      from events where user_id is not null and ts is not null),
+b as (select *, case when prev_timestamp is null then 0.0
+                     else (floor(epoch(ts)) - floor(epoch(prev_timestamp))) / 60 end
+                as time_diff_minutes from a),
+c as (select *, case when prev_timestamp is null or time_diff_minutes > {timeout} {day_rule}
+                     then 1 else 0 end as new_session from b),
+e as (select *, cast(sum(new_session) over (partition by user_id order by ts, event_id
+                     rows between unbounded preceding and current row) as bigint) as session_num
+      from c),
+s as (select *, concat(cast(user_id as varchar), '_', cast(session_num as varchar)) as session_id
+      from e)"""
+
+
+def _session_events_sql(midnight: bool) -> str:
+    return rsql(f"with {_session_cte(midnight)} select * from s", "time_diff_minutes")
+
+
+def _sessions_sql(midnight: bool, timeout: int = 30) -> str:
+    return rsql(f"""with {_session_cte(midnight, timeout)}
+select user_id, session_id, count(*) as actions_per_session, min(ts) as session_start,
+       max(ts) as session_end, avg(time_diff_minutes) as avg_time_between_actions,
+       avg(case when new_session = 0 then time_diff_minutes end) as avg_gap_in_session,
+       (floor(epoch(max(ts))) - floor(epoch(min(ts)))) / 3600 as session_duration_hours
+from s group by user_id, session_id""", "avg_time_between_actions", "avg_gap_in_session",
+                "session_duration_hours")
+
+
+@register("session_events_midnight", _session_events_sql(True))
+def q_session_events_midnight(spark, d):
+    return rounded(sess.session_events(_events(spark, d), 30, True, cols=EV))
+
+
+@register("session_events_plain", _session_events_sql(False))
+def q_session_events_plain(spark, d):
+    return rounded(sess.session_events(_events(spark, d), 30, False, cols=EV))
+
+
+@register("sessions_midnight", _sessions_sql(True))
+def q_sessions_midnight(spark, d):
+    return rounded(sess.sessions(_events(spark, d), 30, True, cols=EV))
+
+
+@register("sessions_plain", _sessions_sql(False))
+def q_sessions_plain(spark, d):
+    return rounded(sess.sessions(_events(spark, d), 30, False, cols=EV))
+
+
+@register("sessions_timeout_15", _sessions_sql(True, 15))
+def q_sessions_timeout_15(spark, d):
+    return rounded(sess.sessions(_events(spark, d), 15, True, cols=EV))
+
+
+@register("sessions_timeout_60", _sessions_sql(True, 60))
+def q_sessions_timeout_60(spark, d):
+    return rounded(sess.sessions(_events(spark, d), 60, True, cols=EV))

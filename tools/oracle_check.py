@@ -38,7 +38,7 @@ def canon(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 6) + 0.0
+        return v + 0.0
     if isinstance(v, decimal.Decimal):
         return round(float(v), 6)
     if isinstance(v, (dt.datetime,)):
