@@ -224,3 +224,127 @@ def q_sessions_timeout_15(spark, d):
 @register("sessions_timeout_60", _sessions_sql(True, 60))
 def q_sessions_timeout_60(spark, d):
     return rounded(sess.sessions(_events(spark, d), 60, True, cols=EV))
+
+
+# ---------------------------------------------------------------- cleaning, summaries
+
+from tidemark.operators import outliers, summary  # noqa: E402
+
+_SESSION_COLS = ("user_id, session_id, actions_per_session, session_start, session_end, "
+                 "avg_time_between_actions, avg_gap_in_session, session_duration_hours")
+
+
+def _clean_cte() -> str:
+    return f"""{_session_cte(True)},
+ss as (select user_id, session_id, count(*) as actions_per_session, min(ts) as session_start,
+              max(ts) as session_end, avg(time_diff_minutes) as avg_time_between_actions,
+              avg(case when new_session = 0 then time_diff_minutes end) as avg_gap_in_session,
+              (floor(epoch(max(ts))) - floor(epoch(min(ts)))) / 3600 as session_duration_hours
+       from s group by user_id, session_id),
+v as (select * from ss where session_duration_hours <= 24 and actions_per_session >= 2),
+q as (select quantile_disc(session_duration_hours, 0.25) as q1_duration,
+             quantile_disc(session_duration_hours, 0.75) as q3_duration,
+             quantile_disc(actions_per_session, 0.25) as q1_actions,
+             quantile_disc(actions_per_session, 0.75) as q3_actions from v),
+bnd as (select *, q3_duration - q1_duration as iqr_duration, q3_actions - q1_actions as iqr_actions,
+               q3_duration + 1.5::double * (q3_duration - q1_duration) as duration_upper_bound,
+               q3_actions + 1.5::double * (q3_actions - q1_actions) as actions_upper_bound from q),
+cl as (select v.* from v, bnd where v.session_duration_hours <= bnd.duration_upper_bound
+                              and v.actions_per_session <= bnd.actions_upper_bound)"""
+
+
+def _valid(spark, d):
+    return sess.valid_sessions(sess.sessions(_events(spark, d), 30, True, cols=EV))
+
+
+def _clean(spark, d):
+    v = _valid(spark, d)
+    return outliers.clean_sessions(v, outliers.iqr_bounds(v))
+
+
+_SESS_DOUBLES = ("avg_time_between_actions", "avg_gap_in_session", "session_duration_hours")
+
+
+@register("sessions_valid", rsql(f"with {_clean_cte()} select * from v", *_SESS_DOUBLES))
+def q_sessions_valid(spark, d):
+    return rounded(_valid(spark, d))
+
+
+@register("iqr_bounds", rsql(f"with {_clean_cte()} select * from bnd",
+                             "q1_duration", "q3_duration", "iqr_duration",
+                             "duration_upper_bound", "actions_upper_bound"))
+def q_iqr_bounds(spark, d):
+    return rounded(outliers.iqr_bounds(_valid(spark, d)))
+
+
+@register("sessions_clean", rsql(f"with {_clean_cte()} select * from cl", *_SESS_DOUBLES))
+def q_sessions_clean(spark, d):
+    return rounded(_clean(spark, d))
+
+
+@register("sessions_removed", rsql(f"""with {_clean_cte()}
+select (select count(*) from ss) as n_sessions, (select count(*) from v) as n_valid,
+       (select count(*) from cl) as n_clean, (select count(*) from ss) - (select count(*) from cl)
+       as n_removed, duration_upper_bound, actions_upper_bound from bnd""",
+                                   "duration_upper_bound", "actions_upper_bound"))
+def q_sessions_removed(spark, d):
+    return rounded(summary.cleaning_funnel(sess.sessions(_events(spark, d), 30, True, cols=EV)))
+
+
+@register("session_summary", rsql(f"""with {_clean_cte()}
+select count(session_id) as total_valid_sessions, count(distinct user_id) as unique_users,
+       avg(session_duration_hours) as avg_session_duration_hours,
+       stddev_samp(session_duration_hours) as stddev_session_duration,
+       avg(actions_per_session) as avg_actions_per_session,
+       stddev_samp(actions_per_session) as stddev_actions_per_session,
+       quantile_disc(session_duration_hours, 0.25) as duration_q1,
+       quantile_disc(session_duration_hours, 0.5) as duration_median,
+       quantile_disc(session_duration_hours, 0.75) as duration_q3,
+       quantile_disc(actions_per_session, 0.25) as actions_q1,
+       quantile_disc(actions_per_session, 0.5) as actions_median,
+       quantile_disc(actions_per_session, 0.75) as actions_q3
+from cl""", "avg_session_duration_hours", "stddev_session_duration", "avg_actions_per_session",
+                                  "stddev_actions_per_session", "duration_q1", "duration_median",
+                                  "duration_q3"))
+def q_session_summary(spark, d):
+    return rounded(summary.session_summary(_clean(spark, d), compat_strings=False))
+
+
+@register("session_time_of_week", rsql(f"""with {_clean_cte()}
+select cast(hour(session_start) as integer) as hour_of_day,
+       cast(dayofweek(session_start) + 1 as integer) as day_of_week,
+       count(session_id) as session_count, avg(session_duration_hours) as avg_duration,
+       avg(actions_per_session) as avg_actions
+from cl group by 1, 2""", "avg_duration", "avg_actions"))
+def q_session_time_of_week(spark, d):
+    return rounded(summary.time_of_week(_clean(spark, d)))
+
+
+@register("session_ratio", rsql(f"""with {_clean_cte()}
+select count(*) as sessions, sum(session_duration_hours) as total_session_hours,
+       cast(sum(actions_per_session) as bigint) as total_actions,
+       sum(session_duration_hours) / count(*) as hours_per_session,
+       sum(actions_per_session) / count(*) as actions_per_session
+from cl""", "total_session_hours", "hours_per_session", "actions_per_session"))
+def q_session_ratio(spark, d):
+    return rounded(summary.session_ratios(_clean(spark, d)))
+
+
+@register("event_value_capped", rsql("""
+with q as (select quantile_disc(value, 0.25) as q1, quantile_disc(value, 0.75) as q3 from events),
+b as (select q1 - 1.5::double * (q3 - q1) as lo, q3 + 1.5::double * (q3 - q1) as hi from q)
+select event_id, user_id, ts, value, coalesce(value < lo or value > hi, false) as is_outlier,
+       least(greatest(value, lo), hi) as value_capped
+from events, b""", "value", "value_capped"))
+def q_event_value_capped(spark, d):
+    ev = _events(spark, d).select("event_id", "user_id", "ts", "value")
+    return rounded(outliers.handle_outliers(ev, "value", mode="flag"))
+
+
+@register("event_value_dropped", rsql("""
+with q as (select quantile_disc(value, 0.25) as q1, quantile_disc(value, 0.75) as q3 from events),
+b as (select q1 - 1.5::double * (q3 - q1) as lo, q3 + 1.5::double * (q3 - q1) as hi from q)
+select event_id, user_id, value from events, b where value >= lo and value <= hi""", "value"))
+def q_event_value_dropped(spark, d):
+    ev = _events(spark, d).select("event_id", "user_id", "value")
+    return rounded(outliers.handle_outliers(ev, "value", mode="drop"))
