@@ -348,3 +348,84 @@ select event_id, user_id, value from events, b where value >= lo and value <= hi
 def q_event_value_dropped(spark, d):
     ev = _events(spark, d).select("event_id", "user_id", "value")
     return rounded(outliers.handle_outliers(ev, "value", mode="drop"))
+
+
+# ---------------------------------------------------------------- enrichment and skew
+
+from tidemark.operators import enrich as en  # noqa: E402
+
+
+def user_dimension(spark, d) -> DataFrame:
+    """User attributes: latest customer row per key, with its nation name."""
+    cust = table(spark, d, "customer").select(
+        F.col("c_custkey").alias("user_id"), "c_nationkey",
+        F.col("c_mktsegment").alias("segment"), "c_name")
+    cust = en.latest_per_key(cust, "user_id", order=["c_name"])
+    nation = table(spark, d, "nation").select(F.col("n_nationkey").alias("c_nationkey"),
+                                              F.col("n_name").alias("country"))
+    return en.enrich(cust, nation, "c_nationkey", "left").select("user_id", "country", "segment")
+
+
+_ENRICH_SQL = """
+select e.event_id, e.user_id, e.ts, e.event_type, e.value, n.n_name as country,
+       c.c_mktsegment as segment
+from events e left join customer c on e.user_id = c.c_custkey
+left join nation n on c.c_nationkey = n.n_nationkey
+"""
+
+
+def _enriched(spark, d, strategy, **kw):
+    ev = _events(spark, d).select("event_id", "user_id", "ts", "event_type", "value")
+    return en.enrich(ev, user_dimension(spark, d), "user_id", "left", strategy=strategy, **kw)
+
+
+@register("enrich_broadcast", _ENRICH_SQL)
+def q_enrich_broadcast(spark, d):
+    return _enriched(spark, d, "broadcast")
+
+
+@register("enrich_shuffle_hash", _ENRICH_SQL)
+def q_enrich_shuffle_hash(spark, d):
+    return _enriched(spark, d, "shuffle_hash")
+
+
+@register("enrich_merge", _ENRICH_SQL)
+def q_enrich_merge(spark, d):
+    return _enriched(spark, d, "merge")
+
+
+@register("enrich_salted", _ENRICH_SQL)
+def q_enrich_salted(spark, d):
+    ev = _events(spark, d)
+    return _enriched(spark, d, "salted", hot=en.hot_keys(ev, "user_id", k=10),
+                     salt_col="event_id", salt_buckets=8)
+
+
+@register("hot_users", rsql("""
+select user_id, count(*) as events, count(*) / (select count(*) from events) as share
+from events where user_id is not null group by 1 order by events desc, user_id limit 10
+""", "share"))
+def q_hot_users(spark, d):
+    return rounded(en.hot_keys(_events(spark, d), "user_id", k=10))
+
+
+@register("metadata_latest", """
+select o_custkey, o_orderkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+from (select *, row_number() over (partition by o_custkey
+                                   order by o_orderdate desc, o_orderkey desc) as rn
+      from orders) as t where rn = 1
+""")
+def q_metadata_latest(spark, d):
+    return en.latest_per_key(table(spark, d, "orders"), "o_custkey",
+                             order=["o_orderdate", "o_orderkey"])
+
+
+@register("segment_activity", rsql("""
+select n.n_name as country, c.c_mktsegment as segment, count(*) as events,
+       count(distinct e.user_id) as users, avg(e.value) as avg_measure
+from events e left join customer c on e.user_id = c.c_custkey
+left join nation n on c.c_nationkey = n.n_nationkey group by 1, 2
+""", "avg_measure"))
+def q_segment_activity(spark, d):
+    return rounded(en.segment_activity(_events(spark, d), user_dimension(spark, d), "user_id",
+                                       ["country", "segment"], "value"))
