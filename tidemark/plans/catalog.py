@@ -429,3 +429,112 @@ left join nation n on c.c_nationkey = n.n_nationkey group by 1, 2
 def q_segment_activity(spark, d):
     return rounded(en.segment_activity(_events(spark, d), user_dimension(spark, d), "user_id",
                                        ["country", "segment"], "value"))
+
+
+# ---------------------------------------------------------------- quality, diff
+
+from tidemark.operators import diff as dff  # noqa: E402
+from tidemark.operators import quality as dq  # noqa: E402
+
+AS_OF = dt.datetime(2024, 1, 20, 0, 0, 0)
+_AS_OF_SQL = "timestamp '2024-01-20 00:00:00'"
+_EVENT_COLUMNS = ("event_id", "ts", "user_id", "event_type", "value", "props")
+_DUP_KEYS = ["user_id", "ts", "event_type", "value", "props"]
+_TYPES_SQL = ", ".join(f"'{t}'" for t in dq.EVENT_TYPES)
+_RULES_SQL = {
+    "null_user": "user_id is null",
+    "null_timestamp": "ts is null",
+    "null_action": "event_type is null",
+    "unknown_action": f"event_type is not null and event_type not in ({_TYPES_SQL})",
+    "negative_measure": "value < 0",
+    "future_timestamp": f"ts > {_AS_OF_SQL}",
+}
+
+
+def _event_rules():
+    return dq.event_rules("user_id", "ts", "event_type", "value", dq.EVENT_TYPES, AS_OF)
+
+
+@register("quality_nulls", " union all ".join(
+    f"select '{c}' as column_name, count(*) filter (where {c} is null) as null_count from events"
+    for c in _EVENT_COLUMNS))
+def q_quality_nulls(spark, d):
+    return dq.null_counts(_events(spark, d))
+
+
+@register("quality_future", f"""
+select count(*) filter (where ts > {_AS_OF_SQL}) as future_records from events
+""")
+def q_quality_future(spark, d):
+    return dq.future_records(_events(spark, d), "ts", AS_OF)
+
+
+@register("quality_rules", " union all ".join(
+    [f"select '{n}' as check_name, count(*) filter (where {c}) as n_bad from events"
+     for n, c in _RULES_SQL.items()]
+    + [f"""select 'duplicate_rows' as check_name, coalesce(cast(sum(c - 1) as bigint), 0) as n_bad
+          from (select count(*) as c from events group by {', '.join(_DUP_KEYS)}
+                having count(*) > 1) as t""",
+       """select 'orphan_rows' as check_name, count(*) as n_bad from events e
+          where not exists (select 1 from customer c where c.c_custkey = e.user_id)"""]))
+def q_quality_rules(spark, d):
+    return dq.quality_rules(_events(spark, d), _event_rules(), _DUP_KEYS,
+                            table(spark, d, "customer"), "user_id", "c_custkey")
+
+
+@register("orphan_users", """
+select user_id, count(*) as events from events e
+where not exists (select 1 from customer c where c.c_custkey = e.user_id) group by 1
+""")
+def q_orphan_users(spark, d):
+    return (dq.orphans(_events(spark, d), table(spark, d, "customer"), "user_id", "c_custkey")
+            .groupBy("user_id").agg(F.count(F.lit(1)).alias("events")))
+
+
+@register("duplicate_events", f"""
+select {', '.join(_DUP_KEYS)}, count(*) as copies from events
+group by {', '.join(_DUP_KEYS)} having count(*) > 1
+""")
+def q_duplicate_events(spark, d):
+    return dq.duplicates(_events(spark, d), _DUP_KEYS)
+
+
+@register("quarantine_events", f"""
+select event_id, user_id, ts,
+       concat_ws(',', {', '.join(f"case when {c} then '{n}' end" for n, c in _RULES_SQL.items())})
+       as dq_failures
+from events where {' or '.join(f'coalesce({c}, false)' for c in _RULES_SQL.values())}
+""")
+def q_quarantine_events(spark, d):
+    _, bad = dq.split_quarantine(_events(spark, d).select("event_id", "user_id", "ts",
+                                                          "event_type", "value"), _event_rules())
+    return bad.select("event_id", "user_id", "ts",
+                      F.array_join("dq_failures", ",").alias("dq_failures"))
+
+
+_DIFF_LEFT = "select user_id, event_type from events where event_type <> 'error'"
+_DIFF_RIGHT = "select user_id, event_type from events where value < 50"
+
+
+def _diff_sides(spark, d):
+    ev = _events(spark, d)
+    return (ev.where(F.col("event_type") != "error").select("user_id", "event_type"),
+            ev.where(F.col("value") < 50).select("user_id", "event_type"))
+
+
+@register("dataset_diff_all", f"""
+select *, 'left_only' as side from ({_DIFF_LEFT} except all {_DIFF_RIGHT}) as a
+union all
+select *, 'right_only' as side from ({_DIFF_RIGHT} except all {_DIFF_LEFT}) as b
+""")
+def q_dataset_diff_all(spark, d):
+    return dff.diff_rows(*_diff_sides(spark, d), bag=True)
+
+
+@register("dataset_diff_distinct", f"""
+select *, 'left_only' as side from ({_DIFF_LEFT} except {_DIFF_RIGHT}) as a
+union all
+select *, 'right_only' as side from ({_DIFF_RIGHT} except {_DIFF_LEFT}) as b
+""")
+def q_dataset_diff_distinct(spark, d):
+    return dff.diff_rows(*_diff_sides(spark, d), bag=False)
