@@ -538,3 +538,124 @@ select *, 'right_only' as side from ({_DIFF_RIGHT} except {_DIFF_LEFT}) as b
 """)
 def q_dataset_diff_distinct(spark, d):
     return dff.diff_rows(*_diff_sides(spark, d), bag=False)
+
+
+# ---------------------------------------------------------------- sources, sinks, layouts
+
+from tidemark.operators import partitioning as part  # noqa: E402
+from tidemark.schemas import EVENTS as EVENTS_SCHEMA  # noqa: E402
+from tidemark.session import scratch_path  # noqa: E402
+from tidemark.sources import datagen, readers, sinks  # noqa: E402
+
+
+@register("csv_roundtrip", "select * from events")
+def q_csv_roundtrip(spark, d):
+    path = scratch_path(spark, "events-csv")
+    sinks.write_csv(_events(spark, d), path)
+    return readers.read_csv(spark, path, EVENTS_SCHEMA)
+
+
+def _layout(spark, d, layout):
+    path = scratch_path(spark, f"events-{layout}")
+    sinks.write_layout(_events(spark, d), path, layout, "ts", "user_id", n_buckets=16)
+    return path
+
+
+@register("parquet_by_date", "select *, cast(ts as date) as date from events")
+def q_parquet_by_date(spark, d):
+    return spark.read.parquet(_layout(spark, d, "date"))
+
+
+@register("parquet_date_hour",
+          "select *, cast(ts as date) as date, cast(hour(ts) as integer) as hour from events")
+def q_parquet_date_hour(spark, d):
+    return spark.read.parquet(_layout(spark, d, "date_hour"))
+
+
+@register("parquet_user_bucket", "select * from events")
+def q_parquet_user_bucket(spark, d):
+    return spark.read.parquet(_layout(spark, d, "user_bucket")).drop("user_bucket")
+
+
+@register("parquet_date_bucket", "select *, cast(ts as date) as date from events")
+def q_parquet_date_bucket(spark, d):
+    return spark.read.parquet(_layout(spark, d, "date_bucket")).drop("user_bucket")
+
+
+@register("pruned_range", """
+select *, cast(ts as date) as date from events
+where cast(ts as date) between date '2024-01-05' and date '2024-01-11'
+""")
+def q_pruned_range(spark, d):
+    return sinks.read_date_range(spark, _layout(spark, d, "date"),
+                                 dt.date(2024, 1, 5), dt.date(2024, 1, 11))
+
+
+@register("repartitioned_hash", """
+select cast(ts as date) as date, count(distinct user_id) as daily_active_users
+from events group by 1
+""")
+def q_repartitioned_hash(spark, d):
+    ev = part.partition_by_user(_events(spark, d), "user_id", 16, "hash")
+    return activity.daily_active(ev, cols=EV)
+
+
+@register("repartitioned_range", ORACLE["repartitioned_hash"])
+def q_repartitioned_range(spark, d):
+    ev = part.partition_by_user(_events(spark, d), "user_id", 16, "range")
+    return activity.daily_active(ev, cols=EV)
+
+
+def _hex_sql(name: str) -> str:
+    return (f"('0x' || substr(md5(concat_ws(':', cast(id as varchar), '42', '{name}')), 1, 8))"
+            "::bigint")
+
+
+def _list_sql(values) -> str:
+    return "[" + ", ".join(f"'{v}'" for v in values) + "]"
+
+
+_TS_SPAN = int((datagen.TS_END - datagen.TS_START).total_seconds())
+_JOIN_DAYS = (datagen.JOIN_END - datagen.JOIN_START).days
+
+
+@register("synthetic_interactions", f"""
+with ids as (select event_id as id from events)
+select id,
+       printf('u%06d', 1 + {_hex_sql('user_id')} % {datagen.USER_IDS}) as user_id,
+       timestamp '{datagen.TS_START:%Y-%m-%d %H:%M:%S}'
+         + to_seconds({_hex_sql('timestamp')} % {_TS_SPAN + 1}) as "timestamp",
+       list_extract({_list_sql(datagen.ACTION_TYPES)},
+                    cast({_hex_sql('action_type')} % {len(datagen.ACTION_TYPES)} + 1 as integer))
+         as action_type,
+       printf('p%06d', 1 + {_hex_sql('page_id')} % {datagen.PAGE_IDS}) as page_id,
+       {datagen.DURATION_MS[0]} + {_hex_sql('duration_ms')}
+         % {datagen.DURATION_MS[1] - datagen.DURATION_MS[0] + 1} as duration_ms,
+       concat_ws('.', cast({datagen.APP_MAJOR[0]} + {_hex_sql('app_major')}
+                           % {datagen.APP_MAJOR[1] - datagen.APP_MAJOR[0] + 1} as varchar),
+                 cast({_hex_sql('app_minor')} % 10 as varchar),
+                 cast({_hex_sql('app_patch')} % 10 as varchar)) as app_version
+from ids
+""")
+def q_synthetic_interactions(spark, d):
+    return datagen.interactions(_events(spark, d).select(F.col("event_id").alias("id")))
+
+
+@register("synthetic_metadata", f"""
+with ids as (select c_custkey as id from customer)
+select id,
+       printf('u%06d', 1 + {_hex_sql('user_id')} % {datagen.USER_IDS}) as user_id,
+       date '{datagen.JOIN_START:%Y-%m-%d}' + cast({_hex_sql('join_date')} % {_JOIN_DAYS + 1}
+                                                    as integer) as join_date,
+       list_extract({_list_sql(datagen.COUNTRIES)},
+                    cast({_hex_sql('country')} % {len(datagen.COUNTRIES)} + 1 as integer)) as country,
+       list_extract({_list_sql(datagen.DEVICE_TYPES)},
+                    cast({_hex_sql('device_type')} % {len(datagen.DEVICE_TYPES)} + 1 as integer))
+         as device_type,
+       list_extract({_list_sql(datagen.SUBSCRIPTION_TYPES)},
+                    cast({_hex_sql('subscription_type')} % {len(datagen.SUBSCRIPTION_TYPES)} + 1
+                         as integer)) as subscription_type
+from ids
+""")
+def q_synthetic_metadata(spark, d):
+    return datagen.metadata(table(spark, d, "customer").select(F.col("c_custkey").alias("id")))
