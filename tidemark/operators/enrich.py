@@ -38,7 +38,12 @@ def latest_per_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most n + 1)."""
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    Pass the *raw* source of a dimension (before dedup or joins): on a
+    scan the limit stops after ``n + 1`` rows, and a derived dimension
+    with one row per key has no more rows than its source.
+    """
     return df.limit(max_rows + 1).count() <= max_rows
 
 
@@ -60,18 +65,27 @@ def hot_keys(df: DataFrame, key: str, k: int = 10, min_share: float = 0.0) -> Da
 def enrich(facts: DataFrame, dim: DataFrame, key: str, how: str = "left",
            strategy: str = "auto", max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
            hot: DataFrame | None = None, salt_col: str | None = None,
-           salt_buckets: int = 16) -> DataFrame:
+           salt_buckets: int = 16, bound_source: DataFrame | None = None) -> DataFrame:
     """Join facts with a dimension that has one row per ``key``.
 
-    ``strategy``: ``auto`` (broadcast if the row bound holds, else let
-    Catalyst/AQE choose), ``broadcast`` (same check, raises if it fails),
-    ``shuffle_hash``, ``merge``, ``salted``.
+    ``strategy``:
+
+    * ``auto`` - a plain join: Catalyst plans it from file statistics and
+      AQE re-plans it from the real shuffle sizes (broadcast only below
+      ``spark.sql.adaptive.autoBroadcastJoinThreshold``; skewed
+      sort-merge partitions are split);
+    * ``broadcast`` - broadcast hint, only after ``fits_broadcast`` proved
+      the row bound on ``bound_source`` (default: ``dim``); beyond it the
+      join falls back to ``auto``;
+    * ``shuffle_hash`` / ``merge`` - join hints;
+    * ``salted`` - see ``enrich_salted``.
     """
-    if strategy in ("auto", "broadcast"):
-        if fits_broadcast(dim, max_broadcast_rows):
+    if strategy == "auto":
+        return facts.join(dim, key, how)
+    if strategy == "broadcast":
+        source = bound_source if bound_source is not None else dim
+        if fits_broadcast(source, max_broadcast_rows):
             return facts.join(F.broadcast(dim), key, how)
-        if strategy == "broadcast":
-            raise ValueError(f"dimension exceeds {max_broadcast_rows} rows; not broadcast")
         return facts.join(dim, key, how)
     if strategy in ("shuffle_hash", "merge"):
         return facts.join(dim.hint(strategy), key, how)
@@ -110,7 +124,7 @@ def segment_activity(facts: DataFrame, dim: DataFrame, key: str, segments: list[
     per_user = facts.groupBy(key).agg(F.count(F.lit(1)).alias("_events"),
                                       F.count(measure).alias("_n_measure"),
                                       F.sum(measure).alias("_sum_measure"))
-    joined = enrich(per_user, dim.select(key, *segments), key, how,
+    joined = enrich(per_user, dim.select(key, *segments), key, how, "auto",
                     max_broadcast_rows=max_broadcast_rows)
     return (joined.groupBy(*segments)
             .agg(F.sum("_events").alias("events"),

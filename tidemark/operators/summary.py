@@ -20,9 +20,13 @@ def session_summary(clean: DataFrame, user: str = "user_id",
     actions, and their quartiles as columns (plus, for compatibility, the
     quartile arrays cast to strings)."""
     q = [0.25, 0.5, 0.75]
+    # The distinct user count runs as its own scalar subquery: inside the
+    # same aggregate it would make Spark keep one percentile sketch per
+    # user. Both read the same shuffle (exchange reuse).
+    users = clean.agg(F.countDistinct(user).alias("u")).scalar()
     agg = clean.agg(
         F.count("session_id").alias("total_valid_sessions"),
-        F.countDistinct(user).alias("unique_users"),
+        users.alias("unique_users"),
         F.avg(DUR).alias("avg_session_duration_hours"),
         F.stddev_samp(DUR).alias("stddev_session_duration"),
         F.avg(ACT).alias("avg_actions_per_session"),

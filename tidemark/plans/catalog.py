@@ -363,7 +363,9 @@ def user_dimension(spark, d) -> DataFrame:
     cust = en.latest_per_key(cust, "user_id", order=["c_name"])
     nation = table(spark, d, "nation").select(F.col("n_nationkey").alias("c_nationkey"),
                                               F.col("n_name").alias("country"))
-    return en.enrich(cust, nation, "c_nationkey", "left").select("user_id", "country", "segment")
+    return (en.enrich(cust, nation, "c_nationkey", "left", "broadcast",
+                      max_broadcast_rows=10_000)
+            .select("user_id", "country", "segment"))
 
 
 _ENRICH_SQL = """
@@ -376,7 +378,8 @@ left join nation n on c.c_nationkey = n.n_nationkey
 
 def _enriched(spark, d, strategy, **kw):
     ev = _events(spark, d).select("event_id", "user_id", "ts", "event_type", "value")
-    return en.enrich(ev, user_dimension(spark, d), "user_id", "left", strategy=strategy, **kw)
+    return en.enrich(ev, user_dimension(spark, d), "user_id", "left", strategy=strategy,
+                     bound_source=table(spark, d, "customer"), **kw)
 
 
 @register("enrich_broadcast", _ENRICH_SQL)
