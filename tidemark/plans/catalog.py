@@ -662,3 +662,23 @@ from ids
 """)
 def q_synthetic_metadata(spark, d):
     return datagen.metadata(table(spark, d, "customer").select(F.col("c_custkey").alias("id")))
+
+
+# ---------------------------------------------------------------- streaming
+
+from tidemark.streaming import incremental as inc  # noqa: E402
+
+
+@register("stream_user_day", """
+select cast(ts as date) as date, user_id, count(*) as actions, min(ts) as first_ts,
+       max(ts) as last_ts
+from events where user_id is not null group by 1, 2
+""")
+def q_stream_user_day(spark, d):
+    return inc.user_day_snapshot(spark, d, EVENTS_SCHEMA, EV, glob="events.parquet")
+
+
+@register("stream_dau", ORACLE["dau_from_user_day"])
+def q_stream_dau(spark, d):
+    return inc.dau_from_snapshot(
+        inc.user_day_snapshot(spark, d, EVENTS_SCHEMA, EV, glob="events.parquet"))
