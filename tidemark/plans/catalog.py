@@ -682,3 +682,27 @@ def q_stream_user_day(spark, d):
 def q_stream_dau(spark, d):
     return inc.dau_from_snapshot(
         inc.user_day_snapshot(spark, d, EVENTS_SCHEMA, EV, glob="events.parquet"))
+
+
+# ---------------------------------------------------------------- counts, full report
+
+@register("dataset_counts", """
+select (select count(*) from events) as events_rows, (select count(*) from customer)
+       as customer_rows
+""")
+def q_dataset_counts(spark, d):
+    cust = table(spark, d, "customer").agg(F.count(F.lit(1)).alias("n")).scalar()
+    return (_events(spark, d).agg(F.count(F.lit(1)).alias("events_rows"))
+            .withColumn("customer_rows", cust))
+
+
+@register("quality_report", "select * from (" + " union all ".join(
+    [f"select 'nulls' as check_name, '{c}' as column_name, "
+     f"count(*) filter (where {c} is null) as n_bad from events" for c in _EVENT_COLUMNS]
+    + [f"select '{n}' as check_name, cast(null as varchar) as column_name, "
+       f"count(*) filter (where {c}) as n_bad from events" for n, c in _RULES_SQL.items()])
+    + ") as t where n_bad > 0")
+def q_quality_report(spark, d):
+    from tidemark.plans.reports import validate_data_quality
+    return validate_data_quality(spark, _events(spark, d), EVENTS_SCHEMA, EV, dq.EVENT_TYPES,
+                                 AS_OF, "events").drop("table_name")

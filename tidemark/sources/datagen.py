@@ -44,16 +44,25 @@ def _between(h: Column, lo: int, hi: int) -> Column:
     return F.lit(lo) + h % F.lit(hi - lo + 1)
 
 
-def interactions(ids: DataFrame, id_col: str = "id", seed: int = 42) -> DataFrame:
+def interactions(ids: DataFrame, id_col: str = "id", seed: int = 42,
+                 hot_share: float = 0.0) -> DataFrame:
     """One interaction per id: the task's interaction columns (timestamp as
-    ``timestamp_ntz``, UTC wall clock)."""
+    ``timestamp_ntz``, UTC wall clock).
+
+    ``hot_share`` gives that fraction of rows to the single user
+    ``u000001`` (skewed-key scenario); 0 keeps the uniform draw.
+    """
     span = int((TS_END - TS_START).total_seconds())
     h = lambda n: hash_int(id_col, seed, n)
     ts = (F.lit(TS_START).cast("timestamp_ntz")
           + F.make_dt_interval(secs=_between(h("timestamp"), 0, span).cast("decimal(18,6)")))
+    user = F.format_string("u%06d", _between(h("user_id"), 1, USER_IDS))
+    if hot_share > 0:
+        cut = int(hot_share * 1_000_000)
+        user = F.when(h("hot") % 1_000_000 < cut, F.lit("u000001")).otherwise(user)
     return ids.select(
         F.col(id_col).alias("id"),
-        F.format_string("u%06d", _between(h("user_id"), 1, USER_IDS)).alias("user_id"),
+        user.alias("user_id"),
         ts.alias("timestamp"),
         _pick(ACTION_TYPES, h("action_type")).alias("action_type"),
         F.format_string("p%06d", _between(h("page_id"), 1, PAGE_IDS)).alias("page_id"),

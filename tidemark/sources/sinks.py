@@ -20,6 +20,13 @@ from tidemark.session import pin_utc
 LAYOUTS = ("date", "date_hour", "user_bucket", "date_bucket")
 
 
+def preview(df: DataFrame, order: list[str], n: int = 20) -> DataFrame:
+    """The first ``n`` rows in a stated order (what ``show()`` prints, but
+    deterministic and still a DataFrame). Top-k: at most ``n`` rows per
+    partition reach the final merge."""
+    return df.orderBy(*order).limit(n)
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     (df.write.mode(mode)
      .option("header", True)
