@@ -11,11 +11,6 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def formatted(df) -> str:
-    return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted") \
-        if hasattr(df._sc._jvm, "PythonSQLUtils") else plan(df)
-
-
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_udf(spark, name):
     p = plan(QUERIES[name](spark, SF001))

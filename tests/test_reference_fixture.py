@@ -98,3 +98,10 @@ def test_dau_of_activity_subset(loaded):
     inter, _ = loaded
     r = activity.daily_active(inter, actions=["edit"]).collect()
     assert r[0].daily_active_users == 2
+
+
+def test_session_metrics_checkpointed(loaded):
+    inter, _ = loaded
+    out = reports.session_metrics(inter, checkpoint_sessions=True)
+    assert out["session_metrics"].collect()[0].total_valid_sessions == 2
+    assert out["funnel"].collect()[0].n_sessions == 3

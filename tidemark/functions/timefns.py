@@ -56,10 +56,20 @@ def day_of_week(ts) -> Column:
     return F.dayofweek(_c(ts))
 
 
+DAY_SECONDS = 86_400
+
+
 def time_bucket(ts, bucket_seconds: int) -> Column:
-    """Index of the fixed-width time bucket holding ``ts``.
+    """Index of the ``bucket_seconds``-wide slot holding ``ts``.
 
-    Buckets start at the epoch, so any width dividing 86,400 nests inside
-    UTC calendar days.
+    Slots restart at every UTC midnight (the last slot of a day may be
+    shorter), so a slot never spans two calendar days, and the index
+    orders like time. Two events in one slot are at most
+    ``bucket_seconds - 1`` whole seconds apart.
     """
-    return F.floor(epoch_seconds(ts) / F.lit(int(bucket_seconds))).cast("long")
+    width = int(bucket_seconds)
+    sec = epoch_seconds(ts)
+    day = F.floor(sec / F.lit(DAY_SECONDS))
+    per_day = -(-DAY_SECONDS // width)
+    return (day * F.lit(per_day)
+            + F.floor((sec - day * F.lit(DAY_SECONDS)) / F.lit(width))).cast("long")

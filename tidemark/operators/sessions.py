@@ -37,25 +37,18 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.timefns import activity_date, duration_hours, epoch_seconds, gap_minutes
+from tidemark.functions.timefns import (
+    DAY_SECONDS, activity_date, duration_hours, epoch_seconds, gap_minutes, time_bucket,
+)
 from tidemark.schemas import EventCols, INTERACTION_COLS
 
-_DAY = 86_400
 
 
 def bucket_width_seconds(timeout_minutes: float) -> int:
     """Largest whole-second width that cannot hold a session break."""
     if timeout_minutes < 0:
         raise ValueError("timeout_minutes must be >= 0")
-    return max(1, min(_DAY, int(math.floor(timeout_minutes * 60))))
-
-
-def _bucket_col(ts: str, width: int):
-    """Bucket index that orders like time and never crosses UTC midnight."""
-    sec = epoch_seconds(ts)
-    day = F.floor(sec / F.lit(_DAY))
-    per_day = -(-_DAY // width)
-    return (day * F.lit(per_day) + F.floor((sec - day * F.lit(_DAY)) / F.lit(width))).cast("long")
+    return max(1, min(DAY_SECONDS, int(math.floor(timeout_minutes * 60))))
 
 
 def _is_break(ts, prev, timeout_minutes: float, split_at_midnight: bool):
@@ -83,7 +76,7 @@ def session_buckets(df: DataFrame, timeout_minutes: float = 30,
     width = bucket_width_seconds(timeout_minutes)
     u, ts = cols.user, cols.ts
     per_bucket = (_clean(df, cols)
-                  .groupBy(u, _bucket_col(ts, width).alias("_bucket"))
+                  .groupBy(u, time_bucket(ts, width).alias("_bucket"))
                   .agg(F.count(F.lit(1)).alias("n"),
                        F.min(ts).alias("first_ts"),
                        F.max(ts).alias("last_ts")))
@@ -150,7 +143,7 @@ def session_events(df: DataFrame, timeout_minutes: float = 30, split_at_midnight
     width = bucket_width_seconds(timeout_minutes)
     b = (session_buckets(df, timeout_minutes, split_at_midnight, cols)
          .select(u, "_bucket", "prev_last_ts", "opens", "session_num"))
-    ev = _clean(df, cols).withColumn("_bucket", _bucket_col(ts, width))
+    ev = _clean(df, cols).withColumn("_bucket", time_bucket(ts, width))
     w = Window.partitionBy(u, "_bucket").orderBy(*cols.order_cols())
     ev = ev.withColumn("_prev_in", F.lag(ts).over(w))
     joined = ev.join(b, [u, "_bucket"], "inner")

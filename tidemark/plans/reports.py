@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from tidemark.operators import activity, enrich, outliers, quality, sessions, summary
 from tidemark.operators.partitioning import partition_by_user
 from tidemark.schemas import EventCols, INTERACTION_COLS
+from tidemark.session import materialize
 from tidemark.sources import readers
 
 
@@ -52,9 +53,18 @@ def active_users(interactions: DataFrame, start=None, approx: bool = False,
 def session_metrics(interactions: DataFrame, timeout_minutes: float = 30,
                     max_hours: float = 24.0, min_actions: int = 2,
                     split_at_midnight: bool = True, cols: EventCols = INTERACTION_COLS,
-                    accuracy: int = outliers.DEFAULT_ACCURACY) -> dict[str, DataFrame]:
-    """Summary, clean sessions, time-of-week profile, thresholds, funnel."""
+                    accuracy: int = outliers.DEFAULT_ACCURACY,
+                    checkpoint_sessions: bool = False) -> dict[str, DataFrame]:
+    """Summary, clean sessions, time-of-week profile, thresholds, funnel.
+
+    Every output is lazy and re-derives the session table when run. With
+    ``checkpoint_sessions`` the session table is written once as a
+    reliable checkpoint in the shared folder (survives executor loss)
+    and all outputs read it.
+    """
     sess = sessions.sessions(interactions, timeout_minutes, split_at_midnight, cols)
+    if checkpoint_sessions:
+        sess = materialize(sess)
     valid = sessions.valid_sessions(sess, max_hours, min_actions)
     bounds = outliers.iqr_bounds(valid, accuracy)
     clean = outliers.clean_sessions(valid, bounds)
