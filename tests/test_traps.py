@@ -181,3 +181,26 @@ def test_value_outliers(spark):
     assert outliers.handle_outliers(df, "v", mode="drop").count() == 8
     capped = outliers.handle_outliers(df, "v", mode="cap").agg(F.max("v")).collect()[0][0]
     assert capped < 100.0
+
+
+def test_literals_do_not_depend_on_driver_time_zone(spark):
+    import os
+    import time
+
+    from tidemark.plans.catalog import QUERIES
+    from tests.conftest import SF001
+    old = os.environ.get("TZ")
+    try:
+        os.environ["TZ"] = "America/New_York"
+        time.tzset()
+        n = QUERIES["quality_future"](spark, SF001).collect()[0].future_records
+        first = QUERIES["synthetic_interactions"](spark, SF001).agg(F.min("timestamp")).collect()
+    finally:
+        if old is None:
+            os.environ.pop("TZ", None)
+        else:
+            os.environ["TZ"] = old
+        time.tzset()
+    assert n == QUERIES["quality_future"](spark, SF001).collect()[0].future_records == 3672
+    assert first == QUERIES["synthetic_interactions"](spark, SF001).agg(
+        F.min("timestamp")).collect()

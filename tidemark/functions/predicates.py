@@ -7,19 +7,19 @@ import datetime as _dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidemark.functions.timefns import day_start
+from tidemark.functions.timefns import date_literal, ts_literal
 
 
 def on_or_after_day(date_col, start) -> Column:
     """``date >= start`` with ``start`` truncated to its day (trap T4)."""
     col = F.col(date_col) if isinstance(date_col, str) else date_col
-    return col >= F.lit(day_start(start))
+    return col >= date_literal(start)
 
 
 def is_future(ts, as_of: _dt.datetime) -> Column:
     """Event time after a fixed ``as_of`` instant (repeatable, unlike now())."""
     col = F.col(ts) if isinstance(ts, str) else ts
-    return col > F.lit(as_of)
+    return col > ts_literal(as_of)
 
 
 def valid_session(max_hours: float = 24.0, min_actions: int = 2,

@@ -17,6 +17,30 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def ts_literal(value) -> Column:
+    """A wall-clock timestamp literal (``timestamp_ntz``).
+
+    Built from text on purpose: a Python ``datetime`` literal is turned
+    into an instant through the *driver process's* local time zone, so it
+    would shift with the machine. Compared with zoned columns it is read
+    in the session time zone (UTC).
+    """
+    if isinstance(value, str):
+        text = value
+    elif isinstance(value, _dt.datetime):
+        text = value.strftime("%Y-%m-%d %H:%M:%S.%f")
+    elif isinstance(value, _dt.date):
+        text = value.strftime("%Y-%m-%d 00:00:00")
+    else:
+        raise TypeError(f"not a timestamp: {value!r}")
+    return F.lit(text).cast("timestamp_ntz")
+
+
+def date_literal(value) -> Column:
+    """A calendar-date literal built from text (no time-zone conversion)."""
+    return F.lit(day_start(value).isoformat()).cast("date")
+
+
 def activity_date(ts) -> Column:
     """Calendar day of an event in the session time zone (UTC, T13)."""
     return F.to_date(_c(ts))

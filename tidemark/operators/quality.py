@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.timefns import ts_literal
+
 # The action types of the task's interactions table.
 INTERACTION_ACTIONS = ("page_view", "edit", "create", "delete", "share")
 # The event types of the driver's events table.
@@ -34,7 +36,7 @@ def null_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
 def future_records(df: DataFrame, ts: str, as_of: dt.datetime | None = None) -> DataFrame:
     """One row: events later than ``as_of`` (default: query start time)."""
-    limit = F.lit(as_of) if as_of is not None else F.current_timestamp()
+    limit = ts_literal(as_of) if as_of is not None else F.current_timestamp()
     return df.agg(F.count_if(F.col(ts) > limit).alias("future_records"))
 
 
@@ -62,7 +64,7 @@ def schema_issues(spark: SparkSession, df: DataFrame, declared: T.StructType) ->
 def event_rules(user: str, ts: str, action: str, measure: str, domain,
                 as_of: dt.datetime | None = None) -> dict[str, Column]:
     """Row rules for an event table; each value is the *failing* predicate."""
-    limit = F.lit(as_of) if as_of is not None else F.current_timestamp()
+    limit = ts_literal(as_of) if as_of is not None else F.current_timestamp()
     return {
         "null_user": F.col(user).isNull(),
         "null_timestamp": F.col(ts).isNull(),

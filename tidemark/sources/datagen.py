@@ -14,6 +14,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.timefns import date_literal, ts_literal
+
 # Generator domains of the task statement.
 ACTION_TYPES = ("page_view", "edit", "create", "delete", "share")
 COUNTRIES = ("US", "UK", "CA", "AU", "DE", "FR", "JP", "IN", "BR", "MX")
@@ -54,7 +56,7 @@ def interactions(ids: DataFrame, id_col: str = "id", seed: int = 42,
     """
     span = int((TS_END - TS_START).total_seconds())
     h = lambda n: hash_int(id_col, seed, n)
-    ts = (F.lit(TS_START).cast("timestamp_ntz")
+    ts = (ts_literal(TS_START)
           + F.make_dt_interval(secs=_between(h("timestamp"), 0, span).cast("decimal(18,6)")))
     user = F.format_string("u%06d", _between(h("user_id"), 1, USER_IDS))
     if hot_share > 0:
@@ -79,7 +81,7 @@ def metadata(ids: DataFrame, id_col: str = "id", seed: int = 42) -> DataFrame:
     return ids.select(
         F.col(id_col).alias("id"),
         F.format_string("u%06d", _between(h("user_id"), 1, USER_IDS)).alias("user_id"),
-        F.date_add(F.lit(JOIN_START), _between(h("join_date"), 0, days).cast("int"))
+        F.date_add(date_literal(JOIN_START), _between(h("join_date"), 0, days).cast("int"))
         .alias("join_date"),
         _pick(COUNTRIES, h("country")).alias("country"),
         _pick(DEVICE_TYPES, h("device_type")).alias("device_type"),

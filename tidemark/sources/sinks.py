@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.timefns import activity_date
+from tidemark.functions.timefns import activity_date, date_literal
 from tidemark.sources.readers import TS_WRITE_FORMAT
 from tidemark.session import pin_utc
 
@@ -85,7 +85,7 @@ def read_date_range(spark: SparkSession, path: str, start=None, end=None,
     pin_utc(spark)
     df = spark.read.parquet(path)
     if start is not None:
-        df = df.where(F.col(date_col) >= F.lit(start))
+        df = df.where(F.col(date_col) >= date_literal(start))
     if end is not None:
-        df = df.where(F.col(date_col) <= F.lit(end))
+        df = df.where(F.col(date_col) <= date_literal(end))
     return df
