@@ -1,7 +1,8 @@
 """Benchmark the headline queries; prints ONE JSON line.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_RUNS (default 3). Each query is forced to full execution with the
+BENCH_RUNS (default 3), BENCH_SHUFFLE_PARTITIONS (default 2 x cpus; AQE
+coalesces). Each query is forced to full execution with the
 ``noop`` sink (no collect to the driver); the value per query is the
 median of warm runs after one warm-up run.
 """
@@ -34,8 +35,9 @@ def main() -> None:
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     from tidemark.plans.catalog import QUERIES
     from tidemark.session import build_session
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=2 * cpus, app_name="tidemark-bench",
-                          extra={"spark.driver.memory": "16g"})
+    partitions = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", 2 * cpus))
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=partitions,
+                          app_name="tidemark-bench", extra={"spark.driver.memory": "16g"})
     times: dict[str, float] = {}
     for name in HEADLINE:
         samples = []

@@ -15,11 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.timefns import ts_literal
-
-# The action types of the task's interactions table.
-INTERACTION_ACTIONS = ("page_view", "edit", "create", "delete", "share")
-# The event types of the driver's events table.
-EVENT_TYPES = ("view", "signup", "error", "click", "purchase")
+from tidemark.schemas import EVENT_TYPES, INTERACTION_ACTIONS  # noqa: F401  (re-exported)
 
 
 def _long(agg_row: DataFrame, names: list[str], label: str, value: str) -> DataFrame:

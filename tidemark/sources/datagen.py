@@ -15,9 +15,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.timefns import date_literal, ts_literal
+from tidemark.schemas import INTERACTION_ACTIONS as ACTION_TYPES
 
 # Generator domains of the task statement.
-ACTION_TYPES = ("page_view", "edit", "create", "delete", "share")
 COUNTRIES = ("US", "UK", "CA", "AU", "DE", "FR", "JP", "IN", "BR", "MX")
 DEVICE_TYPES = ("iPhone", "iPad", "Android Phone", "Android Tablet", "Windows", "Mac")
 SUBSCRIPTION_TYPES = ("free", "basic", "premium", "enterprise")
