@@ -204,3 +204,16 @@ def test_literals_do_not_depend_on_driver_time_zone(spark):
     assert n == QUERIES["quality_future"](spark, SF001).collect()[0].future_records == 3672
     assert first == QUERIES["synthetic_interactions"](spark, SF001).agg(
         F.min("timestamp")).collect()
+
+
+def test_quality_report_messages(spark, make_events):
+    from tidemark.plans import reports
+    from tidemark.schemas import INTERACTIONS
+    ev = make_events([(None, "2024-01-01 10:00:00"), ("a", "2031-01-01 10:00:00")],
+                     action="edit").drop("app_version")
+    rep = reports.validate_data_quality(spark, ev, INTERACTIONS, as_of=dt.datetime(2030, 1, 1))
+    msgs = sorted(r.message for r in rep.collect())
+    assert msgs == ["Found 1 null values in column user_id",
+                    "Found 1 records with future timestamps",
+                    "Found 1 rows failing null_user",
+                    "Missing required column: app_version"]

@@ -55,6 +55,8 @@ def rolling_dau_sum(dau: DataFrame, rows: int = 31) -> DataFrame:
     calendar days (T2). The window has no partition key on purpose: its
     input has one row per date, so the single partition stays small.
     """
+    if rows < 1:
+        raise ValueError("rows must be >= 1")
     w = Window.orderBy("date").rowsBetween(-(rows - 1), Window.currentRow)
     return dau.withColumn("monthly_active_users",
                           F.sum("daily_active_users").over(w))
@@ -74,6 +76,8 @@ def rolling_active_users(df: DataFrame, window_days: int = 30,
 
     One row per date that has activity. ``window_days=1`` equals DAU.
     """
+    if window_days < 1:
+        raise ValueError("window_days must be >= 1")
     out_col = out_col or f"active_users_{window_days}d"
     ud = user_days(df, cols, start)
     nxt = F.lead("date").over(Window.partitionBy(cols.user).orderBy("date"))
@@ -102,6 +106,8 @@ def rolling_active_users_approx(df: DataFrame, window_days: int = 30,
     One sketch per date (a few KB each), unioned over a RANGE frame of
     calendar days; the data itself is aggregated once, map-side.
     """
+    if window_days < 1:
+        raise ValueError("window_days must be >= 1")
     out_col = out_col or f"approx_active_users_{window_days}d"
     daily = (_dated(df, cols, start)
              .groupBy("date")

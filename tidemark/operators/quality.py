@@ -130,7 +130,8 @@ def split_quarantine(df: DataFrame, rules: dict[str, Column]) -> tuple[DataFrame
 def quality_report(spark: SparkSession, df: DataFrame, declared: T.StructType | None,
                    rules: dict[str, Column], table_name: str) -> DataFrame:
     """The task's ``validate_data_quality`` as one long DataFrame:
-    ``table_name, check_name, column_name, n_bad``; only failing checks."""
+    ``table_name, check_name, column_name, n_bad, message``; only failing
+    checks."""
     parts = []
     if declared is not None:
         parts.append(schema_issues(spark, df, declared)
@@ -144,4 +145,26 @@ def quality_report(spark: SparkSession, df: DataFrame, declared: T.StructType |
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.where(F.col("n_bad") > 0).withColumn("table_name", F.lit(table_name))
+    return (out.where(F.col("n_bad") > 0)
+            .withColumn("message", issue_message())
+            .withColumn("table_name", F.lit(table_name)))
+
+
+# Wording of the issues reported by the task's quality check.
+MSG_MISSING_COLUMN = "Missing required column: %s"
+MSG_NULLS = "Found %d null values in column %s"
+MSG_FUTURE = "Found %d records with future timestamps"
+# Wording for the other checks of this report.
+MSG_SCHEMA = "Column %s: %s"
+MSG_RULE = "Found %d rows failing %s"
+
+
+def issue_message() -> Column:
+    """Human-readable line per report row (built in Spark, not on the driver)."""
+    c, col, n = F.col("check_name"), F.col("column_name"), F.col("n_bad")
+    return (F.when(c == "schema_missing", F.format_string(MSG_MISSING_COLUMN, col))
+            .when(c.startswith("schema_"),
+                  F.format_string(MSG_SCHEMA, col, F.substring(c, 8, 100)))
+            .when(c == "nulls", F.format_string(MSG_NULLS, n, col))
+            .when(c == "future_timestamp", F.format_string(MSG_FUTURE, n))
+            .otherwise(F.format_string(MSG_RULE, n, c)))

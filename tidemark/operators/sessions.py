@@ -43,7 +43,6 @@ from tidemark.functions.timefns import (
 from tidemark.schemas import EventCols, INTERACTION_COLS
 
 
-
 def bucket_width_seconds(timeout_minutes: float) -> int:
     """Largest whole-second width that cannot hold a session break."""
     if timeout_minutes < 0:

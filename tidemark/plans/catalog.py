@@ -696,12 +696,18 @@ def q_dataset_counts(spark, d):
             .withColumn("customer_rows", cust))
 
 
-@register("quality_report", "select * from (" + " union all ".join(
+@register("quality_report", "with r as (select * from (" + " union all ".join(
     [f"select 'nulls' as check_name, '{c}' as column_name, "
      f"count(*) filter (where {c} is null) as n_bad from events" for c in _EVENT_COLUMNS]
     + [f"select '{n}' as check_name, cast(null as varchar) as column_name, "
        f"count(*) filter (where {c}) as n_bad from events" for n, c in _RULES_SQL.items()])
-    + ") as t where n_bad > 0")
+    + """) as t)
+select *, case when check_name = 'nulls'
+                 then printf('Found %d null values in column %s', n_bad, column_name)
+               when check_name = 'future_timestamp'
+                 then printf('Found %d records with future timestamps', n_bad)
+               else printf('Found %d rows failing %s', n_bad, check_name) end as message
+from r where n_bad > 0""")
 def q_quality_report(spark, d):
     from tidemark.plans.reports import validate_data_quality
     return validate_data_quality(spark, _events(spark, d), EVENTS_SCHEMA, EV, dq.EVENT_TYPES,
