@@ -46,3 +46,34 @@ def test_join_strategies(spark):
 def test_iqr_bounds_are_a_subquery(spark):
     p = plan(QUERIES["sessions_clean"](spark, SF001))
     assert "Subquery" in p and "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+
+
+def test_salted_join_shuffles_on_salt(spark):
+    from tidemark.plans.catalog import QUERIES as Q
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    old_aqe = spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = Q["enrich_salted"](spark, SF001)
+        df.write.format("noop").mode("overwrite").save()
+        p = plan(df)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        if old_aqe is None:
+            spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+        else:
+            spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", old_aqe)
+    assert "SortMergeJoin [user_id#" in p and "_salt#" in p.split("SortMergeJoin")[1][:200]
+    # the hot-key list is still broadcast explicitly (top-k: bounded size)
+    assert "BroadcastHashJoin" in p
+
+
+def test_checked_broadcast_falls_back(spark):
+    from tidemark.operators import enrich
+    facts = spark.range(100).withColumnRenamed("id", "k")
+    dim = spark.range(50).withColumnRenamed("id", "k")
+    ok = enrich.enrich(facts, dim, "k", strategy="broadcast", max_broadcast_rows=50)
+    too_big = enrich.enrich(facts, dim, "k", strategy="broadcast", max_broadcast_rows=49)
+    assert "broadcast" in ok._jdf.queryExecution().logical().toString().lower()
+    assert "broadcast" not in too_big._jdf.queryExecution().logical().toString().lower()
