@@ -71,3 +71,18 @@ def test_generated_rows_fit_declared_schema(spark):
     issues = quality.schema_issues(spark, df.drop("id"), INTERACTIONS).collect()
     # only the timestamp flavour differs: generated wall clock is timestamp_ntz
     assert [(r.column_name, r.issue) for r in issues] == [("timestamp", "wrong_type")]
+
+
+def test_corrupt_lines_are_kept_and_quarantined(spark):
+    path = scratch_path(spark, "t-csv-corrupt")
+    lines = ["user_id,timestamp,action_type,page_id,duration_ms,app_version",
+             "u1,2024-01-01 10:00:00,edit,p1,100,5.0.0",
+             "u2,2024-01-01 10:00:00,edit,p1,not-a-number,5.0.0"]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1) \
+        .write.mode("overwrite").text(path)
+    df = readers.read_csv(spark, path, INTERACTIONS, keep_corrupt=True)
+    clean, bad = quality.split_quarantine(df, readers.unparsable_rule())
+    assert [r.user_id for r in clean.collect()] == ["u1"]
+    got = bad.collect()
+    assert len(got) == 1 and got[0].dq_failures == ["unparsable_row"]
+    assert "not-a-number" in got[0][readers.CORRUPT_COL]

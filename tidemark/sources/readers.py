@@ -14,17 +14,36 @@ TS_READ_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
 TS_WRITE_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
+CORRUPT_COL = "_corrupt_record"
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType,
-             mode: str = "PERMISSIVE") -> DataFrame:
-    """CSV with header and a declared schema. ``PERMISSIVE`` turns
-    unparsable fields into NULLs, which the quality checks then count."""
+             mode: str = "PERMISSIVE", keep_corrupt: bool = False) -> DataFrame:
+    """CSV with header and a declared schema.
+
+    ``PERMISSIVE`` turns unparsable fields into NULLs, which the quality
+    checks then count; with ``keep_corrupt`` the raw text of every
+    malformed line is kept in ``_corrupt_record`` (NULL for good lines), so
+    ``unparsable_rule`` can quarantine it. ``DROPMALFORMED`` and
+    ``FAILFAST`` are Spark's other modes.
+    """
     pin_utc(spark)
-    return (spark.read.schema(schema)
-            .option("header", True)
-            .option("mode", mode)
-            .option("timestampFormat", TS_READ_FORMAT)
-            .option("timestampNTZFormat", TS_READ_FORMAT)
-            .csv(path))
+    if keep_corrupt:
+        schema = T.StructType(list(schema.fields) + [T.StructField(CORRUPT_COL, T.StringType())])
+    r = (spark.read.schema(schema)
+         .option("header", True)
+         .option("mode", mode)
+         .option("timestampFormat", TS_READ_FORMAT)
+         .option("timestampNTZFormat", TS_READ_FORMAT))
+    if keep_corrupt:
+        r = r.option("columnNameOfCorruptRecord", CORRUPT_COL)
+    return r.csv(path)
+
+
+def unparsable_rule() -> dict:
+    """Quality rule for rows read with ``keep_corrupt=True``."""
+    from pyspark.sql import functions as F
+    return {"unparsable_row": F.col(CORRUPT_COL).isNotNull()}
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType,
