@@ -82,13 +82,13 @@ def rolling_active_users(df: DataFrame, window_days: int = 30,
     ud = user_days(df, cols, start)
     nxt = F.lead("date").over(Window.partitionBy(cols.user).orderBy("date"))
     horizon = F.date_add(F.col("date"), window_days)
-    spans = ud.select(
-        F.col("date").alias("open_on"),
-        F.least(horizon, F.coalesce(nxt, horizon)).alias("close_on"))
-    deltas = (spans.select(F.col("open_on").alias("date"), F.lit(1).alias("delta"),
-                           F.lit(1).alias("opens"))
-              .unionByName(spans.select(F.col("close_on").alias("date"),
-                                        F.lit(-1).alias("delta"), F.lit(0).alias("opens"))))
+    spans = ud.select("date", F.least(horizon, F.coalesce(nxt, horizon)).alias("close_on"))
+    # one pass over the windowed rows: each span emits its +1 and its -1
+    deltas = spans.select(F.explode(F.array(
+        F.struct(F.col("date").alias("date"), F.lit(1).alias("delta"), F.lit(1).alias("opens")),
+        F.struct(F.col("close_on").alias("date"), F.lit(-1).alias("delta"),
+                 F.lit(0).alias("opens"))
+    )).alias("d")).select("d.*")
     per_date = deltas.groupBy("date").agg(F.sum("delta").alias("delta"),
                                           F.max("opens").alias("active_day"))
     running = Window.orderBy("date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
