@@ -1,4 +1,10 @@
-"""Dataset comparison (unordered equality and its witnesses)."""
+"""Dataset comparison (unordered equality and its witnesses).
+
+Both directions come from one aggregate: the two inputs are tagged,
+unioned and grouped by all columns, counting copies per side (map-side
+partial counts, so a row repeated a third of the time collapses before
+the shuffle). NULLs compare equal, as in SQL EXCEPT.
+"""
 
 from __future__ import annotations
 
@@ -6,20 +12,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def _side_counts(left: DataFrame, right: DataFrame) -> DataFrame:
+    cols = left.columns
+    tagged = (left.select(*cols, F.lit(1).alias("_nl"), F.lit(0).alias("_nr"))
+              .unionByName(right.select(*cols, F.lit(0).alias("_nl"), F.lit(1).alias("_nr"))))
+    return tagged.groupBy(*cols).agg(F.sum("_nl").alias("_nl"), F.sum("_nr").alias("_nr"))
+
+
 def diff_rows(left: DataFrame, right: DataFrame, bag: bool = True) -> DataFrame:
     """Rows found on one side only, tagged ``side`` = left_only/right_only.
 
-    ``bag=True`` compares multisets (EXCEPT ALL: a row present twice on the
-    left and once on the right appears once); ``bag=False`` compares sets
-    (EXCEPT DISTINCT, duplicates ignored).
+    ``bag=True`` compares multisets (EXCEPT ALL both ways: a row present
+    twice on the left and once on the right appears once); ``bag=False``
+    compares sets (EXCEPT DISTINCT, duplicates ignored).
     """
-    right = right.select(*left.columns)
+    cols = left.columns
+    counts = _side_counts(left, right.select(*cols))
+    side = F.when(F.col("_nl") > F.col("_nr"), F.lit("left_only")).otherwise(F.lit("right_only"))
     if bag:
-        lo, ro = left.exceptAll(right), right.exceptAll(left)
-    else:
-        lo, ro = left.subtract(right), right.subtract(left)
-    return (lo.withColumn("side", F.lit("left_only"))
-            .unionByName(ro.withColumn("side", F.lit("right_only"))))
+        extra = F.abs(F.col("_nl") - F.col("_nr"))
+        return (counts.where(F.col("_nl") != F.col("_nr"))
+                .select(*cols, side.alias("side"),
+                        F.explode(F.sequence(F.lit(1).cast("long"), extra)).alias("_copy"))
+                .drop("_copy"))
+    return (counts.where((F.col("_nl") == 0) | (F.col("_nr") == 0))
+            .select(*cols, side.alias("side")))
 
 
 def same_rows(left: DataFrame, right: DataFrame, bag: bool = True) -> bool:
