@@ -33,9 +33,9 @@ def test_user_bucket_layout_is_consistent(spark):
     sinks.write_layout(ev, path, "date_bucket", "ts", "user_id", n_buckets=8)
     back = spark.read.parquet(path)
     assert back.count() == ev.count()
-    per_user = back.groupBy("user_id").agg(F.countDistinct("user_bucket").alias("b"))
+    per_user = back.groupBy("user_id").agg(F.countDistinct("user_id_partition").alias("b"))
     assert per_user.where("b > 1").count() == 0
-    assert back.select("user_bucket").distinct().count() <= 8
+    assert back.select("user_id_partition").distinct().count() <= 8
 
 
 def test_pruned_read_lists_partition_filter(spark):

@@ -577,12 +577,12 @@ def q_parquet_date_hour(spark, d):
 
 @register("parquet_user_bucket", "select * from events")
 def q_parquet_user_bucket(spark, d):
-    return spark.read.parquet(_layout(spark, d, "user_bucket")).drop("user_bucket")
+    return spark.read.parquet(_layout(spark, d, "user_id_partition")).drop("user_id_partition")
 
 
 @register("parquet_date_bucket", "select *, cast(ts as date) as date from events")
 def q_parquet_date_bucket(spark, d):
-    return spark.read.parquet(_layout(spark, d, "date_bucket")).drop("user_bucket")
+    return spark.read.parquet(_layout(spark, d, "date_bucket")).drop("user_id_partition")
 
 
 @register("pruned_range", """

@@ -17,7 +17,7 @@ from tidemark.functions.timefns import activity_date, date_literal
 from tidemark.sources.readers import TS_WRITE_FORMAT
 from tidemark.session import pin_utc
 
-LAYOUTS = ("date", "date_hour", "user_bucket", "date_bucket")
+LAYOUTS = ("date", "date_hour", "user_id_partition", "date_bucket")
 
 
 def preview(df: DataFrame, order: list[str], n: int = 20) -> DataFrame:
@@ -48,12 +48,13 @@ def with_layout_columns(df: DataFrame, layout: str, ts: str, user: str,
     if layout == "date_hour":
         return (df.withColumn("date", activity_date(ts))
                 .withColumn("hour", F.hour(ts)), ["date", "hour"])
-    if layout == "user_bucket":
-        return df.withColumn("user_bucket", user_bucket(user, n_buckets)), ["user_bucket"]
+    if layout == "user_id_partition":
+        return (df.withColumn("user_id_partition", user_bucket(user, n_buckets)),
+                ["user_id_partition"])
     if layout == "date_bucket":
         return (df.withColumn("date", activity_date(ts))
-                .withColumn("user_bucket", user_bucket(user, n_buckets)),
-                ["date", "user_bucket"])
+                .withColumn("user_id_partition", user_bucket(user, n_buckets)),
+                ["date", "user_id_partition"])
     raise ValueError(f"unknown layout {layout!r}; one of {LAYOUTS}")
 
 
