@@ -76,11 +76,18 @@ def rolling_active_users(df: DataFrame, window_days: int = 30,
 
     One row per date that has activity. ``window_days=1`` equals DAU.
     """
+    return rolling_from_user_days(user_days(df, cols, start), window_days, cols.user, out_col)
+
+
+def rolling_from_user_days(user_day: DataFrame, window_days: int = 30, user: str = "user_id",
+                           out_col: str | None = None) -> DataFrame:
+    """Rolling distinct users from distinct (user, ``date``) rows, e.g. a
+    stored user-day rollup, without rescanning raw events."""
     if window_days < 1:
         raise ValueError("window_days must be >= 1")
     out_col = out_col or f"active_users_{window_days}d"
-    ud = user_days(df, cols, start)
-    nxt = F.lead("date").over(Window.partitionBy(cols.user).orderBy("date"))
+    ud = user_day.select(user, "date")
+    nxt = F.lead("date").over(Window.partitionBy(user).orderBy("date"))
     horizon = F.date_add(F.col("date"), window_days)
     spans = ud.select("date", F.least(horizon, F.coalesce(nxt, horizon)).alias("close_on"))
     # one pass over the windowed rows: each span emits its +1 and its -1

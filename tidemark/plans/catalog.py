@@ -712,3 +712,9 @@ def q_quality_report(spark, d):
     from tidemark.plans.reports import validate_data_quality
     return validate_data_quality(spark, _events(spark, d), EVENTS_SCHEMA, EV, dq.EVENT_TYPES,
                                  AS_OF, "events").drop("table_name")
+
+
+@register("mau_from_user_day", _rolling_sql(30))
+def q_mau_from_user_day(spark, d):
+    ud = activity.user_day_summary(_events(spark, d), cols=EV)
+    return activity.rolling_from_user_days(ud, 30, "user_id")
