@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import diff, sessions
 from tidemark.schemas import EVENTS_TABLE_COLS as EV
+from tests.reference_forms import session_events_by_user_window
 from tests.conftest import SF001
 
 COLS = ["event_id", "user_id", "ts", "prev_timestamp", "time_diff_minutes", "new_session",
@@ -20,7 +21,7 @@ COLS = ["event_id", "user_id", "ts", "prev_timestamp", "time_diff_minutes", "new
 def test_bucket_plan_matches_user_window(spark, timeout, midnight):
     ev = spark.read.parquet(f"{SF001}/events.parquet")
     a = sessions.session_events(ev, timeout, midnight, cols=EV).select(*COLS)
-    b = sessions.session_events_by_user_window(ev, timeout, midnight, cols=EV).select(*COLS)
+    b = session_events_by_user_window(ev, timeout, midnight, cols=EV).select(*COLS)
     assert diff.same_rows(a, b)
 
 
@@ -28,7 +29,7 @@ def test_session_table_consistent_with_events(spark):
     ev = spark.read.parquet(f"{SF001}/events.parquet")
     s = sessions.sessions(ev, 30, True, cols=EV)
     assert s.agg(F.sum("actions_per_session")).collect()[0][0] == ev.count()
-    per_event = (sessions.session_events_by_user_window(ev, 30, True, cols=EV)
+    per_event = (session_events_by_user_window(ev, 30, True, cols=EV)
                  .groupBy("user_id", "session_id")
                  .agg(F.count(F.lit(1)).alias("actions_per_session"),
                       F.avg("time_diff_minutes").alias("avg_time_between_actions")))
@@ -59,5 +60,5 @@ def test_property_bucket_plan(spark, events, timeout, midnight):
             for i, (u, s, us) in enumerate(events)]
     df = spark.createDataFrame(rows, "event_id long, user_id long, ts timestamp_ntz")
     a = sessions.session_events(df, timeout, midnight, cols=EV).select(*COLS)
-    b = sessions.session_events_by_user_window(df, timeout, midnight, cols=EV).select(*COLS)
+    b = session_events_by_user_window(df, timeout, midnight, cols=EV).select(*COLS)
     assert diff.same_rows(a, b)

