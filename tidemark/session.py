@@ -49,8 +49,9 @@ def pin_utc(spark: SparkSession) -> None:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) a private
-    folder is created and registered.
+    Read from the session; only when it is unset and the master is local
+    (tests) a private folder is created and registered. On a cluster an
+    unset setting is an error.
     """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None)
@@ -58,6 +59,10 @@ def checkpoint_root(spark: SparkSession) -> str:
         current = sc.getCheckpointDir()
         if current:
             return current
+        if not sc.master.startswith("local"):
+            # a machine-local folder is invisible to other executors and
+            # lost with its machine
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder on this cluster")
         root = tempfile.mkdtemp(prefix="tidemark-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
