@@ -86,3 +86,17 @@ def test_corrupt_lines_are_kept_and_quarantined(spark):
     got = bad.collect()
     assert len(got) == 1 and got[0].dq_failures == ["unparsable_row"]
     assert "not-a-number" in got[0][readers.CORRUPT_COL]
+
+
+def test_partition_rerun_is_idempotent(spark):
+    from tidemark.operators import activity
+    from tidemark.schemas import EVENTS_TABLE_COLS as EV
+    ev = spark.read.parquet(f"{SF001}/events.parquet")
+    ud = activity.user_day_summary(ev, cols=EV)
+    path = scratch_path(spark, "t-user-day")
+    first = ud.where(F.col("date") <= dt.date(2024, 1, 15))
+    sinks.write_partitions(first, path, ["date"])
+    sinks.write_partitions(ud.where(F.col("date") >= dt.date(2024, 1, 10)), path, ["date"])
+    back = spark.read.parquet(path).select(*ud.columns)
+    assert back.count() == ud.count()
+    assert back.exceptAll(ud).count() == 0

@@ -718,3 +718,15 @@ def q_quality_report(spark, d):
 def q_mau_from_user_day(spark, d):
     ud = activity.user_day_summary(_events(spark, d), cols=EV)
     return activity.rolling_from_user_days(ud, 30, "user_id")
+
+
+@register("user_day_table", ORACLE["user_day"])
+def q_user_day_table(spark, d):
+    """User-day rollup written partitioned by date, run twice (a re-run
+    replaces its days), read back whole."""
+    path = scratch_path(spark, "user-day-table")
+    ud = activity.user_day_summary(_events(spark, d), cols=EV)
+    sinks.write_partitions(ud, path, ["date"])
+    sinks.write_partitions(ud, path, ["date"])
+    back = spark.read.parquet(path)
+    return rounded(back.select(*ud.columns))

@@ -71,6 +71,21 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
     w.parquet(path)
 
 
+def write_partitions(df: DataFrame, path: str, partition_by: list[str],
+                     compression: str = "snappy") -> None:
+    """Replace only the partitions present in ``df`` (dynamic overwrite).
+
+    The incremental form of a partitioned table: each run writes the days
+    it computed, and re-running a day after a failure replaces that day
+    instead of adding a second copy. Other partitions are untouched.
+    """
+    (df.sortWithinPartitions(*partition_by).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic")
+     .option("compression", compression)
+     .partitionBy(*partition_by)
+     .parquet(path))
+
+
 def write_layout(df: DataFrame, path: str, layout: str, ts: str, user: str,
                  n_buckets: int = 64, **kw) -> list[str]:
     framed, cols = with_layout_columns(df, layout, ts, user, n_buckets)
