@@ -25,7 +25,8 @@ def is_future(ts, as_of: _dt.datetime) -> Column:
 def valid_session(max_hours: float = 24.0, min_actions: int = 2,
                   duration: str = "session_duration_hours",
                   actions: str = "actions_per_session") -> Column:
-    return (F.col(duration) <= F.lit(float(max_hours))) & (F.col(actions) >= F.lit(int(min_actions)))
+    return ((F.col(duration) <= F.lit(float(max_hours)))
+            & (F.col(actions) >= F.lit(int(min_actions))))
 
 
 def within_bounds(duration_bound: Column, actions_bound: Column,

@@ -114,7 +114,8 @@ def check(spark, sf_dir, names=None, verbose=True):
             if not ok_cols:
                 detail += f" spark={sorted(s_cols)} duck={sorted(d_cols)}"
             elif not ok_types:
-                detail += " " + str({c: (s_types[c], d_types[c]) for c in s_cols if s_types[c] != d_types[c]})
+                diff = {c: (s_types[c], d_types[c]) for c in s_cols if s_types[c] != d_types[c]}
+                detail += " " + str(diff)
             elif not ok_vals:
                 a = rows_of(s_cols, s_rows)
                 b = rows_of(d_cols, d_rows)
