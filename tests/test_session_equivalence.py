@@ -16,11 +16,13 @@ COLS = ["event_id", "user_id", "ts", "prev_timestamp", "time_diff_minutes", "new
         "session_num", "session_id"]
 
 
-@pytest.mark.parametrize("timeout,midnight", [(30, True), (30, False), (7.5, False), (90, True),
-                                              (0, False)])
-def test_bucket_plan_matches_user_window(spark, timeout, midnight):
+@pytest.mark.parametrize("timeout,midnight,fine", [(30, True, True), (30, False, True),
+                                                   (7.5, False, True), (90, True, True),
+                                                   (0, False, True), (30, True, False),
+                                                   (7.5, False, False)])
+def test_bucket_plan_matches_user_window(spark, timeout, midnight, fine):
     ev = spark.read.parquet(f"{SF001}/events.parquet")
-    a = sessions.session_events(ev, timeout, midnight, cols=EV).select(*COLS)
+    a = sessions.session_events(ev, timeout, midnight, cols=EV, fine_ordering=fine).select(*COLS)
     b = session_events_by_user_window(ev, timeout, midnight, cols=EV).select(*COLS)
     assert diff.same_rows(a, b)
 
@@ -62,3 +64,15 @@ def test_property_bucket_plan(spark, events, timeout, midnight):
     a = sessions.session_events(df, timeout, midnight, cols=EV).select(*COLS)
     b = session_events_by_user_window(df, timeout, midnight, cols=EV).select(*COLS)
     assert diff.same_rows(a, b)
+
+
+def test_events_within_one_second(spark):
+    base = dt.datetime(2024, 1, 1, 23, 59, 58)
+    offs = [0.1, 0.5, 0.5, 0.9, 1.2, 1.2, 3.0, 2000.0, 2000.4, 2001.0]
+    rows = [(i, 7, base + dt.timedelta(seconds=o)) for i, o in enumerate(offs)]
+    rows += [(100 + i, 8, base + dt.timedelta(seconds=o)) for i, o in enumerate(offs[:4])]
+    df = spark.createDataFrame(rows, "event_id long, user_id long, ts timestamp_ntz")
+    for midnight, fine in ((True, True), (False, True), (True, False)):
+        a = sessions.session_events(df, 30, midnight, cols=EV, fine_ordering=fine).select(*COLS)
+        b = session_events_by_user_window(df, 30, midnight, cols=EV).select(*COLS)
+        assert diff.same_rows(a, b)

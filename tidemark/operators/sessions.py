@@ -25,9 +25,10 @@ bucket: a session is a run of consecutive buckets. Hence
 3. session metrics are an aggregate over buckets, already partitioned by
    user, so no further shuffle.
 
-Event-level output (``session_events``) joins the bucket table back on
-(user, bucket); the lag inside a bucket uses a window keyed by
-(user, bucket), never by user alone.
+Event-level output (``session_events``) orders events only within one
+user's whole second; the predecessor of a second's first event comes from
+a per-second table (window over at most W seconds of one bucket) and the
+bucket table, joined back on (user, second).
 """
 
 from __future__ import annotations
@@ -63,6 +64,22 @@ def _clean(df: DataFrame, cols: EventCols) -> DataFrame:
     return df.where(F.col(cols.user).isNotNull() & F.col(cols.ts).isNotNull())
 
 
+def _number_buckets(per_bucket: DataFrame, timeout_minutes: float, split_at_midnight: bool,
+                    user: str) -> DataFrame:
+    """Add ``prev_last_ts``, ``opens`` and ``session_num`` to a per-(user,
+    bucket) table of ``n, first_ts, last_ts``: a per-user window over
+    buckets (at most span / W rows per user)."""
+    w = Window.partitionBy(user).orderBy("_bucket")
+    opens = F.when(_is_break(F.col("first_ts"), F.col("prev_last_ts"),
+                             timeout_minutes, split_at_midnight), 1).otherwise(0)
+    return (per_bucket
+            .withColumn("prev_last_ts", F.lag("last_ts").over(w))
+            .withColumn("opens", opens)
+            .withColumn("session_num",
+                        F.sum("opens").over(w.rowsBetween(Window.unboundedPreceding,
+                                                          Window.currentRow))))
+
+
 def session_buckets(df: DataFrame, timeout_minutes: float = 30,
                     split_at_midnight: bool = True,
                     cols: EventCols = INTERACTION_COLS) -> DataFrame:
@@ -79,16 +96,7 @@ def session_buckets(df: DataFrame, timeout_minutes: float = 30,
                   .agg(F.count(F.lit(1)).alias("n"),
                        F.min(ts).alias("first_ts"),
                        F.max(ts).alias("last_ts")))
-    w = Window.partitionBy(u).orderBy("_bucket")
-    prev_last = F.lag("last_ts").over(w)
-    opens = F.when(_is_break(F.col("first_ts"), F.col("prev_last_ts"),
-                             timeout_minutes, split_at_midnight), 1).otherwise(0)
-    return (per_bucket
-            .withColumn("prev_last_ts", prev_last)
-            .withColumn("opens", opens)
-            .withColumn("session_num",
-                        F.sum("opens").over(w.rowsBetween(Window.unboundedPreceding,
-                                                          Window.currentRow))))
+    return _number_buckets(per_bucket, timeout_minutes, split_at_midnight, u)
 
 
 def _session_id(user: str, num: str = "session_num"):
@@ -134,18 +142,66 @@ def sessions(df: DataFrame, timeout_minutes: float = 30, split_at_midnight: bool
 
 
 def session_events(df: DataFrame, timeout_minutes: float = 30, split_at_midnight: bool = True,
-                   cols: EventCols = INTERACTION_COLS) -> DataFrame:
+                   cols: EventCols = INTERACTION_COLS, fine_ordering: bool = True) -> DataFrame:
     """Every event with ``prev_timestamp, time_diff_minutes, new_session,
     session_num, session_id`` (the per-event columns of the task's
-    pipeline)."""
+    pipeline).
+
+    With ``fine_ordering`` (default) events are only ordered within one
+    user's *second* (window keyed by user and whole second). The first
+    event of a second takes its predecessor from a per-second table: the
+    last time of the previous non-empty second in the same bucket (a window
+    over at most W seconds), or, for the bucket's first second, the last
+    time before the bucket from the bucket table. Only a bucket's first
+    event can open a session. No single task ever orders more than one
+    user-second, even if one bucket holds a third of all rows.
+
+    ``fine_ordering=False`` orders each (user, bucket) in one task and skips
+    the per-second table: about a third cheaper, for data whose
+    timeout-wide buckets are known not to be hot.
+    """
     u, ts = cols.user, cols.ts
     width = bucket_width_seconds(timeout_minutes)
+    if not fine_ordering:
+        return _session_events_by_bucket(df, timeout_minutes, split_at_midnight, cols, width)
+    ev = (_clean(df, cols)
+          .withColumn("_sec", epoch_seconds(ts))
+          .withColumn("_bucket", time_bucket(ts, width)))
+    per_sec = (ev.groupBy(u, "_bucket", "_sec")
+               .agg(F.count(F.lit(1)).alias("n"), F.min(ts).alias("first_ts"),
+                    F.max(ts).alias("last_ts")))
+    per_bucket = (per_sec.groupBy(u, "_bucket")
+                  .agg(F.sum("n").alias("n"), F.min("first_ts").alias("first_ts"),
+                       F.max("last_ts").alias("last_ts")))
+    buckets = (_number_buckets(per_bucket, timeout_minutes, split_at_midnight, u)
+               .select(u, "_bucket", "prev_last_ts", "opens", "session_num"))
+    in_bucket = Window.partitionBy(u, "_bucket").orderBy("_sec")
+    seconds = (per_sec
+               .withColumn("_prev_sec_last", F.lag("last_ts").over(in_bucket))
+               .select(u, "_bucket", "_sec", "_prev_sec_last")
+               .join(buckets, [u, "_bucket"], "inner")
+               .drop("_bucket"))
+    in_second = Window.partitionBy(u, "_sec").orderBy(*cols.order_cols())
+    joined = (ev.withColumn("_prev_in", F.lag(ts).over(in_second))
+              .join(seconds, [u, "_sec"], "inner"))
+    first_of_bucket = F.col("_prev_in").isNull() & F.col("_prev_sec_last").isNull()
+    prev = F.coalesce(F.col("_prev_in"), F.col("_prev_sec_last"), F.col("prev_last_ts"))
+    return (joined
+            .withColumn("prev_timestamp", prev)
+            .withColumn("time_diff_minutes", gap_minutes(ts, "prev_timestamp"))
+            .withColumn("new_session", F.when(first_of_bucket, F.col("opens")).otherwise(F.lit(0)))
+            .withColumn("session_id", _session_id(u))
+            .drop("_bucket", "_sec", "_prev_in", "_prev_sec_last", "prev_last_ts", "opens"))
+
+
+def _session_events_by_bucket(df: DataFrame, timeout_minutes: float, split_at_midnight: bool,
+                              cols: EventCols, width: int) -> DataFrame:
+    u, ts = cols.user, cols.ts
     b = (session_buckets(df, timeout_minutes, split_at_midnight, cols)
          .select(u, "_bucket", "prev_last_ts", "opens", "session_num"))
     ev = _clean(df, cols).withColumn("_bucket", time_bucket(ts, width))
     w = Window.partitionBy(u, "_bucket").orderBy(*cols.order_cols())
-    ev = ev.withColumn("_prev_in", F.lag(ts).over(w))
-    joined = ev.join(b, [u, "_bucket"], "inner")
+    joined = ev.withColumn("_prev_in", F.lag(ts).over(w)).join(b, [u, "_bucket"], "inner")
     prev = F.coalesce(F.col("_prev_in"), F.col("prev_last_ts"))
     return (joined
             .withColumn("prev_timestamp", prev)

@@ -94,7 +94,9 @@ def main():
         "dau_exact": lambda: activity.daily_active(ev, cols=cols),
         "mau_rolling_exact": lambda: activity.rolling_active_users(ev, 30, cols=cols),
         "sessions_bucketed": lambda: sessions.sessions(ev, 30, True, cols),
-        "session_events_bucketed": lambda: sessions.session_events(ev, 30, True, cols),
+        "session_events_fine": lambda: sessions.session_events(ev, 30, True, cols),
+        "session_events_by_bucket":
+            lambda: sessions.session_events(ev, 30, True, cols, fine_ordering=False),
         "session_events_user_window":
             lambda: session_events_by_user_window(ev, 30, True, cols),
     }
