@@ -16,17 +16,28 @@ COLS = ["event_id", "user_id", "ts", "prev_timestamp", "time_diff_minutes", "new
         "session_num", "session_id"]
 
 
-@pytest.mark.parametrize("timeout,midnight,fine", [(30, True, True), (30, False, True),
-                                                   (7.5, False, True), (90, True, True),
-                                                   (0, False, True), (30, True, False),
-                                                   (7.5, False, False)])
-def test_bucket_plan_matches_user_window(spark, timeout, midnight, fine):
+@pytest.mark.parametrize("timeout,midnight,ordering,hot_rows", [
+    (30, True, "second", None), (30, False, "second", None), (7.5, False, "second", None),
+    (90, True, "second", None), (0, False, "second", None), (30, True, "bucket", None),
+    (7.5, False, "bucket", None), (30, True, "auto", 1), (30, False, "auto", 1),
+    (0, False, "auto", 1), (30, True, "auto", None)])
+def test_bucket_plan_matches_user_window(spark, timeout, midnight, ordering, hot_rows):
     ev = spark.read.parquet(f"{SF001}/events.parquet")
-    a = sessions.session_events(ev, timeout, midnight, cols=EV, fine_ordering=fine).select(*COLS)
+    kw = {"hot_bucket_rows": hot_rows} if hot_rows is not None else {}
+    a = sessions.session_events(ev, timeout, midnight, cols=EV, ordering=ordering,
+                                **kw).select(*COLS)
     b = session_events_by_user_window(ev, timeout, midnight, cols=EV).select(*COLS)
     assert diff.same_rows(a, b)
 
 
+def test_auto_falls_back_when_too_many_hot_buckets(spark):
+    ev = spark.read.parquet(f"{SF001}/events.parquet")
+    a = sessions.session_events(ev, 30, True, cols=EV, ordering="auto", hot_bucket_rows=0,
+                                max_hot_buckets=10).select(*COLS)
+    b = session_events_by_user_window(ev, 30, True, cols=EV).select(*COLS)
+    assert diff.same_rows(a, b)
+
+
 def test_session_table_consistent_with_events(spark):
     ev = spark.read.parquet(f"{SF001}/events.parquet")
     s = sessions.sessions(ev, 30, True, cols=EV)
@@ -72,7 +83,9 @@ def test_events_within_one_second(spark):
     rows = [(i, 7, base + dt.timedelta(seconds=o)) for i, o in enumerate(offs)]
     rows += [(100 + i, 8, base + dt.timedelta(seconds=o)) for i, o in enumerate(offs[:4])]
     df = spark.createDataFrame(rows, "event_id long, user_id long, ts timestamp_ntz")
-    for midnight, fine in ((True, True), (False, True), (True, False)):
-        a = sessions.session_events(df, 30, midnight, cols=EV, fine_ordering=fine).select(*COLS)
+    for midnight, ordering in ((True, "second"), (False, "second"), (True, "bucket"),
+                               (True, "auto"), (False, "auto")):
+        a = sessions.session_events(df, 30, midnight, cols=EV, ordering=ordering,
+                                    hot_bucket_rows=1).select(*COLS)
         b = session_events_by_user_window(df, 30, midnight, cols=EV).select(*COLS)
         assert diff.same_rows(a, b)

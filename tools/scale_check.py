@@ -94,9 +94,13 @@ def main():
         "dau_exact": lambda: activity.daily_active(ev, cols=cols),
         "mau_rolling_exact": lambda: activity.rolling_active_users(ev, 30, cols=cols),
         "sessions_bucketed": lambda: sessions.sessions(ev, 30, True, cols),
-        "session_events_fine": lambda: sessions.session_events(ev, 30, True, cols),
-        "session_events_by_bucket":
-            lambda: sessions.session_events(ev, 30, True, cols, fine_ordering=False),
+        "session_events_auto": lambda: sessions.session_events(ev, 30, True, cols),
+        "session_events_auto_hot20":
+            lambda: sessions.session_events(ev, 30, True, cols, hot_bucket_rows=20),
+        "session_events_second":
+            lambda: sessions.session_events(ev, 30, True, cols, ordering="second"),
+        "session_events_bucket":
+            lambda: sessions.session_events(ev, 30, True, cols, ordering="bucket"),
         "session_events_user_window":
             lambda: session_events_by_user_window(ev, 30, True, cols),
     }
