@@ -171,11 +171,14 @@ def session_events(df: DataFrame, timeout_minutes: float = 30, split_at_midnight
     if ordering == "bucket":
         return _session_events_by_bucket(df, timeout_minutes, split_at_midnight, cols, width)
     if ordering == "auto":
-        from tidemark.operators.enrich import fits_broadcast
         from tidemark.session import materialize
         buckets = materialize(session_buckets(df, timeout_minutes, split_at_midnight, cols))
         hot = buckets.where(F.col("n") > F.lit(int(hot_bucket_rows))).select(u, "_bucket")
-        if fits_broadcast(hot, max_hot_buckets):
+        n_hot = hot.limit(max_hot_buckets + 1).count()
+        if n_hot == 0:
+            return _session_events_by_bucket(df, timeout_minutes, split_at_midnight, cols, width,
+                                             buckets)
+        if n_hot <= max_hot_buckets:
             return _session_events_hybrid(df, buckets, hot, cols, width)
     elif ordering != "second":
         raise ValueError(f"unknown ordering {ordering!r}")
@@ -256,10 +259,12 @@ def _session_events_hybrid(df: DataFrame, buckets: DataFrame, hot: DataFrame, co
 
 
 def _session_events_by_bucket(df: DataFrame, timeout_minutes: float, split_at_midnight: bool,
-                              cols: EventCols, width: int) -> DataFrame:
+                              cols: EventCols, width: int,
+                              buckets: DataFrame | None = None) -> DataFrame:
     u, ts = cols.user, cols.ts
-    b = (session_buckets(df, timeout_minutes, split_at_midnight, cols)
-         .select(u, "_bucket", "prev_last_ts", "opens", "session_num"))
+    if buckets is None:
+        buckets = session_buckets(df, timeout_minutes, split_at_midnight, cols)
+    b = buckets.select(u, "_bucket", "prev_last_ts", "opens", "session_num")
     ev = _clean(df, cols).withColumn("_bucket", time_bucket(ts, width))
     w = Window.partitionBy(u, "_bucket").orderBy(*cols.order_cols())
     joined = ev.withColumn("_prev_in", F.lag(ts).over(w)).join(b, [u, "_bucket"], "inner")
