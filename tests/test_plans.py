@@ -77,3 +77,11 @@ def test_checked_broadcast_falls_back(spark):
     too_big = enrich.enrich(facts, dim, "k", strategy="broadcast", max_broadcast_rows=49)
     assert "broadcast" in ok._jdf.queryExecution().logical().toString().lower()
     assert "broadcast" not in too_big._jdf.queryExecution().logical().toString().lower()
+
+
+def test_event_level_sessions_shuffle_events_once(spark):
+    p = plan(QUERIES["session_events_midnight"](spark, SF001))
+    # the bucket table is checkpointed before; the events are shuffled once,
+    # by (user, bucket), for the ordering window
+    assert p.count("Exchange hashpartitioning") == 1
+    assert p.count("FileScan parquet") == 1
