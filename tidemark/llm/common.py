@@ -58,3 +58,27 @@ def with_slot_flag(df: DataFrame, bits: DataFrame, key: Column, name: str) -> Da
     bit = F.expr("cast(_slot % 8 as int)")
     flag = F.coalesce((byte.bitwiseAND(F.call_function("shiftleft", F.lit(1), bit))) != 0, F.lit(False))
     return out.withColumn(name, flag).drop("_slot", "_bucket", "_bits")
+
+
+class Memo(dict):
+    """Remembers ``fn(key)`` for recent keys inside one Python worker.
+
+    Two generations of at most ``limit`` keys each, so memory is bounded on
+    any vocabulary; call ``trim`` between documents.
+    """
+
+    def __init__(self, fn, limit: int = 400_000):
+        super().__init__()
+        self.fn, self.limit, self.old = fn, limit, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.fn(key)
+        self[key] = value
+        return value
+
+    def trim(self):
+        if len(self) > self.limit:
+            self.old = dict(self)
+            self.clear()

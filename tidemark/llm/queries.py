@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, mixing
+from tidemark.llm import bpe, exact_dedup, mixing, token_files, toxicity
+from tidemark.session import scratch_path
 from tidemark.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +24,33 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+def vocabulary(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@register("op4_toxicity")
+def op4(spark, d):
+    docs = table(spark, d, "documents")
+    labels = table(spark, d, "labels").filter(~toxicity.held_out())
+    scored = toxicity.score(docs.select("doc_id", "text"), toxicity.train(docs, labels))
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
+@register("op5_bpe")
+def op5(spark, d):
+    return bpe.encode_decode_digests(table(spark, d, "documents"), vocabulary())
+
+
+@register("op6_token_files")
+def op6(spark, d):
+    out = scratch_path(spark, "token_files")
+    token_files.write_tokens(table(spark, d, "documents"), out, vocabulary())
+    return token_files.read_tokens(spark, out).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 @register("op7_exact_dedup", """
 with t as (select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
                                     'abcdefghijklmnopqrstuvwxyz') as norm from documents),
