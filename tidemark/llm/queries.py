@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, exact_dedup, mixing, token_files, toxicity
+from tidemark.llm import ann, bpe, chat, exact_dedup, mixing, substring_dedup, token_files, toxicity
 from tidemark.session import scratch_path
 from tidemark.sources.tables import table
 
@@ -30,6 +30,29 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+@register("op1_nearest")
+def op1(spark, d):
+    return ann.nearest(table(spark, d, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@register("op2_chat_format", """
+with t as (select conv_id, row_number() over (partition by conv_id order by turn nulls first,
+                  coalesce(role, ''), coalesce(text, '')) as k,
+                  '<|im_start|>' || coalesce(role, '') || chr(10) || coalesce(text, '')
+                  || '<|im_end|>' || chr(10) as piece
+           from conversations where conv_id is not null),
+p as (select conv_id, k, count(*) over (partition by conv_id) as n,
+             string_agg(piece, '' order by k) over (partition by conv_id order by k
+                 rows between unbounded preceding and current row) as chat from t),
+whole as (select n as n_turns, chat, min(conv_id) as conv_id, count(*) as n_copies
+          from p where k = n group by n, chat)
+select conv_id, n_turns, n_copies, chat from whole w
+where not exists (select 1 from p where p.k < p.n and p.k = w.n_turns and p.chat = w.chat)
+""")
+def op2(spark, d):
+    return chat.format_chats(table(spark, d, "conversations"))
+
+
 @register("op4_toxicity")
 def op4(spark, d):
     docs = table(spark, d, "documents")
@@ -64,6 +87,11 @@ def op7(spark, d):
                       F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+@register("op8_substring_dedup")
+def op8(spark, d):
+    return substring_dedup.substring_dedup(table(spark, d, "documents"))
+
+
 @register("op10_mixing")
 def op10(spark, d):
     documents, mix = mixing.mix_sources(table(spark, d, "documents"))

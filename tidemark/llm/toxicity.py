@@ -62,9 +62,27 @@ def _sigmoid(x: float) -> float:
     return 1.0 / (1.0 + np.exp(-min(max(x, -35.0), 35.0)))
 
 
-def ftrl(rows: list[tuple[np.ndarray, int]], bits: int, epochs: int, alpha: float, beta: float,
+def screened(rows: list[tuple[np.ndarray, int]], bits: int, least: float) -> list[tuple[np.ndarray, int]]:
+    """Keep the coordinates seen in two rows or more whose share of toxic rows
+    differs from the sample's by a chi-square of more than ``least``."""
+    seen, toxic = np.zeros(1 << bits), np.zeros(1 << bits)
+    for idx, y in rows:
+        seen[idx] += 1
+        toxic[idx] += y
+    rate = sum(y for _, y in rows) / max(1, len(rows))
+    keep = (seen >= 2) & ((toxic - rate * seen) ** 2 > least * rate * (1 - rate) * seen)
+    return [(idx[keep[idx]], y) for idx, y in rows]
+
+
+def ftrl(rows: list[tuple[np.ndarray, int]], bits: int, thin: tuple[float, ...], alpha: float, beta: float,
          l1: float, l2: float) -> tuple[np.ndarray, float]:
-    """Weights and bias from (distinct coordinates, label) rows, in order."""
+    """Weights and bias from (distinct coordinates, label) rows, in order.
+
+    One epoch per entry of ``thin``, the share of a row's coordinates that the
+    epoch shows: thinned rows make each telling word carry the verdict alone,
+    the full rows at the end set the scale.
+    """
+    rng = np.random.default_rng(5)
     z, n = np.zeros(1 << bits), np.zeros(1 << bits)
     bias_z = bias_n = bias = 0.0
 
@@ -72,8 +90,10 @@ def ftrl(rows: list[tuple[np.ndarray, int]], bits: int, epochs: int, alpha: floa
         return np.where(np.abs(zi) <= l1, 0.0,
                         (np.sign(zi) * l1 - zi) / ((beta + np.sqrt(ni)) / alpha + l2))
 
-    for _ in range(epochs):
+    for share in thin:
         for idx, y in rows:
+            if share < 1:
+                idx = idx[rng.random(len(idx)) < share]
             zi, ni = z[idx], n[idx]
             w = weights(zi, ni)
             g = _sigmoid(bias + w.sum()) - y
@@ -86,8 +106,9 @@ def ftrl(rows: list[tuple[np.ndarray, int]], bits: int, epochs: int, alpha: floa
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          label_col: str = "toxic", max_rows: int = MAX_ROWS, bits: int = BITS, epochs: int = 6,
-          alpha: float = 0.5, beta: float = 1.0, l1: float = 0.6, l2: float = 1.0) -> DataFrame:
+          label_col: str = "toxic", max_rows: int = MAX_ROWS, bits: int = BITS, least: float = 8.0,
+          thin: tuple[float, ...] = (0.5, 0.5, 1, 1, 0.5, 0.5, 1, 1), alpha: float = 5.0, beta: float = 1.0,
+          l1: float = 4.0, l2: float = 0.1) -> DataFrame:
     """The model: rows (coordinate, weight); coordinate -1 is the bias.
 
     Trains on the ``max_rows`` labelled ids with the smallest hashes (all, if
@@ -112,7 +133,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.assign(h=[zlib.crc32(str(i).encode()) for i in pdf["_id"]]).sort_values(["h", "_id"])
         rows = [(np.frombuffer(x, np.int32), int(y)) for x, y in zip(pdf["_idx"], pdf["_y"], strict=True)]
-        w, bias = ftrl(rows, bits, epochs, alpha, beta, l1, l2)
+        w, bias = ftrl(screened(rows, bits, least), bits, thin, alpha, beta, l1, l2)
         at = np.flatnonzero(w)
         return pd.DataFrame({"coordinate": np.append(at, -1).astype(np.int64), "weight": np.append(w[at], bias)})
 
