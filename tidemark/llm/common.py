@@ -82,3 +82,21 @@ class Memo(dict):
         if len(self) > self.limit:
             self.old = dict(self)
             self.clear()
+
+
+def slot_bytes(bits: DataFrame):
+    """A slot filter as one byte array for use in Python tasks: 8 MB always."""
+    import numpy as np
+
+    out = np.zeros((SLOTS // ROW_SLOTS, ROW_SLOTS // 8), np.uint8)
+    for row in bits.collect():  # at most SLOTS / ROW_SLOTS rows
+        out[row["_bucket"]] = np.frombuffer(row["_bits"], np.uint8)
+    return out.ravel()
+
+
+def in_slots(table, keys):
+    """Which of the int64 ``keys`` fall in a set slot."""
+    import numpy as np
+
+    slot = keys.astype(np.int64) % SLOTS
+    return (table[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1

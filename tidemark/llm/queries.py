@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, bpe, chat, exact_dedup, mixing, substring_dedup, token_files, toxicity
+from tidemark.llm import ann, bpe, chat, exact_dedup, jaccard_join, mixing, substring_dedup, token_files, toxicity
 from tidemark.session import scratch_path
 from tidemark.sources.tables import table
 
@@ -53,6 +53,11 @@ def op2(spark, d):
     return chat.format_chats(table(spark, d, "conversations"))
 
 
+@register("op3_jaccard_join")
+def op3(spark, d):
+    return jaccard_join.jaccard_components(table(spark, d, "documents"))
+
+
 @register("op4_toxicity")
 def op4(spark, d):
     docs = table(spark, d, "documents")
