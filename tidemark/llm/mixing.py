@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import WORD, staged
 
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 2_000
 
 
 def source_targets(sizes: DataFrame, weights=(3, 1, 2), share: float = 1.5,
