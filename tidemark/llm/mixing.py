@@ -20,6 +20,8 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -28,6 +30,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import WORD, staged
 
 BUCKET_ROWS = 2_000
+_WORD = re.compile(WORD)
 
 
 def source_targets(sizes: DataFrame, weights=(3, 1, 2), share: float = 1.5,
@@ -185,3 +188,41 @@ def taken_words(documents: DataFrame, mix: DataFrame) -> DataFrame:
     """``documents`` with ``taken``: words the mix takes, repeats counted."""
     taken = mix.groupBy("row").agg(F.sum("n_words").alias("taken"))
     return documents.join(taken, "row", "left").withColumn("taken", F.coalesce("taken", F.lit(0).cast("long")))
+
+
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    source_col: str = "source", **mix_args) -> DataFrame:
+    """The mix as rows of ``docs``: per document and epoch one row whose text
+    is the words taken in that epoch, in order, with the white space that
+    follows each piece. Documents of which nothing is taken have no row.
+
+    Rows are numbered in a written copy first, so the numbers are the same in
+    every later read; column names that begin with ``_mix_`` are reserved.
+    """
+    copy = staged(docs.withColumn("_mix_row", F.monotonically_increasing_id()), "mix_docs")
+    _, mix = mix_sources(copy, id_col, text_col, source_col, row_col="_mix_row", **mix_args)
+    taken = mix.groupBy(F.col("row").alias("_mix_row"), F.col("epoch").alias("_mix_epoch")).agg(
+        F.array_sort(F.collect_list(F.struct("from_word", "n_words"))).alias("_mix_pieces"))
+
+    @F.pandas_udf("string")
+    def cut(texts: pd.Series, pieces: pd.Series) -> pd.Series:
+        return pd.Series([take_words(t, [(p["from_word"], p["n_words"]) for p in k])
+                          for t, k in zip(texts, pieces, strict=True)], dtype=object)
+
+    return (copy.join(taken, "_mix_row").withColumn(text_col, cut(text_col, "_mix_pieces"))
+            .drop("_mix_row", "_mix_epoch", "_mix_pieces"))
+
+
+def take_words(text: str, pieces: list[tuple[int, int]]) -> str:
+    """The text's words in the (first, number) pieces, which are in order."""
+    runs: list[list[int]] = []
+    for first, n in pieces:
+        if runs and runs[-1][1] == first:
+            runs[-1][1] += n
+        else:
+            runs.append([first, first + n])
+    starts = [m.start() for m in _WORD.finditer(text)]
+    if runs == [[0, len(starts)]]:
+        return text
+    starts.append(len(text))
+    return "".join(text[starts[a]:starts[b]] for a, b in runs)

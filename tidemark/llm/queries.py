@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, bpe, chat, exact_dedup, jaccard_join, mixing, substring_dedup, token_files, toxicity
+from tidemark.llm import ann, bpe, chat, exact_dedup, jaccard_join, line_dedup, mixing, substring_dedup, token_files, toxicity
 from tidemark.session import scratch_path
 from tidemark.sources.tables import table
 
@@ -97,6 +97,12 @@ def op8(spark, d):
     return substring_dedup.substring_dedup(table(spark, d, "documents"))
 
 
+@register("op9_line_dedup")
+def op9(spark, d):
+    out = line_dedup.line_dedup(table(spark, d, "documents"))
+    return out.select("doc_id", "text", "n_removed")
+
+
 @register("op10_mixing")
 def op10(spark, d):
     documents, mix = mixing.mix_sources(table(spark, d, "documents"))
