@@ -24,7 +24,8 @@ def _signature(edges: DataFrame) -> tuple:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """``id, comp`` for every id that has a link: the smallest id it reaches.
+    """``id, comp``: the smallest id that each id reaches, for all that reach a
+    smaller one than themselves.
 
     Alternating large-star and small-star steps: each hooks the neighbours of
     an id to the smallest among them, until every component is a star. The
