@@ -2,9 +2,11 @@
 
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
-from tidemark.operators import activity, diff, enrich, outliers, quality, sessions, summary
+from tidemark.operators import activity, diff, enrich, outliers, quality, quantiles, sessions, summary
 
 
 def _col(df, name, order="date"):
@@ -81,11 +83,25 @@ def test_t8_no_valid_session(make_events):
     assert (f.n_sessions, f.n_valid, f.n_clean, f.n_removed) == (2, 0, 0, 2)
 
 
-def test_t8b_percentile_accuracy(spark):
-    df = spark.range(20_000).select((F.col("id") * 7919 % 20011 / 3.0).alias("v"))
-    exact = df.selectExpr("percentile_disc(0.25) within group (order by v) as p").collect()[0].p
-    fine = df.agg(F.percentile_approx("v", 0.25, 1_000_000).alias("p")).collect()[0].p
-    assert fine == exact
+def test_t8b_quantiles_are_exact(spark):
+    probs = [0.0, 0.25, 0.5, 0.75, 1.0]
+    many = spark.range(300_000).select((F.col("id") * 7919 % 300_007 / 3.0 - 20_000).alias("v"), F.lit(1).alias("w"))
+    odd = spark.createDataFrame([(x, 1) for x in [
+        0.0, -0.0, 1e-320, -1e-320, 5e-324, 1.0, 1.0 + 2**-52, -1.0, 2.0, 1.999999, 1e308, -1e308, float("inf"),
+        float("-inf"), float("nan"), None, 3.0, 3.0, 3.0]], "v double, w int")
+    for df in (many, odd, odd.limit(1), spark.createDataFrame([], "v double, w int")):
+        want = df.selectExpr(*[f"percentile_disc({p}) within group (order by v) as p{i}"
+                               for i, p in enumerate(probs)]).collect()[0]
+        for f in (quantiles.exact_quantiles, quantiles.discrete_quantiles):
+            got = f(df, ["v", "w"], probs).collect()[0]
+            plain = lambda xs: [x if x is None else str(x + 0.0) for x in xs]  # noqa: E731  (-0.0 is 0.0)
+            assert plain(got.q_v) == plain(want), f
+            assert set(got.q_w) <= {1, None}
+
+
+def test_quantiles_of_whole_numbers_keep_their_type(spark):
+    df = spark.range(1, 1001).select("id")
+    assert quantiles.exact_quantiles(df, ["id"], [0.25, 0.5]).collect()[0].q_id == [250, 500]
 
 
 def test_t9_low_outlier_kept(make_events):
@@ -148,12 +164,18 @@ def test_d7_salted_equals_plain(spark):
     facts = spark.range(3000).select(
         F.col("id").alias("event_id"),
         F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 50).alias("user_id"))
+    facts = facts.withColumn("user_id", F.when(F.col("event_id") % 11 == 0, F.lit(None)).otherwise(F.col("user_id")))
     dim = spark.range(45).select(F.col("id").alias("user_id"), (F.col("id") * 10).alias("attr"))
-    hot = enrich.hot_keys(facts, "user_id", k=2)
-    assert hot.collect()[0].user_id == 7
-    salted = enrich.enrich_salted(facts, dim, "user_id", hot, "event_id", 8)
-    plain = facts.join(dim, "user_id", "left")
-    assert diff.same_rows(salted, plain.select(*salted.columns))
+    assert enrich.hot_keys(facts, "user_id", k=2).collect()[0].user_id == 7
+    salts = {r.user_id: r.salts for r in enrich.hot_key_salts(facts, "user_id", 12).collect()}
+    assert salts == {7: 4}  # a bit less than a third of the rows over twelve tasks
+    for how in ("left", "inner", "left_semi", "left_anti"):
+        salted = enrich.enrich_salted(facts, dim, "user_id", "event_id", how, partitions=12)
+        plain = facts.join(dim, "user_id", how)
+        assert diff.same_rows(salted, plain.select(*salted.columns))
+    for how in ("right", "full", "cross"):
+        with pytest.raises(ValueError):
+            enrich.enrich_salted(facts, dim, "user_id", "event_id", how)
 
 
 def test_x1_bag_vs_set_diff(spark):
@@ -161,7 +183,10 @@ def test_x1_bag_vs_set_diff(spark):
     b = spark.createDataFrame([("a",), ("b",)], "x string")
     assert diff.diff_rows(a, b, bag=False).count() == 0
     d = diff.diff_rows(a, b, bag=True).collect()
-    assert [(r.x, r.side) for r in d] == [("a", "left_only")]
+    assert [(r.x, r.side, r.copies) for r in d] == [("a", "left_only", 1)]
+    many = spark.range(3_000_000).select(F.lit("a").alias("x"))
+    assert [tuple(r) for r in diff.diff_rows(many, b).collect()
+            if r.x == "a"] == [("a", "left_only", 2_999_999)]
     assert diff.same_rows(a, a) and not diff.same_rows(a, b)
 
 
@@ -217,3 +242,39 @@ def test_quality_report_messages(spark, make_events):
                     "Found 1 records with future timestamps",
                     "Found 1 rows failing null_user",
                     "Missing required column: app_version"]
+
+
+def test_null_times_do_not_leak_into_rolling_users(make_events):
+    ev = make_events([("A", "2024-01-10 10:00:00"), ("B", "2024-01-05 10:00:00")])
+    null = ev.where("user_id = 'A'").withColumn("timestamp", F.lit(None).cast("timestamp"))
+    got = {str(r.date): r.active_users_30d for r in activity.rolling_active_users(ev.union(null), 30).collect()}
+    assert got == {"2024-01-05": 1, "2024-01-10": 2}
+    days = activity.user_day_summary(ev.union(null))
+    assert days.where("date is null").count() == 0
+    got = {str(r.date): r.active_users_30d for r in activity.rolling_from_user_days(
+        days.unionByName(days.withColumn("date", F.lit(None).cast("date"))), 30).collect()}
+    assert got == {"2024-01-05": 1, "2024-01-10": 2}
+
+
+def test_quality_of_other_tables(spark):
+    from tidemark.plans import reports
+    from tidemark.schemas import METADATA
+    meta = spark.createDataFrame([("u", None, "US")], "user_id string, join_date date, country string")
+    got = {(r.check_name, r.column_name) for r in
+           reports.validate_data_quality(spark, meta, METADATA, table_name="metadata").collect()}
+    assert got == {("nulls", "join_date"), ("schema_missing", "device_type"), ("schema_missing", "subscription_type")}
+    two = spark.createDataFrame([("u", dt.datetime(2031, 1, 1)), (None, None)], "user_id string, timestamp timestamp")
+    got = {r.check_name for r in reports.validate_data_quality(spark, two, None, as_of=dt.datetime(2030, 1, 1)).collect()}
+    assert got == {"nulls", "null_user", "null_timestamp", "future_timestamp"}
+    none = spark.createDataFrame([(1,)], "x int")
+    assert reports.validate_data_quality(spark, none, None).count() == 0
+
+
+def test_persisted_and_preview(spark):
+    from tidemark.operators.partitioning import partition_by_user, persisted
+    from tidemark.sources.sinks import preview
+    df = spark.range(100).select((F.col("id") % 7).alias("user_id"), "id")
+    with persisted(partition_by_user(df)) as d:
+        assert d.is_cached and d.count() == 100
+    assert not df.is_cached
+    assert [r.id for r in preview(df, ["user_id", "id"], 3).collect()] == [0, 7, 14]

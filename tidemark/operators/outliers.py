@@ -5,11 +5,8 @@ compared with them through a scalar subquery (``DataFrame.scalar()``):
 Spark runs the bound aggregate once, and the resulting literal reaches
 the filter, even the Parquet scan's pushed filters. No cross join.
 
-``percentile_approx`` keeps a bounded sketch per task and merges the
-partial sketches, so the global quantile never gathers raw values in one
-place. ``accuracy`` trades sketch size for exactness: 1,000,000 returns
-the exact ``percentile_disc`` value on every table used in the tests
-(the Spark default, 10,000, was already off at 10,000 rows).
+Quartiles are exact and need no sketch of the data (see ``quantiles``): what
+one task sees does not grow with the rows or the number of input tasks.
 """
 
 from __future__ import annotations
@@ -18,24 +15,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.predicates import within_bounds
+from tidemark.operators.quantiles import discrete_quantiles, exact_quantiles
 
-DEFAULT_ACCURACY = 1_000_000
 IQR_FACTOR = 1.5
 
 
-def iqr_bounds(valid: DataFrame, accuracy: int = DEFAULT_ACCURACY,
-               duration: str = "session_duration_hours",
+def iqr_bounds(valid: DataFrame, duration: str = "session_duration_hours",
                actions: str = "actions_per_session") -> DataFrame:
     """One row: quartiles, IQRs and upper bounds ``q3 + 1.5 * IQR``.
 
     An empty input gives NULL bounds (trap T8), which keep no row later.
     """
-    q = valid.agg(
-        F.percentile_approx(duration, [0.25, 0.75], accuracy).alias("_qd"),
-        F.percentile_approx(actions, [0.25, 0.75], accuracy).alias("_qa"))
-    q = q.select(
-        F.col("_qd")[0].alias("q1_duration"), F.col("_qd")[1].alias("q3_duration"),
-        F.col("_qa")[0].alias("q1_actions"), F.col("_qa")[1].alias("q3_actions"))
+    q = discrete_quantiles(valid, [duration, actions], [0.25, 0.75])
+    qd, qa = F.col(f"q_{duration}"), F.col(f"q_{actions}")
+    q = q.select(qd[0].alias("q1_duration"), qd[1].alias("q3_duration"),
+                 qa[0].alias("q1_actions"), qa[1].alias("q3_actions"))
     return (q
             .withColumn("iqr_duration", F.col("q3_duration") - F.col("q1_duration"))
             .withColumn("iqr_actions", F.col("q3_actions") - F.col("q1_actions"))
@@ -63,18 +57,16 @@ def clean_sessions(valid: DataFrame, bounds: DataFrame,
     return valid.where(within_bounds(d_ub, a_ub, duration, actions))
 
 
-def measure_bounds(df: DataFrame, col: str, accuracy: int = DEFAULT_ACCURACY,
-                   factor: float = IQR_FACTOR) -> DataFrame:
+def measure_bounds(df: DataFrame, col: str, factor: float = IQR_FACTOR) -> DataFrame:
     """One row: ``q1, q3, iqr, lower_bound, upper_bound`` of a column."""
-    q = df.agg(F.percentile_approx(col, [0.25, 0.75], accuracy).alias("_q"))
-    return (q.select(F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("q3"))
+    q = F.col(f"q_{col}")
+    return (exact_quantiles(df, [col], [0.25, 0.75]).select(q[0].alias("q1"), q[1].alias("q3"))
             .withColumn("iqr", F.col("q3") - F.col("q1"))
             .withColumn("lower_bound", F.col("q1") - F.lit(factor) * F.col("iqr"))
             .withColumn("upper_bound", F.col("q3") + F.lit(factor) * F.col("iqr")))
 
 
-def handle_outliers(df: DataFrame, col: str, accuracy: int = DEFAULT_ACCURACY,
-                    factor: float = IQR_FACTOR, mode: str = "flag") -> DataFrame:
+def handle_outliers(df: DataFrame, col: str, factor: float = IQR_FACTOR, mode: str = "flag") -> DataFrame:
     """IQR outliers of a per-row measure (e.g. ``duration_ms``).
 
     ``mode``: ``flag`` adds ``is_outlier`` and ``<col>_capped`` (value
@@ -82,7 +74,7 @@ def handle_outliers(df: DataFrame, col: str, accuracy: int = DEFAULT_ACCURACY,
     ``cap`` replaces the column by its clamped value. NULL measures are
     neither outliers nor dropped by ``flag``/``cap``.
     """
-    lo, hi = bound_values(measure_bounds(df, col, accuracy, factor), "lower_bound", "upper_bound")
+    lo, hi = bound_values(measure_bounds(df, col, factor), "lower_bound", "upper_bound")
     c = F.col(col)
     outside = (c < lo) | (c > hi)
     capped = F.least(F.greatest(c, lo), hi)

@@ -8,40 +8,32 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.predicates import valid_session, within_bounds
 from tidemark.functions.timefns import day_of_week, hour_of_day
-from tidemark.operators.outliers import DEFAULT_ACCURACY, bound_values, iqr_bounds
+from tidemark.operators.outliers import bound_values, iqr_bounds
+from tidemark.operators.quantiles import discrete_quantiles
 
 DUR = "session_duration_hours"
 ACT = "actions_per_session"
 
 
-def session_summary(clean: DataFrame, user: str = "user_id",
-                    accuracy: int = DEFAULT_ACCURACY, compat_strings: bool = True) -> DataFrame:
+def session_summary(clean: DataFrame, user: str = "user_id", compat_strings: bool = True) -> DataFrame:
     """One row: counts, mean and sample stddev (T12) of duration and
     actions, and their quartiles as columns (plus, for compatibility, the
     quartile arrays cast to strings)."""
-    q = [0.25, 0.5, 0.75]
-    # The distinct user count runs as its own scalar subquery: inside the
-    # same aggregate it would make Spark keep one percentile sketch per
-    # user. Both read the same shuffle (exchange reuse).
-    users = clean.agg(F.countDistinct(user).alias("u")).scalar()
-    agg = clean.agg(
+    quart = discrete_quantiles(clean, [DUR, ACT], [0.25, 0.5, 0.75])
+    qd, qa = bound_values(quart, f"q_{DUR}", f"q_{ACT}")
+    out = clean.agg(
         F.count("session_id").alias("total_valid_sessions"),
-        users.alias("unique_users"),
+        F.countDistinct(user).alias("unique_users"),
         F.avg(DUR).alias("avg_session_duration_hours"),
         F.stddev_samp(DUR).alias("stddev_session_duration"),
         F.avg(ACT).alias("avg_actions_per_session"),
-        F.stddev_samp(ACT).alias("stddev_actions_per_session"),
-        F.percentile_approx(DUR, q, accuracy).alias("_qd"),
-        F.percentile_approx(ACT, q, accuracy).alias("_qa"))
-    cols = [c for c in agg.columns if not c.startswith("_")]
-    out = agg.select(
-        *cols,
-        F.col("_qd")[0].alias("duration_q1"), F.col("_qd")[1].alias("duration_median"),
-        F.col("_qd")[2].alias("duration_q3"),
-        F.col("_qa")[0].alias("actions_q1"), F.col("_qa")[1].alias("actions_median"),
-        F.col("_qa")[2].alias("actions_q3"),
-        *([F.col("_qd").cast("string").alias("session_duration_quartiles"),
-           F.col("_qa").cast("string").alias("actions_quartiles")] if compat_strings else []))
+        F.stddev_samp(ACT).alias("stddev_actions_per_session"))
+    out = out.select(
+        "*",
+        qd[0].alias("duration_q1"), qd[1].alias("duration_median"), qd[2].alias("duration_q3"),
+        qa[0].alias("actions_q1"), qa[1].alias("actions_median"), qa[2].alias("actions_q3"),
+        *([qd.cast("string").alias("session_duration_quartiles"),
+           qa.cast("string").alias("actions_quartiles")] if compat_strings else []))
     return out
 
 
@@ -64,15 +56,14 @@ def session_ratios(sess: DataFrame) -> DataFrame:
             .withColumn("actions_per_session", F.col("total_actions") / F.col("sessions")))
 
 
-def cleaning_funnel(sess: DataFrame, max_hours: float = 24.0, min_actions: int = 2,
-                    accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+def cleaning_funnel(sess: DataFrame, max_hours: float = 24.0, min_actions: int = 2) -> DataFrame:
     """One pass over all sessions: how many are valid, clean and removed.
 
     ``sessions_removed = all - clean``, as the task's pipeline logs it,
     with the bounds it used.
     """
     valid = valid_session(max_hours, min_actions)
-    bounds = iqr_bounds(sess.where(valid), accuracy)
+    bounds = iqr_bounds(sess.where(valid))
     d_ub, a_ub = bound_values(bounds, "duration_upper_bound", "actions_upper_bound")
     clean = valid & within_bounds(d_ub, a_ub)
     return (sess.agg(F.count(F.lit(1)).alias("n_sessions"),

@@ -53,7 +53,6 @@ def active_users(interactions: DataFrame, start=None, approx: bool = False,
 def session_metrics(interactions: DataFrame, timeout_minutes: float = 30,
                     max_hours: float = 24.0, min_actions: int = 2,
                     split_at_midnight: bool = True, cols: EventCols = INTERACTION_COLS,
-                    accuracy: int = outliers.DEFAULT_ACCURACY,
                     checkpoint_sessions: bool = False) -> dict[str, DataFrame]:
     """Summary, clean sessions, time-of-week profile, thresholds, funnel.
 
@@ -66,14 +65,14 @@ def session_metrics(interactions: DataFrame, timeout_minutes: float = 30,
     if checkpoint_sessions:
         sess = materialize(sess)
     valid = sessions.valid_sessions(sess, max_hours, min_actions)
-    bounds = outliers.iqr_bounds(valid, accuracy)
+    bounds = outliers.iqr_bounds(valid)
     clean = outliers.clean_sessions(valid, bounds)
     return {
-        "session_metrics": summary.session_summary(clean, cols.user, accuracy),
+        "session_metrics": summary.session_summary(clean, cols.user),
         "detailed_sessions": clean,
         "time_metrics": summary.time_of_week(clean),
         "outlier_thresholds": bounds,
-        "funnel": summary.cleaning_funnel(sess, max_hours, min_actions, accuracy),
+        "funnel": summary.cleaning_funnel(sess, max_hours, min_actions),
     }
 
 
@@ -90,7 +89,9 @@ def validate_data_quality(spark: SparkSession, df: DataFrame, declared: T.Struct
                           domain=quality.INTERACTION_ACTIONS,
                           as_of: dt.datetime | None = None,
                           table_name: str = "interactions") -> DataFrame:
-    rules = {}
-    if all(c in df.columns for c in (cols.user, cols.ts, cols.action, cols.measure)):
-        rules = quality.event_rules(cols.user, cols.ts, cols.action, cols.measure, domain, as_of)
+    """Failing checks of any table: columns against ``declared``, NULLs, and
+    the row rules whose columns the table has (a table without any of them,
+    such as user metadata, gets the first two)."""
+    rules = quality.event_rules(cols.user, cols.ts, cols.action, cols.measure, domain, as_of,
+                                columns=df.columns)
     return quality.quality_report(spark, df, declared, rules, table_name)
