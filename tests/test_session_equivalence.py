@@ -16,26 +16,36 @@ COLS = ["event_id", "user_id", "ts", "prev_timestamp", "time_diff_minutes", "new
         "session_num", "session_id"]
 
 
-@pytest.mark.parametrize("timeout,midnight,ordering,hot_rows", [
-    (30, True, "second", None), (30, False, "second", None), (7.5, False, "second", None),
-    (90, True, "second", None), (0, False, "second", None), (30, True, "bucket", None),
-    (7.5, False, "bucket", None), (30, True, "auto", 1), (30, False, "auto", 1),
-    (0, False, "auto", 1), (30, True, "auto", None)])
-def test_bucket_plan_matches_user_window(spark, timeout, midnight, ordering, hot_rows):
+@pytest.mark.parametrize("timeout,midnight", [
+    (30, True), (30, False), (7.5, False), (90, True), (0, False)])
+def test_bucket_plan_matches_user_window(spark, timeout, midnight):
     ev = spark.read.parquet(f"{SF001}/events.parquet")
-    kw = {"hot_bucket_rows": hot_rows} if hot_rows is not None else {}
-    a = sessions.session_events(ev, timeout, midnight, cols=EV, ordering=ordering,
-                                **kw).select(*COLS)
+    a = sessions.session_events(ev, timeout, midnight, cols=EV).select(*COLS)
     b = session_events_by_user_window(ev, timeout, midnight, cols=EV).select(*COLS)
     assert diff.same_rows(a, b)
 
 
-def test_auto_falls_back_when_too_many_hot_buckets(spark):
-    ev = spark.read.parquet(f"{SF001}/events.parquet")
-    a = sessions.session_events(ev, 30, True, cols=EV, ordering="auto", hot_bucket_rows=0,
-                                max_hot_buckets=10).select(*COLS)
-    b = session_events_by_user_window(ev, 30, True, cols=EV).select(*COLS)
-    assert diff.same_rows(a, b)
+@pytest.mark.parametrize("zone", ["Asia/Kathmandu", "America/New_York", "Europe/Berlin"])
+def test_midnight_is_that_of_the_session_zone(spark, zone):
+    """23:50 to 00:10 of the wall clock is two sessions in any zone, and days
+    with a clock change keep the order of slots."""
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        text = [(1, 1, "2024-06-01 23:50:00"), (2, 1, "2024-06-02 00:10:00"), (3, 2, "2024-06-01 23:59:59"),
+                (4, 2, "2024-06-02 00:00:00")]
+        text += [(10 + h, 3, f"2024-{d} {h % 24:02d}:45:00") for d in ("03-31", "11-03") for h in range(24)]
+        rows = spark.createDataFrame(text, "event_id long, user_id long, t string")
+        for kind in ("timestamp", "timestamp_ntz"):
+            ev = rows.select("event_id", "user_id", F.col("t").cast(kind).alias("ts"))
+            n = {r.user_id: r.n for r in sessions.sessions(ev, 60, True, EV).groupBy("user_id")
+                 .agg(F.count("*").alias("n")).collect()}
+            assert n[1] == n[2] == 2
+            for timeout in (30, 59, 90):
+                a = sessions.session_events(ev, timeout, True, cols=EV).select(*COLS)
+                b = session_events_by_user_window(ev, timeout, True, cols=EV).select(*COLS)
+                assert diff.same_rows(a, b)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
 def test_session_table_consistent_with_events(spark):
@@ -83,9 +93,7 @@ def test_events_within_one_second(spark):
     rows = [(i, 7, base + dt.timedelta(seconds=o)) for i, o in enumerate(offs)]
     rows += [(100 + i, 8, base + dt.timedelta(seconds=o)) for i, o in enumerate(offs[:4])]
     df = spark.createDataFrame(rows, "event_id long, user_id long, ts timestamp_ntz")
-    for midnight, ordering in ((True, "second"), (False, "second"), (True, "bucket"),
-                               (True, "auto"), (False, "auto")):
-        a = sessions.session_events(df, 30, midnight, cols=EV, ordering=ordering,
-                                    hot_bucket_rows=1).select(*COLS)
+    for midnight in (True, False):
+        a = sessions.session_events(df, 30, midnight, cols=EV).select(*COLS)
         b = session_events_by_user_window(df, 30, midnight, cols=EV).select(*COLS)
         assert diff.same_rows(a, b)

@@ -16,10 +16,11 @@ def on_or_after_day(date_col, start) -> Column:
     return col >= date_literal(start)
 
 
-def is_future(ts, as_of: _dt.datetime) -> Column:
-    """Event time after a fixed ``as_of`` instant (repeatable, unlike now())."""
+def is_future(ts, as_of: _dt.datetime | Column) -> Column:
+    """Event time after ``as_of``: a fixed instant (repeatable) or a column
+    such as ``current_timestamp()``."""
     col = F.col(ts) if isinstance(ts, str) else ts
-    return col > ts_literal(as_of)
+    return col > (as_of if isinstance(as_of, Column) else ts_literal(as_of))
 
 
 def valid_session(max_hours: float = 24.0, min_actions: int = 2,

@@ -86,14 +86,14 @@ DAY_SECONDS = 86_400
 def time_bucket(ts, bucket_seconds: int) -> Column:
     """Index of the ``bucket_seconds``-wide slot holding ``ts``.
 
-    Slots restart at every UTC midnight (the last slot of a day may be
-    shorter), so a slot never spans two calendar days, and the index
-    orders like time. Two events in one slot are at most
-    ``bucket_seconds - 1`` whole seconds apart.
+    Slots restart at every midnight of the session time zone, the one in
+    which ``activity_date`` cuts days (the last slot of a day may be
+    shorter), so a slot never spans two calendar days, and the index orders
+    like time. Two events in one slot are at most ``bucket_seconds - 1``
+    whole seconds apart. Days with a clock change have 23 or 25 hours.
     """
     width = int(bucket_seconds)
-    sec = epoch_seconds(ts)
-    day = F.floor(sec / F.lit(DAY_SECONDS))
-    per_day = -(-DAY_SECONDS // width)
-    return (day * F.lit(per_day)
-            + F.floor((sec - day * F.lit(DAY_SECONDS)) / F.lit(width))).cast("long")
+    day = activity_date(ts)
+    into_day = epoch_seconds(ts) - epoch_seconds(day.cast("timestamp"))
+    per_day = -(-(DAY_SECONDS + 7200) // width)
+    return (F.unix_date(day) * F.lit(per_day) + F.floor(into_day / F.lit(width))).cast("long")

@@ -142,46 +142,22 @@ def sessions(df: DataFrame, timeout_minutes: float = 30, split_at_midnight: bool
 
 
 def session_events(df: DataFrame, timeout_minutes: float = 30, split_at_midnight: bool = True,
-                   cols: EventCols = INTERACTION_COLS, ordering: str = "auto",
-                   hot_bucket_rows: int = 1_000_000, max_hot_buckets: int = 100_000) -> DataFrame:
+                   cols: EventCols = INTERACTION_COLS) -> DataFrame:
     """Every event with ``prev_timestamp, time_diff_minutes, new_session,
     session_num, session_id`` (the per-event columns of the task's
     pipeline).
 
-    ``ordering`` says how many events one task may have to sort:
-
-    * ``"second"`` - events are only ordered within one user's *second*
-      (window keyed by user and whole second). The first event of a second
-      takes its predecessor from a per-second table: the last time of the
-      previous non-empty second in the same bucket (a window over at most W
-      seconds), or, for the bucket's first second, the last time before the
-      bucket from the bucket table. Only a bucket's first event can open a
-      session. No task orders more than one user-second, even if one bucket
-      holds a third of all rows; the per-second table costs about 2x.
-    * ``"bucket"`` - each (user, bucket) is ordered in one task; no
-      per-second table.
-    * ``"auto"`` (default) - the numbered bucket table is computed once and
-      checkpointed (it is needed anyway); buckets with more than
-      ``hot_bucket_rows`` events are ordered per second, all others per
-      bucket. The hot-bucket list is broadcast only if it has at most
-      ``max_hot_buckets`` rows (checked); beyond that, ``"second"``.
+    One lazy plan whatever the data: events are only ordered within one
+    user's *second* (window keyed by user and whole second). The first event
+    of a second takes its predecessor from a per-second table: the last time
+    of the previous non-empty second in the same bucket (a window over at
+    most W seconds), or, for the bucket's first second, the last time before
+    the bucket from the bucket table. Only a bucket's first event can open a
+    session. So no task orders more than one user-second, even if one bucket
+    holds a third of all rows.
     """
     u, ts = cols.user, cols.ts
     width = bucket_width_seconds(timeout_minutes)
-    if ordering == "bucket":
-        return _session_events_by_bucket(df, timeout_minutes, split_at_midnight, cols, width)
-    if ordering == "auto":
-        from tidemark.session import materialize
-        buckets = materialize(session_buckets(df, timeout_minutes, split_at_midnight, cols))
-        hot = buckets.where(F.col("n") > F.lit(int(hot_bucket_rows))).select(u, "_bucket")
-        n_hot = hot.limit(max_hot_buckets + 1).count()
-        if n_hot == 0:
-            return _session_events_by_bucket(df, timeout_minutes, split_at_midnight, cols, width,
-                                             buckets)
-        if n_hot <= max_hot_buckets:
-            return _session_events_hybrid(df, buckets, hot, cols, width)
-    elif ordering != "second":
-        raise ValueError(f"unknown ordering {ordering!r}")
     ev = (_clean(df, cols)
           .withColumn("_sec", epoch_seconds(ts))
           .withColumn("_bucket", time_bucket(ts, width)))
@@ -220,58 +196,6 @@ def _finish_events(joined: DataFrame, u: str, ts: str) -> DataFrame:
             .withColumn("session_id", _session_id(u)))
 
 
-def _session_events_hybrid(df: DataFrame, buckets: DataFrame, hot: DataFrame, cols: EventCols,
-                           width: int) -> DataFrame:
-    """Hot buckets (a checked, broadcast list) ordered per second, the rest
-    per bucket; one shuffle of the events, keyed by (user, bucket, slot)."""
-    u, ts = cols.user, cols.ts
-    marks = F.broadcast(hot.withColumn("_hot", F.lit(True)))
-    ev = (_clean(df, cols)
-          .withColumn("_sec", epoch_seconds(ts))
-          .withColumn("_bucket", time_bucket(ts, width))
-          .join(marks, [u, "_bucket"], "left")
-          .withColumn("_slot", F.when(F.col("_hot"), F.col("_sec")).otherwise(F.lit(-1).cast("long")))
-          .drop("_hot"))
-    info = buckets.select(u, "_bucket", "prev_last_ts", "opens", "session_num")
-    in_bucket = Window.partitionBy(u, "_bucket").orderBy("_slot")
-    hot_seconds = (ev.join(F.broadcast(hot), [u, "_bucket"], "left_semi")
-                   .groupBy(u, "_bucket", "_slot").agg(F.max(ts).alias("_last"))
-                   .withColumn("_prev_sec_last", F.lag("_last").over(in_bucket))
-                   .drop("_last"))
-    cold = info.join(F.broadcast(hot), [u, "_bucket"], "left_anti") \
-        .withColumn("_slot", F.lit(-1).cast("long")) \
-        .withColumn("_prev_sec_last", F.lit(None).cast(buckets.schema["last_ts"].dataType))
-    hot_info = hot_seconds.join(F.broadcast(info.join(F.broadcast(hot), [u, "_bucket"],
-                                                      "left_semi")), [u, "_bucket"], "inner")
-    slots = cold.unionByName(hot_info)
-    in_slot = Window.partitionBy(u, "_bucket", "_slot").orderBy(*cols.order_cols())
-    joined = (ev.withColumn("_prev_in", F.lag(ts).over(in_slot))
-              .join(slots, [u, "_bucket", "_slot"], "inner"))
-    return (_finish_events(joined, u, ts)
-            .drop("_bucket", "_sec", "_slot", "_prev_in", "_prev_sec_last", "prev_last_ts",
-                  "opens"))
-
-
-def _session_events_by_bucket(df: DataFrame, timeout_minutes: float, split_at_midnight: bool,
-                              cols: EventCols, width: int,
-                              buckets: DataFrame | None = None) -> DataFrame:
-    u, ts = cols.user, cols.ts
-    if buckets is None:
-        buckets = session_buckets(df, timeout_minutes, split_at_midnight, cols)
-    b = buckets.select(u, "_bucket", "prev_last_ts", "opens", "session_num")
-    ev = _clean(df, cols).withColumn("_bucket", time_bucket(ts, width))
-    w = Window.partitionBy(u, "_bucket").orderBy(*cols.order_cols())
-    joined = ev.withColumn("_prev_in", F.lag(ts).over(w)).join(b, [u, "_bucket"], "inner")
-    prev = F.coalesce(F.col("_prev_in"), F.col("prev_last_ts"))
-    return (joined
-            .withColumn("prev_timestamp", prev)
-            .withColumn("time_diff_minutes", gap_minutes(ts, "prev_timestamp"))
-            .withColumn("new_session",
-                        F.when(F.col("_prev_in").isNull(), F.col("opens")).otherwise(F.lit(0)))
-            .withColumn("session_id", _session_id(u))
-            .drop("_bucket", "_prev_in", "prev_last_ts", "opens"))
-
-
 def valid_sessions(sess: DataFrame, max_hours: float = 24.0, min_actions: int = 2) -> DataFrame:
     """Duration at most ``max_hours`` and at least ``min_actions`` actions."""
     from tidemark.functions.predicates import valid_session

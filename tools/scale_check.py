@@ -71,6 +71,7 @@ def main():
     hot = float(sys.argv[2]) if len(sys.argv) > 2 else 1 / 3
     cpus = int(sys.argv[3]) if len(sys.argv) > 3 else 8
     from tidemark.operators import activity, sessions
+    from tidemark.operators.quantiles import exact_quantiles
     from tidemark.session import build_session, scratch_path
     from tidemark.sources import datagen, sinks
     from tests.reference_forms import session_events_by_user_window
@@ -94,13 +95,8 @@ def main():
         "dau_exact": lambda: activity.daily_active(ev, cols=cols),
         "mau_rolling_exact": lambda: activity.rolling_active_users(ev, 30, cols=cols),
         "sessions_bucketed": lambda: sessions.sessions(ev, 30, True, cols),
-        "session_events_auto": lambda: sessions.session_events(ev, 30, True, cols),
-        "session_events_auto_hot20":
-            lambda: sessions.session_events(ev, 30, True, cols, hot_bucket_rows=20),
-        "session_events_second":
-            lambda: sessions.session_events(ev, 30, True, cols, ordering="second"),
-        "session_events_bucket":
-            lambda: sessions.session_events(ev, 30, True, cols, ordering="bucket"),
+        "session_events": lambda: sessions.session_events(ev, 30, True, cols),
+        "event_quartiles": lambda: exact_quantiles(ev, ["duration_ms"], [0.25, 0.75]),
         "session_events_user_window":
             lambda: session_events_by_user_window(ev, 30, True, cols),
     }
