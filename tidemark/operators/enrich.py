@@ -3,15 +3,16 @@
 * ``latest_per_key`` deduplicates a dimension with ``max_by`` - an
   aggregate, so a key with a third of all copies is collapsed map-side
   instead of landing whole in one window partition.
-* ``fits_broadcast`` proves a row bound before anything is broadcast:
-  ``limit(n + 1).count()`` stops reading after ``n + 1`` rows.
-* ``enrich`` picks the join strategy: checked broadcast, shuffle hash,
-  sort-merge, or salted.
-* ``enrich_salted`` spreads the measured hot keys over ``salt_buckets``
-  shuffle partitions in one join: hot facts take a salt from a hash of a
-  row column (deterministic, so task retries see the same salt), hot
-  dimension rows are replicated once per salt, everything else has salt 0.
-  The hot-key list is a top-k, so its broadcast has a proven size.
+* ``enrich`` picks the join strategy: checked broadcast (by size in bytes,
+  known from the plan's statistics without a job), shuffle hash, sort-merge,
+  or salted.
+* ``enrich_salted`` spreads the measured hot keys over several shuffle
+  partitions in one join: hot facts take a salt from a hash of a row column
+  (deterministic, so task retries see the same salt), hot dimension rows are
+  replicated once per salt, everything else has salt 0. Which keys are hot
+  and how many salts each gets follow from its share of the rows: a key with
+  a third of them in a job of 3,000 tasks gets 1,000 salts. Keys with a share
+  of at least 1/n are at most n, which bounds the broadcast list.
 * ``segment_activity`` aggregates events per user *before* the join, so
   the join and the final group-by see one row per user, not per event.
 """
@@ -21,34 +22,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_BYTES = 64 << 20
 
 
 def latest_per_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     """The row with the greatest ``order`` tuple per ``key``.
 
     Ties on ``order`` are broken by the remaining columns, so the choice
-    does not depend on partitioning. One aggregate, partial map-side.
+    does not depend on partitioning. One aggregate, partial map-side; the
+    row travels once, with its order columns in front.
     """
     rest = [c for c in df.columns if c != key]
-    tiebreak = [c for c in rest if c not in order]
-    packed = df.groupBy(key).agg(
-        F.max_by(F.struct(*rest), F.struct(*order, *tiebreak)).alias("_row"))
+    ranked = [*order, *[c for c in rest if c not in order]]
+    packed = df.groupBy(key).agg(F.max(F.struct(*ranked)).alias("_row"))
     return packed.select(key, *[F.col("_row")[c].alias(c) for c in rest])
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    Pass the *raw* source of a dimension (before dedup or joins): on a
-    scan the limit stops after ``n + 1`` rows, and a derived dimension
-    with one row per key has no more rows than its source.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
+def plan_bytes(df: DataFrame) -> int:
+    """Spark's own size estimate of a frame, from file sizes and statistics
+    (no job); an upper bound for scans and what only narrows them."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def hot_keys(df: DataFrame, key: str, k: int = 10, min_share: float = 0.0) -> DataFrame:
-    """Top-``k`` keys by row count with their share of all rows.
+def hot_keys(df: DataFrame, key: str, k: int | None = 10, min_share: float = 0.0) -> DataFrame:
+    """Top-``k`` keys by row count (all, if ``None``) with their share of all rows.
 
     ``key, events, share``; the total comes from a scalar subquery. The
     top-k keeps at most ``k`` rows per partition before merging.
@@ -59,13 +56,23 @@ def hot_keys(df: DataFrame, key: str, k: int = 10, min_share: float = 0.0) -> Da
               .withColumn("share", F.col("events") / total))
     if min_share > 0:
         counts = counts.where(F.col("share") >= F.lit(min_share))
-    return counts.orderBy(F.desc("events"), F.asc(key)).limit(k)
+    return counts if k is None else counts.orderBy(F.desc("events"), F.asc(key)).limit(k)
+
+
+SALTABLE = ("inner", "left", "left_outer", "leftouter", "left_semi", "left_anti")
+
+
+def hot_key_salts(df: DataFrame, key: str, partitions: int) -> DataFrame:
+    """``key, salts``: keys with more than an even task's share of the rows
+    (1 / ``partitions``) and the number of slices that brings each back to
+    it. At most ``partitions`` rows."""
+    hot = hot_keys(df, key, k=None, min_share=1.0 / partitions)
+    return hot.select(key, F.ceil(F.col("share") * partitions).cast("int").alias("salts"))
 
 
 def enrich(facts: DataFrame, dim: DataFrame, key: str, how: str = "left",
-           strategy: str = "auto", max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-           hot: DataFrame | None = None, salt_col: str | None = None,
-           salt_buckets: int = 16, bound_source: DataFrame | None = None) -> DataFrame:
+           strategy: str = "auto", max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
+           salt_col: str | None = None) -> DataFrame:
     """Join facts with a dimension that has one row per ``key``.
 
     ``strategy``:
@@ -74,48 +81,48 @@ def enrich(facts: DataFrame, dim: DataFrame, key: str, how: str = "left",
       AQE re-plans it from the real shuffle sizes (broadcast only below
       ``spark.sql.adaptive.autoBroadcastJoinThreshold``; skewed
       sort-merge partitions are split);
-    * ``broadcast`` - broadcast hint, only after ``fits_broadcast`` proved
-      the row bound on ``bound_source`` (default: ``dim``); beyond it the
-      join falls back to ``auto``;
+    * ``broadcast`` - broadcast hint if the plan's size estimate is at most
+      ``max_broadcast_bytes``; beyond it the join is ``auto``;
     * ``shuffle_hash`` / ``merge`` - join hints;
     * ``salted`` - see ``enrich_salted``.
     """
     if strategy == "auto":
         return facts.join(dim, key, how)
     if strategy == "broadcast":
-        source = bound_source if bound_source is not None else dim
-        if fits_broadcast(source, max_broadcast_rows):
-            return facts.join(F.broadcast(dim), key, how)
-        return facts.join(dim, key, how)
+        return facts.join(F.broadcast(dim) if plan_bytes(dim) <= max_broadcast_bytes else dim, key, how)
     if strategy in ("shuffle_hash", "merge"):
         return facts.join(dim.hint(strategy), key, how)
     if strategy == "salted":
-        if hot is None or salt_col is None:
-            raise ValueError("salted strategy needs hot keys and a salt column")
-        return enrich_salted(facts, dim, key, hot, salt_col, salt_buckets, how)
+        if salt_col is None:
+            raise ValueError("salted strategy needs a salt column")
+        return enrich_salted(facts, dim, key, salt_col, how)
     raise ValueError(f"unknown strategy {strategy!r}")
 
 
-def enrich_salted(facts: DataFrame, dim: DataFrame, key: str, hot: DataFrame,
-                  salt_col: str, salt_buckets: int = 16, how: str = "left") -> DataFrame:
-    """Salted join for the hot keys only; equals the plain join."""
-    n = int(salt_buckets)
-    marks = F.broadcast(hot.select(key).distinct().withColumn("_hot", F.lit(True)))
-    f = (facts.join(marks, key, "left")
-         .withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(salt_col), F.lit(n)))
-                     .otherwise(F.lit(0).cast("long")))
-         .drop("_hot"))
-    d = (dim.join(marks, key, "left")
-         .withColumn("_salt", F.explode(
-             F.when(F.col("_hot"), F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
-             .otherwise(F.array(F.lit(0).cast("long")))))
-         .drop("_hot"))
+def enrich_salted(facts: DataFrame, dim: DataFrame, key: str, salt_col: str, how: str = "left",
+                  partitions: int | None = None) -> DataFrame:
+    """Salted join for the hot keys only; equals the plain join.
+
+    ``partitions`` is the number of tasks whose even share makes a key hot
+    (default: the session's shuffle partitions). Facts without a key match
+    nothing; they are spread by salt. Joins that keep unmatched dimension
+    rows (right, full) would keep each replica, so they are refused.
+    """
+    if how not in SALTABLE:
+        raise ValueError(f"a salted join cannot be {how!r}: one of {SALTABLE}")
+    n = partitions or int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salts = F.broadcast(hot_key_salts(facts, key, n))
+    slices = F.when(F.col(key).isNull(), F.lit(n)).otherwise(F.coalesce("salts", F.lit(1)))
+    f = facts.join(salts, key, "left").withColumn("_salt", F.pmod(F.xxhash64(salt_col), slices)).drop("salts")
+    d = (dim.join(salts, key, "left")
+         .withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"),
+                                                   F.coalesce("salts", F.lit(1)).cast("long") - 1)))
+         .drop("salts"))
     return f.join(d, [key, "_salt"], how).drop("_salt")
 
 
 def segment_activity(facts: DataFrame, dim: DataFrame, key: str, segments: list[str],
-                     measure: str, how: str = "left",
-                     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                     measure: str, how: str = "left") -> DataFrame:
     """Events, distinct users and mean measure per segment.
 
     Facts are first reduced to one row per user (map-side partial
@@ -124,8 +131,7 @@ def segment_activity(facts: DataFrame, dim: DataFrame, key: str, segments: list[
     per_user = facts.groupBy(key).agg(F.count(F.lit(1)).alias("_events"),
                                       F.count(measure).alias("_n_measure"),
                                       F.sum(measure).alias("_sum_measure"))
-    joined = enrich(per_user, dim.select(key, *segments), key, how, "auto",
-                    max_broadcast_rows=max_broadcast_rows)
+    joined = enrich(per_user, dim.select(key, *segments), key, how, "auto")
     return (joined.groupBy(*segments)
             .agg(F.sum("_events").alias("events"),
                  F.count(key).alias("users"),
