@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import sessions
+from tidemark.operators import activity, diff, sessions
 from tidemark.schemas import EVENTS, EVENTS_TABLE_COLS as EV
 from tidemark.session import scratch_path
 from tidemark.streaming import incremental as inc
@@ -11,9 +11,9 @@ from tests.conftest import SF001
 
 def test_session_stream_matches_batch(spark):
     stream = inc.session_stream(
-        inc.read_event_stream(spark, SF001, EVENTS, "ts", glob="events.parquet"), 30, EV)
+        inc.read_event_stream(spark, f"{SF001}/events.parquet", EVENTS), 30, EV)
     sink, ck = scratch_path(spark, "t-sess"), scratch_path(spark, "t-sess-ck")
-    inc.run_available_now(stream, sink, ck, "append")
+    inc.run_available_now(stream, lambda batch, _: batch.write.mode("append").parquet(sink), ck)
     emitted = (spark.read.parquet(sink)
                .select("user_id", F.col("session_start").cast("timestamp_ntz").alias("s"),
                        F.col("session_end").cast("timestamp_ntz").alias("e"),
@@ -28,7 +28,26 @@ def test_session_stream_matches_batch(spark):
     assert same >= 0.999 * n_emitted
 
 
-def test_user_day_stream_complete(spark):
-    snap = inc.user_day_snapshot(spark, SF001, EVENTS, EV, glob="events.parquet")
-    assert snap.agg(F.sum("actions")).collect()[0][0] == \
-        spark.read.parquet(f"{SF001}/events.parquet").count()
+def test_user_day_stream_of_a_folder_with_late_files_and_nulls(spark):
+    """Three part files, then two more that hold the oldest days and NULLs."""
+    ev = spark.read.parquet(f"{SF001}/events.parquet")
+    old = ev.where("ts < timestamp_ntz'2024-01-04 00:00:00'")
+    nulls = ev.limit(50).withColumn("user_id", F.lit(None).cast("long")).unionByName(
+        ev.limit(30).withColumn("ts", F.lit(None).cast("timestamp_ntz")))
+    path, sink = scratch_path(spark, "t-folder") + "/events.parquet", scratch_path(spark, "t-sink")
+    ev.exceptAll(old).repartition(3).write.parquet(path)
+    first = inc.user_day_snapshot(spark, path, EVENTS, EV, sink, max_files_per_trigger=1)
+    assert first.agg(F.sum("actions")).collect()[0][0] == ev.count() - old.count()
+    old.unionByName(nulls).repartition(2).write.mode("append").parquet(path)
+    both = inc.user_day_snapshot(spark, path, EVENTS, EV, sink, max_files_per_trigger=1)
+    want = activity.user_day_summary(ev, cols=EV).select(*both.columns)
+    assert diff.same_rows(both, want)
+    dau = activity.daily_active(ev, cols=EV)
+    assert diff.same_rows(inc.dau_from_snapshot(both), dau)
+
+
+def test_user_day_stream_without_files(spark):
+    path = scratch_path(spark, "t-none")
+    spark.createDataFrame([], EVENTS).limit(0).write.parquet(path)
+    out = inc.user_day_snapshot(spark, path, EVENTS, EV)
+    assert out.count() == 0 and out.columns == ["date", "user_id", "actions", "first_ts", "last_ts"]

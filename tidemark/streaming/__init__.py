@@ -1,8 +1,8 @@
-"""Incremental (Structured Streaming) forms of the activity operators."""
+"""Structured Streaming pipelines (incremental user-days and sessions)."""
 
 from tidemark.streaming.incremental import (
-    read_event_stream, user_day_stream, session_stream, run_available_now, latest_snapshot,
+    merge_partials, read_event_stream, run_available_now, session_stream, user_day_partials, user_day_snapshot,
 )
 
-__all__ = ["read_event_stream", "user_day_stream", "session_stream", "run_available_now",
-           "latest_snapshot"]
+__all__ = ["merge_partials", "read_event_stream", "run_available_now", "session_stream",
+           "user_day_partials", "user_day_snapshot"]

@@ -1,56 +1,60 @@
 """Structured Streaming versions of the user-day rollup and sessions.
 
-New event files arrive in a folder; each micro-batch updates state kept
-by Spark (bounded by the watermark) and the changed rows are appended,
-tagged with the batch id, to a table in the shared checkpoint folder.
-``latest_snapshot`` reads the newest version of every key, so the result
-is complete at any time, including windows the watermark has not closed
-yet, and a batch replayed after a failure only rewrites the same values.
-
-* ``user_day_stream`` - (user, day) counts and first/last time in update
-  mode; DAU is a count per day over its snapshot.
+* ``user_day_snapshot`` - new event files arrive in a folder; each micro-batch
+  is reduced to partial (day, user) counts and first/last times, written to
+  its own ``batch_id`` folder of a table in the shared scratch area. The
+  snapshot adds the partials up. Nothing is held in state and there is no
+  watermark, so rows count however late they come, the result is complete
+  after every batch, and a batch replayed after a failure overwrites its own
+  folder with the same values.
 * ``session_stream`` - ``session_window`` sessions (append mode only, as
   Spark requires): a session is emitted once the watermark passes its
-  end. Gaps are compared in microseconds and there is no midnight rule,
-  so it matches the batch ``sessions(split_at_midnight=False)`` except for
-  gaps within one second of the timeout.
+  end, and rows later than the watermark are dropped. Gaps are compared in
+  microseconds and there is no midnight rule, so it matches the batch
+  ``sessions(split_at_midnight=False)`` except for gaps within one second of
+  the timeout.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.timefns import activity_date
 from tidemark.schemas import EventCols, INTERACTION_COLS
-from tidemark.session import pin_utc, scratch_path
+from tidemark.session import scratch_path
 
 
-def read_event_stream(spark: SparkSession, folder: str, schema: T.StructType,
-                      ts: str, glob: str | None = None,
+def read_event_stream(spark: SparkSession, path: str, schema: T.StructType,
                       max_files_per_trigger: int | None = None) -> DataFrame:
-    """Parquet files arriving in ``folder``; event time as ``timestamp``
-    (watermarks need the zoned type; UTC is pinned)."""
-    pin_utc(spark)
+    """Parquet files at ``path``: a folder that files arrive in, or one file
+    (streams take a plain path for a folder; a pattern may match either)."""
     r = spark.readStream.schema(schema)
-    if glob:
-        r = r.option("pathGlobFilter", glob)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    return r.parquet(folder).withColumn(ts, F.col(ts).cast("timestamp"))
+    path = path.rstrip("/")
+    return r.parquet(f"{path[:-1]}[{path[-1]}]")
 
 
-def user_day_stream(events: DataFrame, cols: EventCols = INTERACTION_COLS,
-                    watermark: str = "2 days") -> DataFrame:
-    return (events.withWatermark(cols.ts, watermark)
-            .groupBy(cols.user, F.window(cols.ts, "1 day").alias("day"))
-            .agg(F.count(F.lit(1)).alias("actions"),
-                 F.min(cols.ts).alias("first_ts"),
+def user_day_partials(events: DataFrame, cols: EventCols = INTERACTION_COLS) -> DataFrame:
+    """``date, user, actions, first_ts, last_ts`` of a batch; rows without a
+    user or a time belong to no user-day."""
+    return (events.where(F.col(cols.user).isNotNull() & F.col(cols.ts).isNotNull())
+            .groupBy(activity_date(cols.ts).alias("date"), cols.user)
+            .agg(F.count(F.lit(1)).alias("actions"), F.min(cols.ts).alias("first_ts"),
                  F.max(cols.ts).alias("last_ts")))
 
 
+def merge_partials(partials: DataFrame, cols: EventCols = INTERACTION_COLS) -> DataFrame:
+    return (partials.groupBy("date", cols.user)
+            .agg(F.sum("actions").alias("actions"), F.min("first_ts").alias("first_ts"),
+                 F.max("last_ts").alias("last_ts")))
+
+
 def session_stream(events: DataFrame, timeout_minutes: int = 30,
                    cols: EventCols = INTERACTION_COLS, watermark: str = "1 hour") -> DataFrame:
+    events = events.withColumn(cols.ts, F.col(cols.ts).cast("timestamp"))  # watermarks need the zoned type
     return (events.withWatermark(cols.ts, watermark)
             .groupBy(cols.user, F.session_window(cols.ts, f"{int(timeout_minutes)} minutes")
                      .alias("session"))
@@ -59,53 +63,37 @@ def session_stream(events: DataFrame, timeout_minutes: int = 30,
                  F.max(cols.ts).alias("session_end")))
 
 
-def run_available_now(stream: DataFrame, sink_path: str, checkpoint: str,
-                      mode: str = "update") -> None:
-    """Process everything available, then stop; changed rows are appended
-    to ``sink_path`` with their ``batch_id``."""
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(sink_path)
-
-    q = (stream.writeStream.outputMode(mode)
-         .foreachBatch(write_batch)
+def run_available_now(stream: DataFrame, write_batch, checkpoint: str) -> None:
+    """Process everything available, then stop."""
+    q = (stream.writeStream.foreachBatch(write_batch)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
          .start())
     q.awaitTermination()
 
 
-def latest_snapshot(spark: SparkSession, sink_path: str, keys: list[str]) -> DataFrame:
-    """Newest version of each key (largest ``batch_id``)."""
-    rows = spark.read.parquet(sink_path)
-    rest = [c for c in rows.columns if c not in keys and c != "batch_id"]
-    return (rows.groupBy(*keys)
-            .agg(F.max_by(F.struct(*rest), F.col("batch_id")).alias("_r"))
-            .select(*keys, *[F.col("_r")[c].alias(c) for c in rest]))
+def user_day_snapshot(spark: SparkSession, path: str, schema: T.StructType,
+                      cols: EventCols = INTERACTION_COLS, sink: str | None = None,
+                      max_files_per_trigger: int | None = None) -> DataFrame:
+    """Take in the files that are new at ``path`` and return the user-days so
+    far: ``date, user, actions, first_ts, last_ts``.
+
+    ``sink`` keeps the partials and the stream's checkpoint; pass the same one
+    again to go on from there (default: a fresh one). Without any file the
+    result is empty.
+    """
+    sink = sink or scratch_path(spark, "user-day-stream")
+    empty = user_day_partials(spark.createDataFrame([], schema), cols)
 
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        user_day_partials(batch, cols).write.mode("overwrite").parquet(f"{sink}/data/batch_id={batch_id}")
 
-def user_day_snapshot(spark: SparkSession, folder: str, schema: T.StructType,
-                      cols: EventCols = INTERACTION_COLS, glob: str | None = None,
-                      name: str = "user-day-stream") -> DataFrame:
-    """Run the user-day stream to the end of the available files and
-    return ``date, user, actions, first_ts, last_ts`` (times back in the
-    input's wall-clock type)."""
-    ts_type = schema[cols.ts].dataType.simpleString()
-    stream = user_day_stream(read_event_stream(spark, folder, schema, cols.ts, glob), cols)
-    sink, ckpt = scratch_path(spark, name), scratch_path(spark, name + "-checkpoint")
-    run_available_now(stream, sink, ckpt, "update")
-    snap = latest_snapshot(spark, sink, [cols.user, "day"])
-    return snap.select(F.to_date(F.col("day.start")).alias("date"), cols.user, "actions",
-                       F.col("first_ts").cast(ts_type).alias("first_ts"),
-                       F.col("last_ts").cast(ts_type).alias("last_ts"))
+    # a first, empty folder: the table can be read before any batch has run
+    empty.write.mode("overwrite").parquet(f"{sink}/data/batch_id=-1")
+    run_available_now(read_event_stream(spark, path, schema, max_files_per_trigger), write_batch,
+                      f"{sink}/checkpoint")
+    return merge_partials(spark.read.schema(empty.schema).parquet(f"{sink}/data"), cols)
 
 
 def dau_from_snapshot(user_day: DataFrame) -> DataFrame:
     return user_day.groupBy("date").agg(F.count(F.lit(1)).alias("daily_active_users"))
-
-
-def rank_sessions(sessions: DataFrame, cols: EventCols = INTERACTION_COLS) -> DataFrame:
-    """Number emitted sessions per user (``<user>_<n>``), batch side."""
-    w = Window.partitionBy(cols.user).orderBy("session_start")
-    return sessions.withColumn(
-        "session_id", F.concat(F.col(cols.user).cast("string"), F.lit("_"),
-                               F.row_number().over(w).cast("string")))
