@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import quality
@@ -100,3 +101,49 @@ def test_partition_rerun_is_idempotent(spark):
     back = spark.read.parquet(path).select(*ud.columns)
     assert back.count() == ud.count()
     assert back.exceptAll(ud).count() == 0
+
+
+def _csv(spark, *lines):
+    path = scratch_path(spark, "t-csv")
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(path)
+    return path
+
+
+def test_csv_columns_go_by_name(spark):
+    path = _csv(spark, "user_id,action_type,timestamp,extra,duration_ms",
+                "u1,edit,2024-01-01 10:00:00,x,120", "u2,share,,y,")
+    df = readers.read_interactions(spark, path)
+    assert df.columns == ["user_id", "timestamp", "action_type", "duration_ms", "extra"]
+    r = df.where("user_id = 'u1'").collect()[0]
+    assert (r.timestamp, r.action_type, r.duration_ms, r.extra) == (dt.datetime(2024, 1, 1, 10), "edit", 120, "x")
+    issues = {(i.column_name, i.issue) for i in quality.schema_issues(spark, df, INTERACTIONS).collect()}
+    assert issues == {("page_id", "missing"), ("app_version", "missing"), ("extra", "extra")}
+
+
+def test_csv_files_with_another_header_fail_instead_of_shifting(spark):
+    path = _csv(spark, "user_id,action_type", "u1,edit")
+    spark.createDataFrame([("action_type,user_id",), ("edit,u2",)], "value string").coalesce(1) \
+        .write.mode("append").text(path)
+    with pytest.raises(Exception, match="(?i)header"):
+        readers.read_interactions(spark, path).collect()
+
+
+def test_partitioned_writes_do_not_multiply_files(spark):
+    """Files follow the data, not tasks x partition values."""
+    ev = spark.read.parquet(f"{SF001}/events.parquet").repartition(32)
+    days = ev.select(F.to_date("ts")).distinct().count()
+    path = scratch_path(spark, "t-files")
+    sinks.write_layout(ev, path, "date", "ts", "user_id")
+    files = spark.read.parquet(path).select(F.input_file_name()).distinct().count()
+    assert days <= files <= 2 * days  # 32 tasks x 30 days before
+    sinks.write_partitions(ev.withColumn("date", F.to_date("ts")), path, ["date"])
+    assert spark.read.parquet(path).select(F.input_file_name()).distinct().count() <= 2 * days
+
+
+def test_readers_leave_the_session_zone_alone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kathmandu")
+    try:
+        readers.read_interactions(spark, _csv(spark, "user_id", "u"))
+        assert spark.conf.get("spark.sql.session.timeZone") == "Asia/Kathmandu"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

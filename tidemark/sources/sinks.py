@@ -1,11 +1,12 @@
 """Sinks and partitioned layouts.
 
-Partitioned writes sort *within* each task by the partition columns
-instead of shuffling by them: no exchange, and no single task receives a
-whole hot date. Each task writes one file per partition value it holds;
-``max_records_per_file`` caps file size. Bucket columns come from a hash
-of the user (deterministic across retries), modulo a fixed count, so a
-layout has a bounded number of folders per date however many users exist.
+Partitioned writes first *rebalance* by the partition columns: AQE gathers
+the rows of a partition value in tasks of the advisory size, merging small
+values and splitting hot ones, so the number of files follows the data (about
+size / target), not tasks x values, and no task receives a whole hot date.
+Bucket columns come from a hash of the user (deterministic across retries),
+modulo a fixed count, so a layout has a bounded number of folders per date
+however many users exist.
 """
 
 from __future__ import annotations
@@ -15,7 +16,6 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.timefns import activity_date, date_literal
 from tidemark.sources.readers import TS_WRITE_FORMAT
-from tidemark.session import pin_utc
 
 LAYOUTS = ("date", "date_hour", "user_id_partition", "date_bucket")
 
@@ -58,11 +58,15 @@ def with_layout_columns(df: DataFrame, layout: str, ts: str, user: str,
     raise ValueError(f"unknown layout {layout!r}; one of {LAYOUTS}")
 
 
+def _gathered(df: DataFrame, partition_by: list[str]) -> DataFrame:
+    return df.hint("rebalance", *partition_by).sortWithinPartitions(*partition_by)
+
+
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None,
                   mode: str = "overwrite", compression: str = "snappy",
                   max_records_per_file: int | None = None) -> None:
     if partition_by:
-        df = df.sortWithinPartitions(*partition_by)
+        df = _gathered(df, partition_by)
     w = df.write.mode(mode).option("compression", compression)
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", int(max_records_per_file))
@@ -79,7 +83,7 @@ def write_partitions(df: DataFrame, path: str, partition_by: list[str],
     it computed, and re-running a day after a failure replaces that day
     instead of adding a second copy. Other partitions are untouched.
     """
-    (df.sortWithinPartitions(*partition_by).write.mode("overwrite")
+    (_gathered(df, partition_by).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .option("compression", compression)
      .partitionBy(*partition_by)
@@ -98,7 +102,6 @@ def read_date_range(spark: SparkSession, path: str, start=None, end=None,
     """Read a date-partitioned layout; the date filter prunes folders
     (``PartitionFilters`` in the scan), so other days are never listed
     into tasks."""
-    pin_utc(spark)
     df = spark.read.parquet(path)
     if start is not None:
         df = df.where(F.col(date_col) >= date_literal(start))

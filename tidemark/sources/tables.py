@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.session import pin_utc, table_path
+from tidemark.session import table_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    pin_utc(spark)
     return spark.read.parquet(table_path(sf_dir, name))
