@@ -34,7 +34,7 @@ def test_rolling_distinct_matches_brute_force(spark, visits, window):
 def test_diff_matches_counter(spark, left, right):
     lf = spark.createDataFrame([(x,) for x in left], "x string")
     rf = spark.createDataFrame([(x,) for x in right], "x string")
-    got = Counter((r.x, r.side) for r in diff.diff_rows(lf, rf, bag=True).collect())
+    got = Counter({(r.x, r.side): r.copies for r in diff.diff_rows(lf, rf, bag=True).collect()})
     cl, cr = Counter(left), Counter(right)
     want = Counter({(k, "left_only"): n for k, n in (cl - cr).items()})
     want.update({(k, "right_only"): n for k, n in (cr - cl).items()})

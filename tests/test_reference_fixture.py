@@ -10,6 +10,7 @@ from tidemark.plans import reports
 from tidemark.session import scratch_path
 from tidemark.sources import sinks
 
+# The task's fixture rows.
 ROWS = [
     ("user1", "2024-01-01 10:00:00", "view", "page1", 120, "1.0.0"),
     ("user1", "2024-01-01 10:05:00", "edit", "page1", 300, "1.0.0"),
@@ -37,7 +38,7 @@ def loaded(spark):
     return reports.prepare_datasets(spark, ip, mp, partitioning="range", n_partitions=2)
 
 
-def test_prepare_datasets(loaded):
+def test_csv_gives_declared_types_and_unique_users(loaded):
     inter, meta = loaded
     assert inter.count() == 5
     assert meta.count() == 2
@@ -45,7 +46,7 @@ def test_prepare_datasets(loaded):
     assert dict(meta.dtypes)["join_date"] == "date"
 
 
-def test_active_users(loaded):
+def test_dau_and_rolling_counts_of_the_fixture(loaded):
     inter, _ = loaded
     res = reports.active_users(inter, dt.datetime(2024, 1, 1))
     rows = res["daily_active"].collect()
@@ -54,7 +55,7 @@ def test_active_users(loaded):
     assert res["rolling_mau"].collect()[0]["active_users_30d"] == 2
 
 
-def test_session_metrics(loaded):
+def test_single_action_session_is_not_valid(loaded):
     inter, _ = loaded
     all_sessions = sessions.sessions(inter, 30, False)
     assert all_sessions.count() == 3
@@ -63,11 +64,11 @@ def test_session_metrics(loaded):
     # filter (>= 2 actions) removes: 2, not 3.
     assert valid.count() == 2
     assert sorted(r.session_id for r in valid.collect()) == ["user1_1", "user2_1"]
-    for r in valid.collect():
-        assert r.actions_per_session >= 1 and 0 <= r.session_duration_hours <= 24
+    got = {r.session_id: (r.actions_per_session, r.session_duration_hours) for r in valid.collect()}
+    assert got == {"user1_1": (2, 300 / 3600), "user2_1": (2, 180 / 3600)}
 
 
-def test_session_timeout(loaded):
+def test_longer_timeouts_never_add_sessions(loaded):
     inter, _ = loaded
     assert reports.valid_session_table(inter, 15).count() == 2
     assert reports.valid_session_table(inter, 60).count() == 2

@@ -63,9 +63,9 @@ def rolling_dau_sum(dau: DataFrame, rows: int = 31) -> DataFrame:
 
 
 def user_days(df: DataFrame, cols: EventCols = INTERACTION_COLS, start=None) -> DataFrame:
-    """Distinct (user, date) pairs; NULL users dropped."""
+    """Distinct (user, date) pairs; NULL users and times dropped."""
     return (_dated(df, cols, start)
-            .where(F.col(cols.user).isNotNull())
+            .where(F.col(cols.user).isNotNull() & F.col("date").isNotNull())
             .select(cols.user, "date").distinct())
 
 
@@ -86,7 +86,8 @@ def rolling_from_user_days(user_day: DataFrame, window_days: int = 30, user: str
     if window_days < 1:
         raise ValueError("window_days must be >= 1")
     out_col = out_col or f"active_users_{window_days}d"
-    ud = user_day.select(user, "date")
+    # a row without a date would open a span that ends at the user's next day
+    ud = user_day.where(F.col(user).isNotNull() & F.col("date").isNotNull()).select(user, "date")
     nxt = F.lead("date").over(Window.partitionBy(user).orderBy("date"))
     horizon = F.date_add(F.col("date"), window_days)
     spans = ud.select("date", F.least(horizon, F.coalesce(nxt, horizon)).alias("close_on"))
@@ -136,10 +137,11 @@ def monthly_active(df: DataFrame, cols: EventCols = INTERACTION_COLS, start=None
 def user_day_summary(df: DataFrame, cols: EventCols = INTERACTION_COLS, start=None) -> DataFrame:
     """User-day pre-aggregate feeding DAU/MAU and later rollups.
 
-    ``date, user, actions, first_ts, last_ts, total_measure``.
+    ``date, user, actions, first_ts, last_ts, total_measure``; rows without a
+    user or a time belong to no user-day.
     """
     return (_dated(df, cols, start)
-            .where(F.col(cols.user).isNotNull())
+            .where(F.col(cols.user).isNotNull() & F.col("date").isNotNull())
             .groupBy("date", cols.user)
             .agg(F.count(F.lit(1)).alias("actions"),
                  F.min(cols.ts).alias("first_ts"),

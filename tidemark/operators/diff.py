@@ -22,19 +22,18 @@ def _side_counts(left: DataFrame, right: DataFrame) -> DataFrame:
 def diff_rows(left: DataFrame, right: DataFrame, bag: bool = True) -> DataFrame:
     """Rows found on one side only, tagged ``side`` = left_only/right_only.
 
-    ``bag=True`` compares multisets (EXCEPT ALL both ways: a row present
-    twice on the left and once on the right appears once); ``bag=False``
-    compares sets (EXCEPT DISTINCT, duplicates ignored).
+    ``bag=True`` compares multisets (EXCEPT ALL both ways) and says in
+    ``copies`` how often the row is in excess: a row present twice on the
+    left and once on the right has one copy. A row repeated any number of
+    times stays one row. ``bag=False`` compares sets (EXCEPT DISTINCT,
+    duplicates ignored).
     """
     cols = left.columns
     counts = _side_counts(left, right.select(*cols))
     side = F.when(F.col("_nl") > F.col("_nr"), F.lit("left_only")).otherwise(F.lit("right_only"))
     if bag:
-        extra = F.abs(F.col("_nl") - F.col("_nr"))
         return (counts.where(F.col("_nl") != F.col("_nr"))
-                .select(*cols, side.alias("side"),
-                        F.explode(F.sequence(F.lit(1).cast("long"), extra)).alias("_copy"))
-                .drop("_copy"))
+                .select(*cols, side.alias("side"), F.abs(F.col("_nl") - F.col("_nr")).alias("copies")))
     return (counts.where((F.col("_nl") == 0) | (F.col("_nr") == 0))
             .select(*cols, side.alias("side")))
 

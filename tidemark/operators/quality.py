@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.predicates import is_future
 from tidemark.functions.timefns import ts_literal
 from tidemark.schemas import EVENT_TYPES, INTERACTION_ACTIONS  # noqa: F401  (re-exported)
 
@@ -33,7 +34,7 @@ def null_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 def future_records(df: DataFrame, ts: str, as_of: dt.datetime | None = None) -> DataFrame:
     """One row: events later than ``as_of`` (default: query start time)."""
     limit = ts_literal(as_of) if as_of is not None else F.current_timestamp()
-    return df.agg(F.count_if(F.col(ts) > limit).alias("future_records"))
+    return df.agg(F.count_if(is_future(ts, limit)).alias("future_records"))
 
 
 def schema_issues(spark: SparkSession, df: DataFrame, declared: T.StructType) -> DataFrame:
@@ -58,21 +59,28 @@ def schema_issues(spark: SparkSession, df: DataFrame, declared: T.StructType) ->
 
 
 def event_rules(user: str, ts: str, action: str, measure: str, domain,
-                as_of: dt.datetime | None = None) -> dict[str, Column]:
-    """Row rules for an event table; each value is the *failing* predicate."""
+                as_of: dt.datetime | None = None,
+                columns: list[str] | None = None) -> dict[str, Column]:
+    """Row rules for an event table; each value is the *failing* predicate.
+
+    ``columns`` keeps the rules whose column is among them.
+    """
     limit = ts_literal(as_of) if as_of is not None else F.current_timestamp()
-    return {
-        "null_user": F.col(user).isNull(),
-        "null_timestamp": F.col(ts).isNull(),
-        "null_action": F.col(action).isNull(),
-        "unknown_action": F.col(action).isNotNull() & ~F.col(action).isin(list(domain)),
-        "negative_measure": F.col(measure) < 0,
-        "future_timestamp": F.col(ts) > limit,
+    rules = {
+        "null_user": (user, F.col(user).isNull()),
+        "null_timestamp": (ts, F.col(ts).isNull()),
+        "null_action": (action, F.col(action).isNull()),
+        "unknown_action": (action, F.col(action).isNotNull() & ~F.col(action).isin(list(domain))),
+        "negative_measure": (measure, F.col(measure) < 0),
+        "future_timestamp": (ts, is_future(ts, limit)),
     }
+    return {n: c for n, (needs, c) in rules.items() if columns is None or needs in columns}
 
 
 def rule_counts(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     """``check_name, n_bad`` for every rule, in one pass."""
+    if not rules:
+        return df.sparkSession.createDataFrame([], "check_name string, n_bad long")
     row = df.agg(*[F.count_if(F.coalesce(c, F.lit(False))).alias(n) for n, c in rules.items()])
     return _long(row, list(rules), "check_name", "n_bad")
 
@@ -91,6 +99,14 @@ def orphans(facts: DataFrame, dim: DataFrame, fkey: str, dkey: str | None = None
     return facts.join(d, facts[fkey] == d["_k"], "left_anti")
 
 
+def orphans_per_key(facts: DataFrame, dim: DataFrame, fkey: str, dkey: str | None = None) -> DataFrame:
+    """``fkey, events``: keys without a dimension row (NULL included) and how
+    many fact rows they have. Facts are counted per key before the join, so it
+    moves keys, not rows, and a hot key is one row."""
+    counts = facts.groupBy(fkey).agg(F.count(F.lit(1)).alias("events"))
+    return orphans(counts, dim, fkey, dkey)
+
+
 def quality_rules(df: DataFrame, rules: dict[str, Column], dup_keys: list[str],
                   dim: DataFrame | None = None, fkey: str | None = None,
                   dkey: str | None = None) -> DataFrame:
@@ -102,8 +118,8 @@ def quality_rules(df: DataFrame, rules: dict[str, Column], dup_keys: list[str],
            .select(F.lit("duplicate_rows").alias("check_name"), "n_bad"))
     parts.append(dup)
     if dim is not None and fkey is not None:
-        orph = (orphans(df.select(fkey), dim, fkey, dkey)
-                .agg(F.count(F.lit(1)).alias("n_bad"))
+        orph = (orphans_per_key(df, dim, fkey, dkey)
+                .agg(F.coalesce(F.sum("events"), F.lit(0)).cast("long").alias("n_bad"))
                 .select(F.lit("orphan_rows").alias("check_name"), "n_bad"))
         parts.append(orph)
     out = parts[0]

@@ -363,8 +363,7 @@ def user_dimension(spark, d) -> DataFrame:
     cust = en.latest_per_key(cust, "user_id", order=["c_name"])
     nation = table(spark, d, "nation").select(F.col("n_nationkey").alias("c_nationkey"),
                                               F.col("n_name").alias("country"))
-    return (en.enrich(cust, nation, "c_nationkey", "left", "broadcast",
-                      max_broadcast_rows=10_000)
+    return (en.enrich(cust, nation, "c_nationkey", "left", "broadcast")
             .select("user_id", "country", "segment"))
 
 
@@ -378,8 +377,7 @@ left join nation n on c.c_nationkey = n.n_nationkey
 
 def _enriched(spark, d, strategy, **kw):
     ev = _events(spark, d).select("event_id", "user_id", "ts", "event_type", "value")
-    return en.enrich(ev, user_dimension(spark, d), "user_id", "left", strategy=strategy,
-                     bound_source=table(spark, d, "customer"), **kw)
+    return en.enrich(ev, user_dimension(spark, d), "user_id", "left", strategy=strategy, **kw)
 
 
 @register("enrich_broadcast", _ENRICH_SQL)
@@ -399,9 +397,7 @@ def q_enrich_merge(spark, d):
 
 @register("enrich_salted", _ENRICH_SQL)
 def q_enrich_salted(spark, d):
-    ev = _events(spark, d)
-    return _enriched(spark, d, "salted", hot=en.hot_keys(ev, "user_id", k=10),
-                     salt_col="event_id", salt_buckets=8)
+    return _enriched(spark, d, "salted", salt_col="event_id")
 
 
 @register("hot_users", rsql("""
@@ -490,8 +486,7 @@ select user_id, count(*) as events from events e
 where not exists (select 1 from customer c where c.c_custkey = e.user_id) group by 1
 """)
 def q_orphan_users(spark, d):
-    return (dq.orphans(_events(spark, d), table(spark, d, "customer"), "user_id", "c_custkey")
-            .groupBy("user_id").agg(F.count(F.lit(1)).alias("events")))
+    return dq.orphans_per_key(_events(spark, d), table(spark, d, "customer"), "user_id", "c_custkey")
 
 
 @register("duplicate_events", f"""
@@ -526,9 +521,11 @@ def _diff_sides(spark, d):
 
 
 @register("dataset_diff_all", f"""
-select *, 'left_only' as side from ({_DIFF_LEFT} except all {_DIFF_RIGHT}) as a
+select user_id, event_type, 'left_only' as side, count(*) as copies
+from ({_DIFF_LEFT} except all {_DIFF_RIGHT}) as a group by 1, 2
 union all
-select *, 'right_only' as side from ({_DIFF_RIGHT} except all {_DIFF_LEFT}) as b
+select user_id, event_type, 'right_only' as side, count(*) as copies
+from ({_DIFF_RIGHT} except all {_DIFF_LEFT}) as b group by 1, 2
 """)
 def q_dataset_diff_all(spark, d):
     return dff.diff_rows(*_diff_sides(spark, d), bag=True)
@@ -547,7 +544,7 @@ def q_dataset_diff_distinct(spark, d):
 
 from tidemark.operators import partitioning as part  # noqa: E402
 from tidemark.schemas import EVENTS as EVENTS_SCHEMA  # noqa: E402
-from tidemark.session import scratch_path  # noqa: E402
+from tidemark.session import scratch_path, table_path  # noqa: E402
 from tidemark.sources import datagen, readers, sinks  # noqa: E402
 
 
@@ -599,13 +596,13 @@ select cast(ts as date) as date, count(distinct user_id) as daily_active_users
 from events group by 1
 """)
 def q_repartitioned_hash(spark, d):
-    ev = part.partition_by_user(_events(spark, d), "user_id", 16, "hash")
+    ev = part.partition_by_user(_events(spark, d), "user_id", method="hash")
     return activity.daily_active(ev, cols=EV)
 
 
 @register("repartitioned_range", ORACLE["repartitioned_hash"])
 def q_repartitioned_range(spark, d):
-    ev = part.partition_by_user(_events(spark, d), "user_id", 16, "range")
+    ev = part.partition_by_user(_events(spark, d), "user_id", method="range")
     return activity.daily_active(ev, cols=EV)
 
 
@@ -675,13 +672,13 @@ select cast(ts as date) as date, user_id, count(*) as actions, min(ts) as first_
 from events where user_id is not null group by 1, 2
 """)
 def q_stream_user_day(spark, d):
-    return inc.user_day_snapshot(spark, d, EVENTS_SCHEMA, EV, glob="events.parquet")
+    return inc.user_day_snapshot(spark, table_path(d, "events"), EVENTS_SCHEMA, EV)
 
 
 @register("stream_dau", ORACLE["dau_from_user_day"])
 def q_stream_dau(spark, d):
     return inc.dau_from_snapshot(
-        inc.user_day_snapshot(spark, d, EVENTS_SCHEMA, EV, glob="events.parquet"))
+        inc.user_day_snapshot(spark, table_path(d, "events"), EVENTS_SCHEMA, EV))
 
 
 # ---------------------------------------------------------------- counts, full report
@@ -730,3 +727,124 @@ def q_user_day_table(spark, d):
     sinks.write_partitions(ud, path, ["date"])
     back = spark.read.parquet(path)
     return rounded(back.select(*ud.columns))
+
+
+# ---------------------------------------------------------------- whole entry points
+
+from tidemark.plans import reports  # noqa: E402
+from tidemark.schemas import METADATA as METADATA_SCHEMA  # noqa: E402
+
+
+@register("valid_sessions_plain", rsql(f"""with {_session_cte(False)},
+ss as (select user_id, session_id, count(*) as actions_per_session, min(ts) as session_start,
+              max(ts) as session_end,
+              (floor(epoch(max(ts))) - floor(epoch(min(ts)))) / 3600 as session_duration_hours
+       from s group by user_id, session_id)
+select * from ss where session_duration_hours <= 24 and actions_per_session >= 2""",
+                                       "session_duration_hours"))
+def q_valid_sessions_plain(spark, d):
+    return rounded(reports.valid_session_table(_events(spark, d), cols=EV))
+
+
+@register("session_report_strings", f"""with {_clean_cte()}, qs as (
+select quantile_disc(session_duration_hours, [0.25, 0.5, 0.75]) as d,
+       quantile_disc(actions_per_session, [0.25, 0.5, 0.75]) as a from cl)
+select '[' || array_to_string([printf('%.4f', x) for x in d], ', ') || ']' as session_duration_quartiles,
+       '[' || array_to_string(a, ', ') || ']' as actions_quartiles from qs""")
+def q_session_report_strings(spark, d):
+    """The quartile strings of the report; durations are read back from the
+    string and formatted, as engines print doubles differently."""
+    out = reports.session_metrics(_events(spark, d), cols=EV)["session_metrics"]
+    hours = F.from_json("session_duration_quartiles", "array<double>")
+    return out.select(
+        F.concat(F.lit("["), F.array_join(F.transform(hours, lambda x: F.format_string("%.4f", x)), ", "), F.lit("]"))
+        .alias("session_duration_quartiles"), "actions_quartiles")
+
+
+@register("event_value_cap", rsql("""
+with q as (select quantile_disc(value, 0.25) as q1, quantile_disc(value, 0.75) as q3 from events),
+b as (select q1 - 1.5::double * (q3 - q1) as lo, q3 + 1.5::double * (q3 - q1) as hi from q)
+select event_id, user_id, case when value is null then null else least(greatest(value, lo), hi) end as value
+from events, b""", "value"))
+def q_event_value_cap(spark, d):
+    ev = _events(spark, d).select("event_id", "user_id", "value")
+    return rounded(outliers.handle_outliers(ev, "value", mode="cap"))
+
+
+@register("dau_approx_error", """
+select cast(ts as date) as date, count(distinct user_id) as exact, true as within_tolerance
+from events group by 1
+""")
+def q_dau_approx_error(spark, d):
+    """Approximate DAU beside the exact one: within three standard errors of
+    the sketch, or one user."""
+    ev = _events(spark, d)
+    approx = activity.daily_active(ev, cols=EV, approx=True).withColumnRenamed("daily_active_users", "approx")
+    exact = activity.daily_active(ev, cols=EV).withColumnRenamed("daily_active_users", "exact")
+    near = F.abs(F.col("approx") - F.col("exact")) <= F.greatest(F.lit(1.0), F.col("exact") * 0.15)
+    return (exact.join(approx, exact["date"].eqNullSafe(approx["date"]))
+            .select(exact["date"], "exact", near.alias("within_tolerance")))
+
+
+@register("mau_rolling_hll_error", f"""
+select date, active_users_30d as exact, true as within_tolerance from ({_rolling_sql(30)}) as r
+""")
+def q_mau_rolling_hll_error(spark, d):
+    ev = _events(spark, d)
+    approx = activity.rolling_active_users_approx(ev, 30, cols=EV, out_col="approx")
+    exact = activity.rolling_active_users(ev, 30, cols=EV, out_col="exact")
+    near = F.abs(F.col("approx") - F.col("exact")) <= F.greatest(F.lit(1.0), F.col("exact") * 0.05)
+    return exact.join(approx, "date").select("date", "exact", near.alias("within_tolerance"))
+
+
+def _metadata(spark, d) -> DataFrame:
+    """The customer table under the names of user metadata; two rows per user
+    with different join dates."""
+    c = table(spark, d, "customer").select(
+        F.col("c_custkey").cast("string").alias("user_id"),
+        F.date_add(F.lit("2020-01-01").cast("date"), (F.col("c_custkey") % 1000).cast("int")).alias("join_date"),
+        F.col("c_nationkey").cast("string").alias("country"), F.col("c_mktsegment").alias("device_type"),
+        F.lit("free").alias("subscription_type"))
+    later = c.withColumn("join_date", F.date_add("join_date", 7)).withColumn("subscription_type", F.lit("pro"))
+    return c.unionByName(later)
+
+
+@register("metadata_csv_roundtrip", """
+select cast(c_custkey as varchar) as user_id,
+       date '2020-01-01' + cast(c_custkey % 1000 as integer) + 7 as join_date,
+       cast(c_nationkey as varchar) as country, c_mktsegment as device_type, 'pro' as subscription_type
+from customer
+""")
+def q_metadata_csv_roundtrip(spark, d):
+    """Metadata written as CSV with its columns in another order, read back by
+    name and reduced to the latest row per user."""
+    path = scratch_path(spark, "metadata-csv")
+    sinks.write_csv(_metadata(spark, d).select(*reversed(METADATA_SCHEMA.fieldNames())), path)
+    return en.latest_per_key(readers.read_metadata(spark, path), "user_id", order=["join_date"])
+
+
+@register("quality_report_customer", """
+with r as (
+select 'schema_extra' as check_name, c as column_name, cast(1 as bigint) as n_bad from (values
+  ('c_name'), ('c_nationkey'), ('c_acctbal'), ('c_mktsegment')) as t(c)
+union all select 'schema_missing', 'user_id', 1
+union all select 'nulls', 'c_custkey', (select count(*) from customer where c_custkey is null)
+union all select 'nulls', 'c_acctbal', (select count(*) from customer where c_acctbal is null))
+select *, case check_name when 'schema_missing' then printf('Missing required column: %s', column_name)
+          when 'schema_extra' then printf('Column %s: extra', column_name)
+          else printf('Found %d null values in column %s', n_bad, column_name) end as message
+from r where n_bad > 0
+""")
+def q_quality_report_customer(spark, d):
+    from pyspark.sql import types as T
+    cust = table(spark, d, "customer")
+    declared = T.StructType([cust.schema["c_custkey"], T.StructField("user_id", T.StringType())])
+    return reports.validate_data_quality(spark, cust, declared, as_of=AS_OF, table_name="customer") \
+        .drop("table_name")
+
+
+@register("first_events", """
+select event_id, user_id, ts from events order by ts, event_id limit 20
+""")
+def q_first_events(spark, d):
+    return sinks.preview(_events(spark, d).select("event_id", "user_id", "ts"), ["ts", "event_id"], 20)
