@@ -1,7 +1,7 @@
-"""Benchmark the headline queries; prints ONE JSON line.
+"""Benchmark every registered query of the library; prints ONE JSON line.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_RUNS (default 3), BENCH_SHUFFLE_PARTITIONS (default 2 x cpus; AQE
+BENCH_RUNS (default 2), BENCH_SHUFFLE_PARTITIONS (default 2 x cpus; AQE
 coalesces). Each query is forced to full execution with the
 ``noop`` sink (no collect to the driver); the value per query is the
 median of warm runs after one warm-up run.
@@ -18,28 +18,18 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-HEADLINE = [
-    "dau_exact", "dau_since", "dau_approx", "rolling_dau_sum_31", "mau_rolling_exact",
-    "wau_rolling_exact", "mau_rolling_hll", "mau_calendar", "user_day", "action_mix",
-    "session_events_midnight", "sessions_midnight", "sessions_plain", "sessions_clean",
-    "iqr_bounds", "session_summary", "session_time_of_week", "sessions_removed",
-    "event_value_capped", "enrich_broadcast", "enrich_salted", "enrich_merge",
-    "segment_activity", "hot_users", "metadata_latest", "quality_nulls", "quality_rules",
-    "quarantine_events", "dataset_diff_all",
-]
-
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     from tidemark.plans.catalog import QUERIES
     from tidemark.session import build_session
     partitions = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", 2 * cpus))
     spark = build_session(f"local[{cpus}]", shuffle_partitions=partitions,
                           app_name="tidemark-bench", extra={"spark.driver.memory": "16g"})
     times: dict[str, float] = {}
-    for name in HEADLINE:
+    for name in QUERIES:
         samples = []
         for i in range(runs + 1):
             t0 = time.perf_counter()
@@ -50,7 +40,7 @@ def main() -> None:
         print(f"{name:28s} {times[name]:.3f}s", file=sys.stderr)
     m = re.search(r"sf([0-9.]+)", sf_dir.rstrip("/"))
     print(json.dumps({
-        "metric": "headline_queries_total_median_sec",
+        "metric": "queries_total_median_sec",
         "value": round(sum(times.values()), 4),
         "unit": "sec",
         "queries": times,

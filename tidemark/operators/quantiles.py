@@ -4,22 +4,22 @@
 session lengths in whole seconds and action counts: values are counted
 (map-side first) and one window runs over the distinct ones.
 
-``exact_quantiles`` is for any numbers, by radix selection. The discrete quantile (``percentile_disc``: the smallest value whose
-cumulative count reaches ``p`` times the rows) is found digit by digit:
+``exact_quantiles`` is for any numbers, by radix selection. The discrete
+quantile (``percentile_disc``: the smallest value whose cumulative count
+reaches ``p`` times the rows) is found digit by digit:
 
-1. values are counted per (column, value), combined map-side before the
-   shuffle;
-2. every value is written as four order-preserving digits: class and
+1. every value is written as three order-preserving digits: class and
    exponent with the leading bits of the mantissa, then the rest of the
-   mantissa 16 bits at a time;
-3. a histogram of the first digit (some 70,000 groups at most, whatever the
-   data) tells which digit holds each wanted rank and the rank within it; only
-   values with that digit go on to the next histogram, and so on.
-
-No sketch and no sort of the data: what one task sees is a histogram of
-bounded size, so the plan holds at any number of rows or input tasks and the
-result is exact. NULLs are left out; NaN sorts last, as in Spark.
-Whole numbers are exact up to 2**53.
+   mantissa 20 bits at a time;
+2. a histogram of the first digit, combined map-side, tells which digit holds
+   each wanted rank and the rank within it;
+3. a second pass counts the next digit among the values with that digit, a
+   third the last.
+
+Only histograms are shuffled. Their size is bounded by the digits, whatever
+the rows or input tasks (and small for values of a few magnitudes), so the
+plan holds at any size and the result is exact. NULLs are left out; NaN sorts
+last, as in Spark. Whole numbers are exact up to 2**53.
 """
 
 from __future__ import annotations
@@ -27,8 +27,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HEAD_BITS = 4
-DIGIT_BITS = (16, 16, 16)  # with HEAD_BITS the 52 bits of a double's mantissa
+HEAD_BITS = 12
+DIGIT_BITS = (20, 20)  # with HEAD_BITS the 52 bits of a double's mantissa
 
 
 def _digits(v: Column) -> list[Column]:
@@ -42,24 +42,17 @@ def _digits(v: Column) -> list[Column]:
     out, scale = [], F.lit(float(1 << HEAD_BITS))
     head = F.floor(frac * scale)
     out.append(F.when(plain, (exponent + 1100) * (1 << HEAD_BITS) + head)
-               .when(size == 0, 0).otherwise(1 << 20))
+               .when(size == 0, 0).otherwise(1 << 30))
     rest = frac * scale - head
     for bits in DIGIT_BITS:
         scaled = rest * float(1 << bits)
         out.append(F.floor(scaled))
         rest = scaled - F.floor(scaled)
     sign = F.when(v < 0, -1).otherwise(1)
-    return [F.when(F.isnan(v), F.lit(1 << 21) if i == 0 else F.lit(0)).otherwise(d * sign).cast("long")
+    return [F.when(F.isnan(v), F.lit(1 << 31) if i == 0 else F.lit(0)).otherwise(d * sign).cast("long")
             for i, d in enumerate(out)]
 
 
-def _as_row(found: DataFrame, df: DataFrame, cols: list[str], n_probs: int) -> DataFrame:
-    """(c, k, v) rows -> one row of arrays in the columns' own types."""
-    return found.agg(*[
-        F.array(*[F.max(F.when((F.col("c") == i) & (F.col("k") == k), F.col("v"))) for k in range(n_probs)])
-        .cast(f"array<{df.schema[c].dataType.simpleString()}>").alias(f"q_{c}") for i, c in enumerate(cols)])
-
-
 def _values(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.select(F.explode(F.array(*[
         F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("v")) for i, c in enumerate(cols)
@@ -71,35 +64,41 @@ def discrete_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> Da
     sees is the distinct values of a column."""
     counted = _values(df, cols).groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
     whole = Window.partitionBy("c")
-    upto = F.sum("n").over(whole.orderBy("v"))
-    ranked = counted.select("c", "v", upto.alias("upto"), F.sum("n").over(whole).alias("total"))
-    found = ranked.select("c", "v", "upto", "total", F.posexplode(F.array(*[F.lit(float(p)) for p in probs]))
-                          .alias("k", "p"))
-    least = (found.where(F.col("upto") >= F.greatest(F.lit(1).cast("long"), F.ceil(F.col("p") * F.col("total"))))
-             .groupBy("c", "k").agg(F.min("v").alias("v")))
-    return _as_row(least, df, cols, len(probs))
+    ranked = counted.select("c", "v", F.sum("n").over(whole.orderBy("v")).alias("upto"),
+                            F.sum("n").over(whole).alias("total"))
+
+    def least(i, p):
+        reached = F.col("upto") >= F.greatest(F.lit(1).cast("long"), F.ceil(F.lit(float(p)) * F.col("total")))
+        return F.min(F.when((F.col("c") == i) & reached, F.col("v")))
+    return ranked.agg(*[F.array(*[least(i, p) for p in probs])
+                        .cast(f"array<{df.schema[c].dataType.simpleString()}>").alias(f"q_{c}")
+                        for i, c in enumerate(cols)])
 
 
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> DataFrame:
     """One row with an array column ``q_<col>`` per column (values in the
     order of ``probs``, in the column's own type; NULLs without rows)."""
-    values = _values(df, cols)
-    counted = values.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
     digits = _digits(F.col("v"))
     names = [f"d{i}" for i in range(len(digits))]
-    counted = counted.select("c", "v", "n", *[d.alias(x) for d, x in zip(digits, names, strict=True)])
-
-    totals = values.groupBy("c").agg(F.count(F.lit(1)).alias("total"))
-    # one row per column and probability: the rank still to find
-    wanted = totals.select("c", F.posexplode(F.array(*[F.lit(float(p)) for p in probs])).alias("k", "p"), "total") \
-        .select("c", "k", F.greatest(F.lit(1).cast("long"), F.ceil(F.col("p") * F.col("total"))).alias("rank"))
-    for i, digit in enumerate(names):
-        known = names[:i]
-        left = counted.join(F.broadcast(wanted), ["c", *known])  # len(cols) * len(probs) rows
-        hist = left.groupBy("c", "k", "rank", *known, digit).agg(F.sum("n").alias("n"), F.min("v").alias("v"))
-        upto = Window.partitionBy("c", "k").orderBy(digit)
-        hist = hist.withColumn("upto", F.sum("n").over(upto))
-        found = hist.where((F.col("upto") >= F.col("rank")) & (F.col("upto") - F.col("n") < F.col("rank")))
-        wanted = found.select("c", "k", *known, digit, (F.col("rank") - F.col("upto") + F.col("n")).alias("rank"),
-                              *(["v"] if i == len(names) - 1 else []))
-    return _as_row(wanted, df, cols, len(probs))
+    values = _values(df, cols)
+    values = values.select("c", "v", *[d.alias(x) for d, x in zip(digits, names, strict=True)])
+    count, low = F.count(F.lit(1)).alias("n"), F.min("v").alias("v")
+
+    # one row per column and probability: the digits found, the rank left
+    hist = values.groupBy("c", names[0]).agg(count, low)
+    whole = Window.partitionBy("c")
+    hist = hist.withColumn("upto", F.sum("n").over(whole.orderBy(names[0]))) \
+        .withColumn("total", F.sum("n").over(whole))
+    hist = hist.select("*", F.posexplode(F.array(*[F.lit(float(p)) for p in probs])).alias("k", "p")) \
+        .withColumn("rank", F.greatest(F.lit(1).cast("long"), F.ceil(F.col("p") * F.col("total"))))
+    for i in range(len(names)):
+        if i:
+            left = values.join(F.broadcast(found), ["c", *names[:i]])  # len(cols) * len(probs) rows
+            hist = left.groupBy("c", "k", "rank", *names[:i + 1]).agg(count, low)
+            hist = hist.withColumn("upto", F.sum("n").over(Window.partitionBy("c", "k").orderBy(names[i])))
+        here = hist.where((F.col("upto") >= F.col("rank")) & (F.col("upto") - F.col("n") < F.col("rank")))
+        found = here.select("c", "k", *names[:i + 1], (F.col("rank") - F.col("upto") + F.col("n")).alias("rank"),
+                            *(["v"] if i == len(names) - 1 else []))
+    return found.agg(*[
+        F.array(*[F.max(F.when((F.col("c") == i) & (F.col("k") == k), F.col("v"))) for k in range(len(probs))])
+        .cast(f"array<{df.schema[c].dataType.simpleString()}>").alias(f"q_{c}") for i, c in enumerate(cols)])
