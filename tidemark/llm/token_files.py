@@ -16,6 +16,7 @@ written and read block by block.
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 
@@ -25,9 +26,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.bpe import LATIN_END
 from tidemark.llm.common import Memo
 
 BLOCK = 65_536
+TEXTS = 64  # encoded at a time
 MAGIC = b"TMPL"
 HEADER = struct.Struct("<4sBBxxI")  # magic, bits per plane (1 or 8), planes, ids
 
@@ -73,42 +76,84 @@ def unpack(block: bytes) -> np.ndarray:
 
 
 class LibraryEncoder:
-    """The tokenizers library, asked once per recent piece between white space.
+    """The tokenizers library, asked once per recent word.
 
     A text is cut at ASCII white space: the vocabulary's splitting drops white
     space, no normalisation step composes across it and no special token holds
-    any, so the pieces' ids, one after the other, are the text's. Whether that
-    holds for the file at hand is checked when it is opened; otherwise whole
-    texts go to the library.
+    any, so the pieces' ids, one after the other, are the text's. Pieces in
+    plain Latin letters are cut on by the vocabulary's own pattern; words not
+    seen lately go to the library together, as one text, and its ids are dealt
+    back at the tokens that end a word. Whatever does not come back as one
+    word each, and every other piece, goes to the library alone.
     """
 
-    def __init__(self, path: str, memo: int = 400_000):
+    def __init__(self, path: str, limit: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import regex
         import tokenizers
 
         self.library = tokenizers.Tokenizer.from_file(path)
         self.library.no_padding()
         self.library.no_truncation()
-        probe = " a\tb'll  It\néé x1 "
-        whole = self.library.encode(probe, add_special_tokens=False).ids
-        self.pieces = Memo(lambda k: self._ids([k])[0], memo)
-        self.by_piece = whole == np.frombuffer(
-            b"".join([self.pieces[c] for c in probe.encode().split()]), "<u4").tolist()
-
-    def _ids(self, texts: list[bytes]) -> list[bytes]:
-        out = self.library.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
+        self.find = regex.compile(split["pattern"]["Regex"]).findall
+        suffix, vocab = spec["model"]["end_of_word_suffix"], spec["model"]["vocab"]
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends[[i for s, i in vocab.items() if s.endswith(suffix)]] = True
+        self.chunks, self.words = Memo(None, limit), Memo(None, limit)
+
+    def _alone(self, texts: list[str]) -> list[bytes]:
+        out = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in out]
 
-    def encode(self, text: bytes) -> bytes:
-        if not self.by_piece:
-            return self._ids([text])[0]
-        known, old = self.pieces, self.pieces.old
-        cut = text.split()
-        new = [c for c in set(cut) if c not in known and c not in old]
+    def _together(self, words: list[str]) -> list[bytes]:
+        ids = np.array(self.library.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
+        ends = np.flatnonzero(self.ends[ids]) + 1 if ids.max(initial=0) < len(self.ends) else []
+        if len(ends) != len(words) or ends[-1] != len(ids):
+            return self._alone(words)
+        raw, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
+        return [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+
+    def _learn(self, new: list[bytes]) -> None:
+        words, plain, odd, missing = self.words, [], [], {}
+        for c in new:
+            t = c.decode()
+            if t.isprintable() and max(t) < LATIN_END and "\u0130" not in t and "<|" not in t:
+                found = self.find(t.lower())
+                plain.append((c, found))
+                for w in found:
+                    if w not in words:
+                        if w in words.old:
+                            words[w] = words.old[w]
+                        else:
+                            missing[w] = None
+            else:
+                odd.append(c)
+        todo = list(missing)
+        for lo in range(0, len(todo), 500):
+            words.update(zip(todo[lo:lo + 500], self._together(todo[lo:lo + 500]), strict=True))
+        self.chunks.update((c, b"".join([words[w] for w in found])) for c, found in plain)
+        if odd:
+            self.chunks.update(zip(odd, self._alone([c.decode() for c in odd]), strict=True))
+        words.trim()
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """UTF-8 texts -> ids as little-endian unsigned 32-bit integers."""
+        chunks, old = self.chunks, self.chunks.old
+        cuts = [t.split() for t in texts]
+        new = []
+        for c in set().union(*cuts):
+            if c not in chunks:
+                if c in old:
+                    chunks[c] = old[c]
+                else:
+                    new.append(c)
         if new:
-            known.update(zip(new, self._ids(new), strict=True))
-        out = b"".join([known[c] for c in cut])
-        known.trim()
+            self._learn(new)
+        out = [b"".join([chunks[c] for c in cut]) for cut in cuts]
+        chunks.trim()
         return out
 
 
@@ -151,18 +196,23 @@ def write_tokens(docs: DataFrame, out: str, vocabulary: str, id_col: str = "doc_
             held, fill, index, chunk = [], 0, [], chunk + 1
             return row
 
-        for b in batches:
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                ids = encode(text) + end
-                n, skip = len(ids) // 4, 0
-                while skip < n:
-                    take = min(block - fill, n - skip)
-                    held.append(ids[4 * skip:4 * (skip + take)])
-                    index.append((doc, done, n, skip, take))
-                    fill, skip = fill + take, skip + take
-                    if fill == block:
-                        yield flush()
-                done += n
+        def encoded():
+            for b in batches:
+                for lo in range(0, len(b), TEXTS):
+                    some = b.slice(lo, TEXTS)
+                    yield from zip(some.column(0).to_pylist(), encode(some.column(1).to_pylist()), strict=True)
+
+        for doc, ids in encoded():
+            ids += end
+            n, skip = len(ids) // 4, 0
+            while skip < n:
+                take = min(block - fill, n - skip)
+                held.append(ids[4 * skip:4 * (skip + take)])
+                index.append((doc, done, n, skip, take))
+                fill, skip = fill + take, skip + take
+                if fill == block:
+                    yield flush()
+            done += n
         if fill:
             yield flush()
 
