@@ -256,5 +256,6 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     parts = chunks.groupBy("part").agg(F.sum("n_ids").alias("n"))
     before = parts.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
     cols = ["part", "doc_id", "start", "n_tokens", "ids"]
-    return (whole.select(cols).unionByName(cut.select(cols)).join(before, "part")
+    # two numbers per part: there are no more of them than range partitions
+    return (whole.select(cols).unionByName(cut.select(cols)).join(F.broadcast(before), "part")
             .select("doc_id", (F.col("before") + F.col("start")).alias("start"), "n_tokens", "ids"))
