@@ -22,7 +22,8 @@ if m is larger than H, some segments hold the same elements in both sets
 
 Equal sets are one class from the start, so copies cost nothing later on;
 links and components run over classes (see ``linking``): no pair inside a
-component is tested and none is listed. A class is named by a 63-bit hash of
+component is tested and none is listed. Classes whose segments link them to
+several components without a link are narrowed by their rarest shingles. A class is named by a 63-bit hash of
 its set.
 """
 
@@ -179,7 +180,7 @@ def _rows(key, cls, spare) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(key), pa.array(cls), pa.array(spare)], names=["key", "cls", "spare"])
 
 
-def _shared_only(batches):
+def shared_only(batches):
     """Of rows sorted by (key, cls): documents, and hashes of two sets or more.
 
     Streams; what it remembers is one row.
@@ -225,7 +226,7 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
                      F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("_text"))
     shape = "key long, cls long, spare int"
     rows = staged(docs.mapInArrow(_emit(words), shape).repartition("key").sortWithinPartitions("key", "cls")
-                  .mapInArrow(_shared_only, shape), "jaccard_rows")
+                  .mapInArrow(shared_only, shape), "jaccard_rows")
     sized = rows.filter("spare < 0").select(F.col("key").alias("id"), "cls", (-1 - F.col("spare")).alias("n"))
 
     hashes = rows.filter("spare >= 0")
@@ -264,7 +265,20 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
         return (near.join(a, "a").join(b, "b").withColumn("both", both)
                 .filter(F.col("both") * 100 >= (F.col("na") + F.col("nb") - F.col("both")) * 80))
 
-    labels = link_groups(members, verify).select(F.col("id").alias("cls"), "comp")
+    def rarest(ids: DataFrame) -> DataFrame:
+        """Prefix filter for the ids whose segments left them open, such as
+        texts around one common passage: in any one order of all shingles,
+        two linked sets share one among their first n - ceil(0.8 n) + 1.
+        Ordered by how many open sets hold them, the passage comes last."""
+        rows = found.join(ids.withColumnRenamed("id", "cls"), "cls").select(
+            F.col("cls").alias("id"), F.size("set").alias("n"), F.explode("set").alias("key"))
+        held = rows.groupBy("key").agg(F.count(F.lit(1)).alias("c"))
+        first = Window.partitionBy("id").orderBy("c", "key")
+        rows = (rows.join(held, "key").withColumn("r", F.row_number().over(first))
+                .filter(F.col("r") <= F.col("n") - F.ceil(F.col("n") * 80 / 100) + 1))
+        return rows.filter("c > 1").select("key", "id")
+
+    labels = link_groups(members, verify, rarest).select(F.col("id").alias("cls"), "comp")
     linked = (sized.filter("n > 0").join(labels, "cls", "left")
               .withColumn("comp", F.coalesce("comp", "cls")))
     names = linked.groupBy("comp").agg(F.min("id").alias("component_id"))

@@ -56,7 +56,8 @@ def components(edges: DataFrame) -> DataFrame:
     return cur.select(F.col("u").alias("id"), F.col("v").alias("comp"))
 
 
-def link_groups(members: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def link_groups(members: DataFrame, verify: Callable[[DataFrame], DataFrame],
+                refine: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Components of the links among ids that share a key: ``id, comp``.
 
     ``members`` has (key, id); two ids may be linked only if they share a key,
@@ -64,46 +65,59 @@ def link_groups(members: DataFrame, verify: Callable[[DataFrame], DataFrame]) ->
     asked for, so a pair within one component is never tested:
 
     1. each id is tested against one hub, the smallest id of its keys;
-    2. keys that still hold several components test their members against
+    2. keys that now hold one component are done. For the ids of the others,
+       ``refine`` may give new, more telling (key, id) rows under the same
+       promise: ids that may be linked share a key;
+    3. keys that still hold several components test their members against
        the key's smallest id, then its largest;
-    3. for keys that still do, the pairs across components are tested.
+    4. for keys that still do, the pairs across components are tested.
 
     A family of n similar ids costs about n tests instead of n squared, and no
     link between two components is lost.
     """
     members = members.select("key", "id")
-    tested = links = labels = None
-
-    def test(pairs: DataFrame) -> None:
-        nonlocal tested, links, labels
-        pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a != b").distinct()
+    hubs = members.groupBy("key").agg(F.min("id").alias("hub"))
+    pairs = (members.join(hubs, "key").groupBy("id").agg(F.min("hub").alias("hub"))
+             .select(F.col("id").alias("a"), F.col("hub").alias("b")))
+    tested = labels = None
+    for step in ("hub", "min", "max", "all"):
+        if step != "hub":
+            live = _live(members, labels)
+            if step == "min" and refine is not None:
+                members = staged(refine(live.select("id").distinct()), "link_refined")
+                live = _live(members, labels)
+            live = staged(live, "link_live")
+            if live.isEmpty():
+                break
+            members = live.select("key", "id")
+            pairs = _cross_pairs(live, step)
+        pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")) \
+            .filter("a != b").distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = staged(pairs, "link_pairs")
         found = staged(verify(pairs).select("a", "b"), "links")
         tested = pairs if tested is None else tested.unionByName(pairs)
-        # star links of earlier rounds stand for the components found so far
-        links = found if labels is None else found.unionByName(
-            labels.select(F.col("id").alias("a"), F.col("comp").alias("b")))
-        labels = components(links)
-
-    hubs = members.groupBy("key").agg(F.min("id").alias("hub"))
-    test(members.join(hubs, "key").groupBy("id").agg(F.min("hub").alias("hub"))
-         .select(F.col("id").alias("a"), F.col("hub").alias("b")))
-    for pick in ("min", "max", "all"):
-        placed = members.join(labels, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-        live = (placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
-                                          F.min("id").alias("first"), F.max("id").alias("last"))
-                .filter("lo != hi"))
-        live = staged(placed.join(live, "key").select("key", "id", "comp", "first", "last"), "link_live")
-        if live.isEmpty():
-            break
-        members = live.select("key", "id")
-        if pick == "all":
-            other = live.select("key", F.col("id").alias("b"), F.col("comp").alias("other"))
-            test(live.join(other, "key").filter("comp < other").select(F.col("id").alias("a"), "b"))
-            break
-        hub = "first" if pick == "min" else "last"
-        of = placed.select(F.col("id").alias(hub), F.col("comp").alias("hub_comp")).distinct()
-        test(live.join(of, hub).filter("comp != hub_comp").select(F.col("id").alias("a"), F.col(hub).alias("b")))
+        if labels is not None:  # stars stand for the components found so far
+            found = found.unionByName(labels.select(F.col("id").alias("a"), F.col("comp").alias("b")))
+        labels = components(found)
     return labels
+
+
+def _live(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of keys that hold several components, with their component and
+    the key's smallest and largest id and those ids' components."""
+    placed = members.join(labels, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+    keys = (placed.groupBy("key").agg(
+        F.min("comp").alias("lo"), F.max("comp").alias("hi"),
+        F.min(F.struct("id", "comp")).alias("first"), F.max(F.struct("id", "comp")).alias("last"))
+        .filter("lo != hi"))
+    return placed.join(keys, "key").select("key", "id", "comp", "first", "last")
+
+
+def _cross_pairs(live: DataFrame, step: str) -> DataFrame:
+    if step == "all":
+        other = live.select("key", F.col("id").alias("b"), F.col("comp").alias("other"))
+        return live.join(other, "key").filter("comp < other").select(F.col("id").alias("a"), "b")
+    hub = F.col("first" if step == "min" else "last")
+    return live.filter(F.col("comp") != hub["comp"]).select(F.col("id").alias("a"), hub["id"].alias("b"))
