@@ -6,9 +6,11 @@
 2. Each line gets a 64-bit SimHash of its words, weighted by their length, as
    long words tell lines apart. Rows carry hashes and places, never text.
    Equal normal forms are one class from the start.
-3. Two classes are candidates if their SimHashes differ in at most three
-   bits. Of five blocks at least two are then equal (pigeonhole), so each
-   class is keyed by the ten pairs of blocks: 25 or 26 bits in common.
+3. Two classes are candidates if their SimHashes differ in at most two bits.
+   Of four blocks at least two are then equal (pigeonhole), so each class is
+   keyed by the six pairs of blocks: 32 bits in common. Classes whose keys
+   leave several components open get longer keys: one of three parts of the
+   other 32 bits must be equal too, and the lengths must be near.
 4. Candidates are verified by edit similarity (1 - Levenshtein distance /
    longer length >= ``similarity``) on the normal forms, which are read again
    only for classes that share a key. Links and components run as in
@@ -22,6 +24,7 @@ lose one (a slot filter of fixed size passes the others through).
 
 from __future__ import annotations
 
+import math
 import string
 from itertools import combinations
 
@@ -33,12 +36,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import Memo, in_slots, slot_bytes, slot_filter, staged, with_slot_flag
+from tidemark.llm.jaccard_join import shared_only
 from tidemark.llm.linking import link_groups
 
 MIN_WORDS = 4
 SIMILARITY = 0.9
-BITS_APART = 3
-BLOCKS = [(0, 13), (13, 13), (26, 13), (39, 13), (52, 12)]  # (lowest bit, bits)
+BITS_APART = 2
+BLOCKS = [(0, 16), (16, 16), (32, 16), (48, 16)]  # (lowest bit, bits)
+PARTS = [(0, 11), (11, 11), (22, 10)]  # of the 32 bits outside a pair of blocks
 BATCH_WORDS = 16_384
 
 _FORM = bytes.maketrans(string.ascii_uppercase.encode() + string.digits.encode(),
@@ -112,24 +117,41 @@ def hashed_lines(rows: DataFrame, min_words: int) -> DataFrame:
         run, f"_id {kind}, _row long, line long, cls long, sim long, chars long")
 
 
+def _signed(mask: int) -> int:
+    return mask - (1 << 64) if mask >> 63 else mask
+
+
 def block_keys(sim):
-    """The ten keys: a pair of blocks each, masked and named by the pair."""
+    """The six keys: a pair of blocks each, masked and named by the pair."""
+    masks = [sum(((1 << n) - 1) << lo for lo, n in pair) for pair in combinations(BLOCKS, 2)]
+    return F.explode(F.array(*[F.xxhash64(F.lit(i), sim.bitwiseAND(F.lit(_signed(m)))) for i, m in enumerate(masks)]))
+
+
+def long_keys(sim, chars, similarity: float):
+    """Keys of a pair of blocks, a part of the rest and a length band; of two
+    classes that may be linked, lengths fall in one band or in neighbours, and
+    each class shows its own band and the next."""
+    band = F.floor(F.log(F.greatest(chars, F.lit(1)).cast("double")) / F.lit(-math.log(similarity) + 1e-9))
     out = []
     for i, pair in enumerate(combinations(BLOCKS, 2)):
         mask = sum(((1 << n) - 1) << lo for lo, n in pair)
-        mask -= (1 << 64) if mask >= 1 << 63 else 0
-        out.append(F.xxhash64(F.lit(i), sim.bitwiseAND(F.lit(mask))))
+        rest = [b for b in range(64) if not mask >> b & 1]
+        for j, (lo, n) in enumerate(PARTS):
+            part = mask | sum(1 << b for b in rest[lo:lo + n])
+            out += [F.xxhash64(F.lit(i), F.lit(j), sim.bitwiseAND(F.lit(_signed(part))), band + up) for up in (0, 1)]
     return F.explode(F.array(*out))
 
 
 def linked_classes(rows: DataFrame, classes: DataFrame, min_words: int, similarity: float) -> DataFrame:
     """``id, comp`` of line classes that are near another."""
-    keyed = classes.select(block_keys(F.col("sim")).alias("key"), F.col("cls").alias("id"))
-    common = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("key")
-    members = staged(keyed.join(common, "key", "left_semi"), "line_members")
+    keyed = classes.select(block_keys(F.col("sim")).alias("key"), "cls", F.lit(0).alias("spare"))
+    members = staged(keyed.repartition("key").sortWithinPartitions("key", "cls")
+                     .mapInArrow(shared_only, "key long, cls long, spare int")
+                     .select("key", F.col("cls").alias("id")), "line_members")
     asked = staged(members.select(F.col("id").alias("cls")).distinct(), "line_asked")
+    bits = slot_filter(asked, F.col("cls"))
 
-    slots = rows.sparkSession.sparkContext.broadcast(slot_bytes(slot_filter(asked, F.col("cls"))))
+    slots = rows.sparkSession.sparkContext.broadcast(slot_bytes(bits))
 
     def forms(batches):
         seen: set[int] = set()
@@ -153,8 +175,8 @@ def linked_classes(rows: DataFrame, classes: DataFrame, min_words: int, similari
     texts = (rows.select(F.coalesce("_text", F.lit("")).cast("binary"))
              .mapInArrow(forms, "cls long, form string").join(asked, "cls", "left_semi"))
     texts = staged(texts.groupBy("cls").agg(F.min("form").alias("form")), "line_forms")
-    info = classes.join(asked, "cls", "left_semi").select("cls", "sim", "chars")
-    info = staged(info, "line_info")
+    info = with_slot_flag(classes.select("cls", "sim", "chars"), bits, F.col("cls"), "_asked").filter("_asked")
+    info = staged(info.join(asked, "cls", "left_semi").drop("_asked"), "line_info")
 
     def verify(pairs: DataFrame) -> DataFrame:
         side = lambda t, x, cols: t.select(F.col("cls").alias(x), *[F.col(c).alias(c + x) for c in cols])
@@ -166,7 +188,11 @@ def linked_classes(rows: DataFrame, classes: DataFrame, min_words: int, similari
         both = near.join(side(texts, "a", ["form"]), "a").join(side(texts, "b", ["form"]), "b")
         return both.filter(F.expr("levenshtein(forma, formb, most)") >= 0)
 
-    return link_groups(members, verify)
+    def longer(ids: DataFrame) -> DataFrame:
+        return info.join(ids.withColumnRenamed("id", "cls"), "cls") \
+            .select(long_keys(F.col("sim"), F.col("chars"), similarity).alias("key"), F.col("cls").alias("id"))
+
+    return link_groups(members, verify, longer)
 
 
 def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,
@@ -188,12 +214,18 @@ def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", mi
     classes = staged(lines.groupBy("cls").agg(F.min("sim").alias("sim"), F.min("chars").alias("chars"),
                                               F.min(place).alias("first"), F.max(place).alias("last")), "line_classes")
     labels = linked_classes(rows, classes, min_words, similarity)
-    labels = labels.select(F.col("id").alias("cls"), "comp")
-    placed = classes.join(labels, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+    labels = staged(labels.select(F.col("id").alias("cls"), "comp"), "line_labels")
+    # only classes that are linked or occur twice go on
+    ends = labels.select("cls").unionByName(labels.select(F.col("comp").alias("cls"))).distinct()
+    some = with_slot_flag(classes, slot_filter(ends, F.col("cls")), F.col("cls"), "_linked")
+    some = some.filter(F.col("_linked") | (F.col("first") != F.col("last"))).select("cls", "first", "last")
+    placed = some.join(labels, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     stays = placed.groupBy("comp").agg(F.min("first").alias("stays"), F.max("last").alias("last")) \
         .filter("stays != last").select("comp", "stays")
-    repeated = placed.select("cls", "comp").join(stays, "comp").select("cls", "stays")
-    gone = lines.join(repeated, "cls").filter(place != F.col("stays")).select("_id", "_row", "line").distinct()
+    repeated = staged(placed.select("cls", "comp").join(stays, "comp").select("cls", "stays"), "line_repeated")
+    held = with_slot_flag(lines.select("_id", "_row", "line", "cls"), slot_filter(repeated, F.col("cls")),
+                          F.col("cls"), "_held").filter("_held")
+    gone = held.join(repeated, "cls").filter(place != F.col("stays")).select("_id", "_row", "line").distinct()
     gone = staged(gone.groupBy("_id", "_row").agg(F.collect_list("line").alias("gone")), "line_gone")
 
     bits = slot_filter(gone, F.col("_row"))
