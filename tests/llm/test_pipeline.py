@@ -43,6 +43,28 @@ def test_stages_take_odd_rows(spark, make_docs, prose):
         assert (docs.count() > 0) == (data.count() > 0)
 
 
+def test_last_stage_decodes_its_ids(spark, make_docs, prose, vocabulary):
+    import hashlib
+    import os
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    import tokenizers
+    library = tokenizers.Tokenizer.from_file(vocabulary)
+    library.no_padding()
+    library.no_truncation()
+    rows = [(i, prose(30 + i, i)) for i in range(9)] + [(20, None), (21, ""), (22, "Don't STOP it'll é 日本 1234"),
+                                                       (23, "a  b\n\nc")]
+    docs = make_docs(rows).select(corpus_pipeline.COLUMNS)
+    got = {r.doc_id: r for r in corpus_pipeline.encode(spark, docs, SF001).collect()}
+    assert len(got) == len(rows)
+    for i, t in rows:
+        want = library.encode(t or "", add_special_tokens=False).ids
+        text = library.decode(want, skip_special_tokens=False)
+        assert got[i].n_tokens == len(want)
+        assert list(memoryview(bytes(got[i].ids)).cast("I")) == want
+        assert got[i].ids_sha256 == hashlib.sha256(bytes(got[i].ids)).hexdigest()
+        assert got[i].decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
+
+
 def test_slot_filter_never_says_no_to_a_key(spark):
     keys = spark.range(0, 5000).select(F.xxhash64("id").alias("k"))
     bits = slot_filter(keys, F.col("k"))
