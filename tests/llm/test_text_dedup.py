@@ -1,3 +1,4 @@
+import random
 import re
 
 from tidemark.llm import line_dedup, substring_dedup
@@ -119,6 +120,37 @@ def test_lines_match_brute_force(make_docs, prose):
     assert by[22].text == "other words stand in here" and by[0].n_removed == 0
 
 
+def reworded(line, seed, whole_word):
+    """``line`` with one letter or one word changed; similarity 0.9 or more."""
+    rnd, words = random.Random(seed), line.split()
+    fits = [k for k, w in enumerate(words) if 2 <= len(w) <= len(line) // 10] if whole_word else range(len(words))
+    k = rnd.choice(list(fits))
+    n = len(words[k]) if whole_word else 1
+    at = rnd.randrange(len(words[k]) - n + 1)
+    words[k] = words[k][:at] + "z" * n + words[k][at + n:]
+    return " ".join(words)
+
+
+def test_reworded_lines_lose_their_copies(make_docs, prose):
+    line = {k: prose(5 + k % 46, 2000 + k) for k in range(138)}
+    rows = list(line.items()) + [(1000 + k, reworded(t, k, False)) for k, t in line.items()]
+    rows += [(2000 + k, reworded(t, k, True)) for k, t in line.items() if len(t.split()) >= 12]
+    got = {r.doc_id: r for r in line_dedup.line_dedup(make_docs(rows)).collect()}
+    assert [i for i in line if got[i].n_removed] == []
+    assert [i for i, _ in rows if i >= 1000 and got[i].text != ""] == []
+
+
+def test_scattered_changes_are_mostly_found(make_docs, prose):
+    line = {k: prose(12 + k % 39, 4000 + k) for k in range(120)}
+    rows = list(line.items())
+    for k, t in line.items():  # three letters in a hundred, well above the similarity
+        for j in range(max(2, len(t) * 3 // 100)):
+            t = reworded(t, 100 * k + j, False)
+        rows.append((1000 + k, t))
+    got = line_dedup.line_dedup(make_docs(rows)).collect()
+    assert sum(r.n_removed for r in got if r.doc_id >= 1000) >= 0.95 * len(line)
+
+
 def test_line_columns_and_empty_table(make_docs):
     out = line_dedup.line_dedup(make_docs([]))
     assert out.count() == 0 and out.columns.count("n_removed") == 1

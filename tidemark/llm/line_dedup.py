@@ -3,17 +3,20 @@
 1. Each text is cut at line ends. A line's normal form: A-Z lower-cased,
    digits made 0, ASCII punctuation dropped, words joined by one space. Lines
    of fewer than ``min_words`` words are left alone.
-2. Each line gets a 64-bit SimHash of its words, weighted by their length, as
-   long words tell lines apart. Rows carry hashes and places, never text.
-   Equal normal forms are one class from the start.
-3. Two classes are candidates if their SimHashes differ in at most two bits.
-   Of four blocks at least two are then equal (pigeonhole), so each class is
-   keyed by the six pairs of blocks: 32 bits in common. Classes whose keys
-   leave several components open get longer keys: one of three parts of the
-   other 32 bits must be equal too, and the lengths must be near.
+2. Equal normal forms are one class from the start. Rows carry hashes and
+   places, never text.
+3. Two classes are candidates if they share a key of one of three kinds.
+   SimHash: 64 bits over the words, weighted by their length, as long words
+   tell lines apart; of five blocks at least two are equal (pigeonhole) if
+   three bits differ at most, so the ten pairs of blocks are keys. MinHash: 24
+   bands of five minima over the words, with the same preference for long
+   ones; SimHashes of lines with one word changed are mostly further apart
+   than three bits. Left out: for lines of up to 16 words, the line and the
+   line without each of its words. Classes whose keys leave several components
+   open get each key with a band of lengths.
 4. Candidates are verified by edit similarity (1 - Levenshtein distance /
-   longer length >= ``similarity``) on the normal forms, which are read again
-   only for classes that share a key. Links and components run as in
+   longer length >= ``similarity``) alone, on the normal forms, which are read
+   again only for classes that share a key. Links and components run as in
    ``linking``: no pair inside a component is tested.
 5. Of each component, copies included, the occurrence in the smallest id
    stays (the first, within a document); the others are removed.
@@ -41,9 +44,10 @@ from tidemark.llm.linking import link_groups
 
 MIN_WORDS = 4
 SIMILARITY = 0.9
-BITS_APART = 2
-BLOCKS = [(0, 16), (16, 16), (32, 16), (48, 16)]  # (lowest bit, bits)
-PARTS = [(0, 11), (11, 11), (22, 10)]  # of the 32 bits outside a pair of blocks
+BITS_APART = 64  # SimHash proposes pairs; it rejects none, however many bits differ
+BLOCKS = [(0, 13), (13, 13), (26, 13), (39, 13), (52, 12)]  # (lowest bit, bits)
+BANDS, BAND_MINIMA = 24, 5
+LEFT_OUT_WORDS = 16
 BATCH_WORDS = 16_384
 
 _FORM = bytes.maketrans(string.ascii_uppercase.encode() + string.digits.encode(),
@@ -64,9 +68,9 @@ def line_words(text: bytes) -> list[list[bytes]]:
     return [line.split() for line in text.translate(_FORM, _DROP).split(b"\n")]
 
 
-def simhashes(lines: list[list[bytes]]) -> np.ndarray:
-    """64-bit SimHash of each (non-empty) list of words."""
-    out = np.empty(len(lines), np.int64)
+def _parts(lines: list[list[bytes]]):
+    """Slices of (non-empty) lists of words with the hash and the weight of
+    each word and the place where each list starts."""
     at = 0
     while at < len(lines):
         upto, held = at, 0
@@ -78,73 +82,137 @@ def simhashes(lines: list[list[bytes]]) -> np.ndarray:
         with np.errstate(over="ignore"):
             h = (both >> np.uint64(6)) * np.uint64(0x9E3779B97F4A7C15)
             h ^= h >> np.uint64(32)
-        bits = np.unpackbits(h.view(np.uint8).reshape(held, 8), axis=1) * weight[:, None]
-        starts = np.cumsum([0] + [len(x) for x in lines[at:upto - 1]])
-        ones, total = np.add.reduceat(bits, starts, axis=0), np.add.reduceat(weight, starts)
-        out[at:upto] = np.packbits(2 * ones > total[:, None], axis=1).view(np.int64).ravel()
+        yield at, upto, h, weight, np.cumsum([0] + [len(x) for x in lines[at:upto - 1]])
         at = upto
     _words.trim()
+
+
+def simhashes(lines: list[list[bytes]]) -> np.ndarray:
+    """64-bit SimHash of each (non-empty) list of words."""
+    out = np.empty(len(lines), np.int64)
+    for at, upto, h, weight, starts in _parts(lines):
+        bits = np.unpackbits(h.view(np.uint8).reshape(len(h), 8), axis=1) * weight[:, None]
+        ones, total = np.add.reduceat(bits, starts, axis=0), np.add.reduceat(weight, starts)
+        out[at:upto] = np.packbits(2 * ones > total[:, None], axis=1).view(np.int64).ravel()
     return out
 
 
+_MULS = np.random.Generator(np.random.Philox(key=[24, 5])).integers(
+    1, 1 << 63, (BANDS, BAND_MINIMA), dtype=np.uint64) << np.uint64(1) | np.uint64(1)
+_SHIFT = np.array([0, 0, 0, 1, 1, 2, 2, 2, 3, 3, 3, 3], np.uint64)  # by weight
+
+
+def _mixed(key: np.ndarray, value: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        key = (key ^ value) * np.uint64(0x9E3779B97F4A7C15)
+    return key ^ key >> np.uint64(31)
+
+
+def band_keys(lines: list[list[bytes]]) -> np.ndarray:
+    """(lines, BANDS) MinHash keys; a word's hash is halved per weight step."""
+    out = np.empty((len(lines), BANDS), np.uint64)
+    for at, upto, h, weight, starts in _parts(lines):
+        shift = _SHIFT[weight]
+        for i in range(BANDS):
+            key = np.full(upto - at, i + 1, np.uint64)
+            for mul in _MULS[i]:
+                with np.errstate(over="ignore"):
+                    key = _mixed(key, np.minimum.reduceat((h * mul) >> shift, starts))
+            out[at:upto, i] = key
+    return out.view(np.int64)
+
+
+def block_keys(sims: np.ndarray) -> np.ndarray:
+    """(lines, 10) keys: a pair of blocks each, masked and named by the pair."""
+    masks = [sum(((1 << n) - 1) << lo for lo, n in pair) for pair in combinations(BLOCKS, 2)]
+    sims = sims.view(np.uint64)
+    return np.stack([_mixed(np.full(len(sims), 1000 + i, np.uint64) << np.uint64(40), sims & np.uint64(m))
+                     for i, m in enumerate(masks)], axis=1).view(np.int64)
+
+
+def left_out_keys(words: list[bytes]) -> set[int]:
+    """Names of a short line and of the line without each of its words."""
+    if len(words) > LEFT_OUT_WORDS:
+        return set()
+    return {_name(words), *(_name(words[:i] + words[i + 1:]) for i in range(len(words)))}
+
+
 def _name(words: list[bytes]) -> int:
     return xxhash.xxh3_64_intdigest(b" ".join(words)) - (1 << 63)
 
 
-def hashed_lines(rows: DataFrame, min_words: int) -> DataFrame:
-    """(_id, _row, line, cls, sim, chars) of every line long enough."""
+def hashed_lines(rows: DataFrame, exact_words: int) -> DataFrame:
+    """(_id, _row, line, cls, chars) of every line long enough. Lines of
+    punctuation only have no normal form; they are named as they stand."""
     def run(batches):
         for b in batches:
             docs, hashes, texts = b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()
             for lo in range(0, len(docs), 256):
-                out, kept = [], []
+                out = []
                 for doc, row, text in zip(docs[lo:lo + 256], hashes[lo:lo + 256], texts[lo:lo + 256], strict=True):
+                    raw = None
                     for k, words in enumerate(line_words(text)):
-                        if len(words) >= min_words:
+                        if words and len(words) >= exact_words:
                             form = b" ".join(words)
-                            kept.append(words)
-                            out.append((doc, row, k, xxhash.xxh3_64_intdigest(form) - (1 << 63), len(form.decode())))
+                            out.append((doc, row, k, _name(words), len(form.decode())))
+                        elif not words and exact_words <= 1:
+                            raw = raw or text.split(b"\n")
+                            if marks := raw[k].split():
+                                out.append((doc, row, k, _name([b"\n", *marks]), 0))
                 if not out:
                     continue
                 c = list(zip(*out, strict=True))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c[0], b.schema.field(0).type), pa.array(c[1], pa.int64()), pa.array(c[2], pa.int64()),
-                     pa.array(c[3], pa.int64()), pa.array(simhashes(kept)), pa.array(c[4], pa.int64())],
-                    names=["_id", "_row", "line", "cls", "sim", "chars"])
+                    [pa.array(c[0], b.schema.field(0).type), *[pa.array(x, pa.int64()) for x in c[1:]]],
+                    names=["_id", "_row", "line", "cls", "chars"])
 
     kind = rows.schema["_id"].dataType.simpleString()
     return rows.select("_id", "_row", F.coalesce("_text", F.lit("")).cast("binary")).mapInArrow(
-        run, f"_id {kind}, _row long, line long, cls long, sim long, chars long")
-
+        run, f"_id {kind}, _row long, line long, cls long, chars long")
 
-def _signed(mask: int) -> int:
-    return mask - (1 << 64) if mask >> 63 else mask
 
+def keyed_lines(texts: DataFrame, min_words: int) -> DataFrame:
+    """(key, cls, spare) of every line of ``min_words`` words or more."""
+    def run(batches):
+        seen: set[int] = set()
+        for b in batches:
+            docs = b.column(0).to_pylist()
+            for lo in range(0, len(docs), 256):
+                lines, names = [], []
+                for text in docs[lo:lo + 256]:
+                    for words in line_words(text):
+                        if words and len(words) >= min_words and (name := _name(words)) not in seen:
+                            if len(seen) > 200_000:
+                                seen.clear()
+                            seen.add(name)
+                            lines.append(words)
+                            names.append(name)
+                if not lines:
+                    continue
+                fixed = np.concatenate([block_keys(simhashes(lines)), band_keys(lines)], axis=1)
+                out = [left_out_keys(words) for words in lines]
+                left = np.fromiter((k for keys in out for k in keys), np.int64)
+                key = np.concatenate([fixed.ravel(), left])
+                names = np.array(names, np.int64)
+                cls = np.concatenate([np.repeat(names, fixed.shape[1]), np.repeat(names, [len(x) for x in out])])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key), pa.array(cls), pa.array(np.zeros(len(key), np.int32))],
+                    names=["key", "cls", "spare"])
 
-def block_keys(sim):
-    """The six keys: a pair of blocks each, masked and named by the pair."""
-    masks = [sum(((1 << n) - 1) << lo for lo, n in pair) for pair in combinations(BLOCKS, 2)]
-    return F.explode(F.array(*[F.xxhash64(F.lit(i), sim.bitwiseAND(F.lit(_signed(m)))) for i, m in enumerate(masks)]))
+    return texts.mapInArrow(run, "key long, cls long, spare int")
 
 
-def long_keys(sim, chars, similarity: float):
-    """Keys of a pair of blocks, a part of the rest and a length band; of two
-    classes that may be linked, lengths fall in one band or in neighbours, and
-    each class shows its own band and the next."""
+def with_length_band(key, chars, similarity: float):
+    """The key with a band of lengths; of two classes that may be linked,
+    lengths fall in one band or in neighbours, and each class shows its own
+    band and the next."""
     band = F.floor(F.log(F.greatest(chars, F.lit(1)).cast("double")) / F.lit(-math.log(similarity) + 1e-9))
-    out = []
-    for i, pair in enumerate(combinations(BLOCKS, 2)):
-        mask = sum(((1 << n) - 1) << lo for lo, n in pair)
-        rest = [b for b in range(64) if not mask >> b & 1]
-        for j, (lo, n) in enumerate(PARTS):
-            part = mask | sum(1 << b for b in rest[lo:lo + n])
-            out += [F.xxhash64(F.lit(i), F.lit(j), sim.bitwiseAND(F.lit(_signed(part))), band + up) for up in (0, 1)]
-    return F.explode(F.array(*out))
+    return F.explode(F.array(*[F.xxhash64(key, band + up) for up in (0, 1)]))
 
 
 def linked_classes(rows: DataFrame, classes: DataFrame, min_words: int, similarity: float) -> DataFrame:
     """``id, comp`` of line classes that are near another."""
-    keyed = classes.select(block_keys(F.col("sim")).alias("key"), "cls", F.lit(0).alias("spare"))
+    keyed = keyed_lines(rows.select(F.coalesce("_text", F.lit("")).cast("binary")), min_words)
     members = staged(keyed.repartition("key").sortWithinPartitions("key", "cls")
                      .mapInArrow(shared_only, "key long, cls long, spare int")
                      .select("key", F.col("cls").alias("id")), "line_members")
@@ -158,7 +226,7 @@ def linked_classes(rows: DataFrame, classes: DataFrame, min_words: int, similari
         for b in batches:
             found, text = [], []
             for t in b.column(0).to_pylist():
-                lines = [w for w in line_words(t) if len(w) >= min_words]
+                lines = [w for w in line_words(t) if w and len(w) >= min_words]
                 if not lines:
                     continue
                 names = np.array([_name(w) for w in lines], np.int64)
@@ -175,13 +243,12 @@ def linked_classes(rows: DataFrame, classes: DataFrame, min_words: int, similari
     texts = (rows.select(F.coalesce("_text", F.lit("")).cast("binary"))
              .mapInArrow(forms, "cls long, form string").join(asked, "cls", "left_semi"))
     texts = staged(texts.groupBy("cls").agg(F.min("form").alias("form")), "line_forms")
-    info = with_slot_flag(classes.select("cls", "sim", "chars"), bits, F.col("cls"), "_asked").filter("_asked")
+    info = with_slot_flag(classes.select("cls", "chars"), bits, F.col("cls"), "_asked").filter("_asked")
     info = staged(info.join(asked, "cls", "left_semi").drop("_asked"), "line_info")
 
     def verify(pairs: DataFrame) -> DataFrame:
         side = lambda t, x, cols: t.select(F.col("cls").alias(x), *[F.col(c).alias(c + x) for c in cols])
-        near = (pairs.join(side(info, "a", ["sim", "chars"]), "a").join(side(info, "b", ["sim", "chars"]), "b")
-                .filter(F.bit_count(F.col("sima").bitwiseXOR(F.col("simb"))) <= BITS_APART)
+        near = (pairs.join(side(info, "a", ["chars"]), "a").join(side(info, "b", ["chars"]), "b")
                 .withColumn("longer", F.greatest("charsa", "charsb"))
                 .withColumn("most", F.floor(F.col("longer") * F.lit(1 - similarity) + F.lit(1e-9)).cast("int"))
                 .filter(F.abs(F.col("charsa") - F.col("charsb")) <= F.col("most")).select("a", "b", "most"))
@@ -189,8 +256,8 @@ def linked_classes(rows: DataFrame, classes: DataFrame, min_words: int, similari
         return both.filter(F.expr("levenshtein(forma, formb, most)") >= 0)
 
     def longer(ids: DataFrame) -> DataFrame:
-        return info.join(ids.withColumnRenamed("id", "cls"), "cls") \
-            .select(long_keys(F.col("sim"), F.col("chars"), similarity).alias("key"), F.col("cls").alias("id"))
+        return members.join(ids, "id").join(info.withColumnRenamed("cls", "id"), "id") \
+            .select(with_length_band(F.col("key"), F.col("chars"), similarity).alias("key"), "id")
 
     return link_groups(members, verify, longer)
 
@@ -211,8 +278,8 @@ def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", mi
                      F.xxhash64(id_col, text_col).alias("_row"))
     lines = staged(hashed_lines(rows, min_words), "line_rows")
     place = F.struct(F.col("_id").isNull().alias("none"), "_id", "_row", "line")
-    classes = staged(lines.groupBy("cls").agg(F.min("sim").alias("sim"), F.min("chars").alias("chars"),
-                                              F.min(place).alias("first"), F.max(place).alias("last")), "line_classes")
+    classes = staged(lines.groupBy("cls").agg(F.min("chars").alias("chars"), F.min(place).alias("first"),
+                                              F.max(place).alias("last")), "line_classes")
     labels = linked_classes(rows, classes, min_words, similarity)
     labels = staged(labels.select(F.col("id").alias("cls"), "comp"), "line_labels")
     # only classes that are linked or occur twice go on
