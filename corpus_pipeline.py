@@ -32,8 +32,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Near-repeated lines go; every document stays, if need be without text."""
-    return _documents(line_dedup.line_dedup(docs))
+    """Near-repeated lines go, short ones if they are equal; every document stays, if need be without text."""
+    return _documents(line_dedup.line_dedup(docs, exact_words=1))
 
 
 def one_per_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -151,6 +151,18 @@ def test_scattered_changes_are_mostly_found(make_docs, prose):
     assert sum(r.n_removed for r in got if r.doc_id >= 1000) >= 0.95 * len(line)
 
 
+def test_short_lines_lose_exact_repeats(spark, make_docs, prose):
+    import corpus_pipeline
+    rows = [(k, f"All rights reserved.\n{prose(20, 6000 + k)}\n\n---\nend {'abc'[k % 3] * 3}") for k in range(6)]
+    docs = make_docs([*rows, (9, "ALL  rights reserved\n***\n"), (10, None)])
+    body = {k: t.split("\n")[1] for k, t in rows}
+    want = {k: f"{body[k]}\n" + (f"\nend {'abc'[k] * 3}" if k < 3 else "") for k in body}
+    want |= {0: rows[0][1], 9: "***\n", 10: None}
+    for out in (line_dedup.line_dedup(docs, exact_words=1),
+                corpus_pipeline.dedup_lines(spark, docs.select(corpus_pipeline.COLUMNS), "")):
+        assert {r.doc_id: r.text for r in out.collect()} == want
+
+
 def test_line_columns_and_empty_table(make_docs):
     out = line_dedup.line_dedup(make_docs([]))
     assert out.count() == 0 and out.columns.count("n_removed") == 1

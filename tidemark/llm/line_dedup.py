@@ -1,10 +1,11 @@
 """Fuzzy line deduplication: SimHash, pigeonhole blocks, edit similarity.
 
 1. Each text is cut at line ends. A line's normal form: A-Z lower-cased,
-   digits made 0, ASCII punctuation dropped, words joined by one space. Lines
-   of fewer than ``min_words`` words are left alone.
-2. Equal normal forms are one class from the start. Rows carry hashes and
-   places, never text.
+   digits made 0, ASCII punctuation dropped, words joined by one space.
+2. Equal normal forms are one class from the start, for lines of
+   ``exact_words`` words or more; only those of ``min_words`` words or more
+   are compared with other classes. With ``exact_words=1`` every line that is
+   not blank has a class. Rows carry hashes and places, never text.
 3. Two classes are candidates if they share a key of one of three kinds.
    SimHash: 64 bits over the words, weighted by their length, as long words
    tell lines apart; of five blocks at least two are equal (pigeonhole) if
@@ -263,20 +264,20 @@ def linked_classes(rows: DataFrame, classes: DataFrame, min_words: int, similari
 
 
 def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,
-               similarity: float = SIMILARITY) -> DataFrame:
+               similarity: float = SIMILARITY, exact_words: int | None = None) -> DataFrame:
     """``df`` with near-repeated lines removed from the text, and
     ``n_removed``, the number of lines taken from it (a column of that name
     is replaced).
 
     Every input row comes back, with an empty text if all its lines are
-    repeats. NULL text stays NULL; blank and short lines stay. NULL ids rank
-    last. Rows that share an id are told apart by the hash of their text; rows
+    repeats. NULL text stays NULL; blank lines stay, and so do lines of fewer
+    than ``exact_words`` words (``min_words`` if not given). NULL ids rank last. Rows that share an id are told apart by the hash of their text; rows
     equal in both are treated alike. An empty table gives an empty result.
     """
     df = df.drop("n_removed")
     rows = df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"),
                      F.xxhash64(id_col, text_col).alias("_row"))
-    lines = staged(hashed_lines(rows, min_words), "line_rows")
+    lines = staged(hashed_lines(rows, min_words if exact_words is None else min(exact_words, min_words)), "line_rows")
     place = F.struct(F.col("_id").isNull().alias("none"), "_id", "_row", "line")
     classes = staged(lines.groupBy("cls").agg(F.min("chars").alias("chars"), F.min(place).alias("first"),
                                               F.max(place).alias("last")), "line_classes")

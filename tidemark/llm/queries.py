@@ -99,7 +99,7 @@ def op8(spark, d):
 
 @register("op9_line_dedup")
 def op9(spark, d):
-    out = line_dedup.line_dedup(table(spark, d, "documents"))
+    out = line_dedup.line_dedup(table(spark, d, "documents"), exact_words=1)
     return out.select("doc_id", "text", "n_removed")
 
 
