@@ -163,6 +163,23 @@ def test_short_lines_lose_exact_repeats(spark, make_docs, prose):
         assert {r.doc_id: r.text for r in out.collect()} == want
 
 
+def test_long_lines_and_edit_similarity_alone(make_docs, prose):
+    rows = [(k, prose(5 + k, 8000 + k)) for k in range(0, 46, 5)]
+    rows += [(100 + k, reworded(t, k, k % 2 and len(t.split()) >= 12)) for k, t in rows]
+    rows += [(200, "something else altogether stands in this line"), (201, rows[3][1] + " " + rows[2][1])]
+    plain = line_dedup.line_dedup(make_docs(rows)).collect()
+    forms = {i: b" ".join(line_words(t.encode())[0]).decode() for i, t in rows}
+    for r in plain:  # no SimHash in what is asked for
+        near = [i for i in forms if i < r.doc_id and distance(forms[i], forms[r.doc_id])
+                <= int(max(len(forms[i]), len(forms[r.doc_id])) * 0.1 + 1e-9)]
+        assert r.n_removed == bool(near), r.doc_id
+    assert sum(r.n_removed for r in plain) == 10
+    long = [(28, prose(4000, 5)), (29, prose(4000, 5) + " tail"), (30, reworded(prose(4000, 5), 1, True)),
+            (31, prose(4000, 6))]
+    got = {r.doc_id: r.text for r in line_dedup.line_dedup(make_docs(long)).collect()}
+    assert got == {28: long[0][1], 29: "", 30: "", 31: long[3][1]}
+
+
 def test_line_columns_and_empty_table(make_docs):
     out = line_dedup.line_dedup(make_docs([]))
     assert out.count() == 0 and out.columns.count("n_removed") == 1
