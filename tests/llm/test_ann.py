@@ -52,6 +52,18 @@ def test_odd_vectors_and_few_candidates(spark):
     assert run(spark, []) == {}
 
 
+def test_few_unlike_candidates_are_all_returned(spark):
+    rng = np.random.default_rng(8)
+    rows = []
+    for k, dim in enumerate((3, 16, 40, 64, 65, 96, 128)):  # two queries and at most four others per dimension
+        n = k % 4
+        rows += [(i, [float(x) for x in rng.standard_normal(dim)])
+                 for i in [100 * k, 100 * k + 50, *range(100 * k + 1, 100 * k + 2 + n)]]
+    rows += [(2000 + i, [float(x) for x in rng.standard_normal(32)]) for i in (1, 2, 50)] + [(2003, [-1.0] * 32)] * 2
+    got, want = run(spark, rows), brute(list(dict(rows).items()))
+    assert {q: [j for _, j, _ in near] for q, near in got.items()} == {q: [j for j, _ in near] for q, near in want.items()}
+
+
 def test_perturbations_come_in_order():
     up = np.array([0.1, 0.7, 0.45])
     cost = lambda s: sum((up[i] if d > 0 else 1 - up[i]) ** 2 for i, d in s)

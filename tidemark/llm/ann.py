@@ -14,7 +14,9 @@ buckets. So no candidate pair is ever a row. Equal vectors share every
 bucket, so the index holds one row per distinct vector with its smallest ids,
 and queries with equal vectors are asked once. Buckets of more than
 ``BUCKET_ROWS`` vectors are split over several tasks by measured size, with
-the probes sent to each part; nothing is capped.
+the probes sent to each part; nothing is capped. Queries whose buckets hold
+fewer than ``k`` candidates are answered by a scan of all vectors of their
+dimension, block by block.
 """
 
 from __future__ import annotations
@@ -169,10 +171,28 @@ def nearest(vectors: DataFrame, is_query, id_col: str = "vec_id", vec_col: str =
                              "cls": held["cls"].to_numpy()[top].ravel(),
                              "score": np.take_along_axis(score, top, axis=1).ravel()})
 
+    def scan(held: pd.DataFrame, asking: pd.DataFrame) -> pd.DataFrame:
+        return pd.concat([rerank(held, asking.iloc[at:at + 256]) for at in range(0, max(len(asking), 1), 256)])
+
     by = [*bucket, "part"]
     found = (index.groupBy(*by).cogroup(probe.groupBy(*by))
              .applyInPandas(rerank, "qcls long, cls long, score double")
              .groupBy("qcls", "cls").agg(F.max("score").alias("score")))
+    found = staged(found, "ann_found")
+    # a query's own id is among those found
+    enough = (found.join(classes.select("cls", F.size("ids").alias("n")), "cls")
+              .groupBy("qcls").agg(F.sum("n").alias("n")).filter(F.col("n") > k))
+    short = staged(distinct_q.join(enough, distinct_q["cls"] == enough["qcls"], "left_anti"), "ann_short")
+    if not short.isEmpty():
+        blocks = (classes.join(short.select("dim").distinct(), "dim", "left_semi").groupBy("dim").count()
+                  .withColumn("parts", F.ceil(F.col("count") / BUCKET_ROWS)).drop("count"))
+        held = (classes.join(blocks, "dim").withColumn("part", F.pmod(F.col("cls"), F.col("parts")))
+                .select("dim", "part", "cls", "vec", F.col("ids")[0].alias("first")))
+        asking = short.join(blocks, "dim").withColumn(
+            "part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).drop("parts")
+        more = held.groupBy("dim", "part").cogroup(asking.groupBy("dim", "part")) \
+            .applyInPandas(scan, "qcls long, cls long, score double")
+        found = found.unionByName(more).groupBy("qcls", "cls").agg(F.max("score").alias("score"))
     near = found.join(classes.select("cls", "ids"), "cls")
     near = near.withColumn("r", F.row_number().over(
         Window.partitionBy("qcls").orderBy(F.desc("score"), F.col("ids")[0]))).filter(F.col("r") <= k + 1)
