@@ -61,6 +61,20 @@ def test_passage_of_fifty_words_goes_wherever_it_stands(make_docs, prose):
     assert not got[0].n_removed and not got[60].n_removed == 0
 
 
+def test_short_whole_lines_go_and_short_pieces_stay(make_docs, prose):
+    foot = "Some rights reserved. See licence"
+    body = {k: prose(12, 700 + k) for k in range(5)}
+    rows = [(k, f"{body[k]}\n{foot}\nend {'abcde'[k]}") for k in range(3)]
+    rows += [(3, f"{body[3]}\none two three four five. {body[4]}"), (4, "one two three four five. own words\nEND  A \n"),
+             (5, "one two three four five.  \nx"), (6, foot + "\n" + foot), (7, "end a"), (8, None)]
+    got = {r.doc_id: r for r in substring_dedup.substring_dedup(make_docs(rows), line_words=1).collect()}
+    want = dict(rows) | {1: f"{body[1]}\nend b", 2: f"{body[2]}\nend c", 4: "one two three four five. own words\n",
+                         5: "  \nx", 6: "", 7: ""}
+    assert {i: r.text for i, r in got.items()} == want
+    plain = substring_dedup.substring_dedup(make_docs(rows)).collect()
+    assert {r.doc_id: r.text for r in plain} == dict(rows) | {6: ""}  # a run of ten words
+
+
 def test_substring_empty_table(make_docs):
     assert substring_dedup.substring_dedup(make_docs([])).count() == 0
 

@@ -94,7 +94,7 @@ def op7(spark, d):
 
 @register("op8_substring_dedup")
 def op8(spark, d):
-    return substring_dedup.substring_dedup(table(spark, d, "documents"))
+    return substring_dedup.substring_dedup(table(spark, d, "documents"), line_words=1)
 
 
 @register("op9_line_dedup")

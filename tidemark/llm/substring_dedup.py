@@ -12,7 +12,8 @@
 3. A join on the digest marks the occurrences that do not stay. Rows carry
    digests and places, never text; AQE can split a hot digest.
 4. Marked units that follow each other in a document form a run; runs of
-   ``min_words`` words or more are removed, shorter ones stay. The spans meet
+   ``min_words`` words or more are removed. Of shorter ones only whole lines of
+   ``line_words`` words or more, all of whose units are marked. The spans meet
    the texts in a join on the document; documents with nothing to cut pass a
    slot filter of fixed size without any shuffle.
 
@@ -51,15 +52,45 @@ def cut_units(text: str, unit: str = "sentence", unit_words: int = UNIT_WORDS):
         at, line = end, newline
 
 
-def remove_runs(text: str, marked: list[dict], min_words: int) -> tuple[str, list[dict]]:
-    """The text without the long enough runs of marked units, and their spans."""
+BEGINS, ENDS_LINE = 1, 2
+_REST = re.compile(r"[ \t\x0b-\r]*(?:\n|\Z)")
+
+
+def line_edges(text: str, start: int, end: int) -> int:
+    """Whether a unit begins and ends its line."""
+    begins = start == 0 or text[start - 1] == "\n"
+    return BEGINS * begins + ENDS_LINE * bool(text[end - 1] == "\n" or _REST.match(text, end))
+
+
+def whole_lines(run: list[dict], line_words: int) -> list[list]:
+    """(start, end) of the lines of a run that it covers; neighbours as one."""
+    out, line = [], []
+    for x in run:
+        line = [x] if x["edge"] & BEGINS else line + [x] if line else []
+        if line and x["edge"] & ENDS_LINE:
+            if sum(y["words"] for y in line) >= line_words:
+                if out and out[-1][2] == line[0]["unit"] - 1:
+                    out[-1][1:] = [x["end"], x["unit"]]
+                else:
+                    out.append([line[0]["start"], x["end"], x["unit"]])
+            line = []
+    return [x[:2] for x in out]
+
+
+def remove_runs(text: str, marked: list[dict], min_words: int, line_words: int) -> tuple[str, list[dict]]:
+    """The text without the long enough runs of marked units and the whole
+    lines of the others, and their spans."""
     runs: list[list] = []
     for x in marked:
-        if runs and x["unit"] == runs[-1][3] + 1:
-            runs[-1][1:] = [x["end"], runs[-1][2] + x["words"], x["unit"]]
+        if runs and x["unit"] == runs[-1][-1]["unit"] + 1:
+            runs[-1].append(x)
         else:
-            runs.append([x["start"], x["end"], x["words"], x["unit"]])
-    spans = [{"start": a, "end": b} for a, b, words, _ in runs if words >= min_words]
+            runs.append([x])
+    spans = []
+    for run in runs:
+        enough = sum(x["words"] for x in run) >= min_words
+        spans += [{"start": a, "end": e} for a, e in
+                  ([(run[0]["start"], run[-1]["end"])] if enough else whole_lines(run, line_words))]
     out, at = [], 0
     for s in spans:
         out.append(text[at:s["start"]])
@@ -68,7 +99,7 @@ def remove_runs(text: str, marked: list[dict], min_words: int) -> tuple[str, lis
 
 
 def unit_digests(rows: DataFrame, unit: str, unit_words: int) -> DataFrame:
-    """(_id, _row, unit, start, end, words, h1, h2) of every unit."""
+    """(_id, _row, unit, start, end, words, edge, h1, h2) of every unit."""
     def run(batches):
         for b in batches:
             out = []
@@ -76,30 +107,33 @@ def unit_digests(rows: DataFrame, unit: str, unit_words: int) -> DataFrame:
                                       b.column(2).to_pylist(), strict=True):
                 for k, (a, e, words) in enumerate(cut_units(text, unit, unit_words)):
                     h = xxhash.xxh3_128_intdigest(b" ".join(words))
-                    out.append((doc, row, k, a, e, len(words), (h >> 64) - (1 << 63),
+                    out.append((doc, row, k, a, e, len(words), line_edges(text, a, e), (h >> 64) - (1 << 63),
                                 (h & (1 << 64) - 1) - (1 << 63)))
             if out:
                 cols = list(zip(*out, strict=True))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(cols[0], b.schema.field(0).type)] + [pa.array(c, pa.int64()) for c in cols[1:]],
-                    names=["_id", "_row", "unit", "start", "end", "words", "h1", "h2"])
+                    names=["_id", "_row", "unit", "start", "end", "words", "edge", "h1", "h2"])
 
     kind = rows.schema["_id"].dataType.simpleString()
     return rows.select("_id", "_row", F.coalesce("_text", F.lit("")).alias("_text")).mapInArrow(
-        run, f"_id {kind}, _row long, unit long, start long, end long, words long, h1 long, h2 long")
+        run, f"_id {kind}, _row long, unit long, start long, end long, words long, edge long, h1 long, h2 long")
 
 
 def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", unit: str = "sentence",
-                    min_words: int = MIN_WORDS, unit_words: int = UNIT_WORDS) -> DataFrame:
+                    min_words: int = MIN_WORDS, unit_words: int = UNIT_WORDS,
+                    line_words: int | None = None) -> DataFrame:
     """``id_col, text, removed, n_removed, n_chars_removed``: one row per input row.
 
     ``removed`` lists the spans cut (start, end: character offsets into the
     original text) in order. Of equal units, the one in the smallest id stays,
-    and within a document the first; NULL ids rank last. Rows that share an id
+    and within a document the first; NULL ids rank last. ``line_words`` is the
+    least length of whole lines that go (``min_words`` if not given). Rows that share an id
     are told apart by the hash of their text; rows equal in both are treated
     alike. NULL text stays NULL and, like an empty one, has no units. Other
     columns are not looked at; an empty table gives an empty result.
     """
+    line_words = min_words if line_words is None else min(line_words, min_words)
     rows = df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"),
                      F.xxhash64(id_col, text_col).alias("_row"))
     units = staged(unit_digests(rows, unit, unit_words), "substring_units")
@@ -108,10 +142,10 @@ def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     first = (units.groupBy("h1", "h2").agg(F.min(place).alias("stays"), F.max(place).alias("last"))
              .filter("stays != last").select("h1", "h2", "stays"))
     marked = (units.join(first, ["h1", "h2"]).filter(place != F.col("stays"))
-              .select("_id", "_row", "unit", "start", "end", "words").distinct())
+              .select("_id", "_row", "unit", "start", "end", "words", "edge").distinct())
     marked = staged(marked.groupBy("_id", "_row").agg(F.array_sort(F.collect_list(
-        F.struct("unit", "start", "end", "words"))).alias("marked"),
-        F.sum("words").alias("n")).filter(F.col("n") >= min_words).drop("n"), "substring_marked")
+        F.struct("unit", "start", "end", "words", "edge"))).alias("marked"),
+        F.sum("words").alias("n")).filter(F.col("n") >= line_words).drop("n"), "substring_marked")
 
     bits = slot_filter(marked, F.col("_row"))
     flagged = with_slot_flag(rows, bits, F.col("_row"), "_cut")
@@ -124,7 +158,7 @@ def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     @F.pandas_udf(f"text string, removed {spans}")
     def cut(texts: pd.Series, marks: pd.Series) -> pd.DataFrame:
-        out = [(t, []) if t is None or k is None else remove_runs(t, list(k), min_words)
+        out = [(t, []) if t is None or k is None else remove_runs(t, list(k), min_words, line_words)
                for t, k in zip(texts, marks, strict=True)]
         return pd.DataFrame(out, columns=["text", "removed"])
 
