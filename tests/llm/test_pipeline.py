@@ -65,6 +65,32 @@ def test_last_stage_decodes_its_ids(spark, make_docs, prose, vocabulary):
         assert got[i].decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
 
 
+def test_line_and_jaccard_stages_match_brute_force(spark, make_docs, prose):
+    from .test_pairs import brute, sets_of
+    from .test_text_dedup import distance, reworded
+    line = [prose(14, 9100 + k) for k in range(6)]
+    rows = [(k, f"{t}\nfooter\n{prose(16, 9200 + k)}") for k, t in enumerate(line)]
+    rows += [(10 + k, reworded(t, k, False) + f"\n{prose(18, 9300 + k)}") for k, t in enumerate(line)]
+    docs = make_docs(rows).select(corpus_pipeline.COLUMNS)
+    seen, want = [], {}
+    for i, t in rows:
+        keep = []
+        for x in t.split("\n"):
+            if not any(x == y or distance(x, y) <= int(max(len(x), len(y)) * 0.1 + 1e-9) for y in seen):
+                keep.append(x)
+            seen.append(x)
+        want[i] = "\n".join(keep)
+    got = {r.doc_id: r.text for r in corpus_pipeline.dedup_lines(spark, docs, SF001).collect()}
+    assert got == want and got[11] == rows[7][1].split("\n")[1]
+
+    rows = list(want.items()) + [(50 + k, want[k] + " tail") for k in range(3)] + [(60, prose(12, 1)), (61, None)]
+    sets = sets_of(rows)
+    names = brute(rows, lambda i, j: 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]) > 0)
+    stays = {i: t for (i, t), name in zip(rows, names, strict=True) if name == i}
+    out = corpus_pipeline.one_per_group(spark, make_docs(rows).select(corpus_pipeline.COLUMNS), SF001)
+    assert {r.doc_id: r.text for r in out.collect()} == stays and 50 not in stays
+
+
 def test_slot_filter_never_says_no_to_a_key(spark):
     keys = spark.range(0, 5000).select(F.xxhash64("id").alias("k"))
     bits = slot_filter(keys, F.col("k"))
