@@ -7,7 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, bpe, chat, exact_dedup, jaccard_join, line_dedup, mixing, substring_dedup, token_files, toxicity
+from tidemark.llm import (
+    ann, bpe, chat, exact_dedup, fill_in_middle, jaccard_join, license_scan, line_dedup, mixing, periodic_runs,
+    substring_dedup, token_files, toxicity,
+)
+from tidemark.llm.common import WORD
 from tidemark.session import scratch_path
 from tidemark.sources.tables import table
 
@@ -108,3 +112,57 @@ def op10(spark, d):
     documents, mix = mixing.mix_sources(table(spark, d, "documents"))
     return mixing.taken_words(documents, mix).select(
         F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "source")
+
+
+@register("op11_license_scan")
+def op11(spark, d):
+    return license_scan.license_scan(table(spark, d, "documents")).select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """``doc_id, text`` with one document in ten made periodic from a word on,
+    as drawn from the CRC of its id: word i >= a becomes a + (i - a) % p."""
+    words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
+    cut = (docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("h"))
+           .withColumn("words", F.when(F.col("h") % 10 == 0, words))
+           .withColumn("n", F.size("words"))
+           .withColumn("g", F.floor(F.col("h") / 10))
+           .withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int"))
+           .withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int")))
+    turns = F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), turns)),
+                   F.lit(1), F.col("n") - F.col("a"))
+    planted = F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a")), tail), " ")
+    return cut.select("doc_id", F.when(F.col("a").isNotNull(), planted).otherwise(F.col("text")).alias("text"))
+
+
+@register("op12_periodic_runs")
+def op12(spark, d):
+    return periodic_runs.periodic_runs(with_planted_runs(table(spark, d, "documents"))).select(
+        "doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256",
+        F.col("text_sha256").alias("collapsed_sha256"))
+
+
+@register("op13_fill_in_middle", """
+with t as (select doc_id, coalesce(text, '') as text, sha256('7:' || coalesce(cast(doc_id as varchar), '')) as h
+           from documents),
+u as (select doc_id, text, regexp_extract_all(text, '[^\n]*\n|[^\n]+') as units,
+             ('0x' || substr(h, 1, 8))::bigint as h1, ('0x' || substr(h, 9, 8))::bigint as h2,
+             ('0x' || substr(h, 17, 8))::bigint as h3, ('0x' || substr(h, 25, 8))::bigint as h4 from t),
+c as (select *, cast(len(units) as bigint) as n,
+             case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>')
+                       or h3 % 100 >= 100 then 'plain' when h4 % 100 < 50 then 'spm' else 'psm' end as form from u),
+k as (select *, least(h1 % (n + 1), h2 % (n + 1)) as lo, greatest(h1 % (n + 1), h2 % (n + 1)) as hi from c),
+s as (select *, array_to_string(units[1:lo], '') as prefix, array_to_string(units[lo + 1:hi], '') as middle,
+             array_to_string(units[hi + 1:], '') as suffix from k)
+select doc_id, n, form, case when form <> 'plain' then length(prefix) end as prefix_chars,
+       case when form <> 'plain' then length(middle) end as middle_chars,
+       sha256(case form when 'plain' then text
+                        when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+       sha256(text) as restored_sha256
+from s
+""")
+def op13(spark, d):
+    return fill_in_middle.fill_in_middle(table(spark, d, "documents"))
