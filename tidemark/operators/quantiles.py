@@ -8,24 +8,30 @@ session lengths in whole seconds and action counts: values are counted
 quantile (``percentile_disc``: the smallest value whose cumulative count
 reaches ``p`` times the rows) is found digit by digit:
 
-1. every value is written as three order-preserving digits: class and
+1. the input is read once: equal values of a column are counted (map-side
+   first) and the counts written to the shared folder;
+2. every value counted is written as three order-preserving digits: class and
    exponent with the leading bits of the mantissa, then the rest of the
    mantissa 20 bits at a time;
-2. a histogram of the first digit, combined map-side, tells which digit holds
+3. a histogram of the first digit, combined map-side, tells which digit holds
    each wanted rank and the rank within it;
-3. a second pass counts the next digit among the values with that digit, a
-   third the last.
-
-Only histograms are shuffled. Their size is bounded by the digits, whatever
-the rows or input tasks (and small for values of a few magnitudes), so the
-plan holds at any size and the result is exact. NULLs are left out; NaN sorts
-last, as in Spark. Whole numbers are exact up to 2**53.
+4. a second pass over the counts takes the next digit among the values with
+   that digit, a third the last.
+
+So the input's other columns are never read and its rows are read once, what
+is shuffled is at most one (value, count) pair per distinct value, and after
+that only histograms whose size is bounded by the digits. The result is exact.
+NULLs are left out; NaN sorts last, as in Spark. Whole numbers are exact up to
+2**53.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidemark.session import materialize
 
 HEAD_BITS = 12
 DIGIT_BITS = (20, 20)  # with HEAD_BITS the 52 bits of a double's mantissa
@@ -77,12 +83,24 @@ def discrete_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> Da
 
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> DataFrame:
     """One row with an array column ``q_<col>`` per column (values in the
-    order of ``probs``, in the column's own type; NULLs without rows)."""
+    order of ``probs``, in the column's own type; NULLs without rows). Counting
+    the values is a job of its own, run by this call."""
+    return weighted_quantiles(materialize(value_counts(df, cols)), [df.schema[c] for c in cols], probs)
+
+
+def value_counts(df: DataFrame, cols: list[str]) -> DataFrame:
+    """``c, v, n``: number of the column in ``cols``, value, rows."""
+    return _values(df, cols).groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
+
+
+def weighted_quantiles(counts: DataFrame, fields: list[T.StructField], probs: list[float]) -> DataFrame:
+    """``exact_quantiles`` from counted values ``c, v, n`` of the columns
+    ``fields``; a value may stand in several rows. ``counts`` is read once per
+    digit, so it should be stored."""
     digits = _digits(F.col("v"))
     names = [f"d{i}" for i in range(len(digits))]
-    values = _values(df, cols)
-    values = values.select("c", "v", *[d.alias(x) for d, x in zip(digits, names, strict=True)])
-    count, low = F.count(F.lit(1)).alias("n"), F.min("v").alias("v")
+    values = counts.select("c", "v", "n", *[d.alias(x) for d, x in zip(digits, names, strict=True)])
+    count, low = F.sum("n").alias("n"), F.min("v").alias("v")
 
     # one row per column and probability: the digits found, the rank left
     hist = values.groupBy("c", names[0]).agg(count, low)
@@ -93,7 +111,7 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> DataF
         .withColumn("rank", F.greatest(F.lit(1).cast("long"), F.ceil(F.col("p") * F.col("total"))))
     for i in range(len(names)):
         if i:
-            left = values.join(F.broadcast(found), ["c", *names[:i]])  # len(cols) * len(probs) rows
+            left = values.join(F.broadcast(found), ["c", *names[:i]])  # columns x probabilities
             hist = left.groupBy("c", "k", "rank", *names[:i + 1]).agg(count, low)
             hist = hist.withColumn("upto", F.sum("n").over(Window.partitionBy("c", "k").orderBy(names[i])))
         here = hist.where((F.col("upto") >= F.col("rank")) & (F.col("upto") - F.col("n") < F.col("rank")))
@@ -101,4 +119,4 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> DataF
                             *(["v"] if i == len(names) - 1 else []))
     return found.agg(*[
         F.array(*[F.max(F.when((F.col("c") == i) & (F.col("k") == k), F.col("v"))) for k in range(len(probs))])
-        .cast(f"array<{df.schema[c].dataType.simpleString()}>").alias(f"q_{c}") for i, c in enumerate(cols)])
+        .cast(f"array<{f.dataType.simpleString()}>").alias(f"q_{f.name}") for i, f in enumerate(fields)])

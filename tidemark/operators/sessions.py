@@ -67,7 +67,7 @@ def _clean(df: DataFrame, cols: EventCols) -> DataFrame:
 def _number_buckets(per_bucket: DataFrame, timeout_minutes: float, split_at_midnight: bool,
                     user: str) -> DataFrame:
     """Add ``prev_last_ts``, ``opens`` and ``session_num`` to a per-(user,
-    bucket) table of ``n, first_ts, last_ts``: a per-user window over
+    bucket) table of ``first_ts, last_ts``: a per-user window over
     buckets (at most span / W rows per user)."""
     w = Window.partitionBy(user).orderBy("_bucket")
     opens = F.when(_is_break(F.col("first_ts"), F.col("prev_last_ts"),
@@ -126,6 +126,12 @@ def sessions(df: DataFrame, timeout_minutes: float = 30, split_at_midnight: bool
                 F.min("first_ts").alias("session_start"),
                 F.max("last_ts").alias("session_end"),
                 F.max(lead_gap).alias("_lead_gap")))
+    return session_measures(agg, u, with_avg_gap)
+
+
+def session_measures(agg: DataFrame, u: str, with_avg_gap: bool = True) -> DataFrame:
+    """Output columns of ``sessions`` from one row per session with ``_lead_gap``,
+    the minutes from the user's event before it (0 for the first)."""
     span_min = (epoch_seconds("session_end") - epoch_seconds("session_start")) / 60.0
     out = agg.select(
         u,
@@ -161,17 +167,19 @@ def session_events(df: DataFrame, timeout_minutes: float = 30, split_at_midnight
     ev = (_clean(df, cols)
           .withColumn("_sec", epoch_seconds(ts))
           .withColumn("_bucket", time_bucket(ts, width)))
-    per_sec = (ev.groupBy(u, "_bucket", "_sec")
-               .agg(F.count(F.lit(1)).alias("n"), F.min(ts).alias("first_ts"),
-                    F.max(ts).alias("last_ts")))
+    # Two readers share the exchange of the per-second table, so the events
+    # are read twice and not three times: for that both use the same columns,
+    # and the filters that the join below implies stand here for both.
+    per_sec = (ev.where(F.col("_sec").isNotNull() & F.col("_bucket").isNotNull())
+               .groupBy(u, "_bucket", "_sec")
+               .agg(F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts")))
     per_bucket = (per_sec.groupBy(u, "_bucket")
-                  .agg(F.sum("n").alias("n"), F.min("first_ts").alias("first_ts"),
-                       F.max("last_ts").alias("last_ts")))
+                  .agg(F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts")))
     buckets = (_number_buckets(per_bucket, timeout_minutes, split_at_midnight, u)
                .select(u, "_bucket", "prev_last_ts", "opens", "session_num"))
     in_bucket = Window.partitionBy(u, "_bucket").orderBy("_sec")
     seconds = (per_sec
-               .withColumn("_prev_sec_last", F.lag("last_ts").over(in_bucket))
+               .withColumn("_prev_sec_last", F.lag(F.struct("first_ts", "last_ts")).over(in_bucket)["last_ts"])
                .select(u, "_bucket", "_sec", "_prev_sec_last")
                .join(buckets, [u, "_bucket"], "inner")
                .drop("_bucket"))

@@ -848,3 +848,7 @@ select event_id, user_id, ts from events order by ts, event_id limit 20
 """)
 def q_first_events(spark, d):
     return sinks.preview(_events(spark, d).select("event_id", "user_id", "ts"), ["ts", "event_id"], 20)
+
+
+# more queries register themselves here
+from tidemark.plans import extended  # noqa: E402, F401
