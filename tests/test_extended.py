@@ -14,9 +14,12 @@ from tests.test_plans import plan
 from tidemark.operators import (
     asof, grouping, heavy, intervals, props, quantile_state, retention, session_store, sessions, user_sets,
 )
+from tidemark.operators import partitioning as part
 from tidemark.plans.catalog import EV, QUERIES
 from tidemark.schemas import EVENTS
 from tidemark.session import scratch_path
+from tidemark.sources import bucketed, clustered
+from tidemark.streaming import stateful
 
 T0 = dt.datetime(2024, 3, 1)
 
@@ -327,3 +330,129 @@ def test_property_profile_of_odd_json(spark):
     good, bad = props.split_malformed(df, "text")
     assert sorted(r.text for r in bad.collect()) == ["", "{"] and good.count() == len(texts) - 2
     assert "a" in props.merged_schema(df.limit(2), "text").first()[0]
+
+
+# ---------------------------------------------------------------- layouts
+
+def test_bucketed_plans_have_no_exchange(spark):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        ev = spark.read.parquet(f"{SF001}/events.parquet")
+        t = bucketed.write_user_table(ev, "user_id", 8, ["ts"])
+        assert "Exchange" not in plan(sessions.sessions(t.usual, 30, True, EV))
+        dim = bucketed.save_bucketed(ev.groupBy("user_id").agg(F.max("value").alias("top")), "user_id", 8, [],
+                                     scratch_path(spark, "dim"), "dim_" + scratch_path(spark, "x").rsplit("-", 1)[-1])
+        p = plan(t.usual.join(dim.hint("merge"), "user_id"))
+        assert "SortMergeJoin" in p and "Exchange" not in p
+        assert t.usual.count() + t.hot.count() == ev.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_hot_users_leave_the_bucketed_table(spark):
+    rows = [(i, at(i), 7 if i % 3 else i, "v", 1.0, None) for i in range(3000)] + [(9000, at(1), None, "v", 1.0, None)]
+    ev = spark.createDataFrame(rows, EVENTS)
+    t = bucketed.write_user_table(ev, "user_id", 8, ["ts"])
+    assert [r.user_id for r in t.hot_users.collect()] == [7]
+    assert {r.user_id for r in t.hot.select("user_id").distinct().collect()} == {7, None}
+    assert t.usual.where("user_id = 7 or user_id is null").count() == 0
+    want = sessions.sessions(ev, 30, True, EV)
+    assert collected(t.per_user(lambda x: sessions.sessions(x, 30, True, EV))) == collected(want)
+
+
+def test_salted_repartition_cuts_hot_users(spark):
+    df = spark.range(9000).select("id", F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("id")).alias("u"))
+    df = df.unionByName(spark.range(3000).select("id", F.lit(None).cast("long").alias("u")))
+    for method in ("hash", "range"):
+        out = part.partition_by_user(df, "u", 16, method, salt_col="id")
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        assert sum(sizes) == 12_000 and max(sizes) < 4000  # whole, user 7 alone would be 6,000 rows in one task
+        assert collected(out.groupBy("u").count()) == collected(df.groupBy("u").count())
+
+
+def test_clustered_layout_skips_row_groups_for_either_column(spark):
+    import glob
+
+    import pyarrow.parquet as pq
+    ev = spark.range(40_000).select(
+        F.col("id"), F.date_add(F.lit(dt.date(2024, 1, 1)), (F.col("id") % 64).cast("int")).alias("day"),
+        F.pmod(F.xxhash64("id"), F.lit(1000)).alias("user"))
+    ev = ev.unionByName(spark.createDataFrame([(-1, None, None)], ev.schema))
+    path = scratch_path(spark, "curve")
+    clustered.write_clustered(ev, path, ["day", "user"], 64, bloom=["user"])
+    groups = []
+    for f in glob.glob(f"{path}/*.parquet"):
+        meta = pq.ParquetFile(f).metadata
+        for g in range(meta.num_row_groups):
+            s = {meta.row_group(g).column(c).path_in_schema: meta.row_group(g).column(c).statistics for c in range(3)}
+            groups.append((meta.row_group(g).num_rows, s["day"].min, s["day"].max, s["user"].min, s["user"].max))
+    rows = sum(g[0] for g in groups)
+    day, user = dt.date(2024, 1, 20), 500
+    by_day = sum(n for n, lo, hi, _, _ in groups if lo is not None and lo <= day <= hi)
+    by_user = sum(n for n, _, _, lo, hi in groups if lo is not None and lo <= user <= hi)
+    assert rows == 40_001 and by_day < rows / 3 and by_user < rows / 3
+    back = spark.read.parquet(path)
+    assert collected(back) == collected(ev)
+    assert "PushedFilters: [IsNotNull(user), EqualTo(user,500)]" in plan(back.where("user = 500"))
+
+
+def test_clustered_layout_of_strings(spark):
+    ev = spark.range(500).select(F.concat(F.lit("u"), "id").alias("u"), (F.col("id") / 7).alias("x"))
+    path = scratch_path(spark, "curve")
+    clustered.write_clustered(ev, path, ["u", "x"], 4, bits=3)
+    assert collected(spark.read.parquet(path)) == collected(ev)
+
+
+# ---------------------------------------------------------------- reads, defaults
+
+def test_event_sessions_read_the_events_twice(spark):
+    df = QUERIES["session_events_midnight"](spark, SF001)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("FileScan parquet") == 2 and "ReusedExchange" in final
+
+
+def test_all_session_outputs_read_one_stored_table(spark):
+    from tidemark.plans import reports
+    out = reports.session_metrics(spark.read.parquet(f"{SF001}/events.parquet"), cols=EV)
+    assert len(out) == 5
+    for df in out.values():
+        assert "FileScan" not in plan(df)  # the checkpoint, not the events
+
+
+def test_future_records_against_the_current_time(spark):
+    from tidemark.operators import quality
+    now = spark.sql("select current_timestamp() as t")
+    df = now.select(F.explode(F.array(
+        F.col("t") - F.expr("interval 1 day"), F.col("t") + F.expr("interval 1 day"),
+        F.col("t") + F.expr("interval 1 hour"), F.lit(None).cast("timestamp"))).alias("ts"))
+    assert quality.future_records(df, "ts").first()[0] == 2
+    assert quality.future_records(df.select(F.col("ts").cast("timestamp_ntz").alias("ts")), "ts").first()[0] == 2
+
+
+def test_memory_bytes_count_strings_as_they_are(spark):
+    from tidemark.operators import enrich
+    df = spark.range(1000).select("id", F.lit("x" * 1000).alias("s"))
+    path = scratch_path(spark, "wide")
+    df.write.parquet(path)  # a few KB on disk
+    assert enrich.memory_bytes(spark.read.parquet(path)) >= 1_000_000
+    assert enrich.memory_bytes(df.limit(0)) == 0
+
+
+# ---------------------------------------------------------------- stateful streams
+
+def test_arrivals_are_unique_late_or_unplaced(spark):
+    path = scratch_path(spark, "stream")
+    batches = [
+        [(1, at(0)), (1, at(0)), (2, at(100)), (None, at(5)), (3, None)],
+        [(2, at(100)), (4, at(300)), (5, at(39)), (5, at(39)), (6, at(40))],  # 100 - 60: before 40 is late
+        [(6, at(40)), (4, at(300)), (7, at(240)), (8, at(239.9))],
+    ]
+    for k, rows in enumerate(batches):
+        spark.createDataFrame(rows, "id long, ts timestamp_ntz").coalesce(1).write.parquet(f"{path}/files/k{k}")
+        schema = spark.createDataFrame([], "id long, ts timestamp_ntz").schema
+        for _ in range(2):  # nothing new the second time
+            out = stateful.take_in(spark, f"{path}/files", schema, f"{path}/sink", "id", "ts", 60)
+    ids = {k: sorted((r.id for r in v.collect()), key=repr) for k, v in out.items()}
+    assert ids == {"unique": [1, 2, 4, 6, 7], "late": [5, 5, 6, 8], "unplaced": sorted([None, 3], key=repr)}

@@ -69,11 +69,11 @@ def test_salted_join_shuffles_on_salt(spark):
     assert "BroadcastHashJoin" in p
 
 
-def test_broadcast_goes_by_bytes_without_a_job(spark):
+def test_broadcast_goes_by_bytes_in_memory(spark):
     from tidemark.operators import enrich
     facts = spark.range(100).withColumnRenamed("id", "k")
     dim = spark.range(50).withColumnRenamed("id", "k")
-    size = enrich.plan_bytes(dim)
+    size = enrich.memory_bytes(dim)
     ok = enrich.enrich(facts, dim, "k", strategy="broadcast", max_broadcast_bytes=size)
     too_big = enrich.enrich(facts, dim, "k", strategy="broadcast", max_broadcast_bytes=size - 1)
     assert "broadcast" in ok._jdf.queryExecution().logical().toString().lower()

@@ -3,9 +3,9 @@
 * ``latest_per_key`` deduplicates a dimension with ``max_by`` - an
   aggregate, so a key with a third of all copies is collapsed map-side
   instead of landing whole in one window partition.
-* ``enrich`` picks the join strategy: checked broadcast (by size in bytes,
-  known from the plan's statistics without a job), shuffle hash, sort-merge,
-  or salted.
+* ``enrich`` picks the join strategy: checked broadcast (by the bytes that the
+  dimension takes in memory, measured by one pass over it), shuffle hash,
+  sort-merge, or salted.
 * ``enrich_salted`` spreads the measured hot keys over several shuffle
   partitions in one join: hot facts take a salt from a hash of a row column
   (deterministic, so task retries see the same salt), hot dimension rows are
@@ -38,10 +38,22 @@ def latest_per_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     return packed.select(key, *[F.col("_row")[c].alias(c) for c in rest])
 
 
-def plan_bytes(df: DataFrame) -> int:
-    """Spark's own size estimate of a frame, from file sizes and statistics
-    (no job); an upper bound for scans and what only narrows them."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+ROW_OVERHEAD = 64
+
+
+def memory_bytes(df: DataFrame) -> int:
+    """Bytes that a frame takes as rows in memory: 8 per field and an overhead
+    per row, and the bytes of its strings and binaries as they are, not as
+    they are compressed in files. One aggregate over the frame; columns of
+    nested types count with the length of their JSON text."""
+    size = F.lit(ROW_OVERHEAD + 8 * len(df.columns))
+    for f in df.schema.fields:
+        kind = f.dataType.typeName()
+        if kind in ("string", "binary", "varchar", "char"):
+            size = size + F.coalesce(F.octet_length(F.col(f.name)), F.lit(0))
+        elif kind in ("array", "map", "struct"):
+            size = size + F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f.name)))), F.lit(0))
+    return df.agg(F.coalesce(F.sum(size.cast("long")), F.lit(0)).alias("b")).first()["b"]
 
 
 def hot_keys(df: DataFrame, key: str, k: int | None = 10, min_share: float = 0.0) -> DataFrame:
@@ -65,9 +77,13 @@ SALTABLE = ("inner", "left", "left_outer", "leftouter", "left_semi", "left_anti"
 def hot_key_salts(df: DataFrame, key: str, partitions: int) -> DataFrame:
     """``key, salts``: keys with more than an even task's share of the rows
     (1 / ``partitions``) and the number of slices that brings each back to
-    it. At most ``partitions`` rows."""
-    hot = hot_keys(df, key, k=None, min_share=1.0 / partitions)
-    return hot.select(key, F.ceil(F.col("share") * partitions).cast("int").alias("salts"))
+    it. At most ``partitions`` rows. The frame is read once: the total is the
+    sum of the counts."""
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.agg(F.sum("_n").alias("t")).scalar()
+    share = F.col("_n") / total
+    return (counts.where(F.col(key).isNotNull() & (share >= 1.0 / partitions))
+            .select(key, F.ceil(share * partitions).cast("int").alias("salts")))
 
 
 def enrich(facts: DataFrame, dim: DataFrame, key: str, how: str = "left",
@@ -81,15 +97,15 @@ def enrich(facts: DataFrame, dim: DataFrame, key: str, how: str = "left",
       AQE re-plans it from the real shuffle sizes (broadcast only below
       ``spark.sql.adaptive.autoBroadcastJoinThreshold``; skewed
       sort-merge partitions are split);
-    * ``broadcast`` - broadcast hint if the plan's size estimate is at most
-      ``max_broadcast_bytes``; beyond it the join is ``auto``;
+    * ``broadcast`` - broadcast hint if the dimension takes at most
+      ``max_broadcast_bytes`` in memory; beyond it the join is ``auto``;
     * ``shuffle_hash`` / ``merge`` - join hints;
     * ``salted`` - see ``enrich_salted``.
     """
     if strategy == "auto":
         return facts.join(dim, key, how)
     if strategy == "broadcast":
-        return facts.join(F.broadcast(dim) if plan_bytes(dim) <= max_broadcast_bytes else dim, key, how)
+        return facts.join(F.broadcast(dim) if memory_bytes(dim) <= max_broadcast_bytes else dim, key, how)
     if strategy in ("shuffle_hash", "merge"):
         return facts.join(dim.hint(strategy), key, how)
     if strategy == "salted":

@@ -11,6 +11,7 @@ from tidemark.functions.timefns import day_of_week, hour_of_day
 from tidemark.operators.outliers import bound_values, iqr_bounds
 from tidemark.operators.quantiles import discrete_quantiles
 
+# fixed values: the output names below are those of the report's contract
 DUR = "session_duration_hours"
 ACT = "actions_per_session"
 

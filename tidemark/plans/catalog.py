@@ -596,13 +596,13 @@ select cast(ts as date) as date, count(distinct user_id) as daily_active_users
 from events group by 1
 """)
 def q_repartitioned_hash(spark, d):
-    ev = part.partition_by_user(_events(spark, d), "user_id", method="hash")
+    ev = part.partition_by_user(_events(spark, d), "user_id", method="hash", salt_col="event_id")
     return activity.daily_active(ev, cols=EV)
 
 
 @register("repartitioned_range", ORACLE["repartitioned_hash"])
 def q_repartitioned_range(spark, d):
-    ev = part.partition_by_user(_events(spark, d), "user_id", method="range")
+    ev = part.partition_by_user(_events(spark, d), "user_id", method="range", salt_col="event_id")
     return activity.daily_active(ev, cols=EV)
 
 

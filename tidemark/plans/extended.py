@@ -369,3 +369,239 @@ def q_props_measure(spark, d):
     good, _ = props.split_malformed(_events(spark, d).select("event_type", "props"), "props")
     k = F.try_variant_get("variant", "$.k", "double")
     return rounded(good.groupBy("event_type").agg(F.count(k).alias("rows"), F.avg(k).alias("mean_k")))
+
+
+# ---------------------------------------------------------------- layouts by user and along a curve
+
+from tidemark.operators import activity, enrich  # noqa: E402
+from tidemark.operators.partitioning import partition_by_user, persisted  # noqa: E402
+from tidemark.plans import reports  # noqa: E402
+from tidemark.sources import bucketed, clustered, sinks  # noqa: E402
+
+BUCKETS = 16
+
+
+@register("bucketed_sessions", _sessions_sql(True))
+def q_bucketed_sessions(spark, d):
+    """Sessions from a table bucketed by user: no exchange; hot users by the usual plan."""
+    t = bucketed.write_user_table(_events(spark, d), "user_id", BUCKETS, ["ts"])
+    return rounded(t.per_user(lambda ev: sessions.sessions(ev, 30, True, EV)))
+
+
+@register("bucketed_enrich", ORACLE["enrich_merge"])
+def q_bucketed_enrich(spark, d):
+    """Events and users bucketed alike join without exchange; hot users are few, so theirs is broadcast."""
+    ev = _events(spark, d).select("event_id", "user_id", "ts", "event_type", "value")
+    t = bucketed.write_user_table(ev, "user_id", BUCKETS, ["ts"])
+    path = scratch_path(spark, "users-bucketed")
+    dim = bucketed.save_bucketed(user_dimension(spark, d), "user_id", BUCKETS, [], path,
+                                 "users_" + path.rsplit("-", 1)[-1])
+    usual = t.usual.join(dim.hint("merge"), "user_id", "left")
+    hot_dim = dim.join(F.broadcast(t.hot_users), "user_id", "left_semi")  # at most one row per bucket
+    return usual.unionByName(t.hot.join(F.broadcast(hot_dim), "user_id", "left"))
+
+
+@register("bucketed_user_days", ORACLE["user_day"])
+def q_bucketed_user_days(spark, d):
+    t = bucketed.write_user_table(_events(spark, d), "user_id", BUCKETS, ["ts"])
+    return rounded(t.per_user(lambda ev: activity.user_day_summary(ev, cols=EV)))
+
+
+def _clustered(spark, d) -> DataFrame:
+    path = scratch_path(spark, "events-clustered")
+    clustered.write_clustered(_events(spark, d).withColumn("date", F.to_date("ts")), path, ["date", "user_id"], 64,
+                              bloom=["user_id"])
+    return spark.read.parquet(path)
+
+
+@register("clustered_one_user", "select *, cast(ts as date) as date from events where user_id = 7")
+def q_clustered_one_user(spark, d):
+    return _clustered(spark, d).where("user_id = 7")
+
+
+@register("clustered_days", """
+select *, cast(ts as date) as date from events where cast(ts as date) between date '2024-01-10' and date '2024-01-11'
+""")
+def q_clustered_days(spark, d):
+    return _clustered(spark, d).where("date between date'2024-01-10' and date'2024-01-11'")
+
+
+@register("clustered_files_touched", """
+select (select count(*) from events) as rows, true as days_skip_most, true as user_skips_most
+""")
+def q_clustered_files_touched(spark, d):
+    """Filters on two days or on one user touch less than a third of the rows' files."""
+    r = clustered.file_ranges(_clustered(spark, d), ["date", "user_id"])
+    days = F.expr("lo_date <= date'2024-01-11' and hi_date >= date'2024-01-10'")
+    user = F.expr("lo_user_id <= 7 and hi_user_id >= 7")
+    total = F.sum("rows")
+    return r.agg(total.alias("rows"), (F.sum(F.when(days, F.col("rows")).otherwise(0)) * 3 < total).alias("days_skip_most"),
+                 (F.sum(F.when(user, F.col("rows")).otherwise(0)) * 3 < total).alias("user_skips_most"))
+
+
+@register("persisted_layout", """
+select 'daily_active' as metric, cast(ts as date) as date, count(distinct user_id) as n from events group by 2
+union all
+select 'purchasers', cast(ts as date), count(distinct user_id) from events where event_type = 'purchase' group by 2
+""")
+def q_persisted_layout(spark, d):
+    """One layout by user, persisted for two outputs and released; the outputs are written before."""
+    path = scratch_path(spark, "persisted-layout")
+    ev = _events(spark, d).select("event_id", "user_id", "ts", "event_type", "value")
+    with persisted(partition_by_user(ev, "user_id", salt_col="event_id")) as layout:
+        for metric, actions in (("daily_active", None), ("purchasers", ["purchase"])):
+            dau = activity.daily_active(layout, cols=EV, actions=actions)
+            dau.select(F.lit(metric).alias("metric"), "date", F.col("daily_active_users").alias("n")) \
+                .write.parquet(f"{path}/{metric}")
+    return spark.read.parquet(f"{path}/daily_active", f"{path}/purchasers")
+
+
+# ---------------------------------------------------------------- entry points of the reports
+
+_INTERACTIONS_SQL = """
+select cast(user_id as varchar) as user_id, ts as "timestamp", event_type as action_type,
+       'p' || (event_id % 100) as page_id, cast(floor(value * 100) as bigint) as duration_ms,
+       '1.0.' || (event_id % 10) as app_version from events"""
+
+
+def _prepared(spark, d):
+    """Events and customers as the two CSV inputs, taken in by the entry point."""
+    ev = _events(spark, d).select(
+        F.col("user_id").cast("string").alias("user_id"), F.col("ts").cast("timestamp").alias("timestamp"),
+        F.col("event_type").alias("action_type"), F.concat(F.lit("p"), (F.col("event_id") % 100)).alias("page_id"),
+        F.floor(F.col("value") * 100).cast("long").alias("duration_ms"),
+        F.concat(F.lit("1.0."), (F.col("event_id") % 10)).alias("app_version"))
+    from tidemark.plans.catalog import _metadata
+    inter, meta = scratch_path(spark, "interactions-csv"), scratch_path(spark, "metadata-csv")
+    sinks.write_csv(ev, inter)
+    sinks.write_csv(_metadata(spark, d), meta)
+    return reports.prepare_datasets(spark, inter, meta, "csv", partitioning="hash")
+
+
+@register("entry_interactions", _INTERACTIONS_SQL)
+def q_entry_interactions(spark, d):
+    out = _prepared(spark, d)[0]
+    return out.select("user_id", F.col("timestamp").cast("timestamp_ntz").alias("timestamp"), "action_type", "page_id",
+                      "duration_ms", "app_version")
+
+
+@register("entry_metadata", ORACLE["metadata_csv_roundtrip"])
+def q_entry_metadata(spark, d):
+    return _prepared(spark, d)[1]
+
+
+@register("entry_daily_active", ORACLE["dau_since"])
+def q_entry_daily_active(spark, d):
+    return reports.active_users(_events(spark, d), start=dt.datetime(2024, 1, 5, 13), cols=EV)["daily_active"]
+
+
+@register("entry_monthly_active", ORACLE["rolling_dau_sum_31"])
+def q_entry_monthly_active(spark, d):
+    return reports.active_users(_events(spark, d), cols=EV)["monthly_active"]
+
+
+@register("entry_rolling_mau", ORACLE["mau_rolling_exact"])
+def q_entry_rolling_mau(spark, d):
+    return reports.active_users(_events(spark, d), cols=EV)["rolling_mau"]
+
+
+@register("entry_active_users_approx", f"""
+select date, exact, active_users_30d as rolling, true as dau_near, true as rolling_near
+from ({ORACLE["dau_approx_error"]}) as a join ({_rolling_sql(30)}) as r using (date)
+""")
+def q_entry_active_users_approx(spark, d):
+    """The approximate form of the active-user report beside the exact one."""
+    ev = _events(spark, d)
+    near, exact = reports.active_users(ev, approx=True, cols=EV), reports.active_users(ev, cols=EV)
+    rows = (exact["daily_active"].select("date", F.col("daily_active_users").alias("exact"))
+            .join(exact["rolling_mau"].select("date", F.col("active_users_30d").alias("rolling")), "date")
+            .join(near["daily_active"].select("date", F.col("daily_active_users").alias("d")), "date")
+            .join(near["rolling_mau"].select("date", F.col("approx_active_users_30d").alias("r")), "date"))
+    return rows.select("date", "exact", "rolling",
+                       (F.abs(F.col("d") - F.col("exact")) <= F.greatest(F.lit(1.0), F.col("exact") * 0.15)).alias("dau_near"),
+                       (F.abs(F.col("r") - F.col("rolling")) <= F.greatest(F.lit(1.0), F.col("rolling") * 0.05))
+                       .alias("rolling_near"))
+
+
+def _session_report(name: str, oracle: str, drop: tuple[str, ...] = ()):
+    @register(f"entry_{name}", ORACLE[oracle])
+    def query(spark, d):
+        return rounded(reports.session_metrics(_events(spark, d), cols=EV)[name].drop(*drop))
+    return query
+
+
+_session_report("session_metrics", "session_summary", ("session_duration_quartiles", "actions_quartiles"))
+_session_report("detailed_sessions", "sessions_clean")
+_session_report("time_metrics", "session_time_of_week")
+_session_report("outlier_thresholds", "iqr_bounds")
+_session_report("funnel", "sessions_removed")
+
+
+# ---------------------------------------------------------------- stateful streams
+
+from tidemark.schemas import EVENTS as EVENTS_SCHEMA  # noqa: E402
+from tidemark.streaming import stateful  # noqa: E402
+
+DELAY_SECONDS = 2 * 86_400
+
+# ten days arrive together; every 50th event comes one arrival late, every tenth a second time one arrival later
+_ARRIVALS_SQL = """
+p as (select *, (day(ts) - 1) // 10 as k from events),
+a as (select * exclude (k), case when event_id % 50 = 0 then least(k + 1, 2) else k end as k from p
+      union all select * exclude (k), k + 1 from p where event_id % 10 = 1 and k < 2),
+seen as (select k, max(max(ts)) over (order by k rows between unbounded preceding and 1 preceding) as latest
+         from a group by k),
+s as (select a.*, coalesce(a.ts < seen.latest - interval 2 days, false) as late from a join seen using (k))"""
+
+
+def _arrivals(spark, d) -> DataFrame:
+    k = F.floor((F.day("ts") - 1) / 10)
+    ev = _events(spark, d)
+    first = ev.withColumn("k", F.when(F.col("event_id") % 50 == 0, F.least(k + 1, F.lit(2))).otherwise(k))
+    again = ev.where(F.col("event_id") % 10 == 1).withColumn("k", k + 1).where("k <= 2")
+    return first.unionByName(again)
+
+
+def _deduplicated(spark, d) -> dict[str, DataFrame]:
+    path = scratch_path(spark, "arrivals")
+    rows = _arrivals(spark, d)
+    for k in range(3):
+        rows.where(F.col("k") == k).drop("k").write.parquet(f"{path}/files/k{k}")
+        out = stateful.take_in(spark, f"{path}/files", EVENTS_SCHEMA, f"{path}/sink", "event_id", "ts", DELAY_SECONDS)
+    return out
+
+
+@register("stream_unique_events", f"with {_ARRIVALS_SQL} select distinct * exclude (k, late) from s where not late")
+def q_stream_unique(spark, d):
+    """Events of three arrivals, each once, but for those that came too late."""
+    return _deduplicated(spark, d)["unique"]
+
+
+@register("stream_late_events", f"""with {_ARRIVALS_SQL}
+select event_id, ts, count(*) as copies from s where late group by 1, 2""")
+def q_stream_late(spark, d):
+    """The side table of late rows, copies included."""
+    return _deduplicated(spark, d)["late"].groupBy("event_id", "ts").agg(F.count(F.lit(1)).alias("copies"))
+
+
+@register("stream_view_to_purchase", """
+select v.user_id, v.event_id as view_id, v.ts as viewed_at, p.event_id as purchase_id, p.ts as purchased_at
+from events v join events p on v.user_id = p.user_id and p.ts >= v.ts and p.ts <= v.ts + interval 1 hour
+where v.event_type = 'view' and p.event_type = 'purchase'
+""")
+def q_stream_view_to_purchase(spark, d):
+    """Views followed by a purchase of the same user within an hour, from a stream of three arrivals."""
+    path = scratch_path(spark, "interval-join")
+
+    def views(ev):
+        return ev.where("event_type = 'view'").select("user_id", F.col("event_id").alias("view_id"),
+                                                      F.col("ts").alias("viewed_at"))
+
+    def purchases(ev):
+        return ev.where("event_type = 'purchase'").select("user_id", F.col("event_id").alias("purchase_id"),
+                                                          F.col("ts").alias("purchased_at"))
+    for k in range(3):
+        _events(spark, d).where(F.floor((F.day("ts") - 1) / 10) == k).write.parquet(f"{path}/files/k{k}")
+        out = stateful.interval_join_table(spark, f"{path}/files", EVENTS_SCHEMA, f"{path}/sink", views, purchases,
+                                           "user_id", "viewed_at", "purchased_at", 3600, DELAY_SECONDS)
+    return out

@@ -53,13 +53,13 @@ def active_users(interactions: DataFrame, start=None, approx: bool = False,
 def session_metrics(interactions: DataFrame, timeout_minutes: float = 30,
                     max_hours: float = 24.0, min_actions: int = 2,
                     split_at_midnight: bool = True, cols: EventCols = INTERACTION_COLS,
-                    checkpoint_sessions: bool = False) -> dict[str, DataFrame]:
+                    checkpoint_sessions: bool = True) -> dict[str, DataFrame]:
     """Summary, clean sessions, time-of-week profile, thresholds, funnel.
 
-    Every output is lazy and re-derives the session table when run. With
-    ``checkpoint_sessions`` the session table is written once as a
-    reliable checkpoint in the shared folder (survives executor loss)
-    and all outputs read it.
+    The session table is derived once, by this call, and written as a
+    reliable checkpoint in the shared folder (survives executor loss); all
+    outputs read it. Without ``checkpoint_sessions`` nothing is written and
+    every output derives the sessions when it runs.
     """
     sess = sessions.sessions(interactions, timeout_minutes, split_at_midnight, cols)
     if checkpoint_sessions:
