@@ -446,8 +446,8 @@ def test_arrivals_are_unique_late_or_unplaced(spark):
     path = scratch_path(spark, "stream")
     batches = [
         [(1, at(0)), (1, at(0)), (2, at(100)), (None, at(5)), (3, None)],
-        [(2, at(100)), (4, at(300)), (5, at(39)), (5, at(39)), (6, at(40))],  # 100 - 60: before 40 is late
-        [(6, at(40)), (4, at(300)), (7, at(240)), (8, at(239.9))],
+        [(2, at(100)), (4, at(300)), (5, at(40)), (5, at(39)), (6, at(40.5))],  # up to 100 - 60 is late
+        [(6, at(40.5)), (4, at(300)), (7, at(240.5)), (8, at(240))],
     ]
     for k, rows in enumerate(batches):
         spark.createDataFrame(rows, "id long, ts timestamp_ntz").coalesce(1).write.parquet(f"{path}/files/k{k}")

@@ -551,7 +551,7 @@ a as (select * exclude (k), case when event_id % 50 = 0 then least(k + 1, 2) els
       union all select * exclude (k), k + 1 from p where event_id % 10 = 1 and k < 2),
 seen as (select k, max(max(ts)) over (order by k rows between unbounded preceding and 1 preceding) as latest
          from a group by k),
-s as (select a.*, coalesce(a.ts < seen.latest - interval 2 days, false) as late from a join seen using (k))"""
+s as (select a.*, coalesce(a.ts <= seen.latest - interval 2 days, false) as late from a join seen using (k))"""
 
 
 def _arrivals(spark, d) -> DataFrame:

@@ -4,9 +4,9 @@ A watermark bounds the state: what is older than the latest time seen so far
 by more than the delay is given up. Spark drops such rows in its stateful
 operators without a trace, so here they are split off first:
 
-* ``split_arrivals`` marks each row of a batch as ``on_time``, ``late`` (older
-  than the latest time of all batches before it, less the delay) or
-  ``unplaced`` (no id or time), and stores the batch in folders of its own. No
+* ``split_arrivals`` marks each row of a batch as ``on_time``, ``late`` (not
+  after the latest time of all batches before it less the delay, where Spark's
+  operators give rows up) or ``unplaced`` (no id or time), and stores the batch in folders of its own. No
   row is lost, and a batch that is run again overwrites its folders.
 * ``deduplicate`` streams the on-time rows through
   ``dropDuplicatesWithinWatermark``. A copy that comes in time is dropped
@@ -44,7 +44,7 @@ def split_arrivals(spark: SparkSession, path: str, schema: T.StructType, sink: s
         seen = (spark.read.schema(seen_schema).parquet(f"{sink}/seen").where(F.col("batch_id") < batch_id)
                 .agg(F.max("latest").alias("t")).scalar())  # one row per batch
         placed = F.col(key).isNotNull() & F.col(ts).isNotNull()
-        late = placed & F.coalesce(F.col(ts) < seen - F.make_dt_interval(secs=F.lit(int(delay_seconds))), F.lit(False))
+        late = placed & F.coalesce(F.col(ts) <= seen - F.make_dt_interval(secs=F.lit(int(delay_seconds))), F.lit(False))
         rows = batch.withColumn("kind", F.when(~placed, "unplaced").when(late, "late").otherwise("on_time"))
         (rows.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("kind", "batch_id").parquet(f"{sink}/rows"))
