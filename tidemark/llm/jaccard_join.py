@@ -35,7 +35,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import Memo, slot_filter, staged, with_slot_flag
@@ -276,9 +276,19 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
         first = Window.partitionBy("id").orderBy("c", "key")
         rows = (rows.join(held, "key").withColumn("r", F.row_number().over(first))
                 .filter(F.col("r") <= F.col("n") - F.ceil(F.col("n") * 80 / 100) + 1))
-        return rows.filter("c > 1").select("key", "id")
-
-    labels = link_groups(members, verify, rarest).select(F.col("id").alias("cls"), "comp")
+        return rows.filter("c > 1").select("key", "id", "n", "r")
+
+    def fits(a: str, b: str) -> Column:
+        """Positions: of the shingles that two linked sets share, the first in
+        the order of ``rarest`` stands at r in each, and no more than n - r
+        can follow it there. Both must reach the overlap that 80 % of their
+        sizes asks for. ``a`` is the smaller set."""
+        na, nb, ra, rb = (F.col(p + c) for c in ("n", "r") for p in (a, b))
+        smaller = (na < nb) | ((na == nb) & (F.col(a + "id") < F.col(b + "id")))
+        near = 9 * (1 + F.least(na - ra, nb - rb)) >= 4 * (na + nb)
+        return smaller & (na * 100 >= nb * 80) & near
+
+    labels = link_groups(members, verify, rarest, fits).select(F.col("id").alias("cls"), "comp")
     linked = (sized.filter("n > 0").join(labels, "cls", "left")
               .withColumn("comp", F.coalesce("comp", "cls")))
     names = linked.groupBy("comp").agg(F.min("id").alias("component_id"))

@@ -10,12 +10,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import staged
 
 MAX_ROUNDS = 60
+# pairs are dealt over 16 parts by a hash; these are tested one slice after the other
+SLICES = ((0, 1), (1, 4), (4, 16))
 
 
 def _signature(edges: DataFrame) -> tuple:
@@ -57,7 +59,8 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def link_groups(members: DataFrame, verify: Callable[[DataFrame], DataFrame],
-                refine: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+                refine: Callable[[DataFrame], DataFrame] | None = None,
+                fits: Callable[[str, str], Column] | None = None) -> DataFrame:
     """Components of the links among ids that share a key: ``id, comp``.
 
     ``members`` has (key, id); two ids may be linked only if they share a key,
@@ -67,30 +70,36 @@ def link_groups(members: DataFrame, verify: Callable[[DataFrame], DataFrame],
     1. each id is tested against one hub, the smallest id of its keys;
     2. keys that now hold one component are done. For the ids of the others,
        ``refine`` may give new, more telling (key, id) rows under the same
-       promise: ids that may be linked share a key;
-    3. keys that still hold several components test their members against
-       the key's smallest id, then its largest;
-    4. for keys that still do, the pairs across components are tested.
-
-    A family of n similar ids costs about n tests instead of n squared, and no
-    link between two components is lost.
+       promise: ids that may be linked share a key. Its other columns stay;
+    3. keys that still hold several components test their members against the
+       key's smallest id, then its largest;
+    4. for keys that still do, pairs across components are tested in slices,
+       a sixteenth of them first. Links of a slice join components, and pairs
+       within one are not even formed in the next. ``fits`` names what must
+       hold for the rows of a pair in at least one key they share, given the
+       prefixes of the two rows' columns.
+
+    A family that its hubs link costs about n tests for n ids, and one that is
+    linked in other ways grows together over the slices. Every pair is formed
+    in one slice unless its ids are in one component by then, so no link
+    between two components is lost.
     """
-    members = members.select("key", "id")
     hubs = members.groupBy("key").agg(F.min("id").alias("hub"))
     pairs = (members.join(hubs, "key").groupBy("id").agg(F.min("hub").alias("hub"))
              .select(F.col("id").alias("a"), F.col("hub").alias("b")))
     tested = labels = None
-    for step in ("hub", "min", "max", "all"):
+    for step in ("hub", "min", "max", *SLICES):
         if step != "hub":
-            live = _live(members, labels)
+            live = _live(members, labels, step)
             if step == "min" and refine is not None:
                 members = staged(refine(live.select("id").distinct()), "link_refined")
-                live = _live(members, labels)
+                live = _live(members, labels, step)
             live = staged(live, "link_live")
             if live.isEmpty():
                 break
-            members = live.select("key", "id")
-            pairs = _cross_pairs(live, step)
+            members = live.drop("comp", "hub")
+            pairs = _pairs_of_slice(live, step, fits) if step in SLICES else (
+                live.filter(F.col("comp") != F.col("hub.comp")).select(F.col("id").alias("a"), F.col("hub.id").alias("b")))
         pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")) \
             .filter("a != b").distinct()
         if tested is not None:
@@ -104,20 +113,24 @@ def link_groups(members: DataFrame, verify: Callable[[DataFrame], DataFrame],
     return labels
 
 
-def _live(members: DataFrame, labels: DataFrame) -> DataFrame:
+def _live(members: DataFrame, labels: DataFrame, step) -> DataFrame:
     """Members of keys that hold several components, with their component and
-    the key's smallest and largest id and those ids' components."""
+    the key's hub: its smallest id, or its largest in step ``max``."""
     placed = members.join(labels, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-    keys = (placed.groupBy("key").agg(
-        F.min("comp").alias("lo"), F.max("comp").alias("hi"),
-        F.min(F.struct("id", "comp")).alias("first"), F.max(F.struct("id", "comp")).alias("last"))
-        .filter("lo != hi"))
-    return placed.join(keys, "key").select("key", "id", "comp", "first", "last")
-
-
-def _cross_pairs(live: DataFrame, step: str) -> DataFrame:
-    if step == "all":
-        other = live.select("key", F.col("id").alias("b"), F.col("comp").alias("other"))
-        return live.join(other, "key").filter("comp < other").select(F.col("id").alias("a"), "b")
-    hub = F.col("first" if step == "min" else "last")
-    return live.filter(F.col("comp") != hub["comp"]).select(F.col("id").alias("a"), hub["id"].alias("b"))
+    hub = (F.max if step == "max" else F.min)(F.struct("id", "comp"))
+    keys = (placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), hub.alias("hub"))
+            .filter("lo != hi").drop("lo", "hi"))
+    return placed.join(keys, "key")
+
+
+def _pairs_of_slice(live: DataFrame, parts: tuple[int, int], fits) -> DataFrame:
+    """Pairs across components in the parts of this slice; the rule and the
+    slice are conditions of the join, so no other pair is ever a row."""
+    a, b = (live.drop("hub").select("key", *[F.col(c).alias(p + c) for c in live.columns if c not in ("key", "hub")])
+            for p in ("a_", "b_"))
+    across = F.col("a_comp") != F.col("b_comp")
+    rule = (F.col("a_id") < F.col("b_id")) if fits is None else fits("a_", "b_")
+    part = F.pmod(F.xxhash64(F.least("a_id", "b_id"), F.greatest("a_id", "b_id")), F.lit(16))
+    now = (part >= parts[0]) & (part < parts[1])
+    return (a.join(b, (a["key"] == b["key"]) & across & rule & now)
+            .select(F.col("a_id").alias("a"), F.col("b_id").alias("b")))
