@@ -50,10 +50,13 @@ _word_hash = Memo(xxhash.xxh64_intdigest)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        x = (x ^ (x >> np.uint64(30))) * _M2
-        x = (x ^ (x >> np.uint64(27))) * _M3
-        return x ^ (x >> np.uint64(31))
+    out = x >> np.uint64(30)
+    out ^= x
+    out *= _M2
+    out ^= out >> np.uint64(27)
+    out *= _M3
+    out ^= out >> np.uint64(31)
+    return out
 
 
 def shingles(text: bytes, words: int = WORDS) -> np.ndarray:
