@@ -37,6 +37,7 @@ from tidemark.llm.common import Memo
 END = "\ue000"  # stands for the end-of-word suffix, outside the byte alphabet
 SHIFT = 1 << 20  # ids are below this
 LATIN_END = "\u0180"
+SLICE_ROWS = 64
 
 
 class PrefixBpe:
@@ -210,6 +211,28 @@ def decode_documents(df: DataFrame, path: str, keep: list[str], ids_col: str = "
     return rows.mapInArrow(run, schema)
 
 
+def encode_decode_documents(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``encode_decode_digests`` with the ids themselves in ``ids``. One worker
+    per task does both directions, and holds a slice of the texts at a time."""
+    rows = df.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("_text"))
+
+    def run(batches):
+        c = coder(path)
+        for b in batches:
+            for lo in range(0, b.num_rows, SLICE_ROWS):
+                part = b.slice(lo, SLICE_ROWS)
+                ids = [c.encode(t) for t in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()),
+                     pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()),
+                     pa.array([hashlib.sha256(c.decode(x).encode()).hexdigest() for x in ids], pa.string()),
+                     pa.array(ids, pa.binary())], names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256", "ids"])
+
+    kind = df.schema[id_col].dataType.simpleString()
+    return rows.mapInArrow(
+        run, f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string, ids binary")
+
+
 def encode_decode_digests(df: DataFrame, path: str, id_col: str = "doc_id",
                           text_col: str = "text") -> DataFrame:
     """Encode, decode again, and keep ``id_col, n_tokens, ids_sha256,
