@@ -53,10 +53,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids, the digest of the ids, and the digest of the text that the
     ids decode to."""
-    ids = bpe.encode_documents(docs, vocabulary()).withColumn("ids_sha256", F.sha2("ids", 256))
-    back = bpe.decode_documents(ids.withColumn("_ids", F.col("ids")), vocabulary(),
-                                ["doc_id", "n_tokens", "ids_sha256", "ids"], "_ids")
-    return back.select("doc_id", "n_tokens", "ids_sha256", F.sha2("text", 256).alias("decoded_sha256"), "ids")
+    return bpe.encode_decode_documents(docs, vocabulary())
 
 
 STAGES = [("toxicity", drop_toxic), ("line_dedup", dedup_lines), ("jaccard_join", one_per_group),
