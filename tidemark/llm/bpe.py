@@ -156,6 +156,13 @@ class PrefixBpe:
             memo.trim()
         return out
 
+    def forget(self) -> None:
+        """Drop what was remembered, so that a worker that is used again
+        starts its next task without it."""
+        for memo in (self.chunks, self.known, self.pairs):
+            memo.clear()
+            memo.old = {}
+
     def decode(self, ids: bytes) -> str:
         """Ids -> text; the vocabulary names no decoder, so tokens are joined
         by a space, specials included."""
@@ -218,15 +225,19 @@ def encode_decode_documents(df: DataFrame, path: str, id_col: str = "doc_id", te
 
     def run(batches):
         c = coder(path)
-        for b in batches:
-            for lo in range(0, b.num_rows, SLICE_ROWS):
-                part = b.slice(lo, SLICE_ROWS)
-                ids = [c.encode(t) for t in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()),
-                     pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()),
-                     pa.array([hashlib.sha256(c.decode(x).encode()).hexdigest() for x in ids], pa.string()),
-                     pa.array(ids, pa.binary())], names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256", "ids"])
+        try:
+            for b in batches:
+                for lo in range(0, b.num_rows, SLICE_ROWS):
+                    part = b.slice(lo, SLICE_ROWS)
+                    ids = [c.encode(t) for t in part.column(1).to_pylist()]
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()),
+                         pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()),
+                         pa.array([hashlib.sha256(c.decode(x).encode()).hexdigest() for x in ids], pa.string()),
+                         pa.array(ids, pa.binary())],
+                        names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256", "ids"])
+        finally:
+            c.forget()
 
     kind = df.schema[id_col].dataType.simpleString()
     return rows.mapInArrow(
