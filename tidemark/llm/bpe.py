@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Memo
+from tidemark.llm.common import Memo, forgetting
 
 END = "\ue000"  # stands for the end-of-word suffix, outside the byte alphabet
 SHIFT = 1 << 20  # ids are below this
@@ -160,8 +160,7 @@ class PrefixBpe:
         """Drop what was remembered, so that a worker that is used again
         starts its next task without it."""
         for memo in (self.chunks, self.known, self.pairs):
-            memo.clear()
-            memo.old = {}
+            memo.forget()
 
     def decode(self, ids: bytes) -> str:
         """Ids -> text; the vocabulary names no decoder, so tokens are joined
@@ -225,23 +224,20 @@ def encode_decode_documents(df: DataFrame, path: str, id_col: str = "doc_id", te
 
     def run(batches):
         c = coder(path)
-        try:
-            for b in batches:
-                for lo in range(0, b.num_rows, SLICE_ROWS):
-                    part = b.slice(lo, SLICE_ROWS)
-                    ids = [c.encode(t) for t in part.column(1).to_pylist()]
-                    yield pa.RecordBatch.from_arrays(
-                        [part.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()),
-                         pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()),
-                         pa.array([hashlib.sha256(c.decode(x).encode()).hexdigest() for x in ids], pa.string()),
-                         pa.array(ids, pa.binary())],
-                        names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256", "ids"])
-        finally:
-            c.forget()
+        for b in batches:
+            for lo in range(0, b.num_rows, SLICE_ROWS):
+                part = b.slice(lo, SLICE_ROWS)
+                ids = [c.encode(t) for t in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()),
+                     pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()),
+                     pa.array([hashlib.sha256(c.decode(x).encode()).hexdigest() for x in ids], pa.string()),
+                     pa.array(ids, pa.binary())], names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256", "ids"])
 
     kind = df.schema[id_col].dataType.simpleString()
     return rows.mapInArrow(
-        run, f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string, ids binary")
+        forgetting(lambda: coder(path).forget(), run),
+        f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string, ids binary")
 
 
 def encode_decode_digests(df: DataFrame, path: str, id_col: str = "doc_id",

@@ -84,6 +84,22 @@ class Memo(dict):
             self.clear()
 
 
+    def forget(self):
+        self.clear()
+        self.old = {}
+
+
+def forgetting(forget, run):
+    """``run`` over a task's batches, then ``forget()``: Python workers are used
+    again by other tasks, which should not start with its memory."""
+    def task(batches):
+        try:
+            yield from run(batches)
+        finally:
+            forget()
+    return task
+
+
 def slot_bytes(bits: DataFrame):
     """A slot filter as one byte array for use in Python tasks: 8 MB always."""
     import numpy as np

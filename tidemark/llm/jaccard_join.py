@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Memo, slot_filter, staged, with_slot_flag
+from tidemark.llm.common import Memo, forgetting, slot_filter, staged, with_slot_flag
 from tidemark.llm.linking import link_groups
 
 WORDS = 5
@@ -49,6 +49,10 @@ _M1, _M2, _M3, _M4 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E
 _word_hash = Memo(xxhash.xxh64_intdigest)
 
 
+def forget_words() -> None:
+    _word_hash.forget()
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     out = x >> np.uint64(30)
     out ^= x
@@ -155,7 +159,7 @@ def _emit(words: int):
         for b in batches:
             docs, names, sizes, keys, owners, spares = b.column(0), [], [], [], [], []
             held = 0
-            for text in b.column(1).to_pylist():
+            for text in (t for lo in range(0, b.num_rows, 64) for t in b.column(1).slice(lo, 64).to_pylist()):
                 sh = shingles(text, words)
                 name = class_name(sh) if len(sh) else 0
                 names.append(name)
@@ -228,7 +232,7 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     docs = df.select(F.col(id_col).cast("long").alias("_id"),
                      F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("_text"))
     shape = "key long, cls long, spare int"
-    rows = staged(docs.mapInArrow(_emit(words), shape).repartition("key").sortWithinPartitions("key", "cls")
+    rows = staged(docs.mapInArrow(forgetting(forget_words, _emit(words)), shape).repartition("key").sortWithinPartitions("key", "cls")
                   .mapInArrow(shared_only, shape), "jaccard_rows")
     sized = rows.filter("spare < 0").select(F.col("key").alias("id"), "cls", (-1 - F.col("spare")).alias("n"))
 
@@ -254,7 +258,7 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
                 [pa.array([class_name(s) for s in sh], pa.int64()),
                  pa.array([s.view(np.int64) for s in sh], pa.list_(pa.int64()))], names=["cls", "set"])
 
-    found = some.select("_text").mapInArrow(sets, "cls long, set array<long>").join(asked, "cls", "left_semi")
+    found = some.select("_text").mapInArrow(forgetting(forget_words, sets), "cls long, set array<long>").join(asked, "cls", "left_semi")
     found = staged(found.groupBy("cls").agg(F.first("set").alias("set")), "jaccard_sets")
 
     def verify(pairs: DataFrame) -> DataFrame:

@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Memo, in_slots, slot_bytes, slot_filter, staged, with_slot_flag
+from tidemark.llm.common import Memo, forgetting, in_slots, slot_bytes, slot_filter, staged, with_slot_flag
 from tidemark.llm.jaccard_join import shared_only
 from tidemark.llm.linking import link_groups
 
@@ -64,6 +64,10 @@ def _hash_and_weight(word: bytes) -> int:
 _words = Memo(_hash_and_weight)
 
 
+def forget_words() -> None:
+    _words.forget()
+
+
 def line_words(text: bytes) -> list[list[bytes]]:
     """The normal form of each line as a list of words."""
     return [line.split() for line in text.translate(_FORM, _DROP).split(b"\n")]
@@ -147,10 +151,10 @@ def hashed_lines(rows: DataFrame, exact_words: int) -> DataFrame:
     punctuation only have no normal form; they are named as they stand."""
     def run(batches):
         for b in batches:
-            docs, hashes, texts = b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()
-            for lo in range(0, len(docs), 256):
+            for lo in range(0, b.num_rows, 256):
                 out = []
-                for doc, row, text in zip(docs[lo:lo + 256], hashes[lo:lo + 256], texts[lo:lo + 256], strict=True):
+                part = (b.column(i).slice(lo, 256).to_pylist() for i in range(3))
+                for doc, row, text in zip(*part, strict=True):
                     raw = None
                     for k, words in enumerate(line_words(text)):
                         if words and len(words) >= exact_words:
@@ -177,10 +181,9 @@ def keyed_lines(texts: DataFrame, min_words: int) -> DataFrame:
     def run(batches):
         seen: set[int] = set()
         for b in batches:
-            docs = b.column(0).to_pylist()
-            for lo in range(0, len(docs), 256):
+            for lo in range(0, b.num_rows, 256):
                 lines, names = [], []
-                for text in docs[lo:lo + 256]:
+                for text in b.column(0).slice(lo, 256).to_pylist():
                     for words in line_words(text):
                         if words and len(words) >= min_words and (name := _name(words)) not in seen:
                             if len(seen) > 200_000:
@@ -200,7 +203,7 @@ def keyed_lines(texts: DataFrame, min_words: int) -> DataFrame:
                     [pa.array(key), pa.array(cls), pa.array(np.zeros(len(key), np.int32))],
                     names=["key", "cls", "spare"])
 
-    return texts.mapInArrow(run, "key long, cls long, spare int")
+    return texts.mapInArrow(forgetting(forget_words, run), "key long, cls long, spare int")
 
 
 def with_length_band(key, chars, similarity: float):

@@ -17,6 +17,7 @@ labelled rows; scoring reads every word of every text.
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Memo
+from tidemark.llm.common import Memo, forgetting
 
 BITS = 20
 MAX_ROWS = 16_384
@@ -44,6 +45,10 @@ def _hashes(word: bytes) -> int:
 _words = Memo(_hashes)
 
 
+def forget_words() -> None:
+    _words.forget()
+
+
 def features(text: bytes, bits: int = BITS) -> np.ndarray:
     """Coordinates of a text, with repeats."""
     words = text.lower().split()
@@ -137,7 +142,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         at = np.flatnonzero(w)
         return pd.DataFrame({"coordinate": np.append(at, -1).astype(np.int64), "weight": np.append(w[at], bias)})
 
-    found = sample.mapInArrow(extract, "_id long, _y int, _idx binary")
+    found = sample.mapInArrow(forgetting(forget_words, extract), "_id long, _y int, _idx binary")
     return found.groupBy(F.lit(0).alias("_all")).applyInPandas(fit, "coordinate long, weight double")
 
 
@@ -157,16 +162,20 @@ def score(docs: DataFrame, model: DataFrame, text_col: str = "text", bits: int =
     model_b = docs.sparkSession.sparkContext.broadcast((kept.astype(np.int32), dense[kept]))
 
     @F.pandas_udf("double")
-    def run(texts: pd.Series) -> pd.Series:
+    def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         at, w = model_b.value
         table = np.zeros(1 << bits, np.float32)
         table[at] = w
-        out = np.empty(len(texts))
-        for i, t in enumerate(texts):
-            idx = features(t, bits)
-            idx = np.unique(idx[table[idx] != 0])
-            out[i] = _sigmoid(bias + float(table[idx].sum(dtype=np.float64)))
-        return pd.Series(out)
+
+        def scored(parts):
+            for texts in parts:
+                out = np.empty(len(texts))
+                for i, t in enumerate(texts):
+                    idx = features(t, bits)
+                    idx = np.unique(idx[table[idx] != 0])
+                    out[i] = _sigmoid(bias + float(table[idx].sum(dtype=np.float64)))
+                yield pd.Series(out)
+        return forgetting(forget_words, scored)(parts)
 
     scored = docs.withColumn("score", run(F.coalesce(F.col(text_col), F.lit("")).cast("binary")))
     return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
