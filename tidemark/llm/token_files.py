@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import struct
 
 import numpy as np
@@ -26,13 +27,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.bpe import LATIN_END
-from tidemark.llm.common import Memo
-
 BLOCK = 65_536
 TEXTS = 64  # encoded at a time
 MAGIC = b"TMPL"
 HEADER = struct.Struct("<4sBBxxI")  # magic, bits per plane (1 or 8), planes, ids
+NO_ID = 0xFFFFFFFF  # between words; ids stay below 2**24, so their highest byte is 0
+CUT = b"\xff\xff\xff\xff"
+# visible Latin characters are composed already and classed alike by every Unicode version
+NOT_PLAIN = re.compile("[^\n!-~\u00a1-\u00ac\u00ae-\u012f\u0131-\u017f]|<\\|")
 
 CHUNKS = ("part long, chunk long, n_ids long, payload binary, doc_id {kind}, start array<long>, "
           "n_tokens array<long>, skip array<long>, n_here array<long>")
@@ -75,16 +77,37 @@ def unpack(block: bytes) -> np.ndarray:
     return np.ascontiguousarray(raw).reshape(-1).view("<u4")
 
 
+class Recent:
+    """What is known of recent keys: two generations of plain dictionaries of
+    at most ``limit`` keys each, looked up a whole set at a time."""
+
+    def __init__(self, limit: int):
+        self.now, self.old, self.limit = {}, {}, limit
+
+    def absent(self, keys: set) -> list:
+        """The keys that are not known; those of the older generation come over."""
+        new = keys.difference(self.now)
+        if not self.old:
+            return list(new)
+        self.now.update((k, self.old[k]) for k in new if k in self.old)
+        return [k for k in new if k not in self.now]
+
+    def trim(self) -> None:
+        if len(self.now) > self.limit:
+            self.now, self.old = {}, self.now
+
+
 class LibraryEncoder:
     """The tokenizers library, asked once per recent word.
 
     A text is cut at ASCII white space: the vocabulary's splitting drops white
     space, no normalisation step composes across it and no special token holds
     any, so the pieces' ids, one after the other, are the text's. Pieces in
-    plain Latin letters are cut on by the vocabulary's own pattern; words not
-    seen lately go to the library together, as one text, and its ids are dealt
-    back at the tokens that end a word. Whatever does not come back as one
-    word each, and every other piece, goes to the library alone.
+    plain Latin letters, not seen lately, are cut on by the vocabulary's own
+    pattern, all in one text of a line each; their words, if not seen lately,
+    go to the library together, as one text, and its ids are dealt back at the
+    tokens that end a word. Whatever does not come back as one word each, and
+    every other piece, goes to the library alone.
     """
 
     def __init__(self, path: str, limit: int = 400_000):
@@ -98,62 +121,54 @@ class LibraryEncoder:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
-        self.find = regex.compile(split["pattern"]["Regex"]).findall
+        self.find = regex.compile(split["pattern"]["Regex"] + "|\n").findall
         suffix, vocab = spec["model"]["end_of_word_suffix"], spec["model"]["vocab"]
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for s, i in vocab.items() if s.endswith(suffix)]] = True
-        self.chunks, self.words = Memo(None, limit), Memo(None, limit)
+        self.chunks, self.words = Recent(limit), Recent(limit)
 
     def _alone(self, texts: list[str]) -> list[bytes]:
         out = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in out]
 
     def _together(self, words: list[str]) -> list[bytes]:
-        ids = np.array(self.library.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
+        ids = np.array(self.library.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
         ends = np.flatnonzero(self.ends[ids]) + 1 if ids.max(initial=0) < len(self.ends) else []
         if len(ends) != len(words) or ends[-1] != len(ids):
             return self._alone(words)
-        raw, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
-        return [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+        return np.insert(ids, ends, NO_ID).tobytes().split(CUT)[:-1]
 
     def _learn(self, new: list[bytes]) -> None:
-        words, plain, odd, missing = self.words, [], [], {}
-        for c in new:
-            t = c.decode()
-            if t.isprintable() and max(t) < LATIN_END and "\u0130" not in t and "<|" not in t:
-                found = self.find(t.lower())
-                plain.append((c, found))
-                for w in found:
-                    if w not in words:
-                        if w in words.old:
-                            words[w] = words.old[w]
-                        else:
-                            missing[w] = None
-            else:
-                odd.append(c)
-        todo = list(missing)
-        for lo in range(0, len(todo), 500):
-            words.update(zip(todo[lo:lo + 500], self._together(todo[lo:lo + 500]), strict=True))
-        self.chunks.update((c, b"".join([words[w] for w in found])) for c, found in plain)
-        if odd:
-            self.chunks.update(zip(odd, self._alone([c.decode() for c in odd]), strict=True))
+        text = b"\n".join(new).decode()
+        if NOT_PLAIN.search(text):
+            pieces = text.split("\n")
+            odd = [i for i, t in enumerate(pieces) if NOT_PLAIN.search(t)]
+            self.chunks.now.update(zip([new[i] for i in odd], self._alone([pieces[i] for i in odd]), strict=True))
+            keep = sorted(set(range(len(new))).difference(odd))
+            new, text = [new[i] for i in keep], "\n".join([pieces[i] for i in keep])
+        if not new:
+            return
+        found, words = self.find(text.lower()), self.words
+        distinct = set(found)
+        distinct.discard("\n")
+        missing = words.absent(distinct)
+        for lo in range(0, len(missing), 500):
+            some = missing[lo:lo + 500]
+            words.now.update(zip(some, self._together(some), strict=True))
+        words.now["\n"] = CUT
+        ids = b"".join(map(words.now.__getitem__, found)).split(CUT)
+        self.chunks.now.update(zip(new, ids, strict=True))
         words.trim()
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """UTF-8 texts -> ids as little-endian unsigned 32-bit integers."""
-        chunks, old = self.chunks, self.chunks.old
         cuts = [t.split() for t in texts]
-        new = []
-        for c in set().union(*cuts):
-            if c not in chunks:
-                if c in old:
-                    chunks[c] = old[c]
-                else:
-                    new.append(c)
+        new = self.chunks.absent(set().union(*cuts))
         if new:
             self._learn(new)
-        out = [b"".join([chunks[c] for c in cut]) for cut in cuts]
-        chunks.trim()
+        known = self.chunks.now.__getitem__
+        out = [b"".join(map(known, cut)) for cut in cuts]
+        self.chunks.trim()
         return out
 
 
