@@ -89,14 +89,13 @@ def distance(a, b):
 
 
 def lines_brute(rows):
-    """Every pair of lines: SimHash within two bits and edit similarity."""
+    """Every pair of lines by edit similarity alone."""
     at, forms = [], []
     for n, (_, t) in enumerate(rows):
         for k, w in enumerate(line_words((t or "").encode())):
             if len(w) >= line_dedup.MIN_WORDS:
                 at.append((n, k))
                 forms.append(b" ".join(w).decode())
-    sims = simhashes([f.encode().split() for f in forms]).tolist() if forms else []
     par = list(range(len(forms)))
 
     def root(x):
@@ -107,8 +106,7 @@ def lines_brute(rows):
         for j in range(i):
             a, b = forms[i], forms[j]
             longer = max(len(a), len(b))
-            if a == b or (bin((sims[i] ^ sims[j]) & (1 << 64) - 1).count("1") <= line_dedup.BITS_APART
-                          and distance(a, b) <= int(longer * 0.1 + 1e-9)):
+            if a == b or distance(a, b) <= int(longer * 0.1 + 1e-9):
                 par[root(i)] = root(j)
     first, gone = {}, set()
     order = lambda x: (rows[x[0]][0] is None, rows[x[0]][0] or 0, x[1])
@@ -200,6 +198,28 @@ def test_line_columns_and_empty_table(make_docs):
     assert set(make_docs([]).columns) <= set(out.columns)
 
 
+def test_lines_keep_columns_of_any_name(spark, prose):
+    names = ["gone", "_gid", "_bucket", "_slot", "_row", "_cut", "_id", "_text", "cls", "a.b", "c0", "_grow"]
+    rows = [(k, prose(20, 7000) if k < 2 else prose(20, 7000 + k), *[f"{n} {k}" for n in names]) for k in range(4)]
+    got = line_dedup.line_dedup(spark.createDataFrame(rows, ["doc_id", "text", *names])).collect()
+    want = {r[0]: (r[0], "" if r[0] == 1 else r[1], *r[2:], int(r[0] == 1)) for r in rows}
+    assert {r.doc_id: tuple(r) for r in got} == want
+    assert got[0].__fields__ == ["doc_id", "text", *names, "n_removed"]
+
+
+def test_equal_rows_lose_their_copies(make_docs, prose):
+    a, b, c = prose(25, 1), prose(25, 2), prose(25, 3)
+    rows = [(1, a)] * 3 + [(2, b), (2, b + "\n" + c), (None, c), (None, c), (3, None), (3, None), (4, ""), (4, "")]
+    lines = line_dedup.line_dedup(make_docs(rows), exact_words=1).collect()
+    spans = substring_dedup.substring_dedup(make_docs(rows), unit="line", line_words=1).collect()
+    for got in (lines, spans):
+        assert len(got) == len(rows)
+        texts = lambda i: sorted((r.text or "" for r in got if r.doc_id == i), key=len)  # noqa: B023, E731
+        assert texts(1) == ["", "", a] and texts(None) == ["", ""]
+        assert sum(t.count(b) for t in texts(2)) == 1 and sum(t.count(c) for t in texts(2)) == 1
+        assert [r.text for r in got if r.doc_id == 3] == [None, None] and texts(4) == ["", ""]
+
+
 def test_simhash_does_not_depend_on_batches(prose):
     lines = [re.findall(rb"\S+", prose(n, n).encode()) for n in (4, 400, 9, 20_000, 30, 5)]
     one = [simhashes([x])[0] for x in lines]

@@ -55,6 +55,15 @@ def test_odd_rows(spark, make_docs, corpus):
     assert toxicity.score(make_docs([]), model).count() == 0
 
 
+def test_text_ids_learn_the_same_model(spark, make_docs, corpus):
+    docs, rows = corpus
+    labels = spark.createDataFrame(rows, "doc_id long, toxic int")
+    as_text = lambda df: df.withColumn("doc_id", df.doc_id.cast("string"))
+    frame = make_docs(docs)
+    models = [sorted(map(tuple, toxicity.train(f(frame), f(labels)).collect())) for f in (lambda x: x, as_text)]
+    assert models[0] == models[1] and len(models[0]) > 1
+
+
 def test_no_labels(spark, make_docs):
     model = toxicity.train(make_docs([(1, "a")]), spark.createDataFrame([], "doc_id long, toxic int"))
     assert toxicity.score(make_docs([(1, "a")]), model).first().predicted == 0

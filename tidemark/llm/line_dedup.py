@@ -39,13 +39,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Memo, forgetting, in_slots, slot_bytes, slot_filter, staged, with_slot_flag
+from tidemark.llm.common import (
+    Memo, forgetting, in_slots, slot_bytes, slot_filter, staged, told_apart, with_slot_flag,
+)
 from tidemark.llm.jaccard_join import shared_only
 from tidemark.llm.linking import link_groups
 
 MIN_WORDS = 4
 SIMILARITY = 0.9
-BITS_APART = 64  # SimHash proposes pairs; it rejects none, however many bits differ
 BLOCKS = [(0, 13), (13, 13), (26, 13), (39, 13), (52, 12)]  # (lowest bit, bits)
 BANDS, BAND_MINIMA = 24, 5
 LEFT_OUT_WORDS = 16
@@ -274,12 +275,18 @@ def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", mi
 
     Every input row comes back, with an empty text if all its lines are
     repeats. NULL text stays NULL; blank lines stay, and so do lines of fewer
-    than ``exact_words`` words (``min_words`` if not given). NULL ids rank last. Rows that share an id are told apart by the hash of their text; rows
-    equal in both are treated alike. An empty table gives an empty result.
+    than ``exact_words`` words (``min_words`` if not given). NULL ids rank last.
+    Rows that share an id rank by the hash of their text; in a table with rows
+    equal in both, rows that share an id rank in the order they are read, and
+    all but the first of equal rows lose their lines. Other columns may have
+    any name. An empty table gives an empty result.
     """
     df = df.drop("n_removed")
-    rows = df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"),
-                     F.xxhash64(id_col, text_col).alias("_row"))
+    names = df.columns
+    inner = df.toDF(*[f"c{i}" for i in range(len(names))])  # no name of the input meets one used here
+    id_col, text_col = f"c{names.index(id_col)}", f"c{names.index(text_col)}"
+    base = told_apart(inner, id_col, text_col)
+    rows = base.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), "_row")
     lines = staged(hashed_lines(rows, min_words if exact_words is None else min(exact_words, min_words)), "line_rows")
     place = F.struct(F.col("_id").isNull().alias("none"), "_id", "_row", "line")
     classes = staged(lines.groupBy("cls").agg(F.min("chars").alias("chars"), F.min(place).alias("first"),
@@ -300,7 +307,7 @@ def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", mi
     gone = staged(gone.groupBy("_id", "_row").agg(F.collect_list("line").alias("gone")), "line_gone")
 
     bits = slot_filter(gone, F.col("_row"))
-    flagged = with_slot_flag(df.withColumn("_row", F.xxhash64(id_col, text_col)), bits, F.col("_row"), "_cut")
+    flagged = with_slot_flag(base, bits, F.col("_row"), "_cut")
     g = gone.select(F.col("_id").alias("_gid"), F.col("_row").alias("_grow"), "gone")
     touched = flagged.filter("_cut").join(
         g, (F.col("_row") == F.col("_grow")) & F.col(id_col).eqNullSafe(F.col("_gid")), "left")
@@ -317,5 +324,5 @@ def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", mi
     touched = (touched.withColumn(text_col, without(text_col, "gone"))
                .withColumn("n_removed", F.coalesce(F.array_size("gone"), F.lit(0)).cast("long")))
     whole = flagged.filter("not _cut").withColumn("n_removed", F.lit(0).cast("long"))
-    cols = [*df.columns, "n_removed"]
-    return whole.select(cols).unionByName(touched.select(cols))
+    cols = [*inner.columns, "n_removed"]
+    return whole.select(cols).unionByName(touched.select(cols)).toDF(*names, "n_removed")

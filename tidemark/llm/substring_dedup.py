@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import slot_filter, staged, with_slot_flag
+from tidemark.llm.common import slot_filter, staged, told_apart, with_slot_flag
 
 MIN_WORDS = 10
 UNIT_WORDS = 5
@@ -128,14 +128,14 @@ def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     ``removed`` lists the spans cut (start, end: character offsets into the
     original text) in order. Of equal units, the one in the smallest id stays,
     and within a document the first; NULL ids rank last. ``line_words`` is the
-    least length of whole lines that go (``min_words`` if not given). Rows that share an id
-    are told apart by the hash of their text; rows equal in both are treated
-    alike. NULL text stays NULL and, like an empty one, has no units. Other
+    least length of whole lines that go (``min_words`` if not given). Rows that
+    share an id rank by the hash of their text; in a table with rows equal in
+    both, rows that share an id rank in the order they are read, and all but
+    the first of equal rows lose their units. NULL text stays NULL and, like an empty one, has no units. Other
     columns are not looked at; an empty table gives an empty result.
     """
     line_words = min_words if line_words is None else min(line_words, min_words)
-    rows = df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"),
-                     F.xxhash64(id_col, text_col).alias("_row"))
+    rows = told_apart(df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")), "_id", "_text")
     units = staged(unit_digests(rows, unit, unit_words), "substring_units")
 
     place = F.struct(F.col("_id").isNull().alias("none"), "_id", "_row", "unit")

@@ -117,7 +117,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """The model: rows (coordinate, weight); coordinate -1 is the bias.
 
     Trains on the ``max_rows`` labelled ids with the smallest hashes (all, if
-    there are fewer), so the choice depends on nothing but ids. Ids and labels
+    there are fewer), so the choice depends on nothing but ids, of any type that
+    has a text form. Ids and labels
     that are NULL, or labels other than 0 and 1, are left out; an id with two
     labels counts as toxic. Without any labelled row the model is empty.
     """
@@ -127,22 +128,22 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     # at most max_rows rows of 12 bytes
     sample = (docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
               .join(F.broadcast(chosen), "_id")
-              .select("_id", "_y", F.coalesce("_text", F.lit("")).cast("binary").alias("_text")))
+              .select(F.col("_id").cast("string"), "_y", F.coalesce("_text", F.lit("")).cast("binary").alias("_text")))
 
     def extract(batches):
         for b in batches:
             idx = [np.unique(features(t, bits)).tobytes() for t in b.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), b.column(1), pa.array(idx, pa.binary())],
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(idx, pa.binary())],
                                              names=["_id", "_y", "_idx"])
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.assign(h=[zlib.crc32(str(i).encode()) for i in pdf["_id"]]).sort_values(["h", "_id"])
+        pdf = pdf.assign(h=[zlib.crc32(i.encode()) for i in pdf["_id"]]).sort_values(["h", "_id"])
         rows = [(np.frombuffer(x, np.int32), int(y)) for x, y in zip(pdf["_idx"], pdf["_y"], strict=True)]
         w, bias = ftrl(screened(rows, bits, least), bits, thin, alpha, beta, l1, l2)
         at = np.flatnonzero(w)
         return pd.DataFrame({"coordinate": np.append(at, -1).astype(np.int64), "weight": np.append(w[at], bias)})
 
-    found = sample.mapInArrow(forgetting(forget_words, extract), "_id long, _y int, _idx binary")
+    found = sample.mapInArrow(forgetting(forget_words, extract), "_id string, _y int, _idx binary")
     return found.groupBy(F.lit(0).alias("_all")).applyInPandas(fit, "coordinate long, weight double")
 
 
