@@ -77,6 +77,18 @@ def test_library_by_word_equals_whole_texts(vocabulary, library, prose):
             [library.encode(t, add_special_tokens=False).ids for t in some]
 
 
+def test_slices_hold_every_row_once(monkeypatch):
+    import pyarrow as pa
+    monkeypatch.setattr(token_files, "SLICE_BYTES", 10)
+    monkeypatch.setattr(token_files, "SLICE_TEXTS", 3)
+    texts = [b"", b"x" * 40, b"abc", b"d" * 7, b"", b"", b"", b"", b"e" * 10, b"f" * 11, b"g"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts, pa.binary())], names=["i", "t"])
+    for some in (batch, batch.slice(2), batch.slice(0, 0)):
+        cut = list(token_files.slices(some))
+        assert [i for s in cut for i in s.column(0).to_pylist()] == some.column(0).to_pylist()
+        assert all(len(s) <= 3 and (len(s) == 1 or sum(map(len, s.column(1).to_pylist())) <= 10) for s in cut)
+
+
 @pytest.mark.parametrize("bits", [1, 8])
 def test_planes_round_trip(bits):
     rng = np.random.default_rng(1)

@@ -23,12 +23,13 @@ import struct
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 BLOCK = 65_536
-TEXTS = 64  # encoded at a time
+SLICE_BYTES, SLICE_TEXTS = 1 << 20, 512  # texts encoded at a time
 MAGIC = b"TMPL"
 HEADER = struct.Struct("<4sBBxxI")  # magic, bits per plane (1 or 8), planes, ids
 NO_ID = 0xFFFFFFFF  # between words; ids stay below 2**24, so their highest byte is 0
@@ -125,6 +126,13 @@ class LibraryEncoder:
         suffix, vocab = spec["model"]["end_of_word_suffix"], spec["model"]["vocab"]
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for s, i in vocab.items() if s.endswith(suffix)]] = True
+        # words are normalised and cut when they come to it: split them at spaces alone
+        self.by_word = tokenizers.Tokenizer.from_file(path)
+        self.by_word.no_padding()
+        self.by_word.no_truncation()
+        self.by_word.normalizer = None
+        self.by_word.pre_tokenizer = tokenizers.pre_tokenizers.Sequence(
+            [tokenizers.pre_tokenizers.WhitespaceSplit(), self.library.pre_tokenizer[1]])
         self.chunks, self.words = Recent(limit), Recent(limit)
 
     def _alone(self, texts: list[str]) -> list[bytes]:
@@ -132,7 +140,7 @@ class LibraryEncoder:
         return [np.array(e.ids, "<u4").tobytes() for e in out]
 
     def _together(self, words: list[str]) -> list[bytes]:
-        ids = np.array(self.library.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        ids = np.array(self.by_word.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
         ends = np.flatnonzero(self.ends[ids]) + 1 if ids.max(initial=0) < len(self.ends) else []
         if len(ends) != len(words) or ends[-1] != len(ids):
             return self._alone(words)
@@ -172,6 +180,17 @@ class LibraryEncoder:
         return out
 
 
+def slices(batch: pa.RecordBatch):
+    """Runs of rows of ``SLICE_BYTES`` of text, or one text if it has more."""
+    ends = np.cumsum(pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False))
+    lo = 0
+    while lo < len(ends):
+        full = int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + SLICE_BYTES, "right"))
+        upto = min(max(full, lo + 1), lo + SLICE_TEXTS)
+        yield batch.slice(lo, upto - lo)
+        lo = upto
+
+
 _encoders: dict[str, LibraryEncoder] = {}
 
 
@@ -213,8 +232,7 @@ def write_tokens(docs: DataFrame, out: str, vocabulary: str, id_col: str = "doc_
 
         def encoded():
             for b in batches:
-                for lo in range(0, len(b), TEXTS):
-                    some = b.slice(lo, TEXTS)
+                for some in slices(b):
                     yield from zip(some.column(0).to_pylist(), encode(some.column(1).to_pylist()), strict=True)
 
         for doc, ids in encoded():
