@@ -3,6 +3,7 @@ import re
 import numpy as np
 import pytest
 
+from tidemark.llm import mixing
 from tidemark.llm.common import WORD
 from tidemark.llm.mixing import mix_sources, mixed_documents, permuted, source_targets, take_words, taken_words
 
@@ -65,6 +66,19 @@ def test_blocks_come_at_most_once_per_epoch(make_docs, prose):
     assert pieces["n_words"].between(1, 64).all() and set(pieces["epoch"]) <= {0, 1}
 
 
+def test_sums_over_groups_of_shards_change_nothing(make_docs, prose, monkeypatch):
+    data = make_docs(rows(prose))
+    got = []
+    for group in (3, 1_024):
+        monkeypatch.setattr(mixing, "GROUP_SHARDS", group)
+        mix = mix_sources(data, shard_slots=16)[1].toPandas()
+        assert mix["shard"].nunique() > 20
+        slots = mix[["shard", "source", "epoch", "block"]].drop_duplicates()
+        assert not slots.duplicated(["source", "epoch", "block"]).any()
+        got.append(sorted(map(tuple, mix.astype(str).to_numpy())))
+    assert got[0] == got[1]
+
+
 def test_mixed_documents_hold_the_words_taken(make_docs, prose):
     data = make_docs(rows(prose))
     taken = taken_words(*mix_sources(data)).toPandas()["taken"].sum()

@@ -14,8 +14,11 @@
 4. The k-th slot of a source takes block ``perm(k mod n)`` of epoch
    ``k div n``, where perm is a keyed Feistel permutation of the n blocks
    (own key per source and epoch): within an epoch no block comes twice.
+   Numbers of slots are prefix sums in two levels too (groups of shards, then
+   shards), and a source's slots are made by shard, at most ``TASK_SLOTS`` or
+   a few shards in one task.
 5. Slots and blocks meet in a join on (source, block); each key has at most
-   ``cap`` slots and one block's documents, so no key is hot.
+   ``cap`` slots and one block's documents, so no key of this join is hot.
 """
 
 from __future__ import annotations
@@ -30,6 +33,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import WORD, staged
 
 BUCKET_ROWS = 2_000
+GROUP_SHARDS = 1_024
+TASK_SLOTS = 1 << 22
 _WORD = re.compile(WORD)
 
 
@@ -162,12 +167,22 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     wanted = (src.withColumn("shards", shards.cast("long"))
               .withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1)))
               .select("shard", "shards", "rank", "source_key", "slots"))
-    drawn = wanted.groupBy("shard").applyInPandas(_draw(seed), "shard long, source_key string, n long")
-    upto = Window.partitionBy("source_key").orderBy("shard")
-    drawn = (drawn.join(src.select("source_key", "source", "rank", "blocks"), "source_key")
-             .withColumn("first", F.sum("n").over(upto) - F.col("n"))
+    drawn = staged(wanted.groupBy("shard").applyInPandas(_draw(seed), "shard long, source_key string, n long")
+                   .withColumn("part", F.floor(F.col("shard") / GROUP_SHARDS)), "mix_drawn")
+    parts = drawn.groupBy("source_key", "part").agg(F.sum("n").alias("part_n"))
+    over_parts = Window.partitionBy("source_key").orderBy("part")
+    parts = parts.select("source_key", "part", (F.sum("part_n").over(over_parts) - F.col("part_n")).alias("before"))
+    upto = Window.partitionBy("source_key", "part").orderBy("shard")
+    drawn = (drawn.withColumn("local", F.sum("n").over(upto) - F.col("n"))
+             .join(parts, ["source_key", "part"])
+             .join(src.select("source_key", "source", "rank", "blocks"), "source_key")
+             .withColumn("first", F.col("before") + F.col("local"))
              .withColumn("n", F.least("n", F.col("blocks") * cap - F.col("first"))).filter("n > 0"))
-    slots = drawn.withColumn("k", F.explode(F.sequence("first", F.col("first") + F.col("n") - 1)))
+    # the windows leave a source's rows together: deal them out before they grow
+    total = src.agg(F.sum("slots")).first()[0] or 0.0
+    tasks = max(docs.sparkSession.sparkContext.defaultParallelism, -(-int(total) // TASK_SLOTS))
+    slots = (drawn.repartition(tasks, "source_key", "shard")
+             .withColumn("k", F.explode(F.sequence("first", F.col("first") + F.col("n") - 1))))
 
     @F.pandas_udf("long")
     def place(index: pd.Series, n: pd.Series, key: pd.Series) -> pd.Series:
