@@ -1,6 +1,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
+from tidemark.llm import ann
 from tidemark.llm.ann import nearest, perturbations
 
 SCHEMA = "vec_id long, embedding array<float>, score double, cls string"
@@ -44,6 +45,17 @@ def test_recall_and_exact_scores(spark):
         assert all(abs(s - value[q, j]) < 1e-12 for _, j, s in near)
 
 
+def test_split_buckets_change_nothing(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    rows = [(50 * i if i < 60 else 50 * i + 1, [float(x) for x in rng.standard_normal(8)]) for i in range(300)]
+    rows += [(50 * i + 2, [float(x) for x in rng.standard_normal(9)]) for i in range(4)] + [(5000, [1.0] * 9)]
+    whole = run(spark, rows)
+    for name, most in (("BUCKET_ROWS", 5), ("ASK_ROWS", 7)):
+        monkeypatch.setattr(ann, name, most)
+    assert run(spark, rows) == whole and len(whole) == 61
+    assert [j for _, j, _ in whole[5000]] == [j for j, _ in brute(rows)[5000]]
+
+
 def test_odd_vectors_and_few_candidates(spark):
     rows = [(0, [1.0, 0.0]), (1, [2.0, 0.0]), (2, [0.0, 0.0]), (3, None), (4, [1.0, None]), (5, [float("nan"), 1.0]),
             (6, [float("inf"), 1.0]), (50, [0.0, 0.0]), (None, [1.0, 1.0]), (7, []), (100, [1.0, 2.0, 3.0])]

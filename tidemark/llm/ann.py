@@ -13,8 +13,10 @@ and passes on the best few per query; these are merged over tables and
 buckets. So no candidate pair is ever a row. Equal vectors share every
 bucket, so the index holds one row per distinct vector with its smallest ids,
 and queries with equal vectors are asked once. Buckets of more than
-``BUCKET_ROWS`` vectors are split over several tasks by measured size, with
-the probes sent to each part; nothing is capped. Queries whose buckets hold
+``BUCKET_ROWS`` vectors or ``ASK_ROWS`` queries are split by measured size on
+either side, each part of one meeting each part of the other, and scored in
+slices of ``SLICE`` queries; nothing is capped. Vectors in buckets that no
+query visits go no further. Queries whose buckets hold
 fewer than ``k`` candidates are answered by a scan of all vectors of their
 dimension, block by block.
 """
@@ -31,6 +33,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import staged
 
 BUCKET_ROWS = 4096
+ASK_ROWS = 4096
+SLICE = 256
 
 
 class Hashes:
@@ -149,16 +153,26 @@ def nearest(vectors: DataFrame, is_query, id_col: str = "vec_id", vec_col: str =
                                                 "key": bucket_keys(cells[i, t] + move, t)})
         return run
 
+    spread = max(vectors.sparkSession.sparkContext.defaultParallelism, -(-asked.count() // ASK_ROWS))
+    distinct_q = distinct_q.repartition(spread, "cls")  # a query makes rows for all of its probes
     index = staged(classes.mapInPandas(hashed(False), "dim int, tab int, cls long, key long, "
                                                       "vec array<double>, first long"), "ann_index")
-    probe = distinct_q.mapInPandas(hashed(True), "dim int, tab int, cls long, key long")
+    probe = staged(distinct_q.mapInPandas(hashed(True), "dim int, tab int, cls long, key long"), "ann_probes")
     bucket = ["dim", "tab", "key"]
-    parts = index.groupBy(*bucket).count().withColumn("parts", F.ceil(F.col("count") / BUCKET_ROWS)).drop("count")
-    # the number of index rows per bucket is the same for either side
-    index = index.join(parts, bucket).withColumn("part", F.pmod(F.col("cls"), F.col("parts"))).drop("parts")
-    probe = (probe.join(parts, bucket)
-             .withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-             .drop("parts").join(distinct_q.select("cls", "vec"), "cls"))
+
+    def counted(rows: DataFrame, keys: list[str], name: str, most: int) -> DataFrame:
+        return rows.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / most).alias(name))
+
+    def dealt(rows: DataFrame, sizes: DataFrame, keys: list[str], own: str, other: str) -> DataFrame:
+        """Rows of one side: in one of its own parts, for every part of the other."""
+        return (rows.join(sizes, keys).withColumn(own[:-1], F.pmod(F.col("cls"), F.col(own)))
+                .withColumn(other[:-1], F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1)))
+                .drop("parts", "asks"))
+
+    sizes = staged(counted(index, bucket, "parts", BUCKET_ROWS)
+                   .join(counted(probe, bucket, "asks", ASK_ROWS), bucket), "ann_sizes")
+    index = dealt(index, sizes, bucket, "parts", "asks")
+    probe = dealt(probe, sizes, bucket, "asks", "parts").join(asked.groupBy("cls").agg(F.first("vec").alias("vec")), "cls")
 
     def rerank(held: pd.DataFrame, asking: pd.DataFrame) -> pd.DataFrame:
         if held.empty or asking.empty:
@@ -172,11 +186,11 @@ def nearest(vectors: DataFrame, is_query, id_col: str = "vec_id", vec_col: str =
                              "score": np.take_along_axis(score, top, axis=1).ravel()})
 
     def scan(held: pd.DataFrame, asking: pd.DataFrame) -> pd.DataFrame:
-        return pd.concat([rerank(held, asking.iloc[at:at + 256]) for at in range(0, max(len(asking), 1), 256)])
+        return pd.concat([rerank(held, asking.iloc[at:at + SLICE]) for at in range(0, max(len(asking), 1), SLICE)])
 
-    by = [*bucket, "part"]
+    by = [*bucket, "part", "ask"]
     found = (index.groupBy(*by).cogroup(probe.groupBy(*by))
-             .applyInPandas(rerank, "qcls long, cls long, score double")
+             .applyInPandas(scan, "qcls long, cls long, score double")
              .groupBy("qcls", "cls").agg(F.max("score").alias("score")))
     found = staged(found, "ann_found")
     # a query's own id is among those found
@@ -184,13 +198,10 @@ def nearest(vectors: DataFrame, is_query, id_col: str = "vec_id", vec_col: str =
               .groupBy("qcls").agg(F.sum("n").alias("n")).filter(F.col("n") > k))
     short = staged(distinct_q.join(enough, distinct_q["cls"] == enough["qcls"], "left_anti"), "ann_short")
     if not short.isEmpty():
-        blocks = (classes.join(short.select("dim").distinct(), "dim", "left_semi").groupBy("dim").count()
-                  .withColumn("parts", F.ceil(F.col("count") / BUCKET_ROWS)).drop("count"))
-        held = (classes.join(blocks, "dim").withColumn("part", F.pmod(F.col("cls"), F.col("parts")))
-                .select("dim", "part", "cls", "vec", F.col("ids")[0].alias("first")))
-        asking = short.join(blocks, "dim").withColumn(
-            "part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).drop("parts")
-        more = held.groupBy("dim", "part").cogroup(asking.groupBy("dim", "part")) \
+        dims = counted(classes, ["dim"], "parts", BUCKET_ROWS).join(counted(short, ["dim"], "asks", ASK_ROWS), "dim")
+        held = dealt(classes.select("dim", "cls", "vec", F.col("ids")[0].alias("first")), dims, ["dim"], "parts", "asks")
+        asking = dealt(short, dims, ["dim"], "asks", "parts")
+        more = held.groupBy("dim", "part", "ask").cogroup(asking.groupBy("dim", "part", "ask")) \
             .applyInPandas(scan, "qcls long, cls long, score double")
         found = found.unionByName(more).groupBy("qcls", "cls").agg(F.max("score").alias("score"))
     near = found.join(classes.select("cls", "ids"), "cls")
