@@ -1,13 +1,14 @@
 """Readers, sinks, layouts and the generator."""
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import quality
 from tidemark.schemas import INTERACTIONS
-from tidemark.session import scratch_path
+from tidemark.session import remove_scratch, scratch_path, scratch_scope
 from tidemark.sources import datagen, readers, sinks
 from tests.conftest import SF001
 
@@ -147,3 +148,33 @@ def test_readers_leave_the_session_zone_alone(spark):
         assert spark.conf.get("spark.sql.session.timeZone") == "Asia/Kathmandu"
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def there(path):
+    return os.path.exists(path.removeprefix("file:"))
+
+
+def test_scratch_scope_removes_what_was_made_inside(spark):
+    outer = scratch_path(spark, "kept")
+    with scratch_scope(spark):
+        with scratch_scope(spark):
+            inner = scratch_path(spark, "inner")
+            spark.range(5).write.parquet(inner)
+        first = scratch_path(spark, "first")
+        spark.range(7).write.parquet(first)
+        assert not there(inner) and spark.read.parquet(first).count() == 7
+        spark.read.parquet(first).write.parquet(outer)
+        scratch_path(spark, "never_written")
+    assert not there(first) and spark.read.parquet(outer).count() == 7
+    with pytest.raises(RuntimeError), scratch_scope(spark):
+        spark.range(1).write.parquet(inner)
+        bad = scratch_path(spark, "bad")
+        spark.range(1).write.parquet(bad)
+        raise RuntimeError
+    assert not there(bad) and there(inner)  # only folders named inside
+    remove_scratch(spark, outer)
+    remove_scratch(spark, inner)
+    assert not there(outer)
+    for path in ("/tmp/other", outer.replace("/tidemark/", "/")):
+        with pytest.raises(ValueError):
+            remove_scratch(spark, path)

@@ -9,8 +9,11 @@ A local folder is only created when the setting is missing, as in tests.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,6 +30,9 @@ DEFAULT_CONF = {
 }
 
 
+_made: ContextVar[list[str] | None] = ContextVar("scratch folders of the innermost scope", default=None)
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
                   app_name: str = "tidemark", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app_name)
@@ -72,7 +78,37 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared checkpoint folder."""
     root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/tidemark/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{root}/tidemark/{name}-{uuid.uuid4().hex[:12]}"
+    made = _made.get()
+    if made is not None:
+        made.append(path)
+    return path
+
+
+def remove_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a folder that ``scratch_path`` named; nothing if it isn't there."""
+    if not re.search(r"/tidemark/[^/]+-[0-9a-f]{12}$", path):
+        raise ValueError(f"not a scratch folder: {path}")
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Deletes on leaving, also after an error, the scratch folders named inside.
+
+    Frames read from them are lazy, so write or collect what is wanted before,
+    to a place named outside of the scope. Scopes may be nested.
+    """
+    made: list[str] = []
+    token = _made.set(made)
+    try:
+        yield
+    finally:
+        _made.reset(token)
+        for path in made:
+            remove_scratch(spark, path)
 
 
 def materialize(df: DataFrame) -> DataFrame:
