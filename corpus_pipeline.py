@@ -3,7 +3,8 @@
 Each stage is a function (spark, docs, sf_dir) -> DataFrame. ``run`` writes a
 stage's result as Parquet in the shared scratch folder and reads it again as
 the next one's ``docs``. All but the last return the columns of documents;
-``n_chars`` is brought up to date where a stage changes the text.
+``n_chars`` is brought up to date where a stage changes the text. What a stage
+wrote on its way, and its input, are deleted once its result is written.
 """
 
 from __future__ import annotations
@@ -12,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, jaccard_join, line_dedup, mixing, toxicity
-from tidemark.llm.common import staged
 from tidemark.llm.queries import vocabulary
+from tidemark.session import remove_scratch, scratch_path, scratch_scope
 from tidemark.sources.tables import table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -65,6 +66,14 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
+    before = None
     for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), f"pipeline_{name}")
+        path = scratch_path(spark, f"pipeline_{name}")
+        with scratch_scope(spark):
+            out = stage(spark, docs, sf_dir)
+            out.write.parquet(path)
+        docs = spark.read.schema(out.schema).parquet(path)
+        if before is not None:
+            remove_scratch(spark, before)
+        before = path
     return docs
