@@ -100,3 +100,16 @@ def test_slot_filter_never_says_no_to_a_key(spark):
     assert flagged.filter("id >= 5000 and hit").count() < 200
     got = flagged.toPandas()
     assert (in_slots(slot_bytes(bits), got["k"].to_numpy()) == got["hit"].to_numpy()).all()
+
+
+def test_run_leaves_only_its_result(spark):
+    import os
+
+    from tidemark.session import scratch_path
+    root = os.path.dirname(scratch_path(spark, "x")).removeprefix("file:")
+    held = lambda: set(os.listdir(root)) if os.path.isdir(root) else set()
+    before = held()
+    out = corpus_pipeline.run(spark, SF001)
+    left = held() - before
+    assert len(left) == 1 and next(iter(left)).startswith("pipeline_bpe-")
+    assert out.count() > 0 and {"doc_id", "n_tokens", "ids_sha256"} <= set(out.columns)
