@@ -77,6 +77,20 @@ def test_library_by_word_equals_whole_texts(vocabulary, library, prose):
             [library.encode(t, add_special_tokens=False).ids for t in some]
 
 
+def test_plain_texts_share_their_words(vocabulary, library, monkeypatch):
+    import pyarrow as pa
+    coder, asked = token_files.LibraryEncoder(vocabulary), []
+    together = coder._together
+    monkeypatch.setattr(coder, "_together", lambda words: asked.extend(words) or together(words))
+    texts = ["(Night, NIGHT's night.)", " night!\x0b\t'NIGHT'", "", "ÀÉ\x0cé12 ''s'tis\n", "日本 night", "<|endoftext|>night"] * 3
+    for kind in (pa.binary(), pa.large_binary()):
+        got = coder.encode(pa.array([t.encode() for t in texts], kind)[1:])
+        assert [np.frombuffer(g, "<u4").tolist() for g in got] == \
+            [library.encode(t, add_special_tokens=False).ids for t in texts[1:]]
+    assert "night" in asked and len(asked) == len(set(asked))
+    assert b"NIGHT" not in coder.chunks.now  # words are remembered, not what punctuation makes of them
+
+
 def test_slices_hold_every_row_once(monkeypatch):
     import pyarrow as pa
     monkeypatch.setattr(token_files, "SLICE_BYTES", 10)

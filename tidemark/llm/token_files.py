@@ -23,13 +23,14 @@ import struct
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm import vocabulary_words
+from tidemark.llm.vocabulary_words import SLICE_BYTES, SLICE_TEXTS, encode_texts
+
 BLOCK = 65_536
-SLICE_BYTES, SLICE_TEXTS = 1 << 20, 512  # texts encoded at a time
 MAGIC = b"TMPL"
 HEADER = struct.Struct("<4sBBxxI")  # magic, bits per plane (1 or 8), planes, ids
 NO_ID = 0xFFFFFFFF  # between words; ids stay below 2**24, so their highest byte is 0
@@ -85,13 +86,18 @@ class Recent:
     def __init__(self, limit: int):
         self.now, self.old, self.limit = {}, {}, limit
 
-    def absent(self, keys: set) -> list:
-        """The keys that are not known; those of the older generation come over."""
-        new = keys.difference(self.now)
-        if not self.old:
-            return list(new)
-        self.now.update((k, self.old[k]) for k in new if k in self.old)
-        return [k for k in new if k not in self.now]
+    def get(self, keys: list) -> tuple[list, list[int]]:
+        """What is known of distinct keys, None for the others, and the places
+        of those; what the older generation knows comes over."""
+        values = list(map(self.now.get, keys))
+        unknown = [i for i, v in enumerate(values) if v is None]
+        if self.old and unknown:
+            before = list(map(self.old.get, [keys[i] for i in unknown]))
+            for i, v in zip(unknown, before, strict=True):
+                if v is not None:
+                    values[i] = self.now[keys[i]] = v
+            unknown = [i for i, v in zip(unknown, before, strict=True) if v is None]
+        return values, unknown
 
     def trim(self) -> None:
         if len(self.now) > self.limit:
@@ -101,14 +107,15 @@ class Recent:
 class LibraryEncoder:
     """The tokenizers library, asked once per recent word.
 
-    A text is cut at ASCII white space: the vocabulary's splitting drops white
-    space, no normalisation step composes across it and no special token holds
-    any, so the pieces' ids, one after the other, are the text's. Pieces in
-    plain Latin letters, not seen lately, are cut on by the vocabulary's own
-    pattern, all in one text of a line each; their words, if not seen lately,
-    go to the library together, as one text, and its ids are dealt back at the
-    tokens that end a word. Whatever does not come back as one word each, and
-    every other piece, goes to the library alone.
+    Texts in plain Latin letters are lower-cased and cut into words by the
+    vocabulary's own pattern with Arrow. Words not seen lately go to the
+    library together, as one text, and its ids are dealt back at the tokens
+    that end a word; whatever does not come back as one word each goes there
+    alone. Other texts are cut at ASCII white space: the vocabulary's splitting
+    drops white space, no normalisation step composes across it and no special
+    token holds any, so the pieces' ids, one after the other, are the text's.
+    Of those pieces, plain ones are cut on by the pattern, all in one text of a
+    line each, and every other goes to the library alone.
     """
 
     def __init__(self, path: str, limit: int = 400_000):
@@ -122,7 +129,8 @@ class LibraryEncoder:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
-        self.find = regex.compile(split["pattern"]["Regex"] + "|\n").findall
+        self.pattern = split["pattern"]["Regex"]
+        self.find = regex.compile(self.pattern + "|\n").findall
         suffix, vocab = spec["model"]["end_of_word_suffix"], spec["model"]["vocab"]
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for s, i in vocab.items() if s.endswith(suffix)]] = True
@@ -156,39 +164,42 @@ class LibraryEncoder:
             new, text = [new[i] for i in keep], "\n".join([pieces[i] for i in keep])
         if not new:
             return
-        found, words = self.find(text.lower()), self.words
-        distinct = set(found)
-        distinct.discard("\n")
-        missing = words.absent(distinct)
-        for lo in range(0, len(missing), 500):
-            some = missing[lo:lo + 500]
-            words.now.update(zip(some, self._together(some), strict=True))
-        words.now["\n"] = CUT
-        ids = b"".join(map(words.now.__getitem__, found)).split(CUT)
+        found = self.find(text.lower())
+        distinct = list(set(found).difference("\n"))
+        ids = dict(zip(distinct, self._words([w.encode() for w in distinct]), strict=True))
+        ids["\n"] = CUT
+        ids = b"".join(map(ids.__getitem__, found)).split(CUT)
         self.chunks.now.update(zip(new, ids, strict=True))
-        words.trim()
 
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """UTF-8 texts -> ids as little-endian unsigned 32-bit integers."""
-        cuts = [t.split() for t in texts]
-        new = self.chunks.absent(set().union(*cuts))
-        if new:
-            self._learn(new)
-        known = self.chunks.now.__getitem__
-        out = [b"".join(map(known, cut)) for cut in cuts]
+    def _words(self, distinct: list[bytes]) -> list[bytes]:
+        self.words.now[b""] = b""
+        known, unknown = self.words.get(distinct)
+        for lo in range(0, len(unknown), 500):
+            at = unknown[lo:lo + 500]
+            for i, ids in zip(at, self._together([distinct[i].decode() for i in at]), strict=True):
+                known[i] = self.words.now[distinct[i]] = ids
+        self.words.trim()
+        return known
+
+    def _pieces(self, distinct: list[bytes]) -> list[bytes]:
+        self.chunks.now[b""] = b""
+        known, unknown = self.chunks.get(distinct)
+        if unknown:
+            self._learn([distinct[i] for i in unknown])
+            for i in unknown:
+                known[i] = self.chunks.now[distinct[i]]
         self.chunks.trim()
-        return out
+        return known
+
+    def encode(self, texts: list[bytes] | pa.Array) -> list[bytes]:
+        """UTF-8 texts -> ids as little-endian unsigned 32-bit integers."""
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.binary())
+        return encode_texts(texts, self.pattern, self._words, self._pieces)
 
 
 def slices(batch: pa.RecordBatch):
     """Runs of rows of ``SLICE_BYTES`` of text, or one text if it has more."""
-    ends = np.cumsum(pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False))
-    lo = 0
-    while lo < len(ends):
-        full = int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + SLICE_BYTES, "right"))
-        upto = min(max(full, lo + 1), lo + SLICE_TEXTS)
-        yield batch.slice(lo, upto - lo)
-        lo = upto
+    return vocabulary_words.slices(batch, SLICE_BYTES, SLICE_TEXTS)
 
 
 _encoders: dict[str, LibraryEncoder] = {}
@@ -233,7 +244,7 @@ def write_tokens(docs: DataFrame, out: str, vocabulary: str, id_col: str = "doc_
         def encoded():
             for b in batches:
                 for some in slices(b):
-                    yield from zip(some.column(0).to_pylist(), encode(some.column(1).to_pylist()), strict=True)
+                    yield from zip(some.column(0).to_pylist(), encode(some.column(1)), strict=True)
 
         for doc, ids in encoded():
             ids += end
