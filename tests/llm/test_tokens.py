@@ -91,6 +91,19 @@ def test_plain_texts_share_their_words(vocabulary, library, monkeypatch):
     assert b"NIGHT" not in coder.chunks.now  # words are remembered, not what punctuation makes of them
 
 
+def test_bpe_remembers_words_as_bytes(vocabulary, library):
+    import pyarrow as pa
+    coder = bpe.PrefixBpe(vocabulary, memo=5)
+    texts = ["Night, NIGHT night.", "it's ''s 'tis", "é12 À\t", "", "日本 night"]
+    got = coder.encode_all(pa.array([t.encode() for t in texts]))
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == \
+        [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert coder.known.old[b"night"] == coder.encode(b"NIGHT") and set(map(type, coder.known.old.values())) == {bytes}
+    assert b"Night," not in coder.chunks and b"Night," not in coder.chunks.old
+    coder.forget()
+    assert not (coder.known or coder.known.old or coder.pairs or coder.chunks)
+
+
 def test_slices_hold_every_row_once(monkeypatch):
     import pyarrow as pa
     monkeypatch.setattr(token_files, "SLICE_BYTES", 10)

@@ -14,10 +14,12 @@ each token of its right spine; likewise ``t``'s left edge. A merge of two
 edge tokens happens if its rank comes before the ranks that replace either of
 them, where on equal ranks the merge further left goes first.
 
-A text is cut at ASCII white space before anything else: the vocabulary's own
-splitting drops white space, no normalisation step composes across it and no
-special token holds any, so the pieces encode independently and recent ones
-are remembered per worker (bounded).
+Texts in plain Latin letters are cut into lower-cased words with Arrow, a
+slice of texts at a time, and each distinct word is encoded once. Others are
+cut at ASCII white space before anything else: the vocabulary's own splitting
+drops white space, no normalisation step composes across it and no special
+token holds any, so the pieces encode independently. Recent words and pieces
+are remembered per worker (bounded, and empty when a task ends).
 """
 
 from __future__ import annotations
@@ -32,18 +34,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Memo, forgetting
+from tidemark.llm.common import Memo, forgetting, release_memory
+from tidemark.llm.vocabulary_words import encode_texts, slices
 
 END = "\ue000"  # stands for the end-of-word suffix, outside the byte alphabet
 SHIFT = 1 << 20  # ids are below this
 LATIN_END = "\u0180"
-SLICE_ROWS = 64
 
 
 class PrefixBpe:
     """Encoder and decoder for a vocabulary file with word-end suffix."""
 
-    def __init__(self, path: str, memo: int = 400_000):
+    def __init__(self, path: str, memo: int = 200_000):
         import ahocorasick
         import regex
         import tokenizers
@@ -61,7 +63,7 @@ class PrefixBpe:
         for r, (a, b) in enumerate(model["merges"]):
             a, b = inner(a), inner(b)
             whole = vocab[a + b]
-            self.merge[vocab[a], vocab[b]] = r
+            self.merge[vocab[a] * SHIFT + vocab[b]] = r
             self.halves[whole], self.rank[whole] = (vocab[a], vocab[b]), r
         self.special = {}
         for t in spec["added_tokens"]:
@@ -72,7 +74,8 @@ class PrefixBpe:
             self.automaton.add_word(s, (len(s), i))
         self.automaton.make_automaton()
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
-        self.words = regex.compile(split["pattern"]["Regex"]).findall
+        self.pattern = split["pattern"]["Regex"]
+        self.words = regex.compile(self.pattern).findall
         self.specials = regex.compile("|".join(f"({regex.escape(s)})" for s in self.special))
         library = tokenizers.Tokenizer.from_file(path)
         self.normalize = library.normalizer.normalize_str
@@ -80,6 +83,8 @@ class PrefixBpe:
         self.pairs = Memo(self._compatible, memo)
         self.known = Memo(self._known, memo)
         self.chunks = Memo(self._chunk, memo)
+        del spec, model, vocab, library
+        release_memory()
 
     def _spine(self, token: int, side: int) -> list[tuple[int, float]]:
         """Tokens on one edge of ``token`` with the rank that replaces each."""
@@ -96,7 +101,7 @@ class PrefixBpe:
         left = self._spine(u, 1)
         for y, y_until in self._spine(t, 0):
             for x, x_until in left:
-                r = self.merge.get((x, y))
+                r = self.merge.get(x * SHIFT + y)
                 if r is not None and r < x_until and r <= y_until:
                     return False
         return True
@@ -122,39 +127,43 @@ class PrefixBpe:
             n -= size_of[n]
         return out[::-1]
 
-    def _known(self, word: str) -> list[int]:
+    def _known(self, word: bytes) -> bytes:
+        """Ids of a lower-cased word."""
+        if not word:
+            return b""
         if word.isascii():  # printable ASCII stands for itself
-            return self.word_ids(word)
-        return [i for w, _ in self.split(word) for i in self.word_ids(w)]
+            return _stored(self.word_ids(word.decode()))
+        return _stored([i for w, _ in self.split(word.decode()) for i in self.word_ids(w)])
 
-    def _piece(self, text: str) -> list[int]:
-        out = []
+    def _piece(self, text: str) -> bytes:
         if text.isprintable() and max(text) < LATIN_END and "\u0130" not in text:
             # composed already, and classed alike by every Unicode version
-            known = self.known
-            for w in self.words(text.lower()):
-                out += known[w]
-        else:
-            for w, _ in self.split(self.normalize(text)):
-                out += self.word_ids(w)
-        return out
+            return b"".join([self.known[w.encode()] for w in self.words(text.lower())])
+        return _stored([i for w, _ in self.split(self.normalize(text)) for i in self.word_ids(w)])
 
     def _chunk(self, chunk: bytes) -> bytes:
         text, out = chunk.decode(), []
         for part in self.specials.split(text) if "<|" in text else [text]:
             if part in self.special:
-                out.append(self.special[part])
+                out.append(_stored([self.special[part]]))
             elif part:
-                out += self._piece(part)
-        return array("I", out).tobytes() if sys.byteorder == "little" else np.array(out, "<u4").tobytes()
+                out.append(self._piece(part))
+        return b"".join(out)
+
+    def _look_up(self, memo: Memo, distinct: list[bytes]) -> list[bytes]:
+        out = [memo[w] for w in distinct]
+        for m in (self.chunks, self.known, self.pairs):
+            m.trim()
+        return out
+
+    def encode_all(self, texts: pa.Array) -> list[bytes]:
+        """Binary UTF-8 texts -> ids as little-endian unsigned 32-bit integers."""
+        return encode_texts(texts, self.pattern, lambda w: self._look_up(self.known, w),
+                            lambda w: self._look_up(self.chunks, w))
 
     def encode(self, text: bytes) -> bytes:
         """UTF-8 text -> ids as little-endian unsigned 32-bit integers."""
-        chunks = self.chunks
-        out = b"".join([chunks[c] for c in text.split()])
-        for memo in (chunks, self.known, self.pairs):
-            memo.trim()
-        return out
+        return self.encode_all(pa.array([text], pa.binary()))[0]
 
     def forget(self) -> None:
         """Drop what was remembered, so that a worker that is used again
@@ -169,6 +178,10 @@ class PrefixBpe:
         return " ".join([text[i] for i in np.frombuffer(ids, "<u4").tolist()])
 
 
+def _stored(ids: list[int]) -> bytes:
+    return array("I", ids).tobytes() if sys.byteorder == "little" else np.array(ids, "<u4").tobytes()
+
+
 _coders: dict[str, PrefixBpe] = {}
 
 
@@ -190,15 +203,16 @@ def encode_documents(df: DataFrame, path: str, id_col: str = "doc_id",
     rows = df.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("_text"))
 
     def run(batches):
-        encode = coder(path).encode
+        encode_all = coder(path).encode_all
         for b in batches:
-            ids = [encode(t) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
-                names=[id_col, "n_tokens", "ids"])
+            for part in slices(b):
+                ids = encode_all(part.column(1))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
+                    names=[id_col, "n_tokens", "ids"])
 
     kind = df.schema[id_col].dataType.simpleString()
-    return rows.mapInArrow(run, f"`{id_col}` {kind}, n_tokens long, ids binary")
+    return rows.mapInArrow(forgetting(lambda: coder(path).forget(), run), f"`{id_col}` {kind}, n_tokens long, ids binary")
 
 
 def decode_documents(df: DataFrame, path: str, keep: list[str], ids_col: str = "ids") -> DataFrame:
@@ -225,9 +239,8 @@ def encode_decode_documents(df: DataFrame, path: str, id_col: str = "doc_id", te
     def run(batches):
         c = coder(path)
         for b in batches:
-            for lo in range(0, b.num_rows, SLICE_ROWS):
-                part = b.slice(lo, SLICE_ROWS)
-                ids = [c.encode(t) for t in part.column(1).to_pylist()]
+            for part in slices(b, 1 << 20):
+                ids = c.encode_all(part.column(1))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()),
                      pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()),
@@ -250,15 +263,14 @@ def encode_decode_digests(df: DataFrame, path: str, id_col: str = "doc_id",
     def run(batches):
         c = coder(path)
         for b in batches:
-            counts, ids_sha, text_sha = [], [], []
-            for t in b.column(1).to_pylist():
-                ids = c.encode(t)
-                counts.append(len(ids) // 4)
-                ids_sha.append(hashlib.sha256(ids).hexdigest())
-                text_sha.append(hashlib.sha256(c.decode(ids).encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()),
-                 pa.array(text_sha, pa.string())], names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
+            for part in slices(b):
+                ids = c.encode_all(part.column(1))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()),
+                     pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()),
+                     pa.array([hashlib.sha256(c.decode(x).encode()).hexdigest() for x in ids], pa.string())],
+                    names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
 
     kind = df.schema[id_col].dataType.simpleString()
-    return rows.mapInArrow(run, f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return rows.mapInArrow(forgetting(lambda: coder(path).forget(), run),
+                           f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")

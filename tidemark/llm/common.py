@@ -6,8 +6,10 @@ space and U+0009 to U+000D, which is what ``bytes.split()`` returns.
 
 from __future__ import annotations
 
+import ctypes
 import string
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -102,6 +104,14 @@ class Memo(dict):
         self.old = {}
 
 
+def release_memory() -> None:
+    """Give memory that is free inside this process back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
 def forgetting(forget, run):
     """``run`` over a task's batches, then ``forget()``: Python workers are used
     again by other tasks, which should not start with its memory."""
@@ -110,6 +120,7 @@ def forgetting(forget, run):
             yield from run(batches)
         finally:
             forget()
+            release_memory()
     return task
 
 
