@@ -220,6 +220,15 @@ def test_equal_rows_lose_their_copies(make_docs, prose):
         assert [r.text for r in got if r.doc_id == 3] == [None, None] and texts(4) == ["", ""]
 
 
+def test_line_keys_are_shuffled_with_48_bits(make_docs, prose):
+    rows = [(k, prose(6, k) + "\n" + prose(30, 50 + k)) for k in range(20)]
+    keyed = line_dedup.keyed_lines(make_docs(rows).selectExpr("cast(text as binary)"), 4)
+    assert keyed.columns == ["key", "cls"]
+    got = keyed.collect()
+    assert all(r.key % (1 << 16) == 0 for r in got) and any(r.cls % (1 << 16) for r in got)
+    assert len({r.key for r in got}) == len(got) > 20 * 2 * 34
+
+
 def test_simhash_does_not_depend_on_batches(prose):
     lines = [re.findall(rb"\S+", prose(n, n).encode()) for n in (4, 400, 9, 20_000, 30, 5)]
     one = [simhashes([x])[0] for x in lines]

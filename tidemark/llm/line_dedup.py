@@ -51,6 +51,9 @@ BLOCKS = [(0, 13), (13, 13), (26, 13), (39, 13), (52, 12)]  # (lowest bit, bits)
 BANDS, BAND_MINIMA = 24, 5
 LEFT_OUT_WORDS = 16
 BATCH_WORDS = 16_384
+# Keys are shuffled with 48 bits, the others zero: random bits don't compress. Two keys
+# in 2**48 that agree by chance are a candidate like others.
+KEY_BITS = np.int64(-1 << 16)
 
 _FORM = bytes.maketrans(string.ascii_uppercase.encode() + string.digits.encode(),
                         string.ascii_lowercase.encode() + b"0" * 10)
@@ -178,7 +181,7 @@ def hashed_lines(rows: DataFrame, exact_words: int) -> DataFrame:
 
 
 def keyed_lines(texts: DataFrame, min_words: int) -> DataFrame:
-    """(key, cls, spare) of every line of ``min_words`` words or more."""
+    """(key, cls) of every line of ``min_words`` words or more."""
     def run(batches):
         seen: set[int] = set()
         for b in batches:
@@ -197,14 +200,12 @@ def keyed_lines(texts: DataFrame, min_words: int) -> DataFrame:
                 fixed = np.concatenate([block_keys(simhashes(lines)), band_keys(lines)], axis=1)
                 out = [left_out_keys(words) for words in lines]
                 left = np.fromiter((k for keys in out for k in keys), np.int64)
-                key = np.concatenate([fixed.ravel(), left])
+                key = np.concatenate([fixed.ravel(), left]) & KEY_BITS
                 names = np.array(names, np.int64)
                 cls = np.concatenate([np.repeat(names, fixed.shape[1]), np.repeat(names, [len(x) for x in out])])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(key), pa.array(cls), pa.array(np.zeros(len(key), np.int32))],
-                    names=["key", "cls", "spare"])
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(cls)], names=["key", "cls"])
 
-    return texts.mapInArrow(forgetting(forget_words, run), "key long, cls long, spare int")
+    return texts.mapInArrow(forgetting(forget_words, run), "key long, cls long")
 
 
 def with_length_band(key, chars, similarity: float):
@@ -219,7 +220,7 @@ def linked_classes(rows: DataFrame, classes: DataFrame, min_words: int, similari
     """``id, comp`` of line classes that are near another."""
     keyed = keyed_lines(rows.select(F.coalesce("_text", F.lit("")).cast("binary")), min_words)
     members = staged(keyed.repartition("key").sortWithinPartitions("key", "cls")
-                     .mapInArrow(shared_only, "key long, cls long, spare int")
+                     .select("key", "cls", F.lit(0).alias("spare")).mapInArrow(shared_only, "key long, cls long, spare int")
                      .select("key", F.col("cls").alias("id")), "line_members")
     asked = staged(members.select(F.col("id").alias("cls")).distinct(), "line_asked")
     bits = slot_filter(asked, F.col("cls"))
