@@ -150,3 +150,16 @@ def test_files_of_an_empty_table_and_repeated_ids(spark, make_docs, vocabulary):
     token_files.write_tokens(make_docs([(5, "a b"), (5, "a b"), (None, "c")]), path, vocabulary)
     got = token_files.read_tokens(spark, path).toPandas()
     assert sorted(got["start"]) == [0, 2, 5] and got["n_tokens"].sum() == 8
+
+
+def test_a_task_leaves_no_coder_in_its_worker(spark, make_docs, vocabulary):
+    docs = make_docs([(i, "one two") for i in range(4)]).coalesce(1)
+    bpe.encode_decode_documents(docs, vocabulary).collect()
+    left = docs.select("doc_id").mapInArrow(lambda batches: _left(batches), "n long").collect()
+    assert {r.n for r in left} == {0}
+
+
+def _left(batches):
+    import pyarrow as pa
+    for _ in batches:
+        yield pa.RecordBatch.from_arrays([pa.array([len(bpe._coders)], pa.int64())], names=["n"])

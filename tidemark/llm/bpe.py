@@ -24,6 +24,7 @@ are remembered per worker (bounded, and empty when a task ends).
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import sys
@@ -192,6 +193,13 @@ def coder(path: str) -> PrefixBpe:
     return _coders[path]
 
 
+def drop_coder(path: str) -> None:
+    """Free the coder when a task ends: one is soon made, and idle workers of
+    later stages would hold it."""
+    _coders.pop(path, None)
+    gc.collect()  # its memories refer back to it
+
+
 def encode_documents(df: DataFrame, path: str, id_col: str = "doc_id",
                      text_col: str = "text") -> DataFrame:
     """``id_col, n_tokens, ids`` (binary, little-endian unsigned 32-bit).
@@ -212,7 +220,7 @@ def encode_documents(df: DataFrame, path: str, id_col: str = "doc_id",
                     names=[id_col, "n_tokens", "ids"])
 
     kind = df.schema[id_col].dataType.simpleString()
-    return rows.mapInArrow(forgetting(lambda: coder(path).forget(), run), f"`{id_col}` {kind}, n_tokens long, ids binary")
+    return rows.mapInArrow(forgetting(lambda: drop_coder(path), run), f"`{id_col}` {kind}, n_tokens long, ids binary")
 
 
 def decode_documents(df: DataFrame, path: str, keep: list[str], ids_col: str = "ids") -> DataFrame:
@@ -249,7 +257,7 @@ def encode_decode_documents(df: DataFrame, path: str, id_col: str = "doc_id", te
 
     kind = df.schema[id_col].dataType.simpleString()
     return rows.mapInArrow(
-        forgetting(lambda: coder(path).forget(), run),
+        forgetting(lambda: drop_coder(path), run),
         f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string, ids binary")
 
 
@@ -272,5 +280,5 @@ def encode_decode_digests(df: DataFrame, path: str, id_col: str = "doc_id",
                     names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
 
     kind = df.schema[id_col].dataType.simpleString()
-    return rows.mapInArrow(forgetting(lambda: coder(path).forget(), run),
+    return rows.mapInArrow(forgetting(lambda: drop_coder(path), run),
                            f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -65,7 +65,7 @@ def _hash_and_weight(word: bytes) -> int:
     return xxhash.xxh64_intdigest(word) & ~63 | min(max(len(word) - 3, 0), 9) + (len(word) > 1)
 
 
-_words = Memo(_hash_and_weight)
+_words = Memo(_hash_and_weight, 100_000)
 
 
 def forget_words() -> None:

@@ -24,13 +24,14 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD, staged
+from tidemark.llm.common import WORD, forgetting, staged
 
 BUCKET_ROWS = 2_000
 GROUP_SHARDS = 1_024
@@ -220,9 +221,12 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.array_sort(F.collect_list(F.struct("from_word", "n_words"))).alias("_mix_pieces"))
 
     @F.pandas_udf("string")
-    def cut(texts: pd.Series, pieces: pd.Series) -> pd.Series:
-        return pd.Series([take_words(t, [(p["from_word"], p["n_words"]) for p in k])
-                          for t, k in zip(texts, pieces, strict=True)], dtype=object)
+    def cut(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        def taken(parts):
+            for texts, pieces in parts:
+                yield pd.Series([take_words(t, [(p["from_word"], p["n_words"]) for p in k])
+                                 for t, k in zip(texts, pieces, strict=True)], dtype=object)
+        return forgetting(lambda: None, taken)(parts)
 
     return (copy.join(taken, "_mix_row").withColumn(text_col, cut(text_col, "_mix_pieces"))
             .drop("_mix_row", "_mix_epoch", "_mix_pieces"))

@@ -42,7 +42,7 @@ def _hashes(word: bytes) -> int:
     return zlib.crc32(word) << 32 | zlib.crc32(word.decode(errors="replace")[:4].encode())
 
 
-_words = Memo(_hashes)
+_words = Memo(_hashes, 100_000)
 
 
 def forget_words() -> None:
