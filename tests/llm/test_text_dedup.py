@@ -1,6 +1,8 @@
 import random
 import re
 
+import numpy as np
+
 from tidemark.llm import line_dedup, substring_dedup
 from tidemark.llm.line_dedup import line_words, simhashes
 
@@ -233,3 +235,50 @@ def test_simhash_does_not_depend_on_batches(prose):
     lines = [re.findall(rb"\S+", prose(n, n).encode()) for n in (4, 400, 9, 20_000, 30, 5)]
     one = [simhashes([x])[0] for x in lines]
     assert simhashes(lines).tolist() == one
+
+
+def distance(a, b):
+    last = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        now = [i]
+        for j, y in enumerate(b, 1):
+            now.append(min(last[j] + 1, now[-1] + 1, last[j - 1] + (x != y)))
+        last = now
+    return last[-1]
+
+
+def test_near_forms_equal_the_full_distance():
+    rnd, pairs = random.Random(9), []
+    for _ in range(600):
+        letters = "ab \u00e9\u6f22"[:rnd.choice((2, 4, 5))]
+        a = [rnd.choice(letters) for _ in range(rnd.randrange(70))]
+        b = list(a)
+        for _ in range(rnd.randrange(9)):
+            at = rnd.randrange(len(b) + 1)
+            b[at:at + rnd.randrange(2)] = rnd.choice(["", rnd.choice(letters)])
+        pairs.append(("".join(a), "".join(b)) if rnd.random() < 0.5 else ("".join(b), "".join(a)))
+    pairs += [("", ""), ("", "a"), ("x" * 3000, "x" * 2900 + "y" * 100), ("x" * 3000, "y" * 3000)]
+    most = np.array([int(max(map(len, p)) * rnd.choice((0, 0.1, 0.3))) for p in pairs])
+    most[-2:] = 100
+    got = line_dedup.near_forms([a for a, _ in pairs], [b for _, b in pairs], most)
+    want = [distance(a, b) <= k for (a, b), k in zip(pairs[:-2], most, strict=False)] + [True, False]
+    assert got.tolist() == want and 100 < sum(want) < 500
+    assert line_dedup.near_forms([], [], np.array([], int)).tolist() == []
+
+
+def test_keys_of_far_lengths_are_cut(spark, make_docs, prose):
+    """Lines that share a key but not a length within a tenth are no
+    candidates; a chain of near lengths stays under one key."""
+    one, two = 5 << 16, 6 << 16
+    rows = [(one | 40, 1), (one | 100, 2), (one | 109, 3), (one | 109, 3), (one | 120, 4), (one | 200, 5),
+            (two | 65_535, 6), (two | 65_535, 7), (two | 58_982, 8), (two | 58_000, 9), (two | 50_000, 10)]
+    key, cls = (np.array(x) for x in zip(*rows, strict=True))
+    key, cls = line_dedup.near_lengths(key.astype(np.uint64), cls, 0.9)
+    assert list(zip(key.tolist(), cls.tolist(), strict=True)) == [
+        (one | 100, 2), (one | 100, 3), (one | 100, 4), (two | 58_000, 9), (two | 58_000, 8), (two | 58_000, 6), (two | 58_000, 7)]
+    base = prose(8, 5).split()
+    texts = make_docs([(k, " ".join(base * k)) for k in range(1, 9)]).selectExpr("cast(text as binary)")
+    assert line_dedup.keys_in_reach(line_dedup.keyed_lines(texts, 4, 8), 8, 0.9).count() == 0
+    texts = make_docs([(1, " ".join(base)), (2, " ".join([*base[:7], base[7] + "s"]))]).selectExpr("cast(text as binary)")
+    assert {r.id for r in line_dedup.keys_in_reach(line_dedup.keyed_lines(texts, 4, 8), 8, 0.9).collect()} == {
+        line_dedup._name(t.encode().split()) for t in (" ".join(base), " ".join([*base[:7], base[7] + "s"]))}

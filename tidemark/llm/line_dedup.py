@@ -15,6 +15,8 @@
    than three bits. Left out: for lines of up to 16 words, the line and the
    line without each of its words. Classes whose keys leave several components
    open get each key with a band of lengths.
+   Lengths travel with the keys: where two neighbours in length under a key are
+   too far apart for a link, the key is cut, and keys of one class go.
 4. Candidates are verified by edit similarity (1 - Levenshtein distance /
    longer length >= ``similarity``) alone, on the normal forms, which are read
    again only for classes that share a key. Links and components run as in
@@ -30,7 +32,7 @@ from __future__ import annotations
 
 import math
 import string
-from itertools import combinations
+from itertools import chain, combinations
 
 import numpy as np
 import pandas as pd
@@ -42,8 +44,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import (
     Memo, forgetting, in_slots, slot_bytes, slot_filter, staged, told_apart, with_slot_flag,
 )
-from tidemark.llm.jaccard_join import shared_only
 from tidemark.llm.linking import link_groups
+from tidemark.llm.packed import PACK_ROWS, bin_bits, bins_of, pack, unpack
 
 MIN_WORDS = 4
 SIMILARITY = 0.9
@@ -54,6 +56,7 @@ BATCH_WORDS = 16_384
 # Keys are shuffled with 48 bits, the others zero: random bits don't compress. Two keys
 # in 2**48 that agree by chance are a candidate like others.
 KEY_BITS = np.int64(-1 << 16)
+MOST_CHARS = (1 << 16) - 1  # lengths beside keys end here
 
 _FORM = bytes.maketrans(string.ascii_uppercase.encode() + string.digits.encode(),
                         string.ascii_lowercase.encode() + b"0" * 10)
@@ -86,7 +89,7 @@ def _parts(lines: list[list[bytes]]):
         while upto < len(lines) and (upto == at or held + len(lines[upto]) <= BATCH_WORDS):
             held += len(lines[upto])
             upto += 1
-        both = np.fromiter((_words[w] for line in lines[at:upto] for w in line), np.uint64, held)
+        both = np.fromiter(map(_words.__getitem__, chain.from_iterable(lines[at:upto])), np.uint64, held)
         weight = (both & np.uint64(63)).astype(np.int32) + 1
         with np.errstate(over="ignore"):
             h = (both >> np.uint64(6)) * np.uint64(0x9E3779B97F4A7C15)
@@ -96,10 +99,16 @@ def _parts(lines: list[list[bytes]]):
     _words.trim()
 
 
-def simhashes(lines: list[list[bytes]]) -> np.ndarray:
+def hashed_words(lines: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """SimHashes and MinHash keys of (non-empty) lists of words."""
+    parts = list(_parts(lines))
+    return simhashes(lines, parts), band_keys(lines, parts)
+
+
+def simhashes(lines: list[list[bytes]], parts=None) -> np.ndarray:
     """64-bit SimHash of each (non-empty) list of words."""
     out = np.empty(len(lines), np.int64)
-    for at, upto, h, weight, starts in _parts(lines):
+    for at, upto, h, weight, starts in parts or _parts(lines):
         bits = np.unpackbits(h.view(np.uint8).reshape(len(h), 8), axis=1) * weight[:, None]
         ones, total = np.add.reduceat(bits, starts, axis=0), np.add.reduceat(weight, starts)
         out[at:upto] = np.packbits(2 * ones > total[:, None], axis=1).view(np.int64).ravel()
@@ -117,10 +126,10 @@ def _mixed(key: np.ndarray, value: np.ndarray) -> np.ndarray:
     return key ^ key >> np.uint64(31)
 
 
-def band_keys(lines: list[list[bytes]]) -> np.ndarray:
+def band_keys(lines: list[list[bytes]], parts=None) -> np.ndarray:
     """(lines, BANDS) MinHash keys; a word's hash is halved per weight step."""
     out = np.empty((len(lines), BANDS), np.uint64)
-    for at, upto, h, weight, starts in _parts(lines):
+    for at, upto, h, weight, starts in parts or _parts(lines):
         shift = _SHIFT[weight]
         for i in range(BANDS):
             key = np.full(upto - at, i + 1, np.uint64)
@@ -180,32 +189,164 @@ def hashed_lines(rows: DataFrame, exact_words: int) -> DataFrame:
         run, f"_id {kind}, _row long, line long, cls long, chars long")
 
 
-def keyed_lines(texts: DataFrame, min_words: int) -> DataFrame:
-    """(key, cls) of every line of ``min_words`` words or more."""
+def _keys(batches, min_words: int):
+    """Per slice of texts: key, class and length of every line long enough."""
+    seen: set[int] = set()
+    for b in batches:
+        for lo in range(0, b.num_rows, 256):
+            lines, names, chars = [], [], []
+            for text in b.column(0).slice(lo, 256).to_pylist():
+                for words in line_words(text):
+                    if words and len(words) >= min_words and (name := _name(words)) not in seen:
+                        if len(seen) > 200_000:
+                            seen.clear()
+                        seen.add(name)
+                        lines.append(words)
+                        names.append(name)
+                        chars.append(len(b" ".join(words).decode()))
+            if not lines:
+                continue
+            sims, bands = hashed_words(lines)
+            fixed = np.concatenate([block_keys(sims), bands], axis=1)
+            out = [left_out_keys(words) for words in lines]
+            left = np.fromiter((k for keys in out for k in keys), np.int64)
+            times = [len(x) for x in out]
+            yield (np.concatenate([fixed.ravel(), left]) & KEY_BITS,
+                   *(np.concatenate([np.repeat(x, fixed.shape[1]), np.repeat(x, times)])
+                     for x in (np.array(names, np.int64), np.minimum(chars, MOST_CHARS))))
+
+
+def keyed_lines(texts: DataFrame, min_words: int, bits: int = 0) -> DataFrame:
+    """(key, cls) of every line of ``min_words`` words or more; with ``bits``
+    packed, the line's length in the key's lower bits."""
     def run(batches):
-        seen: set[int] = set()
+        for key, cls, _ in _keys(batches, min_words):
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(cls)], names=["key", "cls"])
+
+    def packed(batches):
+        held = []
+        for key, cls, chars in _keys(batches, min_words):
+            held.append((key | chars, cls))
+            if sum(len(k) for k, _ in held) > PACK_ROWS:
+                yield _packed(bits, held)
+                held = []
+        if held:
+            yield _packed(bits, held)
+
+    if bits:
+        return texts.mapInArrow(forgetting(forget_words, packed), "bin int, data binary")
+    return texts.mapInArrow(forgetting(forget_words, run), "key long, cls long")
+
+
+def _packed(bits: int, held: list) -> pa.RecordBatch:
+    bins, data = pack(bits, *(np.concatenate(x) for x in zip(*held, strict=True)))
+    return pa.RecordBatch.from_arrays([pa.array(bins, pa.int32()), pa.array(data, pa.binary())], names=["bin", "data"])
+
+
+def near_lengths(key: np.ndarray, cls: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """(key, cls) of classes that share a key with one that may be linked.
+
+    The keys hold lengths in the lower bits. In order of length, a class whose
+    length is too far from the one before starts a new key: none before it
+    can be linked with it or with those after it.
+    """
+    order = np.argsort(key)
+    key, cls = key[order], cls[order]
+    shared = key[1:] >> np.uint64(16) == key[:-1] >> np.uint64(16)
+    shared = np.append(shared, False) | np.append(False, shared)
+    key, cls = key[shared], cls[shared]
+    order = np.lexsort((cls, key))
+    key, cls = key[order], cls[order]
+    fresh = np.append(True, (key[1:] != key[:-1]) | (cls[1:] != cls[:-1]))[:len(key)]
+    key, cls = key[fresh], cls[fresh]
+    chars, kept = (key & np.uint64(MOST_CHARS)).astype(np.int64), key >> np.uint64(16)
+    far = chars[1:] - chars[:-1] > np.floor(chars[1:] * (1 - similarity) + 1e-9)
+    start = np.append(True, far | (kept[1:] != kept[:-1]))[:len(key)]
+    group = np.cumsum(start) - 1
+    several = np.bincount(group)[group] > 1
+    return key[start][group][several].view(np.int64), cls[several]
+
+
+def keys_in_reach(keyed: DataFrame, bits: int, similarity: float) -> DataFrame:
+    """(key, id) of packed keys that two classes of near lengths share."""
+    def run(batches):
+        def rows(which, data):
+            key, cls = near_lengths(*unpack(bits, which, data, np.int64), similarity)
+            return pa.RecordBatch.from_arrays([pa.array(key), pa.array(cls)], names=["key", "id"])
+
+        waiting: list = []
         for b in batches:
-            for lo in range(0, b.num_rows, 256):
-                lines, names = [], []
-                for text in b.column(0).slice(lo, 256).to_pylist():
-                    for words in line_words(text):
-                        if words and len(words) >= min_words and (name := _name(words)) not in seen:
-                            if len(seen) > 200_000:
-                                seen.clear()
-                            seen.add(name)
-                            lines.append(words)
-                            names.append(name)
-                if not lines:
-                    continue
-                fixed = np.concatenate([block_keys(simhashes(lines)), band_keys(lines)], axis=1)
-                out = [left_out_keys(words) for words in lines]
-                left = np.fromiter((k for keys in out for k in keys), np.int64)
-                key = np.concatenate([fixed.ravel(), left]) & KEY_BITS
-                names = np.array(names, np.int64)
-                cls = np.concatenate([np.repeat(names, fixed.shape[1]), np.repeat(names, [len(x) for x in out])])
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(cls)], names=["key", "cls"])
+            for found in bins_of(b.column(0), b.column(1), waiting):
+                yield rows(*found)
+        if waiting:
+            yield rows(*waiting)
+
+    return (keyed.repartition("bin").sortWithinPartitions("bin")
+            .mapInArrow(forgetting(lambda: None, run), "key long, id long"))
 
-    return texts.mapInArrow(forgetting(forget_words, run), "key long, cls long")
+
+def near_forms(left: list[str], right: list[str], most: np.ndarray) -> np.ndarray:
+    """Which pairs are at most ``most`` edits apart (Levenshtein, code points).
+
+    Pairs of like lengths are tested together, one anti-diagonal after the
+    other, in the band that the edits leave open.
+    """
+    size = np.array([(len(a), len(b)) for a, b in zip(left, right, strict=True)], np.int64).reshape(-1, 2)
+    near = np.zeros(len(left), bool)
+    order = np.argsort(size.max(axis=1), kind="stable")
+    at = 0
+    while at < len(order):
+        upto = at + 1
+        while upto < len(order) and upto - at < 512 and (upto - at) * size[order[upto]].max() < 1 << 19 \
+                and 7 * size[order[upto]].max() <= 8 * size[order[at]].max() + 56:
+            upto += 1
+        part = order[at:upto]
+        distance = _distances([left[i] for i in part], [right[i] for i in part], size[part], int(most[part].max()))
+        near[part] = distance <= most[part]
+        at = upto
+    return near
+
+
+def _points(forms: list[str], most: int) -> np.ndarray:
+    """(most, forms) code points, zeros below."""
+    wide = max(map(max, filter(None, forms)), default="") > "\xff"
+    kind, code = (np.uint32, "utf-32-le") if wide else (np.uint8, "latin-1")
+    out = np.zeros((most, len(forms)), kind)
+    for i, form in enumerate(forms):
+        out[:len(form), i] = np.frombuffer(form.encode(code), kind)
+    return out
+
+
+def _distances(left: list[str], right: list[str], size: np.ndarray, band: int) -> np.ndarray:
+    """Distances of pairs; those above ``band`` may come out larger."""
+    la, lb = size.max(axis=0).tolist()
+    a, b = _points(left, la), _points(right, lb)[::-1].copy()
+    far = la + lb + 2
+    kind = np.int16 if far < 32_000 else np.int32
+    now, last, before = (np.full((la + 3, len(left)), far, kind) for _ in range(3))  # row i + 1: i of the left
+    ends: dict[int, list[int]] = {}
+    for i, total in enumerate(size.sum(axis=1).tolist()):
+        ends.setdefault(total, []).append(i)
+    out = np.full(len(left), far, np.int64)
+    for total in range(la + lb + 1):
+        lo, hi = max(0, total - lb, (total - band + 1) // 2), min(total, la, (total + band) // 2)
+        now, last, before = before, now, last
+        x, y = max(lo, 1), min(hi, total - 1) + 1
+        if x < y:
+            cells = now[x + 1:y + 1]
+            np.add(before[x:y], a[x - 1:y - 1] != b[lb - total + x:lb - total + y], out=cells)
+            step = np.minimum(last[x:y], last[x + 1:y + 1])
+            step += 1
+            np.minimum(cells, step, out=cells)
+        now[lo] = now[hi + 2] = far
+        if lo == 0:
+            now[1] = total
+        if hi == total:
+            now[total + 1] = total
+        for i in ends.get(total, ()):
+            if lo <= size[i, 0] <= hi:
+                out[i] = now[size[i, 0] + 1, i]
+    return out
 
 
 def with_length_band(key, chars, similarity: float):
@@ -216,16 +357,13 @@ def with_length_band(key, chars, similarity: float):
     return F.explode(F.array(*[F.xxhash64(key, band + up) for up in (0, 1)]))
 
 
-def linked_classes(rows: DataFrame, classes: DataFrame, min_words: int, similarity: float) -> DataFrame:
+def linked_classes(rows: DataFrame, min_words: int, similarity: float) -> DataFrame:
     """``id, comp`` of line classes that are near another."""
-    keyed = keyed_lines(rows.select(F.coalesce("_text", F.lit("")).cast("binary")), min_words)
-    members = staged(keyed.repartition("key").sortWithinPartitions("key", "cls")
-                     .select("key", "cls", F.lit(0).alias("spare")).mapInArrow(shared_only, "key long, cls long, spare int")
-                     .select("key", F.col("cls").alias("id")), "line_members")
+    texts = rows.select(F.coalesce("_text", F.lit("")).cast("binary"))
+    bits = bin_bits(rows.sparkSession)
+    members = staged(keys_in_reach(keyed_lines(texts, min_words, bits), bits, similarity), "line_members")
     asked = staged(members.select(F.col("id").alias("cls")).distinct(), "line_asked")
-    bits = slot_filter(asked, F.col("cls"))
-
-    slots = rows.sparkSession.sparkContext.broadcast(slot_bytes(bits))
+    slots = rows.sparkSession.sparkContext.broadcast(slot_bytes(slot_filter(asked, F.col("cls"))))
 
     def forms(batches):
         seen: set[int] = set()
@@ -246,20 +384,25 @@ def linked_classes(rows: DataFrame, classes: DataFrame, min_words: int, similari
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(text, pa.string())],
                                              names=["cls", "form"])
 
-    texts = (rows.select(F.coalesce("_text", F.lit("")).cast("binary"))
-             .mapInArrow(forms, "cls long, form string").join(asked, "cls", "left_semi"))
+    texts = texts.mapInArrow(forms, "cls long, form string").join(asked, "cls", "left_semi")
     texts = staged(texts.groupBy("cls").agg(F.min("form").alias("form")), "line_forms")
-    info = with_slot_flag(classes.select("cls", "chars"), bits, F.col("cls"), "_asked").filter("_asked")
-    info = staged(info.join(asked, "cls", "left_semi").drop("_asked"), "line_info")
+    info = staged(texts.select("cls", F.char_length("form").cast("long").alias("chars")), "line_info")
+
+    def linked(batches):
+        for b in batches:
+            for lo in range(0, b.num_rows, 2048):
+                part = b.slice(lo, 2048)
+                near = near_forms(part.column(3).to_pylist(), part.column(4).to_pylist(), part.column(2).to_numpy())
+                yield part.select(["a", "b"]).filter(pa.array(near))
 
     def verify(pairs: DataFrame) -> DataFrame:
         side = lambda t, x, cols: t.select(F.col("cls").alias(x), *[F.col(c).alias(c + x) for c in cols])
+        longer = F.greatest("charsa", "charsb")
+        most = F.floor(longer * F.lit(1 - similarity) + F.lit(1e-9)).cast("int")
         near = (pairs.join(side(info, "a", ["chars"]), "a").join(side(info, "b", ["chars"]), "b")
-                .withColumn("longer", F.greatest("charsa", "charsb"))
-                .withColumn("most", F.floor(F.col("longer") * F.lit(1 - similarity) + F.lit(1e-9)).cast("int"))
-                .filter(F.abs(F.col("charsa") - F.col("charsb")) <= F.col("most")).select("a", "b", "most"))
+                .filter(F.abs(F.col("charsa") - F.col("charsb")) <= most).select("a", "b", most.alias("most")))
         both = near.join(side(texts, "a", ["form"]), "a").join(side(texts, "b", ["form"]), "b")
-        return both.filter(F.expr("levenshtein(forma, formb, most)") >= 0)
+        return both.select("a", "b", "most", "forma", "formb").mapInArrow(linked, "a long, b long")
 
     def longer(ids: DataFrame) -> DataFrame:
         return members.join(ids, "id").join(info.withColumnRenamed("cls", "id"), "id") \
@@ -292,7 +435,7 @@ def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", mi
     place = F.struct(F.col("_id").isNull().alias("none"), "_id", "_row", "line")
     classes = staged(lines.groupBy("cls").agg(F.min("chars").alias("chars"), F.min(place).alias("first"),
                                               F.max(place).alias("last")), "line_classes")
-    labels = linked_classes(rows, classes, min_words, similarity)
+    labels = linked_classes(rows, min_words, similarity)
     labels = staged(labels.select(F.col("id").alias("cls"), "comp"), "line_labels")
     # only classes that are linked or occur twice go on
     ends = labels.select("cls").unionByName(labels.select(F.col("comp").alias("cls"))).distinct()
