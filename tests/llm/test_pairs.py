@@ -3,9 +3,11 @@ import re
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 
 from tidemark.llm import jaccard_join as jj
 from tidemark.llm.linking import components, link_groups
+from tidemark.llm.packed import bins_of, pack, unpack
 
 LOW = {c: c + 32 for c in range(65, 91)}
 
@@ -133,3 +135,29 @@ def test_linking_loses_no_link_between_components(spark):
     got = link_groups(spark.createDataFrame(members, "key long, id long"),
                       lambda pairs: pairs.join(allowed, ["a", "b"], "left_semi"))
     assert {(r.id, r.comp) for r in got.collect()} == {(5, 3), (7, 3), (9, 8), (11, 8), (21, 20)}
+
+
+def test_packed_keys_come_back_whole():
+    rng = np.random.default_rng(3)
+    key = rng.integers(0, 1 << 64, 5000, np.uint64)
+    cls, spare = rng.integers(-1 << 62, 1 << 62, 5000), rng.integers(0, 9, 5000).astype(np.int32)
+    for bits in (8, 11, 15):
+        got = []
+        halves = [pack(bits, *(c[a:b] for c in (key, cls, spare))) for a, b in ((0, 2000), (2000, 5000))]
+        rows = sorted((b, d) for bins, data in halves for b, d in zip(bins, data, strict=True))
+        waiting = []
+        for lo in range(0, len(rows), 7):  # bins go on in the next batch
+            part = [pa.array(x) for x in zip(*rows[lo:lo + 7], strict=True)]
+            got += [unpack(bits, *found, np.int64, np.int32) for found in bins_of(*part, waiting)]
+        got.append(unpack(bits, *waiting, np.int64, np.int32))
+        assert len(got) == len({b for b, _ in rows})
+        assert sorted(zip(*(np.concatenate(c).tolist() for c in zip(*got, strict=True)), strict=True)) == sorted(
+            zip(key.tolist(), cls.tolist(), spare.tolist(), strict=True))
+
+
+def test_shared_keys_are_those_of_two_sets():
+    rows = [(9, 2, 1), (9, 2, 1), (7, 4, 0), (7, 6, 0), (7, 4, 0), (5, 8, 2), (3, 4, 0), (3, 5, 1), (3, 8, 2), (2**63 - 1, 2, 1)]
+    key, cls, spare = (np.array(x, t) for x, t in zip(zip(*rows, strict=True), (np.uint64, np.int64, np.int32), strict=True))
+    got = jj.shared_keys(key, cls, spare)
+    assert list(zip(*(x.tolist() for x in got), strict=True)) == [(3, 4, 0), (3, 5, 1), (3, 8, 2), (7, 4, 0), (7, 6, 0)]
+    assert [len(x) for x in jj.shared_keys(*(x[:0] for x in (key, cls, spare)))] == [0, 0, 0]

@@ -34,12 +34,14 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import Memo, forgetting, slot_filter, staged, with_slot_flag
 from tidemark.llm.linking import link_groups
+from tidemark.llm.packed import PACK_ROWS, bin_bits, bins_of, pack, unpack
 
 WORDS = 5
 SEEN = 200_000
@@ -151,70 +153,93 @@ def class_name(sh: np.ndarray) -> int:
     return int(x.view(np.int64)[0]) & ~1
 
 
-def _emit(words: int):
-    """Per document one row (key = id, cls, spare = -1 - size) and, for the
-    first of equal sets in a task, its hashes (key, cls + role, spare >= 0)."""
+def _emit(words: int, bits: int):
+    """Per document one row (id, cls, n = its size) and, for the first of equal
+    sets in a task, its hashes packed with cls + role and spare."""
     def run(batches):
         seen: set[int] = set()
+        keys, owners, spares, held = [], [], [], 0
+        turn = 0
         for b in batches:
-            docs, names, sizes, keys, owners, spares = b.column(0), [], [], [], [], []
-            held = 0
+            docs, names, sizes = b.column(0), [], []
             for text in (t for lo in range(0, b.num_rows, 64) for t in b.column(1).slice(lo, 64).to_pylist()):
                 sh = shingles(text, words)
                 name = class_name(sh) if len(sh) else 0
                 names.append(name)
-                sizes.append(-1 - len(sh))
+                sizes.append(len(sh))
                 if len(sh) and name not in seen:
                     if len(seen) >= SEEN:
                         seen.clear()
                     seen.add(name)
                     for role, h, spare in signature_rows(sh):
-                        keys.append(h.view(np.int64))
+                        keys.append(h)
                         owners.append(np.full(len(h), name | role, np.int64))
                         spares.append(np.full(len(h), spare, np.int32))
                         held += len(h)
-                if held > 200_000:
-                    yield _rows(np.concatenate(keys), np.concatenate(owners), np.concatenate(spares))
+                if held > PACK_ROWS:
+                    yield _packed(bits, keys, owners, spares)
                     keys, owners, spares, held = [], [], [], 0
-            yield pa.RecordBatch.from_arrays([docs.cast(pa.int64()), pa.array(names, pa.int64()),
-                                              pa.array(sizes, pa.int32())], names=["key", "cls", "spare"])
-            if held:
-                yield _rows(np.concatenate(keys), np.concatenate(owners), np.concatenate(spares))
+            n = b.num_rows
+            bins = (turn + np.arange(n)) % (1 << bits)  # documents are dealt in turn
+            turn += n
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(bins, pa.int32()), pa.nulls(n, pa.binary()), docs.cast(pa.int64()),
+                 pa.array(names, pa.int64()), pa.array(sizes, pa.int32())], names=PACKED)
+        if held:
+            yield _packed(bits, keys, owners, spares)
     return run
 
 
+PACKED = ["bin", "data", "id", "cls", "n"]
+
+
+def _packed(bits: int, keys, owners, spares) -> pa.RecordBatch:
+    bins, data = pack(bits, np.concatenate(keys), np.concatenate(owners), np.concatenate(spares))
+    n = len(bins)
+    return pa.RecordBatch.from_arrays([pa.array(bins, pa.int32()), pa.array(data, pa.binary()), pa.nulls(n, pa.int64()),
+                                       pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32())], names=PACKED)
+
+
 def _rows(key, cls, spare) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(key), pa.array(cls), pa.array(spare)], names=["key", "cls", "spare"])
 
 
-def shared_only(batches):
-    """Of rows sorted by (key, cls): documents, and hashes of two sets or more.
-
-    Streams; what it remembers is one row.
-    """
-    last = None  # (key, cls, spare, whether the row before has the same key)
-    for b in batches:
-        spare = b.column(2).to_numpy(zero_copy_only=False)
-        docs = spare < 0
-        if docs.any():
-            yield b.filter(pa.array(docs))
-        key = b.column(0).filter(pa.array(~docs)).to_numpy(zero_copy_only=False).astype(np.int64)
-        cls = b.column(1).to_numpy(zero_copy_only=False)[~docs]
-        spare = spare[~docs]
-        if last is not None:
-            key, cls, spare = (np.append(np.array([x], a.dtype), a) for x, a in
-                               zip(last[:3], (key, cls, spare), strict=True))
-        if not len(key):
-            continue
-        fresh = np.append(True, (key[1:] != key[:-1]) | (cls[1:] != cls[:-1]))
+def shared_keys(key: np.ndarray, cls: np.ndarray, spare: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of a bin's rows, once each, the hashes that two sets or more show."""
+    for _ in range(2):  # keys of several rows, and then of several sets
+        order = np.argsort(key)
+        same = key[order][1:] == key[order][:-1]
+        order = order[np.append(same, False)[:len(key)] | np.append(False, same)[:len(key)]]
+        order = order[np.lexsort((cls[order], key[order]))]
+        key, cls, spare = key[order], cls[order], spare[order]
+        fresh = np.append(True, (key[1:] != key[:-1]) | (cls[1:] != cls[:-1]))[:len(key)]
         key, cls, spare = key[fresh], cls[fresh], spare[fresh]
-        same = np.append(last is not None and last[3], key[1:] == key[:-1])
-        shared = same | np.append(same[1:], False)
-        last = key[-1], cls[-1], spare[-1], bool(same[-1])
-        if shared[:-1].any():
-            yield _rows(key[:-1][shared[:-1]], cls[:-1][shared[:-1]], spare[:-1][shared[:-1]])
-    if last is not None and last[3]:
-        yield _rows(np.array([last[0]]), np.array([last[1]]), np.array([last[2]], np.int32))
+    return key, cls, spare
+
+
+def shared_only(bits: int):
+    """Of packed rows sorted by bin: documents (spare = -1 - size), and the
+    hashes of two sets or more."""
+    def rows(which, data):
+        key, cls, spare = shared_keys(*unpack(bits, which, data, np.int64, np.int32))
+        return _rows(key.view(np.int64), cls, spare)
+
+    def run(batches):
+        waiting: list = []
+        for b in batches:
+            docs = b.column(1).is_null()
+            if docs.true_count:
+                yield _rows(*(c.filter(docs) for c in (b.column(2), b.column(3), _negated(b.column(4)))))
+            hashes = b.filter(b.column(1).is_valid())
+            for found in bins_of(hashes.column(0), hashes.column(1), waiting):
+                yield rows(*found)
+        if waiting:
+            yield rows(*waiting)
+    return run
+
+
+def _negated(sizes: pa.Array) -> pa.Array:
+    return pc.subtract(pa.scalar(-1, pa.int32()), sizes)
 
 
 def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -231,9 +256,11 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """
     docs = df.select(F.col(id_col).cast("long").alias("_id"),
                      F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("_text"))
-    shape = "key long, cls long, spare int"
-    rows = staged(docs.mapInArrow(forgetting(forget_words, _emit(words)), shape).repartition("key").sortWithinPartitions("key", "cls")
-                  .mapInArrow(shared_only, shape), "jaccard_rows")
+    bits = bin_bits(df.sparkSession)
+    shape = "bin int, data binary, id long, cls long, n int"
+    rows = staged(docs.mapInArrow(forgetting(forget_words, _emit(words, bits)), shape)
+                  .repartition("bin").sortWithinPartitions("bin")
+                  .mapInArrow(forgetting(lambda: None, shared_only(bits)), "key long, cls long, spare int"), "jaccard_rows")
     sized = rows.filter("spare < 0").select(F.col("key").alias("id"), "cls", (-1 - F.col("spare")).alias("n"))
 
     hashes = rows.filter("spare >= 0")
