@@ -10,7 +10,7 @@ import ctypes
 import string
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.session import scratch_path
@@ -22,12 +22,21 @@ WORD = r"[^\x20\x09-\x0D]+"
 SLOTS = 1 << 26
 ROW_SLOTS = 1 << 15
 
+BATCH_CONF, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 2_000
+
 
 def lower_ascii(c: Column) -> Column:
     """Lower-case A-Z and nothing else."""
     return F.translate(c, string.ascii_uppercase, string.ascii_lowercase)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Texts go to Python tasks in batches of ``BATCH_ROWS`` rows at most, in
+    this session from now on: both sides of the pipe hold whole batches."""
+    if not 0 < int(spark.conf.get(BATCH_CONF)) <= BATCH_ROWS:
+        spark.conf.set(BATCH_CONF, str(BATCH_ROWS))
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared scratch folder and read back: cuts the lineage,
     computes the frame once, and survives lost executors."""

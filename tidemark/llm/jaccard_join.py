@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Memo, forgetting, slot_filter, staged, with_slot_flag
+from tidemark.llm.common import Memo, forgetting, slot_filter, small_batches, staged, with_slot_flag
 from tidemark.llm.linking import link_groups
 from tidemark.llm.packed import PACK_ROWS, bin_bits, bins_of, pack, unpack
 
@@ -48,7 +48,7 @@ SEEN = 200_000
 
 _M1, _M2, _M3, _M4 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9,
                                              0x94D049BB133111EB, 0xD6E8FEB86659FD93))
-_word_hash = Memo(xxhash.xxh64_intdigest)
+_word_hash = Memo(xxhash.xxh64_intdigest, 100_000)
 
 
 def forget_words() -> None:
@@ -254,6 +254,7 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     sets like any others. Ids are whole numbers; other columns are not looked
     at; an empty table gives an empty result.
     """
+    small_batches(df.sparkSession)
     docs = df.select(F.col(id_col).cast("long").alias("_id"),
                      F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("_text"))
     bits = bin_bits(df.sparkSession)
