@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import xxhash
 
 from tidemark.llm import line_dedup, substring_dedup
 from tidemark.llm.line_dedup import line_words, simhashes
@@ -282,3 +283,60 @@ def test_keys_of_far_lengths_are_cut(spark, make_docs, prose):
     texts = make_docs([(1, " ".join(base)), (2, " ".join([*base[:7], base[7] + "s"]))]).selectExpr("cast(text as binary)")
     assert {r.id for r in line_dedup.keys_in_reach(line_dedup.keyed_lines(texts, 4, 8), 8, 0.9).collect()} == {
         line_dedup._name(t.encode().split()) for t in (" ".join(base), " ".join([*base[:7], base[7] + "s"]))}
+
+
+def test_keys_of_equal_classes_are_one(spark, make_docs, prose):
+    """Two lines that share many keys are one group under one key; a third
+    that joins some of them makes others, and links nothing less."""
+    base = prose(40, 5).split()
+    near = [" ".join(base), " ".join([*base[:39], base[39] + "s"]), " ".join([base[0] + "s", *base[1:39], base[39] + "s"])]
+
+    def found(lines):
+        texts = make_docs([*enumerate(lines)]).selectExpr("cast(text as binary)")
+        keys = {}
+        for r in line_dedup.keys_in_reach(line_dedup.keyed_lines(texts, 4, 8), 8, 0.9).collect():
+            keys.setdefault(r.key, []).append(r.id)
+        return [sorted(x) for x in keys.values()]
+
+    names = [line_dedup._name(t.encode().split()) for t in near]
+    assert found(near[:2]) == [sorted(names[:2])]
+    groups = found(near)
+    assert len(groups) == len({*map(tuple, groups)}) and {x for g in groups for x in g} == {*names}
+    key, cls = np.array([1, 1, 2, 2, 3, 3, 3], np.int64), np.array([7, 9, 7, 9, 7, 8, 9], np.int64)
+    a, b, c, d, e, f, g = line_dedup.named_by_members(key, cls).tolist()
+    assert a == b == c == d != e == f == g and not len(line_dedup.named_by_members(key[:0], cls[:0]))
+
+
+def test_far_pairs_end_early_among_near_ones():
+    """Pairs that leave a batch before its end change nothing for the others."""
+    rnd, pairs = random.Random(3), []
+    for k in range(300):
+        a = [rnd.choice("abcdefgh ") for _ in range(120 + k % 9)]
+        b = list(a) if k % 3 == 0 else [rnd.choice("abcdefgh ") for _ in range(120 + k % 7)]
+        for _ in range(rnd.randrange(20)):
+            b[rnd.randrange(len(b))] = "x"
+        pairs.append(("".join(a), "".join(b)))
+    for share in (0, 0.1, 0.5):
+        most = np.array([int(max(map(len, p)) * share) for p in pairs])
+        got = line_dedup.near_forms(*map(list, zip(*pairs, strict=True)), most)
+        assert got.tolist() == [distance(a, b) <= k for (a, b), k in zip(pairs, most, strict=True)]
+
+
+def test_word_hashes_are_xxh64():
+    rnd = random.Random(4)
+    words = [rnd.randbytes(n) for n in range(1, 70) for _ in range(9)]
+    rnd.shuffle(words)
+    got = line_dedup.word_hashes(words, np.array([len(w) for w in words]))
+    assert got.tolist() == [xxhash.xxh64_intdigest(w) for w in words]
+
+
+def test_text_batches_are_small(spark, make_docs, prose):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    try:
+        for given, then in (("10000", 2000), ("0", 2000), ("500", 500)):
+            spark.conf.set(name, given)
+            line_dedup.line_dedup(make_docs([(1, prose(9, 1))]), exact_words=1)
+            assert int(spark.conf.get(name)) == then
+    finally:
+        spark.conf.set(name, before)

@@ -38,11 +38,11 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import (
-    Memo, forgetting, in_slots, slot_bytes, slot_filter, staged, told_apart, with_slot_flag,
+    forgetting, in_slots, slot_bytes, slot_filter, small_batches, staged, told_apart, with_slot_flag,
 )
 from tidemark.llm.linking import link_groups
 from tidemark.llm.packed import PACK_ROWS, bin_bits, bins_of, pack, unpack
@@ -62,17 +62,42 @@ _FORM = bytes.maketrans(string.ascii_uppercase.encode() + string.digits.encode()
                         string.ascii_lowercase.encode() + b"0" * 10)
 _DROP = string.punctuation.encode()
 
+_P1, _P2, _P3, _P4, _P5 = (np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
+                                                  0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
 
-def _hash_and_weight(word: bytes) -> int:
-    """Hash (upper 58 bits) and weight (lower 6) of a word."""
-    return xxhash.xxh64_intdigest(word) & ~63 | min(max(len(word) - 3, 0), 9) + (len(word) > 1)
 
+def _turned(x: np.ndarray, by: int) -> np.ndarray:
+    return x << np.uint64(by) | x >> np.uint64(64 - by)
 
-_words = Memo(_hash_and_weight, 100_000)
 
-
-def forget_words() -> None:
-    _words.forget()
+def word_hashes(words: list[bytes], size: np.ndarray) -> np.ndarray:
+    """xxh64 of each word; those of one length up to 31 bytes together, step
+    by step as XXH64 defines it for inputs of less than 32 bytes."""
+    data = np.frombuffer(b"".join(words), np.uint8)
+    at = np.cumsum(size) - size
+    out = np.empty(len(words), np.uint64)
+    for n in np.flatnonzero(np.bincount(size)).tolist():
+        which = np.flatnonzero(size == n)
+        if n > 31:
+            out[which] = [xxhash.xxh64_intdigest(words[i]) for i in which.tolist()]
+            continue
+        octets = data[at[which][:, None] + np.arange(n)]
+        with np.errstate(over="ignore"):
+            h = np.full(len(which), _P5 + np.uint64(n))
+            for k in range(0, n - 7, 8):
+                h ^= _turned(octets[:, k:k + 8].copy().view("<u8").ravel() * _P2, 31) * _P1
+                h = _turned(h, 27) * _P1 + _P4
+            k = n & ~7
+            if n & 4:
+                h ^= octets[:, k:k + 4].copy().view("<u4").ravel() * _P1
+                h = _turned(h, 23) * _P2 + _P3
+                k += 4
+            for i in range(k, n):
+                h = _turned(h ^ octets[:, i] * _P5, 11) * _P1
+            h = (h ^ h >> np.uint64(33)) * _P2
+            h = (h ^ h >> np.uint64(29)) * _P3
+            out[which] = h ^ h >> np.uint64(32)
+    return out
 
 
 def line_words(text: bytes) -> list[list[bytes]]:
@@ -89,14 +114,19 @@ def _parts(lines: list[list[bytes]]):
         while upto < len(lines) and (upto == at or held + len(lines[upto]) <= BATCH_WORDS):
             held += len(lines[upto])
             upto += 1
-        both = np.fromiter(map(_words.__getitem__, chain.from_iterable(lines[at:upto])), np.uint64, held)
-        weight = (both & np.uint64(63)).astype(np.int32) + 1
+        words = list(chain.from_iterable(lines[at:upto]))
+        size = np.fromiter(map(len, words), np.int64, held)
+        weight = (np.clip(size - 3, 0, 9) + (size > 1) + 1).astype(np.int32)
         with np.errstate(over="ignore"):
-            h = (both >> np.uint64(6)) * np.uint64(0x9E3779B97F4A7C15)
+            h = (word_hashes(words, size) >> np.uint64(6)) * np.uint64(0x9E3779B97F4A7C15)
             h ^= h >> np.uint64(32)
         yield at, upto, h, weight, np.cumsum([0] + [len(x) for x in lines[at:upto - 1]])
         at = upto
-    _words.trim()
+
+
+# The eight bits of each byte as 16-bit counters, four to an integer: one sum counts four bits.
+_LANES = np.ascontiguousarray(np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1)
+                              .astype(np.uint16).view(np.uint64).T)
 
 
 def hashed_words(lines: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
@@ -109,9 +139,15 @@ def simhashes(lines: list[list[bytes]], parts=None) -> np.ndarray:
     """64-bit SimHash of each (non-empty) list of words."""
     out = np.empty(len(lines), np.int64)
     for at, upto, h, weight, starts in parts or _parts(lines):
-        bits = np.unpackbits(h.view(np.uint8).reshape(len(h), 8), axis=1) * weight[:, None]
-        ones, total = np.add.reduceat(bits, starts, axis=0), np.add.reduceat(weight, starts)
-        out[at:upto] = np.packbits(2 * ones > total[:, None], axis=1).view(np.int64).ravel()
+        total = np.add.reduceat(weight, starts)
+        if total.max() < 1 << 16:
+            octets, wide = h.view(np.uint8).reshape(len(h), 8), weight.astype(np.uint64)
+            ones = np.stack([np.add.reduceat(_LANES[half][octets[:, i]] * wide, starts)
+                             for i in range(8) for half in (0, 1)], axis=1).view(np.uint16)
+        else:
+            bits = np.unpackbits(h.view(np.uint8).reshape(len(h), 8), axis=1) * weight[:, None]
+            ones = np.add.reduceat(bits, starts, axis=0)
+        out[at:upto] = np.packbits(2 * ones.astype(np.int64) > total[:, None], axis=1).view(np.int64).ravel()
     return out
 
 
@@ -234,8 +270,8 @@ def keyed_lines(texts: DataFrame, min_words: int, bits: int = 0) -> DataFrame:
             yield _packed(bits, held)
 
     if bits:
-        return texts.mapInArrow(forgetting(forget_words, packed), "bin int, data binary")
-    return texts.mapInArrow(forgetting(forget_words, run), "key long, cls long")
+        return texts.mapInArrow(forgetting(lambda: None, packed), "bin int, data binary")
+    return texts.mapInArrow(forgetting(lambda: None, run), "key long, cls long")
 
 
 def _packed(bits: int, held: list) -> pa.RecordBatch:
@@ -267,11 +303,23 @@ def near_lengths(key: np.ndarray, cls: np.ndarray, similarity: float) -> tuple[n
     return key[start][group][several].view(np.int64), cls[several]
 
 
+def named_by_members(key: np.ndarray, cls: np.ndarray) -> np.ndarray:
+    """For rows ordered by key, a name in place of the key that depends on the
+    key's classes alone: keys of equal classes propose the same pairs."""
+    if not len(key):
+        return key
+    starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    members = np.add.reduceat(_mixed(np.full(len(cls), 77, np.uint64), cls.view(np.uint64)), starts)
+    return np.repeat(members, np.diff(np.append(starts, len(key)))).view(np.int64)
+
+
 def keys_in_reach(keyed: DataFrame, bits: int, similarity: float) -> DataFrame:
-    """(key, id) of packed keys that two classes of near lengths share."""
+    """(key, id) of packed keys that two classes of near lengths share; of keys
+    with the same classes, one."""
     def run(batches):
         def rows(which, data):
             key, cls = near_lengths(*unpack(bits, which, data, np.int64), similarity)
+            key = named_by_members(key, cls)
             return pa.RecordBatch.from_arrays([pa.array(key), pa.array(cls)], names=["key", "id"])
 
         waiting: list = []
@@ -282,7 +330,7 @@ def keys_in_reach(keyed: DataFrame, bits: int, similarity: float) -> DataFrame:
             yield rows(*waiting)
 
     return (keyed.repartition("bin").sortWithinPartitions("bin")
-            .mapInArrow(forgetting(lambda: None, run), "key long, id long"))
+            .mapInArrow(forgetting(lambda: None, run), "key long, id long").distinct())
 
 
 def near_forms(left: list[str], right: list[str], most: np.ndarray) -> np.ndarray:
@@ -318,15 +366,14 @@ def _points(forms: list[str], most: int) -> np.ndarray:
 
 
 def _distances(left: list[str], right: list[str], size: np.ndarray, band: int) -> np.ndarray:
-    """Distances of pairs; those above ``band`` may come out larger."""
+    """Distances of pairs; those above ``band`` may come out larger. A pair ends
+    when all its cells on two diagonals are above it: every path crosses one."""
     la, lb = size.max(axis=0).tolist()
     a, b = _points(left, la), _points(right, lb)[::-1].copy()
     far = la + lb + 2
     kind = np.int16 if far < 32_000 else np.int32
     now, last, before = (np.full((la + 3, len(left)), far, kind) for _ in range(3))  # row i + 1: i of the left
-    ends: dict[int, list[int]] = {}
-    for i, total in enumerate(size.sum(axis=1).tolist()):
-        ends.setdefault(total, []).append(i)
+    totals, which = size.sum(axis=1), np.arange(len(left))
     out = np.full(len(left), far, np.int64)
     for total in range(la + lb + 1):
         lo, hi = max(0, total - lb, (total - band + 1) // 2), min(total, la, (total + band) // 2)
@@ -343,9 +390,19 @@ def _distances(left: list[str], right: list[str], size: np.ndarray, band: int) -
             now[1] = total
         if hi == total:
             now[total + 1] = total
-        for i in ends.get(total, ()):
+        for i in np.flatnonzero(totals == total).tolist():
             if lo <= size[i, 0] <= hi:
-                out[i] = now[size[i, 0] + 1, i]
+                out[which[i]] = now[size[i, 0] + 1, i]
+        if total % 32 == 31:
+            # last diagonal's rows are within one of this one's
+            open_ = now[lo + 1:hi + 2].min(axis=0, initial=far) <= band
+            open_ |= last[max(lo, 1):hi + 3].min(axis=0, initial=far) <= band
+            open_ &= totals > total
+            if 4 * np.count_nonzero(open_) <= 3 * len(open_):
+                now, last, before, a, b = (np.compress(open_, x, axis=1) for x in (now, last, before, a, b))
+                size, totals, which = size[open_], totals[open_], which[open_]
+                if not len(which):
+                    break
     return out
 
 
@@ -406,9 +463,14 @@ def linked_classes(rows: DataFrame, min_words: int, similarity: float) -> DataFr
 
     def longer(ids: DataFrame) -> DataFrame:
         return members.join(ids, "id").join(info.withColumnRenamed("cls", "id"), "id") \
-            .select(with_length_band(F.col("key"), F.col("chars"), similarity).alias("key"), "id")
+            .select(with_length_band(F.col("key"), F.col("chars"), similarity).alias("key"), "id", "chars")
+
+    def fits(a: str, b: str) -> Column:
+        ca, cb = F.col(a + "chars"), F.col(b + "chars")
+        most = F.floor(F.greatest(ca, cb) * F.lit(1 - similarity) + F.lit(1e-9))
+        return (F.col(a + "id") < F.col(b + "id")) & (F.abs(ca - cb) <= most)
 
-    return link_groups(members, verify, longer)
+    return link_groups(members, verify, longer, fits)
 
 
 def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,
@@ -425,6 +487,7 @@ def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", mi
     all but the first of equal rows lose their lines. Other columns may have
     any name. An empty table gives an empty result.
     """
+    small_batches(df.sparkSession)
     df = df.drop("n_removed")
     names = df.columns
     inner = df.toDF(*[f"c{i}" for i in range(len(names))])  # no name of the input meets one used here
