@@ -96,3 +96,11 @@ def test_take_words():
 def test_empty_table(make_docs):
     assert taken_words(*mix_sources(make_docs([]))).count() == 0
     assert taken_words(*mix_sources(make_docs([(1, None), (2, "")]))).toPandas()["taken"].tolist() == [0, 0]
+
+
+def test_slots_are_not_broadcast(make_docs, prose):
+    """They grow with the documents, whatever size Spark expects of them."""
+    _, mix = mixing.mix_sources(make_docs([(k, prose(50, k), "ab"[k % 2]) for k in range(20)]))
+    plan = mix._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"SortMergeJoin \[source_key#\d+, block#\d+L\]", plan)
+    assert not re.search(r"BroadcastHashJoin \[source_key#\d+, block#\d+L\]", plan)

@@ -194,7 +194,8 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         "shard", "epoch", "source", "source_key",
         place(F.col("k") % F.col("blocks"), "blocks",
               F.xxhash64(F.lit(seed), "source_key", "epoch")).alias("block"))
-    mix = slots.join(pieces, ["source_key", "block"]).drop("source_key")
+    # Spark takes slots for as small as the rows they are exploded from, and would broadcast them
+    mix = slots.hint("merge").join(pieces, ["source_key", "block"]).drop("source_key")
     documents = sized.join(src.select("source_key", "source_size", "target"), "source_key") \
         .select("row", "id", "source", "size", "source_size", "target")
     return documents, mix
