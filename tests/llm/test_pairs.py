@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 
 from tidemark.llm import jaccard_join as jj
+from tidemark.llm import linking
 from tidemark.llm.linking import components, link_groups
 from tidemark.llm.packed import bins_of, pack, unpack
 
@@ -161,3 +162,34 @@ def test_shared_keys_are_those_of_two_sets():
     got = jj.shared_keys(key, cls, spare)
     assert list(zip(*(x.tolist() for x in got), strict=True)) == [(3, 4, 0), (3, 5, 1), (3, 8, 2), (7, 4, 0), (7, 6, 0)]
     assert [len(x) for x in jj.shared_keys(*(x[:0] for x in (key, cls, spare)))] == [0, 0, 0]
+
+
+def test_pairs_are_formed_under_one_key(spark, monkeypatch):
+    """Ids that meet under many keys are one row a pair, and no link is lost as keys end on the way."""
+    rnd = random.Random(5)
+    members = sorted({(key, i) for key in range(24) for i in range(40) if rnd.random() < 0.6})
+    links = {(a, b) for a in range(40) for b in range(a) if rnd.random() < 0.02}
+    allowed = spark.createDataFrame(sorted(links), "a long, b long")
+    formed, form = [], linking._pairs_of_slice
+
+    def rows(*args):
+        out = form(*args)
+        formed.extend((r.a, r.b) for r in out.collect())
+        return out
+    monkeypatch.setattr(linking, "_pairs_of_slice", rows)
+    frame = spark.createDataFrame(members, "key long, id long")
+    verify = lambda pairs: pairs.join(allowed, ["a", "b"], "left_semi")
+    once = {(r.id, r.comp) for r in link_groups(frame, verify, few_keys=True).collect()}
+    assert formed and len(formed) == len(set(formed))
+    formed.clear()
+    assert once == {(r.id, r.comp) for r in link_groups(frame, verify).collect()}
+    assert len(formed) > len(set(formed))  # without it they meet again under other keys
+
+
+def test_components_end_with_stars(spark, monkeypatch):
+    """Stars are seen as such: no further round is run on them."""
+    written, write = [], linking.staged
+    monkeypatch.setattr(linking, "staged", lambda df, name: written.append(name) or write(df, name))
+    edges = [(1, 5), (9, 1), (7, 2), (7, 2), (3, 3)]
+    got = {(r.id, r.comp) for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {(5, 1), (9, 1), (7, 2)} and written == ["cc"]

@@ -470,7 +470,7 @@ def linked_classes(rows: DataFrame, min_words: int, similarity: float) -> DataFr
         most = F.floor(F.greatest(ca, cb) * F.lit(1 - similarity) + F.lit(1e-9))
         return (F.col(a + "id") < F.col(b + "id")) & (F.abs(ca - cb) <= most)
 
-    return link_groups(members, verify, longer, fits)
+    return link_groups(members, verify, longer, fits, few_keys=True)
 
 
 def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,

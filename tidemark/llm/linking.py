@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import staged
@@ -20,9 +20,12 @@ MAX_ROUNDS = 60
 SLICES = ((0, 1), (1, 4), (4, 16))
 
 
-def _signature(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
-    return tuple(row)
+def _is_stars(edges: DataFrame) -> bool:
+    """Each id has one link down at most, and none of those it leads to has one."""
+    ends = edges.select(F.col("u").alias("id"), F.lit(1).alias("down"), F.lit(0).alias("up")).unionByName(
+        edges.select(F.col("v").alias("id"), F.lit(0).alias("down"), F.lit(1).alias("up")))
+    per_id = ends.groupBy("id").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
+    return per_id.filter("down + up > 1 and down > 0").isEmpty()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -35,9 +38,8 @@ def components(edges: DataFrame) -> DataFrame:
     """
     cur = staged(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
                  .filter("u != v").distinct(), "cc")
-    sign = _signature(cur)
     for _ in range(MAX_ROUNDS):
-        if not sign[0]:
+        if _is_stars(cur):
             break
         both = cur.unionByName(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -48,11 +50,7 @@ def components(edges: DataFrame) -> DataFrame:
         small = large.join(low, "u")
         small = (small.select("u", F.col("m").alias("v"))
                  .unionByName(small.filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))))
-        nxt = staged(small.distinct(), "cc")
-        new = _signature(nxt)
-        if new == sign:
-            break
-        cur, sign = nxt, new
+        cur = staged(small.distinct(), "cc")
     else:
         raise RuntimeError("components did not settle")
     return cur.select(F.col("u").alias("id"), F.col("v").alias("comp"))
@@ -60,7 +58,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 def link_groups(members: DataFrame, verify: Callable[[DataFrame], DataFrame],
                 refine: Callable[[DataFrame], DataFrame] | None = None,
-                fits: Callable[[str, str], Column] | None = None) -> DataFrame:
+                fits: Callable[[str, str], Column] | None = None, few_keys: bool = False) -> DataFrame:
     """Components of the links among ids that share a key: ``id, comp``.
 
     ``members`` has (key, id); two ids may be linked only if they share a key,
@@ -77,7 +75,10 @@ def link_groups(members: DataFrame, verify: Callable[[DataFrame], DataFrame],
        a sixteenth of them first. Links of a slice join components, and pairs
        within one are not even formed in the next. ``fits`` names what must
        hold for the rows of a pair in at least one key they share, given the
-       prefixes of the two rows' columns.
+       prefixes of the two rows' columns. With ``few_keys`` (an id has some
+       hundred at most) rows carry their id's smaller keys, and a pair is
+       formed under the smallest key it shares alone; ``fits`` must then
+       depend on the two ids only, not on the key.
 
     A family that its hubs link costs about n tests for n ids, and one that is
     linked in other ways grows together over the slices. Every pair is formed
@@ -94,6 +95,8 @@ def link_groups(members: DataFrame, verify: Callable[[DataFrame], DataFrame],
             if step == "min" and refine is not None:
                 members = staged(refine(live.select("id").distinct()), "link_refined")
                 live = _live(members, labels, step)
+            if step == SLICES[0] and few_keys:
+                live = _with_smaller_keys(live)
             live = staged(live, "link_live")
             if live.isEmpty():
                 break
@@ -105,9 +108,14 @@ def link_groups(members: DataFrame, verify: Callable[[DataFrame], DataFrame],
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = staged(pairs, "link_pairs")
+        if labels is not None and pairs.isEmpty():
+            continue
         found = staged(verify(pairs).select("a", "b"), "links")
         tested = pairs if tested is None else tested.unionByName(pairs)
-        if labels is not None:  # stars stand for the components found so far
+        if labels is not None:
+            if found.isEmpty():
+                continue
+            # stars stand for the components found so far
             found = found.unionByName(labels.select(F.col("id").alias("a"), F.col("comp").alias("b")))
         labels = components(found)
     return labels
@@ -123,6 +131,13 @@ def _live(members: DataFrame, labels: DataFrame, step) -> DataFrame:
     return placed.join(keys, "key")
 
 
+def _with_smaller_keys(live: DataFrame) -> DataFrame:
+    """``live`` with ``before``, the smaller keys of the row's id. It is taken
+    once: keys that are done later have all their ids in one component."""
+    smaller = Window.partitionBy("id").orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
+    return live.withColumn("before", F.collect_list("key").over(smaller))
+
+
 def _pairs_of_slice(live: DataFrame, parts: tuple[int, int], fits) -> DataFrame:
     """Pairs across components in the parts of this slice; the rule and the
     slice are conditions of the join, so no other pair is ever a row."""
@@ -132,5 +147,7 @@ def _pairs_of_slice(live: DataFrame, parts: tuple[int, int], fits) -> DataFrame:
     rule = (F.col("a_id") < F.col("b_id")) if fits is None else fits("a_", "b_")
     part = F.pmod(F.xxhash64(F.least("a_id", "b_id"), F.greatest("a_id", "b_id")), F.lit(16))
     now = (part >= parts[0]) & (part < parts[1])
+    if "before" in live.columns:  # under a smaller key the pair is formed already
+        now &= ~F.arrays_overlap("a_before", "b_before")
     return (a.join(b, (a["key"] == b["key"]) & across & rule & now)
             .select(F.col("a_id").alias("a"), F.col("b_id").alias("b")))
