@@ -340,3 +340,23 @@ def test_text_batches_are_small(spark, make_docs, prose):
             assert int(spark.conf.get(name)) == then
     finally:
         spark.conf.set(name, before)
+
+
+def test_settled_classes_are_not_read_again(make_docs, prose, monkeypatch):
+    """After the hub's tests only forms of classes whose keys are still open are kept."""
+    written, write = [], line_dedup.staged
+
+    def staged(df, name):
+        out = write(df, name)
+        if name == "line_forms":
+            written.append({r.form for r in out.collect()})
+        return out
+    monkeypatch.setattr(line_dedup, "staged", staged)
+    settled = prose(30, 4000).split()
+    common = prose(40, 4001).split()
+    rows = [(i, " ".join(settled[:i] + ["other"] + settled[i + 1:])) for i in range(3)]
+    rows += [(10 + i, " ".join(common + prose(14, 4100 + i).split())) for i in range(4)]
+    got = {r.doc_id: r.n_removed for r in line_dedup.line_dedup(make_docs(rows)).collect()}
+    assert got == {0: 0, 1: 1, 2: 1, 10: 0, 11: 0, 12: 0, 13: 0}
+    before, after = written
+    assert after < before and after <= {t for i, t in rows if i >= 10} and len(before - after) >= 3

@@ -462,6 +462,9 @@ def linked_classes(rows: DataFrame, min_words: int, similarity: float) -> DataFr
         return both.select("a", "b", "most", "forma", "formb").mapInArrow(linked, "a long, b long")
 
     def longer(ids: DataFrame) -> DataFrame:
+        nonlocal texts, info  # no other class is asked for from here on
+        texts = staged(texts.join(ids.withColumnRenamed("id", "cls"), "cls", "left_semi"), "line_forms")
+        info = staged(texts.select("cls", F.char_length("form").cast("long").alias("chars")), "line_info")
         return members.join(ids, "id").join(info.withColumnRenamed("cls", "id"), "id") \
             .select(with_length_band(F.col("key"), F.col("chars"), similarity).alias("key"), "id", "chars")
 
